@@ -220,3 +220,197 @@ def q_log_json_decode(spark, sf_dir):
     lines = adapters.to_json_lines(logs(spark, sf_dir))
     decoded = readers.decode_log_json(lines, broker_time_col=None, watermark=None)
     return decoded.drop("kafka_ts").withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------------------
+# Normalisation and profiling of the raw CSV export
+# ---------------------------------------------------------------------------
+
+from logsentinel.operators import profile, serve  # noqa: E402
+from logsentinel.streaming import runner  # noqa: E402
+
+
+def stored_csv(spark: SparkSession, sf_dir: str) -> str:
+    """S1 input: the log view exported as CSV with a header, with a bad
+    timestamp every 89th row (the raw shape the normaliser repairs)."""
+
+    def build(path: str) -> None:
+        adapters.with_dirty_timestamp(logs(spark, sf_dir)).write.mode("overwrite").option(
+            "header", "true"
+        ).csv(path)
+
+    return materialized(spark, sf_dir, "raw_csv", build)
+
+
+def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_log_csv(spark, stored_csv(spark, sf_dir))
+
+
+@register("normalize_logs")
+def q_normalize_logs(spark, sf_dir):
+    csv_path = stored_csv(spark, sf_dir)
+    path = materialized(
+        spark,
+        sf_dir,
+        "normalized",
+        lambda p: profile.normalize_csv_to_parquet(spark, csv_path, p),
+    )
+    return spark.read.parquet(path)
+
+
+@register("profile_shape")
+def q_profile_shape(spark, sf_dir):
+    return profile.profile_shape(raw_logs(spark, sf_dir))
+
+
+@register("profile_types")
+def q_profile_types(spark, sf_dir):
+    return profile.profile_types(spark, raw_logs(spark, sf_dir))
+
+
+@register("profile_nulls")
+def q_profile_nulls(spark, sf_dir):
+    return profile.profile_nulls(raw_logs(spark, sf_dir))
+
+
+@register("profile_duplicates")
+def q_profile_duplicates(spark, sf_dir):
+    return profile.profile_duplicates(raw_logs(spark, sf_dir))
+
+
+@register("profile_sample")
+def q_profile_sample(spark, sf_dir):
+    return profile.profile_sample(raw_logs(spark, sf_dir), ["timestamp", "source_ip"], 5)
+
+
+# ---------------------------------------------------------------------------
+# Serving queries over the stored tables
+# ---------------------------------------------------------------------------
+
+
+def _tbl(name):
+    return lambda spark, sf_dir: result_table(spark, sf_dir, name)
+
+
+top_table = _tbl("top_malicious_ips")
+port_scan_table = _tbl("port_scan_detection")
+sqli_xss_table = _tbl("sqli_xss_detection")
+bytes_table = _tbl("bytes_volume_by_threat_label")
+
+
+@register("ip_reputation")
+def q_ip_reputation(spark, sf_dir):
+    return serve.ip_reputation(top_table(spark, sf_dir))
+
+
+@register("ip_lookup")
+def q_ip_lookup(spark, sf_dir):
+    requested = logs(spark, sf_dir).select(F.col("source_ip").alias("ip")).distinct()
+    current = serve.current_alerts(alerts(spark, sf_dir))
+    return serve.ip_lookup(requested, top_table(spark, sf_dir), current)
+
+
+@register("threats_top")
+def q_threats_top(spark, sf_dir):
+    return serve.threats_top(top_table(spark, sf_dir))
+
+
+@register("threats_port_scans")
+def q_threats_port_scans(spark, sf_dir):
+    return serve.threats_port_scans(port_scan_table(spark, sf_dir))
+
+
+@register("threats_bytes")
+def q_threats_bytes(spark, sf_dir):
+    return serve.threats_bytes(bytes_table(spark, sf_dir))
+
+
+@register("threats_sqli_xss")
+def q_threats_sqli_xss(spark, sf_dir):
+    return serve.threats_sqli_xss(sqli_xss_table(spark, sf_dir))
+
+
+@register("alert_feed")
+def q_alert_feed(spark, sf_dir):
+    return serve.alert_feed(alerts(spark, sf_dir))
+
+
+@register("alert_summary")
+def q_alert_summary(spark, sf_dir):
+    return serve.alert_summary(alerts(spark, sf_dir))
+
+
+@register("alert_counts_by_type")
+def q_alert_counts_by_type(spark, sf_dir):
+    return serve.alert_counts_by_type(alerts(spark, sf_dir))
+
+
+@register("alert_stats")
+def q_alert_stats(spark, sf_dir):
+    return serve.alert_stats(alerts(spark, sf_dir))
+
+
+@register("threat_kpis")
+def q_threat_kpis(spark, sf_dir):
+    return serve.threat_kpis(
+        sqli_xss_table(spark, sf_dir), bytes_table(spark, sf_dir), top_table(spark, sf_dir)
+    )
+
+
+@register("result_table_stats")
+def q_result_table_stats(spark, sf_dir):
+    root = stored_results(spark, sf_dir)
+    from logsentinel.schema import RESULT_TABLES
+
+    tables = {name: f"{root}/{name}" for name in RESULT_TABLES}
+    return serve.result_table_stats(spark, tables, stored_alerts(spark, sf_dir))
+
+
+@register("dashboard_panels")
+def q_dashboard_panels(spark, sf_dir):
+    return serve.dashboard_panels(
+        top_table(spark, sf_dir),
+        sqli_xss_table(spark, sf_dir),
+        bytes_table(spark, sf_dir),
+        alerts(spark, sf_dir),
+    )
+
+
+@register("dashboard_bytes_series")
+def q_dashboard_bytes_series(spark, sf_dir):
+    return serve.dashboard_bytes_series(bytes_table(spark, sf_dir))
+
+
+@register("current_alerts")
+def q_current_alerts(spark, sf_dir):
+    return serve.current_alerts(alerts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Stream = batch: the detectors as streaming queries through the alert sink
+# ---------------------------------------------------------------------------
+
+
+def stored_json_stream(spark: SparkSession, sf_dir: str) -> str:
+    """The log view as JSON lines (the stream envelope), in a folder a file
+    stream can replay."""
+
+    def build(path: str) -> None:
+        adapters.to_json_lines(logs(spark, sf_dir)).write.mode("overwrite").text(path)
+
+    return materialized(spark, sf_dir, "json_stream", build)
+
+
+@register("alert_sink_roundtrip")
+def q_alert_sink_roundtrip(spark, sf_dir):
+    src = runner.text_file_source(spark, stored_json_stream(spark, sf_dir))
+
+    def build(root: str) -> None:
+        qs = runner.start_alert_queries(
+            src, f"{root}/alerts", f"{root}/checkpoints", trigger={"availableNow": True}
+        )
+        runner.await_all(qs)
+
+    root = materialized(spark, sf_dir, "stream_run", build)
+    current = serve.current_alerts(readers.read_alerts(spark, f"{root}/alerts"))
+    return current.drop("batch_id")

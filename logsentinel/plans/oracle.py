@@ -270,4 +270,144 @@ def oracles() -> dict[str, str]:
     o["log_json_decode"] = with_() + (
         f'SELECT {LOG_COLS}, CAST("timestamp" AS TIMESTAMP) AS event_ts FROM logs'
     )
+
+    # ---- normalisation and profiling (over the raw CSV export) -------------
+    raw = (
+        f"raw AS (SELECT CASE WHEN event_id % {A.BAD_TS_EVERY} = {A.BAD_TS_EVERY - 1} "
+        f"THEN {q(A.BAD_TS_TEXT)} ELSE \"timestamp\" END AS \"timestamp\", "
+        "source_ip, dest_ip, dest_port, protocol, action, threat_label, log_type, "
+        "bytes_transferred, user_agent, request_path FROM logs)"
+    )
+    raw_cols = [c.strip().strip('"') for c in LOG_COLS.split(",")]
+    o["normalize_logs"] = with_(raw) + (
+        'SELECT TRY_CAST("timestamp" AS TIMESTAMP) AS "timestamp", '
+        + ", ".join(raw_cols[1:])
+        + " FROM raw"
+    )
+    o["profile_shape"] = with_(raw) + (
+        f"SELECT count(*) AS row_count, {len(raw_cols)} AS column_count FROM raw"
+    )
+    o["profile_nulls"] = with_(raw) + " UNION ALL ".join(
+        f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count FROM raw"
+        for c in raw_cols
+    )
+    o["profile_duplicates"] = with_(
+        raw, f"g AS (SELECT count(*) AS n FROM raw GROUP BY {LOG_COLS})"
+    ) + (
+        "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows, "
+        "count(*) AS distinct_rows FROM g"
+    )
+    o["profile_sample"] = with_(raw) + 'SELECT * FROM raw ORDER BY "timestamp", source_ip LIMIT 5'
+
+    # ---- serving over the stored result tables ------------------------------
+    rep_cols = (
+        "threat_count, malicious_count, suspicious_count, total_bytes"
+    )
+    o["ip_reputation"] = with_(TOP, _score_sql("top")) + (
+        f"SELECT source_ip, {rep_cols}, score AS reputation_score, level AS threat_level FROM rep_l"
+    )
+    o["threats_top"] = with_(TOP, _score_sql("top")) + (
+        f"SELECT source_ip AS ip, {rep_cols}, score, level AS threat_level FROM rep_l"
+    )
+    o["ip_lookup"] = with_(
+        TOP,
+        _score_sql("top"),
+        ALERTS,
+        "req AS (SELECT DISTINCT source_ip AS ip FROM logs)",
+        "ac AS (SELECT source_ip AS ip, count(*) AS active_alerts, "
+        "max(threat_score) AS max_alert_score FROM alerts GROUP BY 1)",
+    ) + (
+        "SELECT req.ip, r.threat_count, r.malicious_count, r.suspicious_count, r.total_bytes, "
+        "r.score AS reputation_score, r.level AS threat_level, "
+        "CASE WHEN r.score IS NOT NULL THEN 'threat' ELSE 'clean' END AS status, "
+        "CASE WHEN r.score IS NULL THEN NULL WHEN r.score >= 75 THEN 'BLOCK' "
+        "ELSE 'MONITOR' END AS action, coalesce(ac.active_alerts, 0) AS active_alerts, "
+        "ac.max_alert_score FROM req LEFT JOIN rep_l r ON r.source_ip = req.ip "
+        "LEFT JOIN ac ON ac.ip = req.ip"
+    )
+    o["threats_port_scans"] = with_(PORTSCAN) + (
+        f"SELECT source_ip AS ip, {wtext('window_start')} AS window_start, "
+        f"{wtext('window_end')} AS window_end, distinct_targets, connection_count FROM portscan"
+    )
+    o["threats_bytes"] = with_(BYTES) + (
+        "SELECT threat_label, event_count, total_bytes, round(avg_bytes, 2) AS avg_bytes, "
+        "min_bytes, max_bytes FROM bytes"
+    )
+    o["threats_sqli_xss"] = with_(SQLIXSS) + 'SELECT attack_type, "count" FROM sqlixss'
+
+    def scalar(sql: str) -> str:
+        return f"CAST(coalesce(({sql}), 0) AS BIGINT)"
+
+    def attack(t: str) -> str:
+        return scalar(f"SELECT sum(\"count\") FROM sqlixss WHERE attack_type = {q(t)}")
+
+    def label(t: str) -> str:
+        return scalar(f"SELECT sum(event_count) FROM bytes WHERE threat_label = {q(t)}")
+
+    def is_type(t: str) -> str:
+        return f"alert_type = {q(t)}"
+
+    def alert_sum(cond: str) -> str:
+        return scalar(f'SELECT sum("count") FROM alerts WHERE {cond}')
+
+    o["threat_kpis"] = with_(SQLIXSS, BYTES, TOP) + (
+        f"SELECT {attack('SQLi')} AS sqli_count, {attack('XSS')} AS xss_count, "
+        f"{label('malicious')} AS malicious_events, {label('suspicious')} AS suspicious_events, "
+        f"{label('benign')} AS benign_events, {scalar('SELECT count(*) FROM top')} AS top_ip_count"
+    )
+    o["result_table_stats"] = with_(TOP, PORTSCAN, SQLIXSS, BYTES, ALERTS) + " UNION ALL ".join(
+        f"SELECT {q(name)} AS table_name, true AS available, count(*) AS row_count FROM {src}"
+        for name, src in (
+            ("top_malicious_ips", "top"),
+            ("port_scan_detection", "portscan"),
+            ("sqli_xss_detection", "sqlixss"),
+            ("bytes_volume_by_threat_label", "bytes"),
+            ("brute_force_alerts", "alerts"),
+        )
+    )
+    o["dashboard_panels"] = with_(TOP, SQLIXSS, BYTES, ALERTS) + (
+        f"SELECT {scalar('SELECT count(*) FROM top')} AS top_ip_count, "
+        f"{attack('SQLi')} AS sqli_detections, {attack('XSS')} AS xss_detections, "
+        f"{label('malicious')} AS malicious_events, {label('benign')} AS benign_events, "
+        f"{label('suspicious')} AS suspicious_events, {alert_sum('true')} AS alert_event_total, "
+        f"{alert_sum(is_type('BRUTE_FORCE'))} AS brute_force_alert_events, "
+        f"{alert_sum(is_type('XSS'))} AS xss_alert_events, "
+        f"{alert_sum(is_type('SQLi'))} AS sqli_alert_events"
+    )
+    ranks = " ".join(f"WHEN {q(l)} THEN {i}" for i, l in enumerate(rules.LABEL_SERIES_ORDER))
+    o["dashboard_bytes_series"] = with_(BYTES) + (
+        f"SELECT CASE threat_label {ranks} END AS series_rank, threat_label, "
+        "upper(substr(threat_label, 1, 1)) || substr(threat_label, 2) AS display_label, "
+        "total_bytes, event_count, round(avg_bytes, 2) AS avg_bytes FROM bytes "
+        f"WHERE threat_label IN ({', '.join(q(l) for l in rules.LABEL_SERIES_ORDER)})"
+    )
+
+    # ---- serving over the alert table ------------------------------------------
+    o["alert_feed"] = with_(ALERTS) + (
+        'SELECT source_ip, window_start, window_end, "count", target_ip, protocol, alert_type, '
+        "severity, coalesce(threat_score, 0) AS threat_score FROM alerts"
+    )
+    distinct_ips = (
+        "count(DISTINCT source_ip) + max(CASE WHEN source_ip IS NULL THEN 1 ELSE 0 END)"
+    )
+    o["alert_summary"] = with_(ALERTS) + (
+        f"SELECT count(*) AS total, coalesce({distinct_ips}, 0) AS unique_ips FROM alerts"
+    )
+    o["alert_counts_by_type"] = with_(ALERTS) + (
+        "SELECT coalesce(alert_type, 'UNKNOWN') AS alert_type, count(*) AS \"count\" "
+        "FROM alerts GROUP BY 1"
+    )
+    o["alert_stats"] = with_(ALERTS) + (
+        "SELECT count(*) AS total_alerts, "
+        "count(*) FILTER (WHERE alert_type = 'BRUTE_FORCE') AS brute_force_count, "
+        "count(*) FILTER (WHERE alert_type IN ('SQLi', 'XSS')) AS sqli_xss_count, "
+        "count(*) FILTER (WHERE alert_type = 'VOLUME_ANOMALY') AS volume_anomaly_count, "
+        "count(*) FILTER (WHERE severity = 'CRITICAL') AS critical_count, "
+        f"coalesce({distinct_ips}, 0) AS unique_attacker_ips, "
+        "(SELECT source_ip FROM alerts ORDER BY coalesce(threat_score, 0) DESC, "
+        "source_ip ASC LIMIT 1) AS top_attacker FROM alerts"
+    )
+    o["current_alerts"] = with_(ALERTS) + (
+        f"SELECT {ALERT_COLS}, label, CAST(0 AS BIGINT) AS batch_id FROM alerts"
+    )
     return o

@@ -21,14 +21,19 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_result_table(spark: SparkSession, path: str) -> tuple[DataFrame | None, str | None]:
+def read_result_table(
+    spark: SparkSession, path: str, fmt: str = "parquet"
+) -> tuple[DataFrame | None, str | None]:
     """S3: a stored result table, or ``(None, error)`` when it is missing.
 
     The error is a value, not an exception, so a serving query can report
     which tables are absent and still answer from the others.
     """
     try:
-        df = spark.read.parquet(path)
+        reader = spark.read.format(fmt)
+        if fmt == "json":
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+        df = reader.load(path)
         df.schema  # resolve now: a missing path fails here, not later
         return df, None
     except AnalysisException as exc:  # PATH_NOT_FOUND, UNABLE_TO_INFER_SCHEMA
@@ -38,8 +43,8 @@ def read_result_table(spark: SparkSession, path: str) -> tuple[DataFrame | None,
 def read_alerts(spark: SparkSession, directory: str) -> DataFrame:
     """Every alert line under ``directory`` (recursively, ``*.json``).
 
-    Blank lines are skipped by the JSON reader and malformed lines land in
-    ``_corrupt_record`` and are dropped.  ``label`` and ``batch_id`` come from
+    Blank lines are skipped by the JSON reader; a line that is not JSON is
+    dropped; a wrong-typed field is null and the rest of its record kept.  ``label`` and ``batch_id`` come from
     the file path: either the sink's ``label=…/batch_id=…`` folders or flat
     ``{label}_batch_{id}.json`` files.  A missing or empty folder gives an
     empty frame with the same columns.
@@ -70,7 +75,10 @@ def read_alerts(spark: SparkSession, directory: str) -> DataFrame:
         F.nullif(F.regexp_extract(path, r"batch_id=(\d+)/", 1), F.lit("")),
         F.nullif(F.regexp_extract(path, r"_batch_(\d+)\.json$", 1), F.lit("")),
     ).cast("bigint")
-    return raw.filter(F.col(CORRUPT_RECORD).isNull()).select(
+    # A line that is not JSON at all parses to all-null fields: drop it.  A
+    # record with one wrong-typed field keeps its other fields (null there).
+    any_field = F.coalesce(*[F.col(c).cast("string") for c in ALERT_COLUMNS]).isNotNull()
+    return raw.filter(F.col(CORRUPT_RECORD).isNull() | any_field).select(
         *ALERT_COLUMNS, label.alias("label"), batch.alias("batch_id")
     )
 
