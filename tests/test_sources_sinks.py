@@ -1,0 +1,80 @@
+"""Scans, decoders and sinks."""
+
+import os
+
+from logsentinel.schema import ALERT_COLUMNS
+from logsentinel.sources import readers, sinks
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(text)
+
+
+def test_alert_scan_skips_blank_and_malformed_lines(spark, tmp_path):
+    d = tmp_path / "alerts"
+    _write(str(d / "brute_force_batch_10.json"),
+           '{"source_ip": "1.2.3.4", "window_start": "2026-05-22 12:03:00", "count": 8, '
+           '"alert_type": "BRUTE_FORCE", "threat_score": 80}\n\n'
+           "not json at all\n"
+           '{"source_ip": "1.2.3.5", "count": "eight", "alert_type": "BRUTE_FORCE"}\n')
+    _write(str(d / "sqli_xss_batch_7.json"), '{"source_ip": "5.6.7.8", "alert_type": "SQLi", "count": 1}\n')
+    out = readers.read_alerts(spark, str(d)).orderBy("source_ip").collect()
+    assert [(r.source_ip, r["count"], r.label, r.batch_id) for r in out] == [
+        ("1.2.3.4", 8, "brute_force", 10), ("1.2.3.5", None, "brute_force", 10), ("5.6.7.8", 1, "sqli_xss", 7)]
+
+
+def test_alert_scan_missing_or_empty_dir(spark, tmp_path):
+    assert readers.read_alerts(spark, str(tmp_path / "nope")).count() == 0
+    os.makedirs(tmp_path / "empty")
+    assert readers.read_alerts(spark, str(tmp_path / "empty")).count() == 0
+    assert readers.read_alerts(spark, str(tmp_path / "nope")).columns == ALERT_COLUMNS + ["label", "batch_id"]
+
+
+def test_alert_sink_is_idempotent_and_skips_empty_batches(spark, tmp_path):
+    out = str(tmp_path / "sink")
+    write = sinks.alert_batch_writer(out, "volume")
+    df = spark.createDataFrame([("1.1.1.1", 3)], "source_ip string, count bigint")
+    write(df, 4)
+    write(df, 4)  # replay of the same batch id
+    write(df.limit(0), 5)
+    scanned = readers.read_alerts(spark, out).collect()
+    assert [(r.source_ip, r.batch_id, r.label) for r in scanned] == [("1.1.1.1", 4, "volume")]
+    assert not os.path.exists(os.path.join(out, "label=volume", "batch_id=5"))
+
+
+def test_result_table_missing_is_an_error_value(spark, tmp_path):
+    df, err = readers.read_result_table(spark, str(tmp_path / "missing"))
+    assert df is None and "missing" in err
+
+
+def test_json_decode_bad_lines_and_bad_fields(spark):
+    raw = spark.createDataFrame(
+        [('{"timestamp":"2026-05-22T12:03:00.5","source_ip":"1.1.1.1","bytes_transferred":10}',),
+         ('{"timestamp":"nope","source_ip":"2.2.2.2","bytes_transferred":"ten"}',),
+         ("garbage",)],
+        "value string",
+    )
+    out = readers.decode_log_json(raw, broker_time_col=None, watermark=None).collect()
+    assert (out[0].source_ip, out[0].bytes_transferred, out[0].event_ts is not None) == ("1.1.1.1", 10, True)
+    assert (out[1].source_ip, out[1].bytes_transferred, out[1].event_ts) == ("2.2.2.2", None, None)
+    assert out[2].source_ip is None and out[2].event_ts is None
+
+
+def test_csv_scan_uses_declared_schema(spark, tmp_path):
+    p = str(tmp_path / "logs.csv")
+    _write(p, "timestamp,source_ip,dest_ip,dest_port,protocol,action,threat_label,log_type,"
+              "bytes_transferred,user_agent,request_path\n"
+              "2026-05-22 12:00:00,1.1.1.1,2.2.2.2,22,SSH,failed,benign,ids,100,,/login\n")
+    df = readers.read_log_csv(spark, p)
+    r = df.collect()[0]
+    assert (r.dest_port, r.bytes_transferred, r.user_agent) == (22, 100, None)
+    assert dict(df.dtypes)["bytes_transferred"] == "bigint"
+
+
+def test_result_sink_overwrites(spark, tmp_path):
+    p = str(tmp_path / "res")
+    sinks.write_result(spark.range(5), p)
+    sinks.write_result(spark.range(2), p)
+    assert spark.read.parquet(p).count() == 2
