@@ -3,6 +3,7 @@
 from logsentinel.functions.expressions import (  # noqa: F401
     attack_type_of,
     event_score,
+    fmt_num,
     fold,
     label_is,
     reputation_score,

@@ -99,3 +99,13 @@ def window_bounds(window: str | Column = "window", as_text: bool = True) -> list
 
 def ts_text(col: str | Column, fmt: str = EVENT_TEXT_FORMAT) -> Column:
     return F.date_format(_c(col), fmt)
+
+
+def fmt_num(col: str | Column) -> Column:
+    """Dashboard number text: one decimal with B / M / K above 1e9 / 1e6 /
+    1e3, the plain number below."""
+    n = _c(col)
+    out = F.when(n.isNull(), F.lit(None).cast("string"))
+    for scale, suffix in ((1e9, "B"), (1e6, "M"), (1e3, "K")):
+        out = out.when(n >= scale, F.format_string(f"%.1f{suffix}", n.cast("double") / scale))
+    return out.otherwise(n.cast("string"))

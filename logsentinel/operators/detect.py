@@ -147,6 +147,9 @@ def attack_tagging(
 
     Flags follow SQL three-valued logic: a null path with a non-matching
     agent gives a null flag; the row is kept when either flag is true.
+    Catalyst pushes the filter below the flag projection, so the patterns
+    run once per row in the filter and again only for the (rare) rows that
+    pass it.
     """
     return (
         logs.withColumn("is_sqli", rlike_any(list(columns), sqli_pattern))

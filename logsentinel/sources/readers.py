@@ -132,6 +132,23 @@ def decode_log_json(
     return out
 
 
+def with_event_time(
+    logs: DataFrame,
+    time_col: str = "timestamp",
+    watermark: str | None = rules.DEFAULT_WATERMARK,
+) -> DataFrame:
+    """For already-structured log sources (Parquet/Delta tables read as a
+    stream): ``event_ts`` as a timestamp from ``time_col`` (text is parsed,
+    a bad value is null) plus the watermark."""
+    t = F.col(time_col)
+    if dict(logs.dtypes).get(time_col) == "string":
+        ts = F.try_to_timestamp(t)
+    else:
+        ts = t.cast("timestamp")
+    out = logs.withColumn("event_ts", ts)
+    return out.withWatermark("event_ts", watermark) if watermark else out
+
+
 def decode_raw_text(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """The value as plain text plus the source IP taken by regex (no
     match gives an empty string)."""

@@ -112,3 +112,10 @@ def test_bytes_series_fixed_order_and_skips_absent(spark):
     )
     out = serve.dashboard_bytes_series(b).collect()
     assert [(r.threat_label, r.display_label) for r in out] == [("malicious", "Malicious"), ("benign", "Benign")]
+
+
+def test_fmt_num(spark):
+    from logsentinel.functions import fmt_num
+
+    df = spark.createDataFrame([(999,), (1500,), (2_500_000,), (3_040_000_000,), (None,)], "n bigint")
+    assert [r.s for r in df.select(fmt_num("n").alias("s")).collect()] == ["999", "1.5K", "2.5M", "3.0B", None]

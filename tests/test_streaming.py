@@ -5,7 +5,7 @@ import datetime as dt
 import os
 import time
 
-
+from pyspark.sql import functions as F
 
 from logsentinel.operators import detect, serve
 from logsentinel.schema import ALERT_COLUMNS
@@ -130,3 +130,17 @@ def test_complete_mode_threat_score_to_memory(spark, tmp_path):
     got = {r.source_ip: r.total_threat_score for r in spark.table("threat_scores_test").collect()}
     assert got == {"a": 15, "b": 0}
 
+
+
+def test_parquet_log_stream_equals_batch(spark, tmp_path):
+    logs = adapters.load_log_view(spark, SF_SMALL)
+    clean = logs.withColumn("timestamp", F.col("event_ts")).drop("event_ts", "event_id")
+    src_dir = str(tmp_path / "parquet_in")
+    clean.write.parquet(src_dir)
+    out_dir = str(tmp_path / "alerts")
+    qs = runner.start_alert_queries(
+        runner.table_file_source(spark, src_dir, clean.schema), out_dir, str(tmp_path / "ckpt"),
+        trigger={"availableNow": True}, decode=lambda df: readers.with_event_time(df, "timestamp"))
+    runner.await_all(qs)
+    current = serve.current_alerts(readers.read_alerts(spark, out_dir))
+    assert _key_set(current) == _key_set(detect.all_alerts(logs, with_label=True))
