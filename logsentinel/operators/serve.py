@@ -19,12 +19,17 @@ from logsentinel.schema import ALERT_COLUMNS
 from logsentinel.sources import readers
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the row count (one small job);
-    larger inputs are left to the planner's shuffle join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def at_most_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (one small job that
+    stops reading after ``max_rows + 1`` rows)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, sized: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint only after checking the row count of ``df`` (or of
+    ``sized``, a cheaper frame with the same rows); larger inputs are left
+    to the planner's shuffle join."""
+    return F.broadcast(df) if at_most_rows(sized if sized is not None else df, max_rows) else df
 
 
 # ---------------------------------------------------------------------------
@@ -83,7 +88,9 @@ def ip_lookup(
         "reputation_score",
         "threat_level",
     )
-    out = requested.select(ip_col).join(broadcast_if_small(rep, max_broadcast_rows), ip_col, "left")
+    # rep has one row per TOP_IP row: size-check the stored table itself.
+    side = broadcast_if_small(rep, max_broadcast_rows, sized=top)
+    out = requested.select(ip_col).join(side, ip_col, "left")
     found = F.col("reputation_score").isNotNull()
     out = out.select(
         "*",

@@ -41,20 +41,21 @@ def read_result_table(
 
 
 def read_alerts(spark: SparkSession, directory: str) -> DataFrame:
-    """Every alert line under ``directory`` (recursively, ``*.json``).
-
-    Blank lines are skipped by the JSON reader; a line that is not JSON is
-    dropped; a wrong-typed field is null and the rest of its record kept.  ``label`` and ``batch_id`` come from
-    the file path: either the sink's ``label=…/batch_id=…`` folders or flat
-    ``{label}_batch_{id}.json`` files.  A missing or empty folder gives an
-    empty frame with the same columns.
+    """Every alert line under ``directory``.
+
+    Two layouts are read: the sink's partitioned ``label=…/batch_id=…``
+    folders (partition discovery, so filters on ``label`` / ``batch_id``
+    prune folders instead of listing and reading them), and flat
+    ``{label}_batch_{id}.json`` files, whose label and batch id come from the
+    file name.  Blank lines are skipped; a line that is not JSON is dropped;
+    a wrong-typed field is null and the rest of its record kept.  A missing
+    or empty folder gives an empty frame with the same columns.
     """
     try:
         raw = (
             spark.read.schema(ALERT_WITH_CORRUPT)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-            .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.json")
             .json(directory)
         )
@@ -66,15 +67,15 @@ def read_alerts(spark: SparkSession, directory: str) -> DataFrame:
             F.lit(None).cast("string").alias("label"),
             F.lit(None).cast("bigint").alias("batch_id"),
         )
-    path = F.col("_metadata.file_path")
-    label = F.coalesce(
-        F.nullif(F.regexp_extract(path, r"label=([^/]+)/", 1), F.lit("")),
-        F.nullif(F.regexp_extract(path, r"([^/]+)_batch_\d+\.json$", 1), F.lit("")),
-    )
-    batch = F.coalesce(
-        F.nullif(F.regexp_extract(path, r"batch_id=(\d+)/", 1), F.lit("")),
-        F.nullif(F.regexp_extract(path, r"_batch_(\d+)\.json$", 1), F.lit("")),
-    ).cast("bigint")
+    name = F.col("_metadata.file_name")
+    if "label" in raw.columns:
+        label = F.col("label").cast("string")
+    else:
+        label = F.nullif(F.regexp_extract(name, r"^(.+)_batch_\d+\.json$", 1), F.lit(""))
+    if "batch_id" in raw.columns:
+        batch = F.col("batch_id").cast("bigint")
+    else:
+        batch = F.nullif(F.regexp_extract(name, r"_batch_(\d+)\.json$", 1), F.lit("")).cast("bigint")
     # A line that is not JSON at all parses to all-null fields: drop it.  A
     # record with one wrong-typed field keeps its other fields (null there).
     any_field = F.coalesce(*[F.col(c).cast("string") for c in ALERT_COLUMNS]).isNotNull()

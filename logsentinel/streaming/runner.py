@@ -119,13 +119,21 @@ def start_alert_queries(
 
 
 def _partitioned_alert_writer(out_dir: str):
+    """Union-mode sink: the same ``label=…/batch_id=…`` layout as the
+    per-query sink, written with dynamic partition overwrite so a replayed
+    batch replaces only its own folders."""
+
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
             if batch_df.isEmpty():
                 return
-            batch_df.write.mode("overwrite").partitionBy("label").json(
-                f"{out_dir}/union/batch_id={batch_id}"
+            (
+                batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("label", "batch_id")
+                .json(out_dir)
             )
         finally:
             batch_df.unpersist()
