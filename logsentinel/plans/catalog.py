@@ -16,9 +16,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsentinel.operators import batch, detect
+from logsentinel.operators import batch, detect, profile, serve
+from logsentinel.schema import RESULT_TABLES
 from logsentinel.session import shared_path
 from logsentinel.sources import adapters, readers, sinks
+from logsentinel.streaming import runner
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -226,10 +228,6 @@ def q_log_json_decode(spark, sf_dir):
 # Normalisation and profiling of the raw CSV export
 # ---------------------------------------------------------------------------
 
-from logsentinel.operators import profile, serve  # noqa: E402
-from logsentinel.streaming import runner  # noqa: E402
-
-
 def stored_csv(spark: SparkSession, sf_dir: str) -> str:
     """S1 input: the log view exported as CSV with a header, with a bad
     timestamp every 89th row (the raw shape the normaliser repairs)."""
@@ -360,8 +358,6 @@ def q_threat_kpis(spark, sf_dir):
 @register("result_table_stats")
 def q_result_table_stats(spark, sf_dir):
     root = stored_results(spark, sf_dir)
-    from logsentinel.schema import RESULT_TABLES
-
     tables = {name: f"{root}/{name}" for name in RESULT_TABLES}
     return serve.result_table_stats(spark, tables, stored_alerts(spark, sf_dir))
 
