@@ -150,10 +150,14 @@ def start_detector(
     memory_table: str | None = None,
     trigger: dict | None = None,
     watermark: str | None = rules.DEFAULT_WATERMARK,
+    decode: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Any detector as a streaming query: ``foreachBatch`` sink, or a memory
-    table (tests), or the console."""
-    out = detector(readers.decode_log_json(source(), watermark=watermark))
+    table (tests), or the console.  ``decode`` defaults to the JSON envelope
+    decoder; pass ``readers.decode_raw_text`` for the raw-text rule."""
+    raw = source()
+    parsed = decode(raw) if decode else readers.decode_log_json(raw, watermark=watermark)
+    out = detector(parsed)
     w = _writer(out, checkpoint, output_mode, trigger, memory_table)
     if sink is not None:
         return w.foreachBatch(sink).start()

@@ -144,3 +144,18 @@ def test_parquet_log_stream_equals_batch(spark, tmp_path):
     runner.await_all(qs)
     current = serve.current_alerts(readers.read_alerts(spark, out_dir))
     assert _key_set(current) == _key_set(detect.all_alerts(logs, with_label=True))
+
+
+def test_raw_text_brute_force_on_processing_time_complete_mode(spark, tmp_path):
+    src_dir = str(tmp_path / "in")
+    lines = [f'{{"timestamp":"2026-05-19 20:07","source_ip":"192.168.1.{ip}",'
+             f'"message":"failed login attempt"}}' for ip in [0] * 6 + [1] * 4]
+    lines += ['{"source_ip":"192.168.1.9","message":"login ok"}'] * 7
+    _write_ordered_files(src_dir, [lines])
+    q = runner.start_detector(
+        runner.text_file_source(spark, src_dir), detect.brute_force_text, str(tmp_path / "ck"),
+        "complete", memory_table="raw_text_bf_test", trigger={"availableNow": True},
+        decode=readers.decode_raw_text)
+    runner.await_all([q])
+    got = sorted((r.source_ip, r["count"]) for r in spark.table("raw_text_bf_test").collect())
+    assert got == [("192.168.1.0", 6)]  # 4 lines from .1 stay below the threshold (>= 5)
