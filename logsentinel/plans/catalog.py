@@ -39,7 +39,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MEMO: dict[tuple, str] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def materialized(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None]) -> str:
@@ -410,3 +410,19 @@ def q_alert_sink_roundtrip(spark, sf_dir):
     root = materialized(spark, sf_dir, "stream_run", build)
     current = serve.current_alerts(readers.read_alerts(spark, f"{root}/alerts"))
     return current.drop("batch_id")
+
+
+@register("threat_store_sink_roundtrip")
+def q_threat_store_sink_roundtrip(spark, sf_dir):
+    """K4: the stored-threat projection streamed into its Parquet sink and
+    read back (``stored_at`` is a clock reading and is left out)."""
+    src = runner.text_file_source(spark, stored_json_stream(spark, sf_dir))
+
+    def build(root: str) -> None:
+        q = runner.start_threat_store(
+            src, f"{root}/store", f"{root}/checkpoint", trigger={"availableNow": True}
+        )
+        runner.await_all([q])
+
+    root = materialized(spark, sf_dir, "threat_store_run", build)
+    return spark.read.parquet(f"{root}/store").drop("stored_at")

@@ -262,6 +262,7 @@ def oracles() -> dict[str, str]:
         'SELECT source_ip AS ip_source, "timestamp" AS last_seen, threat_label AS attack_type '
         "FROM logs WHERE threat_label IN ('malicious', 'suspicious')"
     )
+    o["threat_store_sink_roundtrip"] = o["threat_store"]
     o["all_alerts"] = with_(ALERTS) + f"SELECT {ALERT_COLS} FROM alerts"
 
     # ---- sources and sinks --------------------------------------------------

@@ -5,6 +5,7 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from logsentinel.operators import detect, serve
@@ -159,3 +160,27 @@ def test_raw_text_brute_force_on_processing_time_complete_mode(spark, tmp_path):
     runner.await_all([q])
     got = sorted((r.source_ip, r["count"]) for r in spark.table("raw_text_bf_test").collect())
     assert got == [("192.168.1.0", 6)]  # 4 lines from .1 stay below the threshold (>= 5)
+
+
+@pytest.mark.parametrize(
+    "name,detector,mode",
+    [
+        ("d3", lambda df: detect.brute_force_tumbling(df, detected_at=F.lit(None).cast("timestamp")), "update"),
+        ("d5", detect.signature_match, "append"),
+        ("d7", detect.volume_tumbling, "update"),
+    ],
+)
+def test_other_detectors_stream_equals_batch(spark, tmp_path, name, detector, mode):
+    logs = adapters.load_log_view(spark, SF_SMALL)
+    src_dir = str(tmp_path / "in")
+    _write_ordered_files(src_dir, [[r.value for r in adapters.to_json_lines(logs).collect()]])
+    table = f"stream_eq_{name}"
+    q = runner.start_detector(runner.text_file_source(spark, src_dir), detector, str(tmp_path / "ck"),
+                              mode, memory_table=table, trigger={"availableNow": True})
+    runner.await_all([q])
+    streamed = spark.table(table).drop("detected_at")
+    batch_out = detector(logs).drop("detected_at")
+    cols = [c for c in batch_out.columns]
+    as_text = [F.col(c).cast("string").alias(c) for c in cols]
+    assert sorted(map(tuple, streamed.select(*as_text).collect())) == sorted(
+        map(tuple, batch_out.select(*as_text).collect()))
