@@ -38,3 +38,17 @@ def test_profile_job_prints_sections(spark, tmp_path, capsys):
     for section in ("# shape", "# types", "# missing values", "# duplicates", "# sample"):
         assert section in text
     assert '"row_count":1000' in text
+
+
+def test_stream_job_available_now(spark, tmp_path):
+    from logsentinel.operators import detect, serve
+    from logsentinel.sources import readers
+
+    logs = adapters.load_log_view(spark, SF_SMALL)
+    src = str(tmp_path / "in")
+    adapters.to_json_lines(logs).write.text(src)
+    alerts, ckpt = str(tmp_path / "alerts"), str(tmp_path / "ckpt")
+    assert jobs.main(["stream", "--json-dir", src, "--alerts", alerts, "--checkpoint", ckpt,
+                      "--available-now"]) == 0
+    current = serve.current_alerts(readers.read_alerts(spark, alerts))
+    assert current.count() == detect.all_alerts(logs).count()
