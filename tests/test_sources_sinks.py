@@ -108,3 +108,26 @@ def test_union_sink_replay_replaces_only_its_batch(spark, tmp_path):
     write(df.filter(F.col("label") == "volume"), 1)  # replay
     got = sorted((r.label, r.batch_id, r.source_ip) for r in readers.read_alerts(spark, out).collect())
     assert got == [("brute_force", 0, "a"), ("volume", 0, "b"), ("volume", 1, "b")]
+
+
+def test_named_result_table_round_trip(spark, tmp_path):
+    db = f"ls_test_{os.getpid()}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path / 'wh'}'")
+    try:
+        sinks.save_result_table(spark.range(4).withColumnRenamed("id", "n"), f"{db}.top_malicious_ips")
+        sinks.save_result_table(spark.range(2).withColumnRenamed("id", "n"), f"{db}.top_malicious_ips")
+        assert spark.table(f"{db}.top_malicious_ips").count() == 2
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_preview_and_console_sinks(spark, tmp_path, capsys):
+    sinks.preview(spark.createDataFrame([("a" * 40,)], "s string"), 5)
+    assert "a" * 40 in capsys.readouterr().out  # not truncated
+    src = tmp_path / "in"
+    os.makedirs(src)
+    (src / "x.txt").write_text("hello\n")
+    q = sinks.start_console(spark.readStream.text(str(src)), "append", {"availableNow": True},
+                            str(tmp_path / "ck"))
+    q.awaitTermination()
+    assert q.exception() is None
