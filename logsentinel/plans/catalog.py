@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from logsentinel.operators import batch, detect, profile, serve
 from logsentinel.schema import RESULT_TABLES
-from logsentinel.session import shared_path
+from logsentinel.session import app_id, shared_path
 from logsentinel.sources import adapters, readers, sinks
 from logsentinel.streaming import runner
 
@@ -44,7 +44,7 @@ _LOCK = threading.RLock()
 
 def materialized(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None]) -> str:
     """Path of an intermediate written once per (application, sf_dir, kind)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind)
+    key = (app_id(spark), os.path.abspath(sf_dir), kind)
     with _LOCK:
         path = _MEMO.get(key)
         if path is None:

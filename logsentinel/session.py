@@ -39,6 +39,15 @@ def build_session(
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id from the session conf (works for classic and
+    Connect sessions alike)."""
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:  # conf not exposed: fall back to the context
+        return spark.sparkContext.applicationId
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -48,16 +57,22 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on this client
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="logsentinel-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared folder, namespaced by application id."""
-    segs = [shared_root(spark), "logsentinel", spark.sparkContext.applicationId]
+    segs = [shared_root(spark), "logsentinel", app_id(spark)]
     segs.extend(parts)
     if unique:
         segs.append(uuid.uuid4().hex[:12])
