@@ -60,6 +60,8 @@ def run_profile(spark: SparkSession, csv_path: str) -> None:
 def run_stream(args) -> None:
     spark = SparkSession.builder.getOrCreate()
     if args.kafka:
+        if not args.topic:
+            raise SystemExit("--topic is required with --kafka")
         src = runner.kafka_source(spark, args.kafka, args.topic, args.starting_offsets)
     else:
         src = runner.text_file_source(spark, args.json_dir, args.max_files_per_trigger)
@@ -118,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
     pr.add_argument("--csv", required=True)
     st = sub.add_parser("stream")
     st.add_argument("--kafka")
-    st.add_argument("--topic", default="cybersecurity-logs")
+    st.add_argument("--topic")
     st.add_argument("--starting-offsets", default="latest")
     st.add_argument("--json-dir")
     st.add_argument("--max-files-per-trigger", type=int)
