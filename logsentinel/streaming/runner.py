@@ -175,12 +175,19 @@ def start_threat_store(
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
-    """Wait for bounded (``availableNow``) queries; re-raise a failure."""
-    for q in queries:
-        q.awaitTermination()
-        exc = q.exception()
-        if exc is not None:
-            raise RuntimeError(f"streaming query {q.id} failed: {exc}")
+    """Wait for bounded (``availableNow``) queries; on a failure stop the
+    others and re-raise."""
+    try:
+        for q in queries:
+            q.awaitTermination()
+            exc = q.exception()
+            if exc is not None:
+                raise RuntimeError(f"streaming query {q.id} failed: {exc}")
+    except BaseException:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        raise
 
 
 def await_any(spark: SparkSession) -> None:

@@ -184,3 +184,21 @@ def test_other_detectors_stream_equals_batch(spark, tmp_path, name, detector, mo
     as_text = [F.col(c).cast("string").alias(c) for c in cols]
     assert sorted(map(tuple, streamed.select(*as_text).collect())) == sorted(
         map(tuple, batch_out.select(*as_text).collect()))
+
+
+def test_await_all_stops_the_others_on_failure(spark, tmp_path):
+    src_dir = str(tmp_path / "in")
+    _write_ordered_files(src_dir, [[_event(i, "10.0.0.5") for i in range(3)]])
+
+    def broken(df):
+        return df.select(F.expr("raise_error('boom')").alias("x"))
+
+    slow = runner.start_detector(runner.text_file_source(spark, src_dir), detect.signature_match,
+                                 str(tmp_path / "ck1"), "append", memory_table="await_slow",
+                                 trigger={"processingTime": "1 hour"})
+    bad = runner.start_detector(runner.text_file_source(spark, src_dir), broken,
+                                str(tmp_path / "ck2"), "append", memory_table="await_bad",
+                                trigger={"availableNow": True})
+    with pytest.raises(Exception):
+        runner.await_all([bad, slow])
+    assert not slow.isActive and not bad.isActive
