@@ -62,7 +62,8 @@ def run_stream(args) -> None:
     if args.kafka:
         if not args.topic:
             raise SystemExit("--topic is required with --kafka")
-        src = runner.kafka_source(spark, args.kafka, args.topic, args.starting_offsets)
+        src = runner.kafka_source(spark, args.kafka, args.topic, args.starting_offsets,
+                                  args.max_offsets_per_trigger)
     else:
         src = runner.text_file_source(spark, args.json_dir, args.max_files_per_trigger)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
@@ -122,6 +123,7 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--kafka")
     st.add_argument("--topic")
     st.add_argument("--starting-offsets", default="latest")
+    st.add_argument("--max-offsets-per-trigger", type=int)
     st.add_argument("--json-dir")
     st.add_argument("--max-files-per-trigger", type=int)
     st.add_argument("--alerts", required=True)

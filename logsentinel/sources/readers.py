@@ -90,18 +90,22 @@ def read_kafka_stream(
     topic: str,
     starting_offsets: str = "latest",
     fail_on_data_loss: bool = False,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Kafka topic as a stream (needs the spark-sql-kafka package on the
     classpath).  Every detector takes the decoded frame, so any streaming
-    source with a ``value`` column works the same way."""
-    return (
+    source with a ``value`` column works the same way.
+    ``max_offsets_per_trigger`` bounds each micro-batch on a busy topic."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
         .option("failOnDataLoss", str(fail_on_data_loss).lower())
-        .load()
     )
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return reader.load()
 
 
 def decode_log_json(

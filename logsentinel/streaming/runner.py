@@ -63,8 +63,17 @@ def table_file_source(
     return make
 
 
-def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str, starting_offsets: str = "latest") -> SourceFactory:
-    return lambda: readers.read_kafka_stream(spark, bootstrap_servers, topic, starting_offsets)
+def kafka_source(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = None,
+) -> SourceFactory:
+    return lambda: readers.read_kafka_stream(
+        spark, bootstrap_servers, topic, starting_offsets,
+        max_offsets_per_trigger=max_offsets_per_trigger,
+    )
 
 
 def _writer(df: DataFrame, checkpoint: str, output_mode: str, trigger: dict | None, name: str | None):
