@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -67,6 +68,30 @@ def alert_batch_writer(out_dir: str, label: str) -> Callable[[DataFrame, int], N
     return write_batch
 
 
+def labelled_alert_writer(out_dir: str) -> Callable[[DataFrame, int], None]:
+    """K3 for a frame holding several detectors' alerts (a ``label``
+    column): the same ``label=…/batch_id=…`` layout as
+    ``alert_batch_writer``, written in one job with dynamic partition
+    overwrite, so a replayed batch replaces only its own folders."""
+
+    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            if batch_df.isEmpty():
+                return
+            (
+                batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("label", "batch_id")
+                .json(out_dir)
+            )
+        finally:
+            batch_df.unpersist()
+
+    return write_batch
+
+
 def start_threat_store(
     stream_df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

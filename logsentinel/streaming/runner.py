@@ -112,7 +112,7 @@ def start_alert_queries(
             combined = part if combined is None else combined.unionByName(part)
         return [
             _writer(combined, f"{checkpoint_root}/all", "update", trigger, None)
-            .foreachBatch(_partitioned_alert_writer(out_dir))
+            .foreachBatch(sinks.labelled_alert_writer(out_dir))
             .start()
         ]
     queries = []
@@ -127,29 +127,6 @@ def start_alert_queries(
     return queries
 
 
-def _partitioned_alert_writer(out_dir: str):
-    """Union-mode sink: the same ``label=…/batch_id=…`` layout as the
-    per-query sink, written with dynamic partition overwrite so a replayed
-    batch replaces only its own folders."""
-
-    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
-        try:
-            if batch_df.isEmpty():
-                return
-            (
-                batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("label", "batch_id")
-                .json(out_dir)
-            )
-        finally:
-            batch_df.unpersist()
-
-    return write_batch
-
-
 def start_detector(
     source: SourceFactory,
     detector: Callable[[DataFrame], DataFrame],

@@ -97,10 +97,8 @@ def test_alert_scan_prunes_label_and_batch_folders(spark, tmp_path):
 def test_union_sink_replay_replaces_only_its_batch(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    from logsentinel.streaming.runner import _partitioned_alert_writer
-
     out = str(tmp_path / "sink")
-    write = _partitioned_alert_writer(out)
+    write = sinks.labelled_alert_writer(out)
     df = spark.createDataFrame([("a", 1, "brute_force"), ("b", 2, "volume")],
                                "source_ip string, count bigint, label string")
     write(df, 0)
