@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -265,9 +266,11 @@ def result_table_stats(spark: SparkSession, tables: Mapping[str, str], alert_dir
         df, _err = readers.read_result_table(spark, path)
         parts.append(_availability(spark, name, df))
     if alert_dir is not None:
-        df, _err = readers.read_result_table(spark, alert_dir, fmt="json")
-        parts.append(_availability(spark, "brute_force_alerts",
-                                   readers.read_alerts(spark, alert_dir) if df is not None else None))
+        try:
+            alerts = readers.read_alerts(spark, alert_dir, missing_ok=False)
+        except AnalysisException:
+            alerts = None
+        parts.append(_availability(spark, "brute_force_alerts", alerts))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

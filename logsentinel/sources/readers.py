@@ -30,17 +30,14 @@ def read_result_table(
     which tables are absent and still answer from the others.
     """
     try:
-        reader = spark.read.format(fmt)
-        if fmt == "json":
-            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-        df = reader.load(path)
+        df = spark.read.format(fmt).load(path)
         df.schema  # resolve now: a missing path fails here, not later
         return df, None
     except AnalysisException as exc:  # PATH_NOT_FOUND, UNABLE_TO_INFER_SCHEMA
         return None, f"missing result table at {path}: {exc.getErrorClass() or exc}"
 
 
-def read_alerts(spark: SparkSession, directory: str) -> DataFrame:
+def read_alerts(spark: SparkSession, directory: str, missing_ok: bool = True) -> DataFrame:
     """Every alert line under ``directory``.
 
     Two layouts are read: the sink's partitioned ``label=…/batch_id=…``
@@ -49,7 +46,9 @@ def read_alerts(spark: SparkSession, directory: str) -> DataFrame:
     ``{label}_batch_{id}.json`` files, whose label and batch id come from the
     file name.  Blank lines are skipped; a line that is not JSON is dropped;
     a wrong-typed field is null and the rest of its record kept.  A missing
-    or empty folder gives an empty frame with the same columns.
+    or empty folder gives an empty frame with the same columns (or raises
+    when ``missing_ok`` is false).  The schema is declared, so resolving the
+    folder lists files but reads none.
     """
     try:
         raw = (
@@ -61,6 +60,8 @@ def read_alerts(spark: SparkSession, directory: str) -> DataFrame:
         )
         raw.schema
     except AnalysisException:
+        if not missing_ok:
+            raise
         empty = spark.createDataFrame([], ALERT_WITH_CORRUPT)
         return empty.select(
             *ALERT_COLUMNS,
