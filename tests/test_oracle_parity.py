@@ -18,6 +18,7 @@ def con():
 def test_every_query_has_an_oracle_or_is_documented():
     missing = set(E.queries()) - set(E.oracle_sql())
     assert missing == {"profile_types"}, missing
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
