@@ -41,12 +41,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int, sized: DataFrame | None = N
 def ip_reputation(top: DataFrame) -> DataFrame:
     """V1 + V2: reputation score and threat level for every TOP_IP row.
 
-    min/max of ``threat_count`` are taken over the whole table as scalar
-    subqueries (Catalyst merges them into one aggregate)."""
-    lo = top.select(F.min("threat_count")).scalar()
-    hi = top.select(F.max("threat_count")).scalar()
-    scored = top.withColumn(
-        "reputation_score", reputation_score("threat_count", "malicious_count", lo, hi)
+    min/max of ``threat_count`` over the whole table are one struct-valued
+    scalar subquery, projected once as a column so that the score
+    expression reads its fields instead of re-running the subquery."""
+    stats = top.select(
+        F.struct(F.min("threat_count").alias("lo"), F.max("threat_count").alias("hi"))
+    ).scalar()
+    scored = (
+        top.withColumn("_stats", stats)
+        .withColumn(
+            "reputation_score",
+            reputation_score("threat_count", "malicious_count", "_stats.lo", "_stats.hi"),
+        )
+        .drop("_stats")
     )
     return scored.withColumn("threat_level", threat_level("reputation_score"))
 
@@ -227,34 +234,50 @@ def _one_row(base: DataFrame | None) -> DataFrame:
     return base.agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def _scalar_or_zero(df: DataFrame | None, agg: Column) -> Column:
+def _table_stats(df: DataFrame | None, aggs: dict[str, Column]) -> Column:
+    """All statistics needed from one table as one struct-valued scalar
+    subquery (a missing table gives nulls)."""
     if df is None:
-        return F.lit(0).cast("bigint")
-    return F.coalesce(df.select(agg).scalar(), F.lit(0).cast("bigint"))
+        return F.struct(*[F.lit(None).cast("bigint").alias(k) for k in aggs])
+    return df.select(F.struct(*[a.alias(k) for k, a in aggs.items()])).scalar()
 
 
-def _label_events(bytes_tbl: DataFrame | None, label: str) -> Column:
-    return _scalar_or_zero(
-        bytes_tbl, F.sum(F.when(F.col("threat_label") == label, F.col("event_count")))
-    )
+def _zero(col: str) -> Column:
+    return F.coalesce(F.col(col), F.lit(0).cast("bigint"))
+
+
+def _attack_aggs() -> dict[str, Column]:
+    return {
+        t: F.sum(F.when(F.col("attack_type") == t, F.col("count")))
+        for t in (rules.SQLI, rules.XSS)
+    }
 
 
-def _attack_total(totals: DataFrame | None, attack: str) -> Column:
-    return _scalar_or_zero(totals, F.sum(F.when(F.col("attack_type") == attack, F.col("count"))))
+def _label_aggs() -> dict[str, Column]:
+    return {
+        lab: F.sum(F.when(F.col("threat_label") == lab, F.col("event_count")))
+        for lab in (rules.MALICIOUS, rules.SUSPICIOUS, rules.BENIGN)
+    }
 
 
 def threat_kpis(
     totals: DataFrame | None, bytes_tbl: DataFrame | None, top: DataFrame | None
 ) -> DataFrame:
-    """One flat row of scalar KPIs; a missing table reads as 0."""
+    """One flat row of scalar KPIs; a missing table reads as 0.  One
+    scalar subquery per table, each projected once."""
     base = next((d for d in (totals, bytes_tbl, top) if d is not None), None)
-    return _one_row(base).select(
-        _attack_total(totals, rules.SQLI).alias("sqli_count"),
-        _attack_total(totals, rules.XSS).alias("xss_count"),
-        _label_events(bytes_tbl, rules.MALICIOUS).alias("malicious_events"),
-        _label_events(bytes_tbl, rules.SUSPICIOUS).alias("suspicious_events"),
-        _label_events(bytes_tbl, rules.BENIGN).alias("benign_events"),
-        _scalar_or_zero(top, F.count(F.lit(1))).alias("top_ip_count"),
+    stats = _one_row(base).select(
+        _table_stats(totals, _attack_aggs()).alias("_t"),
+        _table_stats(bytes_tbl, _label_aggs()).alias("_b"),
+        _table_stats(top, {"n": F.count(F.lit(1))}).alias("_top"),
+    )
+    return stats.select(
+        _zero(f"_t.{rules.SQLI}").alias("sqli_count"),
+        _zero(f"_t.{rules.XSS}").alias("xss_count"),
+        _zero(f"_b.{rules.MALICIOUS}").alias("malicious_events"),
+        _zero(f"_b.{rules.SUSPICIOUS}").alias("suspicious_events"),
+        _zero(f"_b.{rules.BENIGN}").alias("benign_events"),
+        _zero("_top.n").alias("top_ip_count"),
     )
 
 
@@ -299,25 +322,32 @@ def dashboard_panels(
 ) -> DataFrame:
     """The stat-panel expressions as one row: ``$count`` of the top
     list, ``$sum(count)`` of SQLi/XSS, events by label, and the summed alert
-    ``count`` overall and per alert type."""
+    ``count`` overall and per alert type.  One scalar subquery per table."""
     base = next((d for d in (totals, bytes_tbl, top, alerts) if d is not None), None)
-
-    def alert_sum(cond: Column | None) -> Column:
-        val = F.col("count") if cond is None else F.when(cond, F.col("count"))
-        return _scalar_or_zero(alerts, F.sum(val))
-
     at = F.col("alert_type")
-    return _one_row(base).select(
-        _scalar_or_zero(top, F.count(F.lit(1))).alias("top_ip_count"),
-        _attack_total(totals, rules.SQLI).alias("sqli_detections"),
-        _attack_total(totals, rules.XSS).alias("xss_detections"),
-        _label_events(bytes_tbl, rules.MALICIOUS).alias("malicious_events"),
-        _label_events(bytes_tbl, rules.BENIGN).alias("benign_events"),
-        _label_events(bytes_tbl, rules.SUSPICIOUS).alias("suspicious_events"),
-        alert_sum(None).alias("alert_event_total"),
-        alert_sum(at == rules.BRUTE_FORCE).alias("brute_force_alert_events"),
-        alert_sum(at == rules.XSS).alias("xss_alert_events"),
-        alert_sum(at == rules.SQLI).alias("sqli_alert_events"),
+    alert_aggs = {
+        "total": F.sum("count"),
+        rules.BRUTE_FORCE: F.sum(F.when(at == rules.BRUTE_FORCE, F.col("count"))),
+        rules.XSS: F.sum(F.when(at == rules.XSS, F.col("count"))),
+        rules.SQLI: F.sum(F.when(at == rules.SQLI, F.col("count"))),
+    }
+    stats = _one_row(base).select(
+        _table_stats(top, {"n": F.count(F.lit(1))}).alias("_top"),
+        _table_stats(totals, _attack_aggs()).alias("_t"),
+        _table_stats(bytes_tbl, _label_aggs()).alias("_b"),
+        _table_stats(alerts, alert_aggs).alias("_a"),
+    )
+    return stats.select(
+        _zero("_top.n").alias("top_ip_count"),
+        _zero(f"_t.{rules.SQLI}").alias("sqli_detections"),
+        _zero(f"_t.{rules.XSS}").alias("xss_detections"),
+        _zero(f"_b.{rules.MALICIOUS}").alias("malicious_events"),
+        _zero(f"_b.{rules.BENIGN}").alias("benign_events"),
+        _zero(f"_b.{rules.SUSPICIOUS}").alias("suspicious_events"),
+        _zero("_a.total").alias("alert_event_total"),
+        _zero(f"_a.{rules.BRUTE_FORCE}").alias("brute_force_alert_events"),
+        _zero(f"_a.{rules.XSS}").alias("xss_alert_events"),
+        _zero(f"_a.{rules.SQLI}").alias("sqli_alert_events"),
     )
 
 

@@ -46,3 +46,17 @@ def test_sliding_window_filters_before_expand(spark):
 def test_reputation_uses_scalar_subqueries_not_joins(spark):
     plan = _plan(E.queries()["ip_reputation"](spark, SF_SMALL))
     assert "Subquery" in plan and "Join" not in plan
+
+
+def test_scalar_statistics_run_once_per_table(spark):
+    from tools.plan_report import summarize
+
+    def run(name):
+        df = E.queries()[name](spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        return summarize(df)
+
+    rep = run("ip_reputation")  # one min/max subquery + the table itself
+    assert rep["names"]["_scan"] == 2 and rep["shuffles"]["single"] == 1
+    kpis = run("threat_kpis")  # three tables + the one-row base
+    assert kpis["names"]["_scan"] == 4
