@@ -29,10 +29,14 @@ from logsentinel.streaming import runner
 
 
 def _print(df: DataFrame, title: str | None = None) -> None:
+    """JSON lines, one partition at a time, then the row count."""
     if title:
         print(f"# {title}")
+    n = 0
     for line in df.toJSON().toLocalIterator():
         print(line)
+        n += 1
+    print(f"# count: {n}")
 
 
 def run_batch(spark: SparkSession, logs_path: str, out: str, n: int = 10) -> dict[str, str]:

@@ -52,3 +52,22 @@ def test_stream_job_available_now(spark, tmp_path):
                       "--available-now"]) == 0
     current = serve.current_alerts(readers.read_alerts(spark, alerts))
     assert current.count() == detect.all_alerts(logs).count()
+
+
+def test_every_serve_route_runs(spark, tmp_path, capsys):
+    from logsentinel.operators import detect
+    from logsentinel.sources import sinks
+
+    lv = adapters.load_log_view(spark, SF_SMALL)
+    clean = lv.withColumn("timestamp", F.col("event_ts")).drop("event_ts", "event_id")
+    logs_path = str(tmp_path / "clean")
+    clean.write.parquet(logs_path)
+    out = str(tmp_path / "results")
+    jobs.run_batch(spark, logs_path, out)
+    alerts = str(tmp_path / "alerts")
+    sinks.labelled_alert_writer(alerts)(detect.all_alerts(lv, with_label=True), 0)
+    for route in ("top", "ip", "port-scans", "bytes", "sqli-xss", "stats", "kpis", "streaming",
+                  "streaming-stats"):
+        capsys.readouterr()
+        jobs.run_serve(spark, out, alerts, route, ["10.0.0.1"])
+        assert capsys.readouterr().out.strip(), route
