@@ -129,3 +129,14 @@ def test_preview_and_console_sinks(spark, tmp_path, capsys):
                             str(tmp_path / "ck"))
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_with_event_time_parses_text_and_casts_timestamps(spark):
+    import datetime as dt
+
+    text = spark.createDataFrame([("2024-01-01T00:00:05",), ("bad",)], "timestamp string")
+    out = [r.event_ts for r in readers.with_event_time(text, watermark=None).collect()]
+    assert out[0] is not None and out[1] is None
+    ntz = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 5),)], "timestamp timestamp_ntz")
+    casted = readers.with_event_time(ntz, watermark=None)
+    assert dict(casted.dtypes)["event_ts"] == "timestamp"
