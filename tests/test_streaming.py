@@ -202,3 +202,23 @@ def test_await_all_stops_the_others_on_failure(spark, tmp_path):
     with pytest.raises(Exception):
         runner.await_all([bad, slow])
     assert not slow.isActive and not bad.isActive
+
+
+def test_stream_equals_batch_sf001_ten_batches(spark, tmp_path):
+    from tests.conftest import SF_MID
+
+    logs = adapters.load_log_view(spark, SF_MID)
+    lines = [r.value for r in adapters.to_json_lines(logs.orderBy("event_id")).collect()]
+    chunk = len(lines) // 10
+    src_dir = str(tmp_path / "in")
+    _write_ordered_files(src_dir, [lines[i:i + chunk] for i in range(0, len(lines), chunk)])
+    out_dir = str(tmp_path / "alerts")
+    qs = runner.start_alert_queries(
+        runner.text_file_source(spark, src_dir, max_files_per_trigger=1), out_dir,
+        str(tmp_path / "ckpt"), trigger={"availableNow": True})
+    runner.await_all(qs)
+    emitted = readers.read_alerts(spark, out_dir)
+    current = serve.current_alerts(emitted)
+    assert emitted.select("batch_id").distinct().count() >= 10
+    assert emitted.count() > current.count()
+    assert _key_set(current) == _key_set(detect.all_alerts(logs, with_label=True))
