@@ -176,6 +176,13 @@ def await_all(queries: list[StreamingQuery]) -> None:
         raise
 
 
-def await_any(spark: SparkSession) -> None:
-    """Block until any running query ends (the long-running service mode)."""
-    spark.streams.awaitAnyTermination()
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
+    """Block until any running query ends (the long-running service mode).
+
+    Queries that ended before the call do not count.  Returns whether one
+    ended within ``timeout_s`` (always True without a timeout)."""
+    spark.streams.resetTerminated()
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+        return True
+    return bool(spark.streams.awaitAnyTermination(max(1, int(timeout_s))))

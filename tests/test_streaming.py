@@ -222,3 +222,20 @@ def test_stream_equals_batch_sf001_ten_batches(spark, tmp_path):
     assert emitted.select("batch_id").distinct().count() >= 10
     assert emitted.count() > current.count()
     assert _key_set(current) == _key_set(detect.all_alerts(logs, with_label=True))
+
+
+def test_await_any_returns_when_one_detector_ends(spark, tmp_path):
+    src_dir = str(tmp_path / "in")
+    _write_ordered_files(src_dir, [[_event(i, "10.0.0.7") for i in range(6)]])
+    long_running = runner.start_detector(
+        runner.text_file_source(spark, src_dir), detect.signature_match, str(tmp_path / "ck1"),
+        "append", memory_table="await_any_long", trigger={"processingTime": "1 hour"})
+    try:
+        assert runner.await_any(spark, timeout_s=2) is False  # nothing has ended yet
+        short = runner.start_detector(
+            runner.text_file_source(spark, src_dir), detect.signature_match, str(tmp_path / "ck2"),
+            "append", memory_table="await_any_short", trigger={"availableNow": True})
+        assert runner.await_any(spark, timeout_s=120) is True
+        assert not short.isActive and long_running.isActive
+    finally:
+        long_running.stop()
