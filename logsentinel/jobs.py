@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logsentinel.operators import batch, profile, serve
 from logsentinel.schema import RESULT_TABLES
+from logsentinel.session import shared_path
 from logsentinel.sources import readers, sinks
 from logsentinel.streaming import runner
 
@@ -40,13 +41,20 @@ def _print(df: DataFrame, title: str | None = None) -> None:
 
 
 def run_batch(spark: SparkSession, logs_path: str, out: str, n: int = 10) -> dict[str, str]:
+    """The batch layer: two scans of the log table.  B1, B3 and B4 come
+    from one grouping-sets aggregate, written once to the shared folder
+    (which also cuts its lineage) and then split; B2 is its own pass."""
     logs = readers.read_logs(spark, logs_path)
+    summary_path = sinks.write_result(
+        batch.batch_summary(logs), shared_path(spark, "batch_summary", unique=True)
+    )
+    summary = spark.read.parquet(summary_path)
     return sinks.write_results(
         {
-            "top_malicious_ips": batch.top_malicious_ips(logs, n),
+            "top_malicious_ips": batch.top_malicious_ips_from_summary(summary, n),
             "port_scan_detection": batch.port_scan(logs, time_col="timestamp"),
-            "sqli_xss_detection": batch.sqli_xss_totals(logs),
-            "bytes_volume_by_threat_label": batch.bytes_by_threat_label(logs),
+            "sqli_xss_detection": batch.sqli_xss_totals_from_summary(summary),
+            "bytes_volume_by_threat_label": batch.bytes_by_threat_label_from_summary(summary),
         },
         out,
     )

@@ -122,3 +122,88 @@ def bytes_by_threat_label(logs: DataFrame, fold_case: bool = True) -> DataFrame:
         )
         .orderBy(F.desc("total_bytes"))
     )
+
+
+# ---------------------------------------------------------------------------
+# B1 + B3 + B4 in one pass, for when the batch layer produces all results
+# ---------------------------------------------------------------------------
+
+BY_LABEL, BY_IP, TOTAL = 1, 2, 3  # grouping_id() of the three grouping sets
+
+
+def batch_summary(
+    logs: DataFrame,
+    fold_case: bool = True,
+    sqli_pattern: str = rules.BATCH_SQLI_PATTERN,
+    xss_pattern: str = rules.BATCH_XSS_PATTERN,
+) -> DataFrame:
+    """One scan and one shuffle for B1, B3 and B4: an aggregate over the
+    grouping sets (label), (source_ip) and () carrying every statistic the
+    three need.  The path patterns are evaluated once per row, before the
+    grouping-set expansion.  The result has one row per label, per source IP
+    and one total row (``grouping`` tells them apart); derive the results
+    from it with the ``*_from_summary`` functions after writing it once."""
+    lab = fold("threat_label", fold_case)
+    path = F.lower(F.col("request_path"))
+    prepared = logs.select(
+        lab.alias("threat_label"),
+        "source_ip",
+        "bytes_transferred",
+        path.rlike(sqli_pattern).alias("_sqli"),
+        path.rlike(xss_pattern).alias("_xss"),
+    )
+    label = F.col("threat_label")
+    threat = label.isin(rules.MALICIOUS, rules.SUSPICIOUS)
+    return prepared.groupingSets(
+        [["threat_label"], ["source_ip"], []], "threat_label", "source_ip"
+    ).agg(
+        F.grouping_id().alias("grouping"),
+        F.count(F.lit(1)).alias("event_count"),
+        F.sum("bytes_transferred").alias("total_bytes"),
+        F.avg("bytes_transferred").alias("avg_bytes"),
+        F.min("bytes_transferred").alias("min_bytes"),
+        F.max("bytes_transferred").alias("max_bytes"),
+        F.count_if(threat).alias("threat_count"),
+        F.count_if(label == rules.MALICIOUS).alias("malicious_count"),
+        F.count_if(label == rules.SUSPICIOUS).alias("suspicious_count"),
+        F.sum(F.when(threat, F.col("bytes_transferred"))).alias("threat_bytes"),
+        F.count_if(F.col("_sqli")).alias("sqli"),
+        F.count_if(F.col("_xss")).alias("xss"),
+    )
+
+
+def top_malicious_ips_from_summary(summary: DataFrame, n: int = 10) -> DataFrame:
+    """B1 from ``batch_summary``: same rows as ``top_malicious_ips``."""
+    return (
+        summary.filter((F.col("grouping") == BY_IP) & (F.col("threat_count") > 0))
+        .select(
+            "source_ip",
+            "threat_count",
+            "malicious_count",
+            "suspicious_count",
+            F.col("threat_bytes").alias("total_bytes"),
+        )
+        .orderBy(F.desc("threat_count"), F.asc("source_ip"))
+        .limit(n)
+    )
+
+
+def sqli_xss_totals_from_summary(summary: DataFrame) -> DataFrame:
+    """B3 from ``batch_summary``: always two rows (zeros on empty input,
+    where a grouped aggregate has no total row)."""
+    total = summary.filter(F.col("grouping") == TOTAL).agg(
+        F.coalesce(F.sum("sqli"), F.lit(0)).cast("bigint").alias("sqli"),
+        F.coalesce(F.sum("xss"), F.lit(0)).cast("bigint").alias("xss"),
+    )
+    return total.select(
+        F.expr(f"stack(2, '{rules.SQLI}', sqli, '{rules.XSS}', xss) AS (attack_type, count)")
+    ).orderBy(F.desc("count"))
+
+
+def bytes_by_threat_label_from_summary(summary: DataFrame) -> DataFrame:
+    """B4 from ``batch_summary``: same rows as ``bytes_by_threat_label``."""
+    return (
+        summary.filter(F.col("grouping") == BY_LABEL)
+        .select("threat_label", "event_count", "total_bytes", "avg_bytes", "min_bytes", "max_bytes")
+        .orderBy(F.desc("total_bytes"))
+    )

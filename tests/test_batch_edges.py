@@ -65,3 +65,35 @@ def test_normalize_bad_and_null_timestamps(spark):
     out = [r.timestamp for r in profile.normalize_logs(df).collect()]
     assert out[0].microsecond == 123456 and out[1].minute == 7
     assert out[2] is None and out[3] is None
+
+
+def test_one_pass_summary_gives_the_same_results(spark, tmp_path):
+    from tests.conftest import SF_SMALL
+    from logsentinel.sources import adapters
+
+    lv = adapters.load_log_view(spark, SF_SMALL)
+    p = str(tmp_path / "summary")
+    batch.batch_summary(lv).write.parquet(p)
+    s = spark.read.parquet(p)
+    for standalone, derived in (
+        (batch.top_malicious_ips(lv), batch.top_malicious_ips_from_summary(s)),
+        (batch.sqli_xss_totals(lv), batch.sqli_xss_totals_from_summary(s)),
+        (batch.bytes_by_threat_label(lv), batch.bytes_by_threat_label_from_summary(s)),
+    ):
+        assert derived.dtypes == standalone.dtypes
+        assert sorted(map(tuple, derived.collect())) == sorted(map(tuple, standalone.collect()))
+
+
+def test_one_pass_summary_edges(spark):
+    rows = [dict(source_ip="a", threat_label="Malicious", bytes_transferred=5, request_path="/x?<script>"),
+            dict(source_ip="a", threat_label="benign", bytes_transferred=7),
+            dict(source_ip=None, threat_label=None, bytes_transferred=None)]
+    s = batch.batch_summary(log_rows(spark, rows))
+    top = batch.top_malicious_ips_from_summary(s).collect()
+    assert [(r.source_ip, r.threat_count, r.total_bytes) for r in top] == [("a", 1, 5)]
+    labels = {r.threat_label: r.event_count for r in batch.bytes_by_threat_label_from_summary(s).collect()}
+    assert labels == {"malicious": 1, "benign": 1, None: 1}
+    assert {r.attack_type: r["count"] for r in batch.sqli_xss_totals_from_summary(s).collect()} == {
+        "SQLi": 0, "XSS": 1}
+    empty = batch.sqli_xss_totals_from_summary(batch.batch_summary(log_rows(spark, rows).limit(0)))
+    assert sorted((r.attack_type, r["count"]) for r in empty.collect()) == [("SQLi", 0), ("XSS", 0)]

@@ -60,3 +60,14 @@ def test_scalar_statistics_run_once_per_table(spark):
     assert rep["names"]["_scan"] == 2 and rep["shuffles"]["single"] == 1
     kpis = run("threat_kpis")  # three tables + the one-row base
     assert kpis["names"]["_scan"] == 4
+
+
+def test_batch_summary_is_one_scan_one_shuffle(spark):
+    from logsentinel.operators import batch
+    from logsentinel.sources import adapters
+    from tools.plan_report import summarize
+
+    df = batch.batch_summary(adapters.load_log_view(spark, SF_SMALL))
+    df.write.format("noop").mode("overwrite").save()
+    s = summarize(df)
+    assert s["names"]["_scan"] == 1 and s["shuffles"]["hash"] == 1 and s["names"]["Expand"] == 1
