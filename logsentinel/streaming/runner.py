@@ -94,11 +94,14 @@ def start_alert_queries(
     union: bool = False,
     detectors: dict[str, Callable[..., DataFrame]] | None = None,
     decode: Callable[[DataFrame], DataFrame] | None = None,
+    name_prefix: str | None = None,
 ) -> list[StreamingQuery]:
     """Start the alert detectors (brute force, SQLi/XSS, volume) in
     update mode with the micro-batch alert sink.  ``trigger`` defaults to 5 s
     processing time; ``decode`` defaults to the JSON envelope decoder with
-    the watermark."""
+    the watermark.  With ``name_prefix`` each query is named
+    ``{prefix}_{label}`` (visible in progress events and metrics); names
+    must be unique among the session's active queries."""
     detectors = detectors or detect.ALERT_DETECTORS
     trigger = trigger or {"processingTime": "5 seconds"}
     if decode is None:
@@ -110,8 +113,9 @@ def start_alert_queries(
         for label, fn in detectors.items():
             part = fn(parsed).withColumn("label", F.lit(label))
             combined = part if combined is None else combined.unionByName(part)
+        name = f"{name_prefix}_all" if name_prefix else None
         return [
-            _writer(combined, f"{checkpoint_root}/all", "update", trigger, None)
+            _writer(combined, f"{checkpoint_root}/all", "update", trigger, name)
             .foreachBatch(sinks.labelled_alert_writer(out_dir))
             .start()
         ]
@@ -119,7 +123,8 @@ def start_alert_queries(
     for label, fn in detectors.items():
         parsed = decode(source())
         q = (
-            _writer(fn(parsed), f"{checkpoint_root}/{label}", "update", trigger, None)
+            _writer(fn(parsed), f"{checkpoint_root}/{label}", "update", trigger,
+                    f"{name_prefix}_{label}" if name_prefix else None)
             .foreachBatch(sinks.alert_batch_writer(out_dir, label))
             .start()
         )

@@ -34,3 +34,18 @@ def test_entry_smoke(spark):
         "source_ip", "window_start", "window_end", "count", "target_ip",
         "protocol", "alert_type", "severity", "threat_score",
     ]
+
+
+def test_queries_are_safe_to_run_concurrently(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = ["ip_lookup", "threat_kpis", "alert_stats", "current_alerts", "threats_top", "profile_nulls"]
+    q = E.queries()
+
+    def run(name):
+        return name, q[name](spark, SF_SMALL).count()
+
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        first = dict(pool.map(run, names))
+    second = dict(run(n) for n in names)
+    assert first == second and all(v > 0 for v in first.values())

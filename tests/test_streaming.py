@@ -58,7 +58,8 @@ def test_union_mode_matches_separate_queries(spark, tmp_path):
     out_dir = str(tmp_path / "alerts")
     qs = runner.start_alert_queries(
         runner.text_file_source(spark, src_dir), out_dir, str(tmp_path / "ckpt"),
-        trigger={"availableNow": True}, union=True)
+        trigger={"availableNow": True}, union=True, name_prefix="union_test")
+    assert [q.name for q in qs] == ["union_test_all"]
     runner.await_all(qs)
     current = serve.current_alerts(readers.read_alerts(spark, out_dir))
     assert _key_set(current) == _key_set(detect.all_alerts(logs, with_label=True))
