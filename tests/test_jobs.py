@@ -71,3 +71,15 @@ def test_every_serve_route_runs(spark, tmp_path, capsys):
         capsys.readouterr()
         jobs.run_serve(spark, out, alerts, route, ["10.0.0.1"])
         assert capsys.readouterr().out.strip(), route
+
+
+def test_normalize_job(spark, tmp_path, capsys):
+    raw = str(tmp_path / "raw.csv")
+    adapters.with_dirty_timestamp(adapters.load_log_view(spark, SF_SMALL)).write.option(
+        "header", "true").csv(raw)
+    out = str(tmp_path / "clean.parquet")
+    assert jobs.main(["normalize", "--csv", raw, "--out", out]) == 0
+    clean = spark.read.parquet(out)
+    assert dict(clean.dtypes)["timestamp"] == "timestamp_ntz"
+    assert clean.count() == 1000
+    assert clean.filter(F.col("timestamp").isNull()).count() == 1000 // 89  # every 89th text is bad
