@@ -63,3 +63,37 @@ def test_tumbling_and_volume_match_brute_force(spark, events):
             sums[key] += e["bytes_transferred"]
             cnts[key] += 1
     assert got_vol == {k: (cnts[k], 70) for k, v in sums.items() if v > 10 * 1024 * 1024}
+
+
+FRAGMENTS = ["/q?id=1", " UNION  select ", "or 1=1", "' --", "sqlmap", "select * from", "DROP\tTABLE",
+             "<SCRIPT>", "javascript:", "onerror=", "onload=", "alert (", "document.cookie", "x", " ", "--"]
+TEXT = st.one_of(st.none(), st.lists(st.sampled_from(FRAGMENTS), max_size=4).map("".join))
+
+
+def _or3(a, b):
+    if a is True or b is True:
+        return True
+    if a is None or b is None:
+        return None
+    return False
+
+
+@SETTINGS
+@given(st.lists(st.tuples(TEXT, TEXT), min_size=1, max_size=40))
+def test_attack_flags_match_python_regex(spark, pairs):
+    import re
+
+    from logsentinel import rules
+
+    rows = [dict(event_id=i, request_path=p, user_agent=a) for i, (p, a) in enumerate(pairs)]
+    got = {r.event_id: (r.is_sqli, r.is_xss, r.attack_type)
+           for r in detect.attack_tagging(log_rows(spark, rows)).collect()}
+    sqli, xss = re.compile(rules.STREAM_SQLI_PATTERN), re.compile(rules.STREAM_XSS_PATTERN)
+    want = {}
+    for i, (p, a) in enumerate(pairs):
+        def m(rx, v):
+            return None if v is None else bool(rx.search(v))
+        s, x = _or3(m(sqli, p), m(sqli, a)), _or3(m(xss, p), m(xss, a))
+        if _or3(s, x) is True:
+            want[i] = (s, x, "SQLi" if s is True else "XSS")
+    assert got == want
