@@ -97,3 +97,24 @@ def test_attack_flags_match_python_regex(spark, pairs):
         if _or3(s, x) is True:
             want[i] = (s, x, "SQLi" if s is True else "XSS")
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 200), st.integers(0, 10)), min_size=1, max_size=10))
+def test_reputation_score_matches_the_formula(spark, rows):
+    from logsentinel.operators import serve
+
+    # malicious share m/10 of the count: exact ratios such as 0.3 occur
+    data = [(f"ip{i}", c, c * m // 10, c - c * m // 10, 0) for i, (c, m) in enumerate(rows)]
+    top = spark.createDataFrame(data, "source_ip string, threat_count bigint, malicious_count bigint, "
+                                      "suspicious_count bigint, total_bytes bigint")
+    got = {r.source_ip: (r.reputation_score, r.threat_level) for r in serve.ip_reputation(top).collect()}
+    lo, hi = min(c for _, c, *_ in data), max(c for _, c, *_ in data)
+    want = {}
+    for ip, c, mal, _, _ in data:
+        score = 75 if hi == lo else int(50 + ((c - lo) / (hi - lo)) * 49)
+        if mal / max(c, 1) > 0.3:
+            score = min(99, score + 10)
+        level = "CRITICAL" if score >= 85 else "HIGH" if score >= 65 else "MEDIUM" if score >= 40 else "LOW"
+        want[ip] = (score, level)
+    assert got == want
