@@ -118,3 +118,40 @@ def test_reputation_score_matches_the_formula(spark, rows):
         level = "CRITICAL" if score >= 85 else "HIGH" if score >= 65 else "MEDIUM" if score >= 40 else "LOW"
         want[ip] = (score, level)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 30), st.integers(0, 900),
+                          st.sampled_from(["TCP", "TCP", "UDP"])), min_size=1, max_size=150))
+def test_port_scan_matches_brute_force(spark, conns):
+    from logsentinel.operators import batch
+
+    rows = [dict(source_ip=ip, dest_ip=f"d{d}", sec=float(t), protocol=p) for ip, d, t, p in conns]
+    got = {(r.source_ip, r.window_start): (r.distinct_targets, r.connection_count)
+           for r in batch.port_scan(log_rows(spark, rows)).collect()}
+    targets, total = defaultdict(set), Counter()
+    for ip, d, t, p in conns:
+        if p == "TCP":
+            key = (ip, T0 + dt.timedelta(seconds=(t // 300) * 300))
+            targets[key].add(d)
+            total[key] += 1
+    assert got == {k: (len(v), total[k]) for k, v in targets.items() if len(v) > 20}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["w1", "w2"]),
+                          st.sampled_from(["SQLi", "XSS"]), st.integers(0, 9), st.integers(1, 30)),
+                min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1], r[2], r[3])))
+def test_current_alerts_keep_the_latest_batch(spark, emissions):
+    from logsentinel.operators import serve
+
+    df = spark.createDataFrame(
+        [(ip, w, t, b, c) for ip, w, t, b, c in emissions],
+        "source_ip string, window_start string, alert_type string, batch_id bigint, count bigint")
+    got = {(r.source_ip, r.window_start, r.alert_type): r["count"]
+           for r in serve.current_alerts(df).collect()}
+    latest = {}
+    for ip, w, t, b, c in emissions:
+        if (ip, w, t) not in latest or b > latest[(ip, w, t)][0]:
+            latest[(ip, w, t)] = (b, c)
+    assert got == {k: c for k, (_, c) in latest.items()}
