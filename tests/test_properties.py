@@ -155,3 +155,18 @@ def test_current_alerts_keep_the_latest_batch(spark, emissions):
         if (ip, w, t) not in latest or b > latest[(ip, w, t)][0]:
             latest[(ip, w, t)] = (b, c)
     assert got == {k: c for k, (_, c) in latest.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.one_of(st.none(), st.sampled_from("xy"))),
+                min_size=1, max_size=40))
+def test_duplicate_rows_match_pandas(spark, rows):
+    import pandas as pd
+
+    from logsentinel.operators import profile
+
+    df = spark.createDataFrame(rows, "a int, b string")
+    r = profile.profile_duplicates(df).collect()[0]
+    pdf = pd.DataFrame(rows, columns=["a", "b"])
+    assert r.duplicate_rows == int(pdf.duplicated().sum())
+    assert r.distinct_rows == len(pdf.drop_duplicates())
