@@ -8,6 +8,8 @@ serving routes as ``spark-submit``-able entry points.
         --alerts ALERT_DIR --checkpoint CKPT [--union] [--available-now]
     python -m logsentinel.jobs serve --results RESULTS_DIR --alerts ALERT_DIR \\
         --route top|ip|port-scans|bytes|sqli-xss|stats|kpis|streaming|streaming-stats [--ip A,B]
+    python -m logsentinel.jobs rule --rule NAME --json-dir DIR | --kafka HOST:PORT --topic T \\
+        --checkpoint CKPT [--out PARQUET_DIR] [--available-now]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master,
 shuffle width and the shared checkpoint folder are whatever spark-submit or
@@ -22,7 +24,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsentinel.operators import batch, profile, serve
+from logsentinel.operators import batch, detect, profile, serve
 from logsentinel.schema import RESULT_TABLES
 from logsentinel.session import shared_path
 from logsentinel.sources import readers, sinks
@@ -71,13 +73,7 @@ def run_profile(spark: SparkSession, csv_path: str) -> None:
 
 def run_stream(args) -> None:
     spark = SparkSession.builder.getOrCreate()
-    if args.kafka:
-        if not args.topic:
-            raise SystemExit("--topic is required with --kafka")
-        src = runner.kafka_source(spark, args.kafka, args.topic, args.starting_offsets,
-                                  args.max_offsets_per_trigger)
-    else:
-        src = runner.text_file_source(spark, args.json_dir, args.max_files_per_trigger)
+    src = _stream_source(spark, args)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
     qs = runner.start_alert_queries(src, args.alerts, args.checkpoint, trigger=trigger, union=args.union)
     if args.available_now:
@@ -86,6 +82,49 @@ def run_stream(args) -> None:
         runner.await_any(spark)
 
 
+# Streaming rule presets: detector, output mode, trigger, decoder.  The
+# modes and triggers are those of the original single-rule streaming jobs.
+STREAM_RULES = {
+    "brute_force_tumbling": (detect.brute_force_tumbling, "update", "10 seconds", None),
+    "signature_match": (detect.signature_match, "append", "5 seconds", None),
+    "volume_tumbling": (detect.volume_tumbling, "update", "5 seconds", None),
+    "threat_score": (detect.threat_score_by_ip, "complete", "10 seconds", None),
+    "threat_store": (detect.threat_store, "append", "5 seconds", None),
+    "brute_force_text": (detect.brute_force_text, "complete", None, readers.decode_raw_text),
+}
+
+
+def run_rule(args) -> None:
+    """One streaming rule with its preset mode and trigger, to the console
+    (K2), or for ``threat_store`` with ``--out`` to the Parquet store (K4)."""
+    spark = SparkSession.builder.getOrCreate()
+    src = _stream_source(spark, args)
+    detector, mode, every, decode = STREAM_RULES[args.rule]
+    if args.available_now:
+        trigger = {"availableNow": True}
+    else:
+        trigger = {"processingTime": every} if every else None
+    if args.rule == "threat_store" and args.out:
+        q = runner.start_threat_store(src, args.out, args.checkpoint, trigger)
+    else:
+        q = runner.start_detector(src, detector, args.checkpoint, mode, trigger=trigger, decode=decode)
+    if args.available_now:
+        runner.await_all([q])
+    else:
+        runner.await_any(spark)
+
+
+def _stream_source(spark: SparkSession, args):
+    if args.kafka:
+        if not args.topic:
+            raise SystemExit("--topic is required with --kafka")
+        return runner.kafka_source(spark, args.kafka, args.topic, args.starting_offsets,
+                                   args.max_offsets_per_trigger)
+    if not args.json_dir:
+        raise SystemExit("one of --kafka or --json-dir is required")
+    return runner.text_file_source(spark, args.json_dir, args.max_files_per_trigger)
+
+
 def run_serve(spark: SparkSession, results: str, alerts_dir: str | None, route: str, ips: list[str]) -> None:
     def table(name):
         df, _err = readers.read_result_table(spark, f"{results}/{name}")
@@ -143,6 +182,17 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--trigger-seconds", type=int, default=5)
     st.add_argument("--union", action="store_true")
     st.add_argument("--available-now", action="store_true")
+    rl = sub.add_parser("rule")
+    rl.add_argument("--rule", required=True, choices=sorted(STREAM_RULES))
+    rl.add_argument("--kafka")
+    rl.add_argument("--topic")
+    rl.add_argument("--starting-offsets", default="latest")
+    rl.add_argument("--max-offsets-per-trigger", type=int)
+    rl.add_argument("--json-dir")
+    rl.add_argument("--max-files-per-trigger", type=int)
+    rl.add_argument("--checkpoint", required=True)
+    rl.add_argument("--out")
+    rl.add_argument("--available-now", action="store_true")
     sv = sub.add_parser("serve")
     sv.add_argument("--results", required=True)
     sv.add_argument("--alerts")
@@ -153,6 +203,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "stream":
         run_stream(args)
         return 0
+    if args.cmd == "rule":
+        run_rule(args)
+        return 0
     spark = SparkSession.builder.getOrCreate()
     if args.cmd == "batch":
         for name, path in run_batch(spark, args.logs, args.out, args.n).items():

@@ -83,3 +83,18 @@ def test_normalize_job(spark, tmp_path, capsys):
     assert dict(clean.dtypes)["timestamp"] == "timestamp_ntz"
     assert clean.count() == 1000
     assert clean.filter(F.col("timestamp").isNull()).count() == 1000 // 89  # every 89th text is bad
+
+
+def test_rule_job_presets(spark, tmp_path):
+    logs = adapters.load_log_view(spark, SF_SMALL)
+    src = str(tmp_path / "in")
+    adapters.to_json_lines(logs).write.text(src)
+    store = str(tmp_path / "store")
+    assert jobs.main(["rule", "--rule", "threat_store", "--json-dir", src, "--checkpoint",
+                      str(tmp_path / "ck1"), "--out", store, "--available-now"]) == 0
+    from logsentinel.operators import detect
+
+    assert spark.read.parquet(store).count() == detect.threat_store(logs).count()
+    for rule in ("signature_match", "threat_score", "brute_force_tumbling"):
+        assert jobs.main(["rule", "--rule", rule, "--json-dir", src, "--checkpoint",
+                          str(tmp_path / f"ck_{rule}"), "--available-now"]) == 0
