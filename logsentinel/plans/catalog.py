@@ -404,14 +404,23 @@ def stored_json_stream(spark: SparkSession, sf_dir: str) -> str:
     return materialized(spark, sf_dir, "json_stream", build)
 
 
+def _cores(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on this client: keep the session's value
+        return None
+
+
 @register("alert_sink_roundtrip")
 def q_alert_sink_roundtrip(spark, sf_dir):
     src = runner.text_file_source(spark, stored_json_stream(spark, sf_dir))
 
     def build(root: str) -> None:
-        qs = runner.start_alert_queries(
-            src, f"{root}/alerts", f"{root}/checkpoints", trigger={"availableNow": True}
-        )
+        # one state partition per core, whatever the session's batch width
+        with runner.state_partitions(spark, _cores(spark)):
+            qs = runner.start_alert_queries(
+                src, f"{root}/alerts", f"{root}/checkpoints", trigger={"availableNow": True}
+            )
         runner.await_all(qs)
 
     root = materialized(spark, sf_dir, "stream_run", build)

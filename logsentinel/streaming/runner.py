@@ -10,7 +10,8 @@ replayed batch overwrites instead of duplicating.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,26 @@ def kafka_source(
     )
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Start queries with ``n`` state/shuffle partitions.
+
+    A stateful query takes its partition count from the session when it
+    first starts (it is then fixed in the checkpoint), and ``start()``
+    clones the session conf, so the setting is applied only around the
+    start calls and restored afterwards."""
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _writer(df: DataFrame, checkpoint: str, output_mode: str, trigger: dict | None, name: str | None):
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if trigger:
