@@ -200,12 +200,12 @@ def result_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored_alerts(spark: SparkSession, sf_dir: str) -> str:
-    """K3: the alert table written through the micro-batch sink as batch 0
-    (the three detectors in one write job); returns the alert folder."""
+    """K3: the alert table written in the sink's layout as batch 0 (the
+    three detectors in one write job); returns the alert folder."""
 
     def build(out_dir: str) -> None:
         lv = logs(spark, sf_dir)
-        sinks.labelled_alert_writer(out_dir)(detect.all_alerts(lv, with_label=True), 0)
+        sinks.write_labelled_alerts(detect.all_alerts(lv, with_label=True), out_dir, 0)
 
     return materialized(spark, sf_dir, "alerts", build)
 

@@ -43,32 +43,52 @@ def start_console(stream_df: DataFrame, output_mode: str, trigger: dict | None =
     return w.start()
 
 
-def alert_batch_writer(out_dir: str, label: str) -> Callable[[DataFrame, int], None]:
+ROWS_PER_ALERT_FILE = 500_000
+
+
+def _sized(batch_df: DataFrame, rows_per_file: int) -> DataFrame | None:
+    """The persisted batch narrowed to about one partition per
+    ``rows_per_file`` rows, or None when it is empty.
+
+    A micro-batch has as many partitions as the query has state partitions
+    (and a cached frame keeps its partitions), so writing it as is leaves
+    one small file per partition.  The row count runs on the persisted
+    frame, which the write then reads; ``coalesce`` merges partitions
+    without a shuffle and never below what the row count needs."""
+    n = batch_df.count()
+    if n == 0:
+        return None
+    return batch_df.coalesce(max(1, -(-n // rows_per_file)))
+
+
+def alert_batch_writer(
+    out_dir: str, label: str, rows_per_file: int = ROWS_PER_ALERT_FILE
+) -> Callable[[DataFrame, int], None]:
     """K3: ``foreachBatch`` function writing each non-empty micro-batch to
     ``{out_dir}/label={label}/batch_id={id}`` as JSON lines.
 
     The batch is written straight from the executors (no ``collect``), and a
     replayed batch id overwrites its own folder instead of appending again.
-    The batch frame is persisted around the emptiness check so the stateful
-    plan behind it runs once.
+    The batch frame is persisted so the stateful plan behind it runs once
+    for the row count and the write.
     """
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            if batch_df.isEmpty():
+            out = _sized(batch_df, rows_per_file)
+            if out is None:
                 return
-            (
-                batch_df.write.mode("overwrite")
-                .json(f"{out_dir}/label={label}/batch_id={batch_id}")
-            )
+            out.write.mode("overwrite").json(f"{out_dir}/label={label}/batch_id={batch_id}")
         finally:
             batch_df.unpersist()
 
     return write_batch
 
 
-def labelled_alert_writer(out_dir: str) -> Callable[[DataFrame, int], None]:
+def labelled_alert_writer(
+    out_dir: str, rows_per_file: int = ROWS_PER_ALERT_FILE
+) -> Callable[[DataFrame, int], None]:
     """K3 for a frame holding several detectors' alerts (a ``label``
     column): the same ``label=…/batch_id=…`` layout as
     ``alert_batch_writer``, written in one job with dynamic partition
@@ -77,21 +97,29 @@ def labelled_alert_writer(out_dir: str) -> Callable[[DataFrame, int], None]:
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            if batch_df.isEmpty():
-                return
-            (
-                batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("label", "batch_id")
-                .json(out_dir)
-            )
+            out = _sized(batch_df, rows_per_file)
+            if out is not None:
+                write_labelled_alerts(out, out_dir, batch_id)
         finally:
             batch_df.unpersist()
 
     return write_batch
 
 
+def write_labelled_alerts(alerts: DataFrame, out_dir: str, batch_id: int) -> None:
+    """Batch form of the labelled sink: write ``alerts`` as batch
+    ``batch_id`` (dynamic partition overwrite, so rerunning replaces only
+    that batch's folders).  No persist, so adaptive execution still sizes
+    the output partitions; an empty frame writes no folder."""
+    (
+        alerts.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("label", "batch_id")
+        .json(out_dir)
+    )
+
+
 def start_threat_store(
     stream_df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

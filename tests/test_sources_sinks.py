@@ -140,3 +140,14 @@ def test_with_event_time_parses_text_and_casts_timestamps(spark):
     ntz = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 5),)], "timestamp timestamp_ntz")
     casted = readers.with_event_time(ntz, watermark=None)
     assert dict(casted.dtypes)["event_ts"] == "timestamp"
+
+
+def test_micro_batch_sink_sizes_its_files(spark, tmp_path):
+    import glob
+
+    out = str(tmp_path / "sink")
+    df = spark.range(0, 1000, numPartitions=50).selectExpr("cast(id as string) as source_ip", "id as count")
+    sinks.alert_batch_writer(out, "volume", rows_per_file=300)(df, 7)
+    files = glob.glob(f"{out}/label=volume/batch_id=7/*.json")
+    assert len(files) == 4  # ceil(1000 / 300), not one per input partition
+    assert readers.read_alerts(spark, out).count() == 1000
