@@ -32,21 +32,25 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsentinel.llm.common import pick
+from logsentinel.llm.common import pick, stored
 
 #: Words in the lexicon at most, and bytes in one of them.
 WORDS = 1 << 17
 WORD_BYTES = 48
+#: Bytes of a word above which its merges are kept in a heap.
+LONG = 64
 #: Different chunks whose ids a task keeps at hand, different words it counts
 #: before it hands them on.
-KEEP = 1 << 18
+KEEP = 600_000
 
 #: Fixed value: the splitting pattern of the byte-level tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SPLIT = regex.compile(PATTERN)
 #: A space whose next character is white space or missing: there, a piece may
 #: reach across the space, so the text is split as a whole.
-_LOOSE = regex.compile(r" (?=\s|\Z)")
+_LOOSE = re.compile(r" (?:\s|\Z)")
+#: Marks that are one piece together, where they follow a word.
+_MARKS = ".,;:!?%$&*#|)]}\""
 
 
 @lru_cache(maxsize=1)
@@ -90,6 +94,10 @@ class Vocabulary:
         self.of_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.table = [self.bytes.get(i, b"") for i in range(max(self.bytes) + 1)]
         self.splitter = None
+        # The merges as arrays sorted by pair, and the byte pairs as a table.
+        pairs = sorted((a << 32 | b, *m) for (a, b), m in self.merge.items())
+        self.pair, self.rank, self.made = (np.array(c, np.int64) for c in (zip(*pairs) if pairs else ([], [], [])))
+        self.first = np.array(self.byte_id, np.int64)
 
     def split(self, text: str) -> list[str]:
         """Pieces of a text without special tokens."""
@@ -104,20 +112,68 @@ class Vocabulary:
     def merged(self, word: bytes) -> list[int]:
         """Exact merges of one word: the pair of lowest rank first, the
         leftmost of equal ones first."""
-        ids = [self.byte_id[b] for b in word]
-        if len(ids) > 64:
-            return self._merged_long(ids)
-        merge = self.merge
-        while len(ids) > 1:
-            best, at = None, -1
-            for i in range(len(ids) - 1):
-                m = merge.get((ids[i], ids[i + 1]))
-                if m is not None and (best is None or m < best):
-                    best, at = m, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
-        return ids
+        return self._merged_long([self.byte_id[b] for b in word])
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place of each pair among the merges sorted by pair, or -1."""
+        want = left << 32 | right
+        at = np.searchsorted(self.pair, want)
+        at[at == len(self.pair)] = 0
+        return np.where(self.pair[at] == want, at, -1) if len(self.pair) else np.full(len(want), -1)
+
+    def merged_many(self, words: list[bytes]) -> list[bytes]:
+        """`merged` of many words at once, as little-endian 32-bit ids: each
+        round merges the best pair of every word that still has one."""
+        out: list[bytes] = [b""] * len(words)
+        short = []
+        for i, w in enumerate(words):
+            if len(w) > LONG:
+                out[i] = array("I", self.merged(w)).tobytes()
+            elif w:
+                short.append(i)
+        if not short:
+            return out
+        size = np.array([len(words[i]) for i in short])
+        ids = self.first[np.frombuffer(b"".join([words[i] for i in short]), np.uint8)]
+        word = np.repeat(np.array(short), size)
+        none = np.int64(len(self.pair) + 1)
+
+        def rank(at: np.ndarray) -> np.ndarray:
+            """Rank of the pair that starts at each place (none at the end of
+            a word) and the id it makes."""
+            fine = at[(at + 1 < len(ids))]
+            fine = fine[word[fine] == word[fine + 1]]
+            m = self._ranks(ids[fine], ids[fine + 1])
+            ranks[at] = none
+            ranks[fine] = np.where(m >= 0, self.rank[m], none) if len(self.rank) else none
+            makes[fine] = self.made[m] if len(self.made) else 0
+
+        ranks, makes = np.empty(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        rank(np.arange(len(ids)))
+        while len(ids):
+            start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            size = np.diff(np.append(start, len(ids)))
+            low = np.minimum.reduceat(ranks, start)
+            done = low == none
+            if done.any():
+                raw = ids.astype("<u4").tobytes()
+                for w, a, n in zip(word[start[done]].tolist(), start[done].tolist(), size[done].tolist()):
+                    out[w] = raw[4 * a : 4 * (a + n)]
+                keep = np.repeat(~done, size)
+                ids, word, ranks, makes = ids[keep], word[keep], ranks[keep], makes[keep]
+                low, size = low[~done], size[~done]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(ranks == np.repeat(low, size))
+            at = at[np.append(True, word[at[1:]] != word[at[:-1]])]  # the leftmost of each word
+            ids[at] = makes[at]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, word, ranks, makes = ids[keep], word[keep], ranks[keep], makes[keep]
+            at -= np.arange(len(at))
+            before = at[at > 0] - 1
+            rank(np.concatenate([before[word[before] == word[before + 1]], at]))
+        return out
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         """The same in n log n: a heap of pairs over a linked list."""
@@ -215,9 +271,9 @@ def compile_lexicon(words: Iterable[str], vocabulary: Vocabulary) -> dict[str, n
     """Automaton of the words and, by word index, their token ids."""
     ordered = sorted({w.encode() for w in words})
     arrays = minimal_automaton(ordered)
-    ids = [vocabulary.merged(w) for w in ordered]
+    ids = [np.frombuffer(i, "<u4") for i in vocabulary.merged_many(ordered)]
     arrays["start"] = np.cumsum([0] + [len(i) for i in ids]).astype(np.int64)
-    arrays["ids"] = np.array([x for i in ids for x in i], np.uint32)
+    arrays["ids"] = np.concatenate([np.zeros(0, np.uint32), *ids]).astype("<u4")
     # Arcs as sorted keys: a state and a byte are found by binary search.
     state = np.repeat(np.arange(len(arrays["final"])), np.diff(arrays["first"]))
     arrays["key"] = state.astype(np.int64) << 8 | arrays["label"]
@@ -249,7 +305,7 @@ class Lexicon:
         whole = np.memmap(path, np.uint8, "r")
         for name, kind, at, n in json.loads(line):
             at += len(line)
-            setattr(self, name, whole[at : at + n * np.dtype(kind).itemsize].view(kind))
+            setattr(self, name, np.asarray(whole[at : at + n * np.dtype(kind).itemsize].view(kind)))
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """Index of each word, -1 where it is not in the lexicon: all words
@@ -280,33 +336,25 @@ class Lexicon:
             index[done] = total[done]
         return index
 
-    def tokens(self, index: int) -> bytes:
-        return self.ids[self.start[index] : self.start[index + 1]].tobytes()
-
-
-def _chunks(text: str) -> list[str]:
-    """Parts of a text whose pieces, joined, are the pieces of the text: each
-    space starts a new part, where no piece can reach across it."""
-    if _LOOSE.search(text):
-        return [text]
-    first, *rest = text.split(" ")
-    parts = [" " + r for r in rest]
-    return [first, *parts] if first else parts
+    def tokens(self, index: np.ndarray) -> list[bytes]:
+        """Token ids of the words with these indexes."""
+        raw = memoryview(self.ids).cast("B")
+        return [bytes(raw[4 * a : 4 * b]) for a, b in zip(self.start[index].tolist(), self.start[index + 1].tolist())]
 
 
-def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """``(word, n)``: how often each piece of up to `WORD_BYTES` bytes occurs
-    in the whole texts.  Tasks hand on partial counts and add them up before
-    the shuffle."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``(word, n)``: how often each space-separated word, with its space and
+    without closing marks, occurs in the whole texts (words of up to
+    `WORD_BYTES` bytes).  Tasks hand on partial counts, which Spark adds up
+    before and after the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, count = _vocabulary(vocabulary), Counter()
+        count: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
             words: Counter = Counter()
-            for chunk, n in count.items():
-                for piece in vocab.split(chunk):
-                    words[piece] += n
+            for part, n in count.items():
+                words[" " + part.rstrip(_MARKS)] += n
             count.clear()
             short = [(w, n) for w, n in words.items() if len(w) <= WORD_BYTES and len(w.encode()) <= WORD_BYTES]
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in short], pa.string()), pa.array([n for _, n in short], pa.int64())], ["word", "n"])
@@ -314,7 +362,7 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
         for b in batches:
             for text in b.column(0).to_pylist():
                 if text:
-                    count.update(_chunks(text))
+                    count.update(text.split(" "))
                 if len(count) > KEEP:
                     yield flush()
         yield flush()
@@ -322,13 +370,30 @@ def word_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     return pick(docs, "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(docs: DataFrame, words: int = WORDS) -> list[str]:
+    """The most frequent words, ``words`` at most: all whose count is above
+    the lowest limit that leaves no more (counts from 1,024 on are ranked in
+    steps of about one per cent).  The driver gets the histogram of counts
+    and the words themselves."""
+    n = F.col("n")
+    step = F.when(n < 1024, n).otherwise(F.floor((F.log2(n) - 10) * 64) + 1024)
+    counts = stored(word_counts(docs), "words").withColumn("step", step.cast("int"))
+    limit, total = None, 0
+    for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > words:
+            break
+        limit = row.step
+    return [] if limit is None else [r.word for r in counts.filter(F.col("step") >= limit).select("word").collect()]
+
+
 def build_lexicon(docs: DataFrame, vocabulary: str, words: int = WORDS) -> str:
-    """Count the corpus, compile its ``words`` most frequent words (ties by
-    code point) and give the file to every executor; returns its name.  The
-    driver gets ``words`` rows at most; an empty corpus gives an empty
-    lexicon."""
-    top = word_counts(docs, vocabulary).orderBy(F.desc("n"), "word").limit(words).select("word").collect()
-    arrays = compile_lexicon((r.word for r in top), _vocabulary(vocabulary))
+    """Count the corpus, compile the pieces of its most frequent words and
+    give the file to every executor; returns its name.  An empty corpus gives
+    an empty lexicon."""
+    vocab = _vocabulary(vocabulary)
+    pieces = {p for w in frequent_words(docs, words) for p in vocab.split(w)}
+    arrays = compile_lexicon(pieces, vocab)
     folder = tempfile.mkdtemp(prefix="lexicon-")  # Spark copies the file to every executor
     path = os.path.join(folder, f"lexicon-{uuid.uuid4().hex}.bin")
     save_lexicon(arrays, path)
@@ -341,40 +406,60 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
+        #: Ids of parts that follow a space, the space included.
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, chunks: set[str]) -> None:
-        split = {c: self.vocabulary.split(c) for c in chunks}
-        pieces = list({p for s in split.values() for p in s})
+    def _pieces(self, part: str) -> list[str]:
+        """Pieces of a part after a space.  A word of letters and the marks
+        that close it are a piece each."""
+        word = part.rstrip(_MARKS)
+        if word.isalpha() and (word.isascii() or not _unsettled().search(word)):
+            return [" " + word, part[len(word) :]] if len(word) < len(part) else [" " + word]
+        return self.vocabulary.split(" " + part)
+
+    def _ids(self, split: list[list[str]]) -> list[bytes]:
+        """Ids of lists of pieces: from the lexicon, or else merged."""
+        pieces = list({p for s in split for p in s})
         raw = [p.encode() for p in pieces]
-        ids = {}
-        for piece, word, index in zip(pieces, raw, self.lexicon.find(raw).tolist()):
-            ids[piece] = self.lexicon.tokens(index) if index >= 0 else array("I", self.vocabulary.merged(word)).tobytes()
-        for c, s in split.items():
-            self.known[c] = ids[s[0]] if len(s) == 1 else b"".join([ids[p] for p in s])
+        index = self.lexicon.find(raw)
+        hit, miss = np.flatnonzero(index >= 0), np.flatnonzero(index < 0).tolist()
+        ids = dict(zip([pieces[i] for i in hit.tolist()], self.lexicon.tokens(index[hit])))
+        ids.update(zip([pieces[i] for i in miss], self.vocabulary.merged_many([raw[i] for i in miss])))
+        return [ids[s[0]] if len(s) == 1 else ids[s[0]] + ids[s[1]] if len(s) == 2 else b"".join([ids[p] for p in s]) for s in split]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Token ids of each text as little-endian 32-bit numbers."""
-        parts, special = [], self.vocabulary.of_special
+        """Token ids of each text as little-endian 32-bit numbers.
+
+        A text is cut at its special tokens, and what lies between at its
+        spaces: no piece reaches across a space whose next character is not
+        white space.  Other texts are split as a whole.
+        """
+        special = self.vocabulary.of_special
+        runs: list[list] = []
+        heads: list[str] = []
+        parts: set[str] = set()
         for text in texts:
-            text, own = text or "", []
-            at = 0
-            for m in special.finditer(text) if special else ():
-                own += [_chunks(text[at : m.start()]), self.vocabulary.special[m.group()]]
-                at = m.end()
-            own.append(_chunks(text[at:]))
-            parts.append(own)
-        new = {c for own in parts for p in own if type(p) is list for c in p} - self.known.keys()
-        if len(self.known) + len(new) > KEEP:
+            text, own, at = text or "", [], 0
+            cuts = [(m.start(), m.end(), m.group()) for m in special.finditer(text)] if special else []
+            for start, end, token in [*cuts, (len(text), len(text), None)]:
+                run = text[at:start] if cuts else text
+                head, *rest = [run] if _LOOSE.search(run) else run.split(" ")
+                own += [len(heads), rest]
+                heads.append(head)
+                parts.update(rest)
+                if token is not None:
+                    own.append(self.vocabulary.special[token].to_bytes(4, "little"))
+                at = end
+            runs.append(own)
+        if len(self.known) + len(parts) > KEEP:
             self.known.clear()
-            new = {c for own in parts for p in own if type(p) is list for c in p}
-        new.discard("")
-        if new:
-            self._learn(new)
-        self.known[""] = b""
-        get = self.known.__getitem__
+        new = list(parts.difference(self.known))
+        split = [self._pieces(p) for p in new]
+        ids = self._ids(split + [self.vocabulary.split(h) for h in heads])
+        self.known.update(zip(new, ids))
+        first, get = ids[len(new) :], self.known.__getitem__
         return [
-            b"".join([b"".join(map(get, p)) if type(p) is list else p.to_bytes(4, "little") for p in own]) for own in parts
+            b"".join([first[x] if type(x) is int else x if type(x) is bytes else b"".join(map(get, x)) for x in own]) for own in runs
         ]
 
     def decode(self, ids: bytes) -> bytes:
