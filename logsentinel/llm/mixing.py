@@ -25,7 +25,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 #: Documents in a slice of a source's order, on average.
-SLICE = 20_000
+SLICE = 4096
 
 #: Weight schedules over training time (time, weight), dealt to the sources
 #: by rank: steady, early, late.
