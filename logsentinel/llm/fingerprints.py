@@ -14,15 +14,14 @@ over the levels that a text of that length fills.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsentinel.llm.common import pick, stored
+from logsentinel.llm.common import pick
 
 #: Levels whose phrases are sketched (a phrase of level 1 has about 3 bytes,
 #: of level 2 about 12, of level 3 about 40, of level 4 about 140), slots of a
@@ -166,37 +165,23 @@ _KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.floa
 _NAMES = [c.split()[0] for c in _COLUMNS.split(", ")]
 
 
-def _rows(ids: list, texts: list[str], following: list[str], own: np.ndarray, after: np.ndarray) -> list[pa.Array]:
+def _rows(ids: list, texts: list[str], following: list[str], own: np.ndarray, after: np.ndarray) -> pa.RecordBatch:
     changed = [edited(t, n) for t, n in zip(texts, following)]
     other = sketches(changed)
-    return [
-        pa.array(c, k)
-        for c, k in zip(
-            (
-                ids, [len(t) for t in texts], [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-                [_hex(s) for s in own], [_hex(s) for s in other], likeness(own, other), likeness(own, after),
-            ),
-            _KINDS,
-        )
-    ]
+    columns = (
+        ids, [len(t) for t in texts], [hashlib.sha256(t.encode()).hexdigest() for t in changed],
+        [_hex(s) for s in own], [_hex(s) for s in other], likeness(own, other), likeness(own, after),
+    )
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS)], _NAMES)
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition: each with its successor (kind 0).  The
-    first row's text goes out as kind 1, the last row as kind 2: it waits for
-    the next partition's first."""
-    part = TaskContext.get().partitionId()
-    held = None  # the last row so far: id, text, fingerprint
-
-    def edge(kind: int, doc_id, text: str) -> pa.RecordBatch:
-        empty = [pa.nulls(1, k) for k in _KINDS[1:]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([text], pa.string()), pa.array([doc_id], pa.int64()), *empty],
-            ["kind", "part", "text", *_NAMES],
-        )
-
+    """Rows of a partition sorted by (range, last, id): each with its
+    successor.  A range ends with a copy of the next range's first row
+    (``last``), which has no row of its own."""
+    held: tuple | None = None  # the last row so far: id, text, fingerprint, last
     for b in batches:
-        ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        last, ids, texts = (c.to_pylist() for c in b.columns)
         at = 0
         while at < len(ids):
             end, size = at, 0
@@ -205,34 +190,46 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size += len(texts[end])
                 end += 1
             prints = sketches(texts[at:end])
-            if held is None:
-                yield edge(1, ids[at], texts[at])
-                own_ids, own_texts, own = ids[at : end - 1], texts[at : end - 1], prints[:-1]
-                next_texts, after = texts[at + 1 : end], prints[1:]
-            else:
-                own_ids, own_texts = [held[0], *ids[at : end - 1]], [held[1], *texts[at : end - 1]]
-                own = np.concatenate([held[2][None], prints[:-1]])
-                next_texts, after = texts[at:end], prints
-            if own_ids:
-                n = len(own_ids)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(n, np.int32)), pa.array(np.full(n, part, np.int32)), pa.nulls(n, pa.string()), *_rows(own_ids, own_texts, next_texts, own, after)],
-                    ["kind", "part", "text", *_NAMES],
+            rows: list[tuple] = [] if held is None else [held]
+            rows += zip(ids[at:end], texts[at:end], prints, last[at:end])
+            # A copy is only a successor; what follows it starts a new range.
+            own = [i for i in range(len(rows) - 1) if not rows[i][3]]
+            if own:
+                yield _rows(
+                    [rows[i][0] for i in own], [rows[i][1] for i in own], [rows[i + 1][1] for i in own],
+                    np.stack([rows[i][2] for i in own]), np.stack([rows[i + 1][2] for i in own]),
                 )
-            held = (ids[end - 1], texts[end - 1], prints[-1])
+            held = rows[-1]
             at = end
-    if held is not None:
-        yield edge(2, held[0], held[1])
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, texts, following = (c.to_pylist() for c in b.columns)
-        if ids:
-            yield pa.RecordBatch.from_arrays(_rows(ids, texts, following, sketches(texts), sketches(following)), _NAMES)
+def _ranges(docs: DataFrame, n: int) -> Callable[[DataFrame], DataFrame]:
+    """Adds to rows the number of their range of ids, of n about equal ones;
+    rows without an id are in the first."""
+    cuts = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
+    edges = np.unique(np.array(cuts, np.float64))
+
+    def number(ids: pa.Array) -> pa.Array:
+        values = ids.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy(zero_copy_only=False)
+        return pa.array(np.searchsorted(edges, values, "right").astype(np.int32))
+
+    def add(rows: DataFrame) -> DataFrame:
+        if not len(edges):
+            return rows.withColumn("range", F.lit(0))
+        return rows.withColumn("range", F.arrow_udf(_one_batch(number), "int")("doc_id"))
+
+    return add
+
+
+def _one_batch(function: Callable[[pa.Array], pa.Array]):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:
+            yield function(b)
+
+    return run
 
 
-def fingerprint_edits(docs: DataFrame) -> DataFrame:
+def fingerprint_edits(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """``documents`` → one row per input row: ``doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
@@ -242,19 +239,27 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     an empty text has the fingerprint of empty slots; equal texts have equal
     fingerprints; an empty table gives no rows; other columns are ignored.
 
-    Texts are shuffled once, into ranges of ids; only one text per range
-    border is shuffled again.
+    Ids are cut into ranges (twice the shuffle partitions, where none are
+    given).  Each range gets a copy of the first row of the next range with
+    rows, so the texts are shuffled once and each range is done on its own.
     """
-    docs = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    docs = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").withColumn("order", F.xxhash64("text"))
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = docs.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    rows = stored(ranged.mapInArrow(_in_order, f"kind int, part int, text string, {_COLUMNS}"), "fingerprints")
-    # One number per range: which range comes after which.
-    parts = [r.part for r in rows.filter("kind = 1").select("part").distinct().orderBy("part").collect()]
-    after = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, follows int")
-    heads = rows.filter("kind = 1").select(F.col("part").alias("follows"), F.col("text").alias("following"))
-    tails = rows.filter("kind = 2").select("part", "doc_id", "text").join(after, "part").join(heads, "follows")
-    last = tails.select("doc_id", "text", "following").mapInArrow(_joined, _COLUMNS)
-    return rows.filter("kind = 0").select(*_NAMES).unionByName(last)
+    n = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _ranges(docs, n)(docs)
+    # The first row of each range, by id and hash alone: two numbers a range.
+    first = sorted(
+        (r.range, r.first.doc_id, r.first.order)
+        for r in ranged.groupBy("range").agg(F.min(F.struct("doc_id", "order")).alias("first")).collect()
+    )
+    if not first:
+        return spark.createDataFrame([], _COLUMNS)
+    before = [r[0] for r in first[-1:] + first[:-1]]
+    heads = spark.createDataFrame([(b, *r[1:]) for b, r in zip(before, first)], "range int, head_id long, head_order long")
+    copies = (
+        docs.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head_id")) & F.col("order").eqNullSafe(F.col("head_order")))
+        .dropDuplicates(["range"]).select("range", F.lit(True).alias("last"), "doc_id", "text", "order")
+    )
+    rows = ranged.select("range", F.lit(False).alias("last"), "doc_id", "text", "order").unionByName(copies)
+    placed = rows.repartition("range").sortWithinPartitions("range", "last", F.col("doc_id").asc_nulls_first(), "order")
+    return placed.select("last", "doc_id", "text").mapInArrow(_in_order, _COLUMNS)
