@@ -203,14 +203,22 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = end
 
 
+#: Ids sampled per range to place the borders of the ranges.
+SAMPLED = 25
+
+
 def _ranges(docs: DataFrame, n: int) -> Callable[[DataFrame], DataFrame]:
     """Adds to rows the number of their range of ids, of n about equal ones;
-    rows without an id are in the first."""
-    cuts = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
-    edges = np.unique(np.array(cuts, np.float64))
+    rows without an id are in the first.  The borders come from a sample of
+    ids (``SAMPLED`` per range); every row falls in one range whatever they
+    are."""
+    ids = docs.select("doc_id").filter("doc_id is not null")
+    share = min(1.0, SAMPLED * n / max(ids.count(), 1))
+    seen = np.sort([r.doc_id for r in ids.sample(share, seed=1).collect()])
+    edges = np.unique(seen[np.arange(1, n) * len(seen) // n]).astype(np.int64) if len(seen) and n > 1 else np.zeros(0, np.int64)
 
     def number(ids: pa.Array) -> pa.Array:
-        values = ids.cast(pa.float64(), safe=False).fill_null(-np.inf).to_numpy(zero_copy_only=False)
+        values = ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
         return pa.array(np.searchsorted(edges, values, "right").astype(np.int32))
 
     def add(rows: DataFrame) -> DataFrame:
@@ -239,13 +247,13 @@ def fingerprint_edits(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     an empty text has the fingerprint of empty slots; equal texts have equal
     fingerprints; an empty table gives no rows; other columns are ignored.
 
-    Ids are cut into ranges (twice the shuffle partitions, where none are
-    given).  Each range gets a copy of the first row of the next range with
+    Ids are cut into ranges (four times the shuffle partitions, where none
+    are given).  Each range gets a copy of the first row of the next range with
     rows, so the texts are shuffled once and each range is done on its own.
     """
     docs = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").withColumn("order", F.xxhash64("text"))
     spark = docs.sparkSession
-    n = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = _ranges(docs, n)(docs)
     # The first row of each range, by id and hash alone: two numbers a range.
     first = sorted(
