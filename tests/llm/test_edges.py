@@ -1,0 +1,120 @@
+"""Every operator on nulls, empty and long texts, repeated rows, clashing
+columns and empty tables."""
+
+import pytest
+
+from logsentinel.llm import bpe, chat, fingerprints, html_text, license_scan, mixing, pii, quality, simhash, topk
+from logsentinel.llm.queries import tokenizer_path
+from tests.conftest import spark  # noqa: F401
+from tests.llm.cases import crowded, docs, labels, rows
+
+TURNS = "conv_id long, turn int, role string, text string"
+PAGES = "page_id long, url string, html string"
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+ON_DOCS = {
+    "license": license_scan.scan_licenses,
+    "simhash": simhash.near_duplicates,
+    "keep_one": simhash.keep_one,
+    "bpe": lambda d: bpe.encode(d, tokenizer_path(), 50),
+    "pii": pii.find_spans,
+    "masked": lambda d: pii.masked(d, pii.fit(d)),
+    "mix": mixing.mix,
+    "training": mixing.training_rows,
+    "fingerprints": fingerprints.fingerprint_edits,
+    "quality": lambda d: quality.score(d, quality.fit(d, labels(d.sparkSession))),
+    "keep_good": lambda d: quality.keep_good(d, quality.fit(d, labels(d.sparkSession))),
+}
+PER_ROW = ("simhash", "bpe", "pii", "masked", "mix", "fingerprints", "quality")
+SAME_COLUMNS = ("keep_one", "masked", "training", "keep_good")
+
+
+@pytest.mark.parametrize("name", ON_DOCS)
+def test_awkward_documents(spark, name):  # noqa: F811
+    plain = ON_DOCS[name](docs(spark))
+    got = rows(plain)
+    if name in PER_ROW:
+        assert len(got) == 11
+    full = ON_DOCS[name](crowded(docs(spark)))
+    if name in SAME_COLUMNS:
+        assert full.columns == crowded(docs(spark)).columns
+        full = full.toDF(*[f"c{i}" for i in range(len(full.columns))]).select("c0", "c1", "c2", "c3", "c4")
+    hidden = [c for c in plain.columns if c in ("row_hash",)]  # hash of all columns, clashing ones included
+    assert rows(full.drop(*hidden)) == rows(plain.drop(*hidden))
+
+
+@pytest.mark.parametrize("name", ON_DOCS)
+def test_empty_documents(spark, name):  # noqa: F811
+    out = ON_DOCS[name](docs(spark, []))
+    assert out.collect() == []
+    if name in SAME_COLUMNS:
+        assert out.columns == docs(spark).columns
+
+
+def test_repeated_documents_agree(spark):  # noqa: F811
+    got = {}
+    for r in simhash.near_duplicates(docs(spark)).collect():
+        got.setdefault(r.doc_id, set()).add((r.fingerprint, r.component_id))
+    assert all(len(v) == 1 for v in got.values())
+    empty = "0" * 16
+    assert got[3] == got[4] == got[5] == {(empty, 3)}  # null, empty and blank texts link
+    assert {c for _, c in got[2]} == {1} and got[None] == {(next(iter(got[None]))[0], None)}
+    kept = [r.doc_id for r in simhash.keep_one(docs(spark)).collect()]
+    assert sorted(kept, key=str) == sorted([1, 3, 6, None, 7, 8, 9], key=str)
+
+
+def test_pages(spark):  # noqa: F811
+    pages = [(1, "u", None), (2, None, ""), (None, "u", "<p>a"), (3, "u", "plain &amp; text"), (3, "u", "plain &amp; text"), (4, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
+    df = spark.createDataFrame(pages, PAGES)
+    got = rows(html_text.extract(df))
+    want = [(1, ""), (2, ""), (None, "a"), (3, "plain & text"), (3, "plain & text"), (4, "deep")]
+    assert sorted(((r[0], r[2]) for r in got), key=repr) == sorted(want, key=repr)
+    assert rows(html_text.extract(crowded(df))) == got
+    assert html_text.extract(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_conversations(spark):  # noqa: F811
+    turns = [
+        (1, 0, "system", "be <|im_end|> nice"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, None, " ", "first"),
+        (None, 0, "ann", "x"), (2, 0, "system", "alone"), (3, 0, None, ""),
+    ]
+    df = spark.createDataFrame(turns, TURNS)
+    got = chat.perspectives(df)
+    table = got.collect()
+    assert {(r.conv_id, r.perspective) for r in table} == {(1, "ann"), (1, "bob"), (1, "unknown"), (None, "ann"), (3, "unknown")}
+    for conv, who in {(r.conv_id, r.perspective) for r in table}:
+        parts = sorted((r for r in table if (r.conv_id, r.perspective) == (conv, who)), key=lambda r: r.start_at)
+        text = "".join(r.segment for r in parts)
+        assert [r.start_at for r in parts] == [0, *[r.end_at for r in parts[:-1]]] and parts[-1].end_at == len(text)
+        for r in parts:
+            assert (r.role == "assistant") == (r.mask_from is not None)
+            if r.mask_from is not None:
+                head = f"{chat.OPEN}assistant\n"
+                assert text[r.mask_from : r.mask_to] == r.segment[len(head) : -len(chat.CLOSE) - 1]
+        assert text.count(chat.CLOSE) == len(parts)
+    assert rows(chat.perspectives(crowded(df))) == rows(got)
+    assert chat.perspectives(spark.createDataFrame([], TURNS)).collect() == []
+    # A slice per turn gives the same places.
+    assert rows(chat.perspectives(df, slice_turns=1)) == rows(got)
+
+
+def test_vectors(spark):  # noqa: F811
+    nan, inf = float("nan"), float("inf")
+    vectors = [
+        (0, [1.0, 2.0], 0), (0, [1.0, 2.0], 0), (1, [1.0], 0), (2, [], 0), (3, None, 0), (4, [None, 1.0], 0), (5, [nan], 0), (6, [inf], 0),
+        (None, [9.0, 9.0], 0), (7, [3e38, 3e38], 0), (100, [0.0, 0.0], 0), (8, [-1.0, 0.5], 0),
+    ]
+    df = spark.createDataFrame(vectors, VECTORS)
+    got = rows(topk.top_k(df))
+    own = [(r[2], r[3]) for r in sorted(got) if r[0] == 0]
+    # A component beyond a long stops at 2^62, a score at 2^63 - 1.
+    assert own == [(7, (1 << 63) - 1), (1, 1024 * 1024), (2, 0), (8, 0), (100, 0)]
+    assert [r[2] for r in sorted(got) if r[0] == 100] == [0, 1, 2, 7, 8]
+    assert rows(topk.top_k(crowded(df))) == got
+    assert topk.top_k(spark.createDataFrame([], VECTORS)).collect() == []
+
+
+def test_quality_without_labels(spark):  # noqa: F811
+    model = quality.fit(docs(spark), labels(spark, []))
+    got = quality.score(docs(spark), model).collect()
+    assert all(r.score == 0.5 and r.predicted == 1 for r in got) and len(got) == 11
