@@ -31,12 +31,17 @@ from logsentinel.sources import readers, sinks
 from logsentinel.streaming import runner
 
 
-def _print(df: DataFrame, title: str | None = None) -> None:
-    """JSON lines, one partition at a time, then the row count."""
+#: Rows of a list that the command line shows unless told otherwise.
+SHOWN = 1000
+
+
+def _print(df: DataFrame, title: str | None = None, limit: int | None = None) -> None:
+    """JSON lines, one partition at a time, then the row count; ``limit``
+    for lists that grow with the data (the full list is a table)."""
     if title:
         print(f"# {title}")
     n = 0
-    for line in df.toJSON().toLocalIterator():
+    for line in (df if limit is None else df.limit(limit)).toJSON().toLocalIterator():
         print(line)
         n += 1
     print(f"# count: {n}")
@@ -65,7 +70,7 @@ def run_batch(spark: SparkSession, logs_path: str, out: str, n: int = 10) -> dic
 def run_profile(spark: SparkSession, csv_path: str) -> None:
     raw = readers.read_log_csv(spark, csv_path)
     _print(profile.profile_shape(raw), "shape")
-    _print(profile.profile_types(spark, raw), "types")
+    _print(profile.profile_types(readers.read_raw_csv(spark, csv_path)), "types")
     _print(profile.profile_nulls(raw), "missing values")
     _print(profile.profile_duplicates(raw), "duplicates")
     _print(profile.profile_sample(raw, [raw.columns[0]], 5), "sample")
@@ -96,8 +101,12 @@ STREAM_RULES = {
 
 def run_rule(args) -> None:
     """One streaming rule with its preset mode and trigger, to the console
-    (K2), or for ``threat_store`` with ``--out`` to the Parquet store (K4)."""
+    (K2), or with ``--out`` to Parquet: ``threat_store`` to its store (K4),
+    the others to a folder per run and micro-batch."""
     spark = SparkSession.builder.getOrCreate()
+    if args.starting_offsets is None:
+        # The raw-text rule replays its topic from the start.
+        args.starting_offsets = "earliest" if args.rule == "brute_force_text" else "latest"
     src = _stream_source(spark, args)
     detector, mode, every, decode = STREAM_RULES[args.rule]
     if args.available_now:
@@ -106,6 +115,9 @@ def run_rule(args) -> None:
         trigger = {"processingTime": every} if every else None
     if args.rule == "threat_store" and args.out:
         q = runner.start_threat_store(src, args.out, args.checkpoint, trigger)
+    elif args.out:
+        sink = sinks.batch_folder_writer(args.out, runner.run_id(spark, args.checkpoint))
+        q = runner.start_detector(src, detector, args.checkpoint, mode, sink=sink, trigger=trigger, decode=decode)
     else:
         q = runner.start_detector(src, detector, args.checkpoint, mode, trigger=trigger, decode=decode)
     if args.available_now:
@@ -125,7 +137,7 @@ def _stream_source(spark: SparkSession, args):
     return runner.text_file_source(spark, args.json_dir, args.max_files_per_trigger)
 
 
-def run_serve(spark: SparkSession, results: str, alerts_dir: str | None, route: str, ips: list[str]) -> None:
+def run_serve(spark: SparkSession, results: str, alerts_dir: str | None, route: str, ips: list[str], limit: int = SHOWN) -> None:
     def table(name):
         df, _err = readers.read_result_table(spark, f"{results}/{name}")
         return df
@@ -136,7 +148,7 @@ def run_serve(spark: SparkSession, results: str, alerts_dir: str | None, route:
         _print(serve.threats_top(top))
     elif route == "ip":
         req = spark.createDataFrame([(ip,) for ip in ips], "ip string")
-        _print(serve.ip_lookup(req, top, serve.current_alerts(alerts) if alerts is not None else None))
+        _print(serve.ip_lookup(req, top, alerts))
     elif route == "port-scans":
         _print(serve.threats_port_scans(table("port_scan_detection")))
     elif route == "bytes":
@@ -151,7 +163,7 @@ def run_serve(spark: SparkSession, results: str, alerts_dir: str | None, route:
     elif route == "streaming":
         _print(serve.alert_summary(alerts), "summary")
         _print(serve.alert_counts_by_type(alerts), "by type")
-        _print(serve.alert_feed(alerts), "alerts")
+        _print(serve.alert_feed(alerts), "alerts", limit)
     elif route == "streaming-stats":
         _print(serve.alert_stats(alerts))
     else:
@@ -186,7 +198,7 @@ def main(argv: list[str] | None = None) -> int:
     rl.add_argument("--rule", required=True, choices=sorted(STREAM_RULES))
     rl.add_argument("--kafka")
     rl.add_argument("--topic")
-    rl.add_argument("--starting-offsets", default="latest")
+    rl.add_argument("--starting-offsets")
     rl.add_argument("--max-offsets-per-trigger", type=int)
     rl.add_argument("--json-dir")
     rl.add_argument("--max-files-per-trigger", type=int)
@@ -198,6 +210,7 @@ def main(argv: list[str] | None = None) -> int:
     sv.add_argument("--alerts")
     sv.add_argument("--route", required=True)
     sv.add_argument("--ip", default="")
+    sv.add_argument("--limit", type=int, default=SHOWN)
     args = ap.parse_args(argv)
 
     if args.cmd == "stream":
@@ -216,7 +229,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "profile":
         run_profile(spark, args.csv)
     elif args.cmd == "serve":
-        run_serve(spark, args.results, args.alerts, args.route, [i for i in args.ip.split(",") if i])
+        run_serve(spark, args.results, args.alerts, args.route, [i for i in args.ip.split(",") if i], args.limit)
     return 0
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -52,8 +53,8 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     On a cluster this is set by the deployment and is visible to every
-    executor.  Only when it is unset (a bare local test session) do we fall
-    back to a fresh local folder and register it as the checkpoint dir.
+    executor.  Only a bare local session (one process) may leave it unset: it
+    gets a fresh local folder, registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -62,11 +63,14 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # no SparkContext on this client
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(
+                "spark.checkpoint.dir must name a folder that the driver and all executors share "
+                f"(master is {master or 'unknown'})"
+            )
         root = tempfile.mkdtemp(prefix="logsentinel-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

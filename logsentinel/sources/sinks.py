@@ -28,7 +28,8 @@ def save_result_table(df: DataFrame, table_name: str, mode: str = "overwrite") -
 
 
 def preview(df: DataFrame, n: int = 20) -> None:
-    """K2: print rows without truncation (batch)."""
+    """K2: print the first ``n`` rows without truncation (batch); a display,
+    so the rest of the frame is not shown."""
     df.show(n, truncate=False)
 
 
@@ -43,83 +44,88 @@ def start_console(stream_df: DataFrame, output_mode: str, trigger: dict | None =
     return w.start()
 
 
-ROWS_PER_ALERT_FILE = 500_000
-
-
-def _sized(batch_df: DataFrame, rows_per_file: int) -> DataFrame | None:
-    """The persisted batch narrowed to about one partition per
-    ``rows_per_file`` rows, or None when it is empty.
-
-    A micro-batch has as many partitions as the query has state partitions
-    (and a cached frame keeps its partitions), so writing it as is leaves
-    one small file per partition.  The row count runs on the persisted
-    frame, which the write then reads; ``coalesce`` merges partitions
-    without a shuffle and never below what the row count needs."""
-    n = batch_df.count()
-    if n == 0:
-        return None
-    return batch_df.coalesce(max(1, -(-n // rows_per_file)))
+#: Files that a micro-batch of alerts is written to.
+FILES_PER_BATCH = 2
+#: Run of alerts that no streaming query wrote; sorts before any query's run.
+BATCH_RUN = "0000000000000-batch"
 
 
 def alert_batch_writer(
-    out_dir: str, label: str, rows_per_file: int = ROWS_PER_ALERT_FILE
+    out_dir: str, label: str, run: str = BATCH_RUN, files: int = FILES_PER_BATCH
 ) -> Callable[[DataFrame, int], None]:
     """K3: ``foreachBatch`` function writing each non-empty micro-batch to
-    ``{out_dir}/label={label}/batch_id={id}`` as JSON lines.
-
-    The batch is written straight from the executors (no ``collect``), and a
-    replayed batch id overwrites its own folder instead of appending again.
-    The batch frame is persisted so the stateful plan behind it runs once
-    for the row count and the write.
+    ``{out_dir}/label={label}/run={run}/batch_id={id}`` as JSON lines.
+
+    The batch is written straight from the executors (no ``collect``), in one
+    job, so the stateful plan behind it runs once.  A replayed batch id of the
+    same run overwrites its own folder instead of appending again; another
+    run (a query with a new checkpoint) has its own folders and never touches
+    earlier alerts.  ``files`` is the number of files per batch; alerts are
+    few next to events, so it need not follow the state partitions.
     """
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
-        try:
-            out = _sized(batch_df, rows_per_file)
-            if out is None:
-                return
-            out.write.mode("overwrite").json(f"{out_dir}/label={label}/batch_id={batch_id}")
-        finally:
-            batch_df.unpersist()
+        write_labelled_alerts(batch_df.withColumn("label", F.lit(label)), out_dir, batch_id, run, files)
 
     return write_batch
 
 
 def labelled_alert_writer(
-    out_dir: str, rows_per_file: int = ROWS_PER_ALERT_FILE
+    out_dir: str, run: str = BATCH_RUN, files: int = FILES_PER_BATCH
 ) -> Callable[[DataFrame, int], None]:
     """K3 for a frame holding several detectors' alerts (a ``label``
-    column): the same ``label=…/batch_id=…`` layout as
-    ``alert_batch_writer``, written in one job with dynamic partition
-    overwrite, so a replayed batch replaces only its own folders."""
+    column): the layout and guarantees of ``alert_batch_writer``."""
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
-        try:
-            out = _sized(batch_df, rows_per_file)
-            if out is not None:
-                write_labelled_alerts(out, out_dir, batch_id)
-        finally:
-            batch_df.unpersist()
+        write_labelled_alerts(batch_df, out_dir, batch_id, run, files)
 
     return write_batch
 
 
-def write_labelled_alerts(alerts: DataFrame, out_dir: str, batch_id: int) -> None:
-    """Batch form of the labelled sink: write ``alerts`` as batch
-    ``batch_id`` (dynamic partition overwrite, so rerunning replaces only
-    that batch's folders).  No persist, so adaptive execution still sizes
-    the output partitions; an empty frame writes no folder."""
+def write_labelled_alerts(
+    alerts: DataFrame, out_dir: str, batch_id: int, run: str = BATCH_RUN, files: int | None = None
+) -> None:
+    """Write ``alerts`` as batch ``batch_id`` of ``run``: dynamic partition
+    overwrite, so rerunning replaces only that batch's folders; an empty
+    frame writes no folder.  Without ``files`` adaptive execution sizes the
+    output partitions."""
+    if files:
+        alerts = alerts.repartition(files)
     (
-        alerts.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        alerts.withColumn("run", F.lit(run))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("label", "batch_id")
+        .partitionBy("label", "run", "batch_id")
         .json(out_dir)
     )
 
 
+def batch_folder_writer(path: str, run: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function writing each micro-batch as Parquet to
+    ``{path}/run={run}/batch_id={id}``; a replayed batch overwrites its own
+    folder.  In complete mode the last folder holds the whole result."""
+
+    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
+
+    return write_batch
+
+
+def compact_alerts(alerts: DataFrame, path: str) -> DataFrame:
+    """Store scanned alerts (S4) as a Parquet table partitioned by label and
+    by the date of ``window_start``, rewriting the dates it holds: a query
+    lists one folder per label and day instead of three per micro-batch.  Run
+    it over closed days; returns the table read back."""
+    day = F.coalesce(F.substring("window_start", 1, 10), F.lit("unknown"))
+    (
+        alerts.withColumn("day", day).hint("rebalance", "label", "day")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("label", "day").parquet(path)
+    )
+    return alerts.sparkSession.read.parquet(path).select(*alerts.columns, "day")
+
+
 def start_threat_store(
     stream_df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -3,16 +3,19 @@
 The same detector functions as the batch forms run on a decoded stream.
 By default each alert detector is its own query with its own checkpoint and
 failure domain (a stalled detector does not hold back the others); ``union``
-runs the three as one query over one decoded stream.  The alert sink writes
-each micro-batch from the executors to its own ``batch_id`` folder, so a
-replayed batch overwrites instead of duplicating.
+runs the three as one query, which reads and decodes the source once for each
+of them.  The alert sink writes each micro-batch from the executors to a
+folder of its run and ``batch_id``, so a replayed batch overwrites instead of
+duplicating, and a query with a new checkpoint adds to what is there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+import time
+import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -77,24 +80,35 @@ def kafka_source(
     )
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
-    """Start queries with ``n`` state/shuffle partitions.
-
-    A stateful query takes its partition count from the session when it
-    first starts (it is then fixed in the checkpoint), and ``start()``
-    clones the session conf, so the setting is applied only around the
-    start calls and restored afterwards."""
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def stream_session(spark: SparkSession, partitions: int | None) -> SparkSession:
+    """A session with the settings of ``spark`` but ``partitions`` state and
+    shuffle partitions, to build stream sources from.
+
+    A stateful query takes its partition count from its session when it first
+    starts; the checkpoint keeps it from then on.  The caller's session, and
+    queries planned in it meanwhile, are not touched."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        try:
+            own.conf.set(key, value)
+        except Exception:  # fixed for the application: the same already
+            pass
+    if partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return own
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that a checkpoint belongs to: its first start in
+    milliseconds and a random part, kept in the checkpoint folder, so a
+    restart goes on with the same run and a new checkpoint is a new run."""
+    path = f"{checkpoint}/run"
     try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+        return spark.read.text(path).first()[0]
+    except AnalysisException:  # a new checkpoint
+        run = f"{time.time_ns() // 1_000_000:013d}-{uuid.uuid4().hex[:8]}"
+        spark.createDataFrame([(run,)], "value string").coalesce(1).write.text(path)
+        return run
 
 
 def _writer(df: DataFrame, checkpoint: str, output_mode: str, trigger: dict | None, name: str | None):
@@ -129,7 +143,8 @@ def start_alert_queries(
         def decode(raw: DataFrame) -> DataFrame:
             return readers.decode_log_json(raw, watermark=watermark)
     if union:
-        parsed = decode(source())
+        raw = source()
+        parsed = decode(raw)
         combined = None
         for label, fn in detectors.items():
             part = fn(parsed).withColumn("label", F.lit(label))
@@ -137,16 +152,17 @@ def start_alert_queries(
         name = f"{name_prefix}_all" if name_prefix else None
         return [
             _writer(combined, f"{checkpoint_root}/all", "update", trigger, name)
-            .foreachBatch(sinks.labelled_alert_writer(out_dir))
+            .foreachBatch(sinks.labelled_alert_writer(out_dir, run_id(raw.sparkSession, f"{checkpoint_root}/all")))
             .start()
         ]
     queries = []
     for label, fn in detectors.items():
-        parsed = decode(source())
+        raw = source()
+        parsed = decode(raw)
         q = (
             _writer(fn(parsed), f"{checkpoint_root}/{label}", "update", trigger,
                     f"{name_prefix}_{label}" if name_prefix else None)
-            .foreachBatch(sinks.alert_batch_writer(out_dir, label))
+            .foreachBatch(sinks.alert_batch_writer(out_dir, label, run_id(raw.sparkSession, f"{checkpoint_root}/{label}")))
             .start()
         )
         queries.append(q)
