@@ -35,10 +35,34 @@ def profile_shape(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_types(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column names and types in schema order (schema metadata only)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+#: Texts that are whole numbers and numbers.
+_WHOLE = r"^[+-]?[0-9]{1,18}$"
+_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def profile_types(raw: DataFrame) -> DataFrame:
+    """``(position, column_name, data_type)`` as the data tell: from one
+    aggregate over the text columns of a raw table (`readers.read_raw_csv`).
+
+    ``bigint`` if every value is a whole number and none is missing,
+    ``double`` if every value that is there is a number (also if none is
+    there), ``boolean`` if every value is True or False and none is missing,
+    else ``string``.
+    """
+    cols = raw.columns
+    rows = F.count(F.lit(1))
+    kinds = []
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`").cast("string")
+        there = F.count(v)
+        kind = (
+            F.when((there > 0) & (F.count_if(v.rlike(_WHOLE)) == rows), "bigint")
+            .when(F.count_if(v.rlike(_NUMBER)) == there, "double")
+            .when(F.count_if(v.isin("True", "False")) == rows, "boolean")
+            .otherwise("string")
+        )
+        kinds.append(F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), kind.alias("data_type")))
+    return raw.agg(F.array(*kinds).alias("kinds")).select(F.inline("kinds"))
 
 
 def profile_nulls(df: DataFrame) -> DataFrame:

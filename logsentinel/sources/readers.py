@@ -11,9 +11,50 @@ from logsentinel import rules
 from logsentinel.schema import ALERT_COLUMNS, ALERT_WITH_CORRUPT, CORRUPT_RECORD, LOG
 
 
-def read_log_csv(spark: SparkSession, path: str, schema: StructType = LOG) -> DataFrame:
-    """CSV with a header and an explicit schema (no inference pass)."""
-    return spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE")
+#: Texts that stand for a missing value in CSV.
+MISSING_MARKERS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+#: Columns that an older log may lack.
+OPTIONAL_COLUMNS = ("dest_port",)
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header as text columns named by it.
+
+    Quotes inside a quoted field are doubled; missing-value markers, quoted
+    or not, become null.  With ``multi_line`` a quoted field may hold line
+    breaks, but a file is then read by one task; without it large files are
+    split (for exports of many small files it makes no difference).
+    """
+    raw = (
+        spark.read.option("header", "true").option("quote", '"').option("escape", '"')
+        .option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE").csv(path)
+    )
+    return raw.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING_MARKERS), F.col(f"`{c}`")).alias(c) for c in raw.columns])
+
+
+def read_log_csv(
+    spark: SparkSession, path: str, schema: StructType = LOG, multi_line: bool = True,
+    optional: tuple[str, ...] = OPTIONAL_COLUMNS,
+) -> DataFrame:
+    """CSV log with the columns of ``schema``, matched by header name.
+
+    An unknown or missing column is an error, except that ``optional`` ones
+    may be missing and are null then.  A value that does not parse as its
+    column's type is null.  See `read_raw_csv` for quoting and markers.
+    """
+    raw = read_raw_csv(spark, path, multi_line)
+    names = [f.name for f in schema.fields]
+    unknown = [c for c in raw.columns if c not in names]
+    missing = [n for n in names if n not in raw.columns and n not in optional]
+    if unknown or missing:
+        raise ValueError(f"CSV header at {path}: unknown columns {unknown}, missing columns {missing}")
+    return raw.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields
+    ])
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
@@ -37,51 +78,61 @@ def read_result_table(
         return None, f"missing result table at {path}: {exc.getErrorClass() or exc}"
 
 
+#: Layouts of the alert folder: the sink's, the sink's of older versions, and
+#: flat ``{label}_batch_{id}.json`` files.
+_ALERT_LAYOUTS = ("label=*/run=*/batch_id=*", "label=*/batch_id=*", "*.json")
+
+
 def read_alerts(spark: SparkSession, directory: str, missing_ok: bool = True) -> DataFrame:
-    """Every alert line under ``directory``.
+    """Every alert line under ``directory``, with its ``label, run,
+    batch_id``.
 
-    Two layouts are read: the sink's partitioned ``label=…/batch_id=…``
-    folders (partition discovery, so filters on ``label`` / ``batch_id``
-    prune folders instead of listing and reading them), and flat
+    The sink's partitioned folders (partition discovery, so filters on
+    ``label``, ``run`` and ``batch_id`` prune folders) and flat
     ``{label}_batch_{id}.json`` files, whose label and batch id come from the
-    file name.  Blank lines are skipped; a line that is not JSON is dropped;
-    a wrong-typed field is null and the rest of its record kept.  A missing
-    or empty folder gives an empty frame with the same columns (or raises
-    when ``missing_ok`` is false).  The schema is declared, so resolving the
-    folder lists files but reads none.
+    file name, are read side by side; alerts without a run have a null run,
+    which counts as the oldest.  Blank lines are skipped; a line that is not
+    JSON is dropped; a wrong-typed field is null and the rest of its record
+    kept.  A missing or empty folder gives an empty frame with the same
+    columns (or raises when ``missing_ok`` is false).  The schema is
+    declared, so resolving the folder lists files but reads none.
     """
-    try:
-        raw = (
-            spark.read.schema(ALERT_WITH_CORRUPT)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-            .option("pathGlobFilter", "*.json")
-            .json(directory)
-        )
-        raw.schema
-    except AnalysisException:
-        if not missing_ok:
-            raise
-        empty = spark.createDataFrame([], ALERT_WITH_CORRUPT)
-        return empty.select(
-            *ALERT_COLUMNS,
-            F.lit(None).cast("string").alias("label"),
-            F.lit(None).cast("bigint").alias("batch_id"),
-        )
+    found, error = None, None
+    for layout in _ALERT_LAYOUTS:
+        try:
+            part = _alert_layout(spark, directory, layout)
+        except AnalysisException as exc:  # no such files
+            error = exc
+            continue
+        found = part if found is None else found.unionByName(part)
+    if found is not None:
+        return found
+    if not missing_ok:
+        raise error
+    empty = spark.createDataFrame([], ALERT_WITH_CORRUPT)
+    none = F.lit(None).cast("string")
+    return empty.select(*ALERT_COLUMNS, none.alias("label"), none.alias("run"), F.lit(None).cast("bigint").alias("batch_id"))
+
+
+def _alert_layout(spark: SparkSession, directory: str, layout: str) -> DataFrame:
+    raw = (
+        spark.read.schema(ALERT_WITH_CORRUPT)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+        .option("pathGlobFilter", "*.json")
+        .option("basePath", directory)
+        .json(f"{directory}/{layout}")
+    )
     name = F.col("_metadata.file_name")
-    if "label" in raw.columns:
-        label = F.col("label").cast("string")
-    else:
-        label = F.nullif(F.regexp_extract(name, r"^(.+)_batch_\d+\.json$", 1), F.lit(""))
-    if "batch_id" in raw.columns:
-        batch = F.col("batch_id").cast("bigint")
-    else:
-        batch = F.nullif(F.regexp_extract(name, r"_batch_(\d+)\.json$", 1), F.lit("")).cast("bigint")
+    from_name = lambda pattern: F.nullif(F.regexp_extract(name, pattern, 1), F.lit(""))
+    label = F.col("label").cast("string") if "label" in raw.columns else from_name(r"^(.+)_batch_\d+\.json$")
+    run = F.col("run").cast("string") if "run" in raw.columns else F.lit(None).cast("string")
+    batch = F.col("batch_id") if "batch_id" in raw.columns else from_name(r"_batch_(\d+)\.json$")
     # A line that is not JSON at all parses to all-null fields: drop it.  A
     # record with one wrong-typed field keeps its other fields (null there).
     any_field = F.coalesce(*[F.col(c).cast("string") for c in ALERT_COLUMNS]).isNotNull()
     return raw.filter(F.col(CORRUPT_RECORD).isNull() | any_field).select(
-        *ALERT_COLUMNS, label.alias("label"), batch.alias("batch_id")
+        *ALERT_COLUMNS, label.alias("label"), run.alias("run"), batch.cast("bigint").alias("batch_id")
     )
 
 
@@ -127,10 +178,12 @@ def decode_log_json(
         cols.append(F.col(broker_time_col).alias("kafka_ts"))
     else:
         cols.append(F.lit(None).cast("timestamp").alias("kafka_ts"))
+    # A generator: filters and projections on the fields stay above it, so
+    # each line is parsed once however many fields a detector reads.
     out = (
         raw.select(*cols)
-        .select(F.from_json("raw_json", schema).alias("d"), "kafka_ts")
-        .select("d.*", "kafka_ts")
+        .select("kafka_ts", F.inline_outer(F.array(F.from_json("raw_json", schema))))
+        .select(*[f.name for f in schema.fields], "kafka_ts")
         .withColumn("event_ts", F.try_to_timestamp(F.col("timestamp")))
     )
     if watermark:
