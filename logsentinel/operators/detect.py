@@ -259,13 +259,14 @@ def volume_tumbling(
 
 def threat_score_by_ip(logs: DataFrame, fold_case: bool = False, order: bool = True) -> DataFrame:
     """Summed per-event points per IP over all time (raw-case labels by
-    default: 'Malicious' scores 0 unless ``fold_case``)."""
+    default: 'Malicious' scores 0 unless ``fold_case``).  Most IPs share a
+    score; the IP as second sort key spreads them over the sort's tasks."""
     out = (
         logs.withColumn("event_score", event_score("threat_label", fold_case))
         .groupBy("source_ip")
         .agg(F.sum("event_score").cast("bigint").alias("total_threat_score"))
     )
-    return out.orderBy(F.desc("total_threat_score")) if order else out
+    return out.orderBy(F.desc("total_threat_score"), "source_ip") if order else out
 
 
 def threat_store(

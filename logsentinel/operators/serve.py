@@ -20,19 +20,6 @@ from logsentinel.schema import ALERT_COLUMNS
 from logsentinel.sources import readers
 
 
-def at_most_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one small job that
-    stops reading after ``max_rows + 1`` rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, sized: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only after checking the row count of ``df`` (or of
-    ``sized``, a cheaper frame with the same rows); larger inputs are left
-    to the planner's shuffle join."""
-    return F.broadcast(df) if at_most_rows(sized if sized is not None else df, max_rows) else df
-
-
 # ---------------------------------------------------------------------------
 # Batch-layer routes
 # ---------------------------------------------------------------------------
@@ -75,17 +62,18 @@ def threats_top(top: DataFrame) -> DataFrame:
 def ip_lookup(
     requested: DataFrame,
     top: DataFrame,
-    current_alerts: DataFrame | None = None,
+    alerts: DataFrame | None = None,
     ip_col: str = "ip",
-    max_broadcast_rows: int = 10_000,
 ) -> DataFrame:
     """V3: look up many IPs at once.
 
     Found IPs get their TOP_IP counts, score, level and action (``BLOCK`` at
     score >= 75, else ``MONITOR``); the rest are ``clean``.  The speed-layer
-    part is the number of current alerts and their highest score, from a
-    per-IP pre-aggregate of the alert table.  The TOP_IP side is a top-n
-    table; it is broadcast only after its size is checked.
+    part is the number of current alerts and their highest score.  The alert
+    table is first cut to the requested IPs by a left-semi join, so its
+    latest emissions and counts are worked out for those only; alerts without
+    a ``batch_id`` are taken as current already.  How each join runs is left
+    to the planner's size limits and to adaptive execution.
     """
     rep = ip_reputation(top).select(
         F.col("source_ip").alias(ip_col),
@@ -96,9 +84,7 @@ def ip_lookup(
         "reputation_score",
         "threat_level",
     )
-    # rep has one row per TOP_IP row: size-check the stored table itself.
-    side = broadcast_if_small(rep, max_broadcast_rows, sized=top)
-    out = requested.select(ip_col).join(side, ip_col, "left")
+    out = requested.select(ip_col).join(rep, ip_col, "left")
     found = F.col("reputation_score").isNotNull()
     out = out.select(
         "*",
@@ -106,8 +92,10 @@ def ip_lookup(
         F.when(found, F.when(F.col("reputation_score") >= rules.BLOCK_AT_SCORE, F.lit("BLOCK"))
                .otherwise(F.lit("MONITOR"))).alias("action"),
     )
-    if current_alerts is not None:
-        per_ip = current_alerts.groupBy(F.col("source_ip").alias(ip_col)).agg(
+    if alerts is not None:
+        asked = requested.select(F.col(ip_col).alias("source_ip"))
+        theirs = alerts.join(asked, "source_ip", "left_semi")
+        per_ip = (current_alerts(theirs) if "batch_id" in alerts.columns else theirs).groupBy(F.col("source_ip").alias(ip_col)).agg(
             F.count(F.lit(1)).alias("active_alerts"),
             F.max("threat_score").alias("max_alert_score"),
         )
@@ -170,7 +158,9 @@ def current_alerts(
 def alert_feed(
     alerts: DataFrame, as_of: Column | str | None = None, lookback: str = "24 hours"
 ) -> DataFrame:
-    """V7: all alerts, missing score = 0, highest score first.  With
+    """V7: all alerts, missing score = 0, highest score first, then by IP,
+    window and type (whole groups share a score: the further keys spread them
+    over the sort's partitions and fix the order).  With
     ``as_of`` only alerts whose window ended within ``lookback`` of it."""
     out = alerts.select(*ALERT_COLUMNS).withColumn(
         "threat_score", F.coalesce(F.col("threat_score"), F.lit(0).cast("bigint"))
@@ -180,7 +170,7 @@ def alert_feed(
         out = out.filter(
             F.try_to_timestamp(F.col("window_end")) >= ref - F.expr(f"INTERVAL {lookback}")
         )
-    return out.orderBy(F.desc("threat_score"))
+    return out.orderBy(F.desc("threat_score"), "source_ip", "window_start", "alert_type")
 
 
 def _distinct_with_null(col: str) -> Column:
@@ -282,35 +272,37 @@ def threat_kpis(
 
 
 def result_table_stats(spark: SparkSession, tables: Mapping[str, str], alert_dir: str | None = None) -> DataFrame:
-    """Per result table, whether it is present and its row count (0
-    when missing).  Counting is a distributed aggregate per table."""
+    """Per result table, whether it is present, its row count (0 when
+    missing) and the error text (null when present).  Counting is a distributed aggregate per table."""
     parts = []
     for name, path in tables.items():
-        df, _err = readers.read_result_table(spark, path)
-        parts.append(_availability(spark, name, df))
+        parts.append(_availability(spark, name, *readers.read_result_table(spark, path)))
     if alert_dir is not None:
+        alerts, error = None, None
         try:
             alerts = readers.read_alerts(spark, alert_dir, missing_ok=False)
-        except AnalysisException:
-            alerts = None
-        parts.append(_availability(spark, "brute_force_alerts", alerts))
+        except AnalysisException as exc:
+            error = f"missing alert table at {alert_dir}: {exc.getCondition() or exc}"
+        parts.append(_availability(spark, "brute_force_alerts", alerts, error))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def _availability(spark: SparkSession, name: str, df: DataFrame | None) -> DataFrame:
+def _availability(spark: SparkSession, name: str, df: DataFrame | None, error: str | None = None) -> DataFrame:
     if df is None:
         return spark.range(1).select(
             F.lit(name).alias("table_name"),
             F.lit(False).alias("available"),
             F.lit(0).cast("bigint").alias("row_count"),
+            F.lit(error).cast("string").alias("error"),
         )
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(name).alias("table_name"),
         F.lit(True).alias("available"),
         "row_count",
+        F.lit(None).cast("string").alias("error"),
     )
 
 
