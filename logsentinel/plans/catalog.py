@@ -9,15 +9,15 @@ which also cuts the lineage of the serving queries.
 
 from __future__ import annotations
 
-import os
+import hashlib
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsentinel.operators import batch, detect, profile, serve
-from logsentinel.schema import RESULT_TABLES
+from logsentinel.schema import LOG_COLUMNS, RESULT_TABLES
 from logsentinel.session import app_id, shared_path
 from logsentinel.sources import adapters, readers, sinks
 from logsentinel.streaming import runner
@@ -39,13 +39,31 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MEMO: dict[tuple, str] = {}
-_LOCK = threading.RLock()
+_LOCKS: dict[tuple, threading.RLock] = {}
+_GUARD = threading.Lock()
+
+
+def input_version(spark: SparkSession, path: str) -> str:
+    """Names, sizes and modification times of the files of a table, as one
+    digest: changes whenever the table does."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append((str(f.getPath()), f.getLen(), f.getModificationTime()))
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()
 
 
 def materialized(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None]) -> str:
-    """Path of an intermediate written once per (application, sf_dir, kind)."""
-    key = (app_id(spark), os.path.abspath(sf_dir), kind)
-    with _LOCK:
+    """Path of an intermediate written once per application, kind and state
+    of the input files.  Each intermediate has its own lock, so different
+    ones are built side by side."""
+    key = (app_id(spark), sf_dir, kind, input_version(spark, f"{sf_dir}/events.parquet"))
+    with _GUARD:
+        lock = _LOCKS.setdefault(key, threading.RLock())
+    with lock:
         path = _MEMO.get(key)
         if path is None:
             path = shared_path(spark, "stage", kind, unique=True)
@@ -54,6 +72,12 @@ def materialized(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[s
     return path
 
 
+def clock():
+    """Clock reading passed where an operator stamps its rows, so that full
+    schemas can be compared."""
+    return F.expr("TIMESTAMP_NTZ'2024-06-01 12:00:00'")
+
+
 # ---------------------------------------------------------------------------
 # Batch detections
 # ---------------------------------------------------------------------------
@@ -107,8 +131,7 @@ def q_brute_force_text(spark, sf_dir):
 
 @register("brute_force_tumbling")
 def q_brute_force_tumbling(spark, sf_dir):
-    # detected_at is a clock reading; it is left out of the compared output.
-    return detect.brute_force_tumbling(logs(spark, sf_dir)).drop("detected_at")
+    return detect.brute_force_tumbling(logs(spark, sf_dir), detected_at=clock())
 
 
 @register("attack_signatures_sliding")
@@ -152,8 +175,7 @@ def q_threat_score_by_ip(spark, sf_dir):
 
 @register("threat_store")
 def q_threat_store(spark, sf_dir):
-    # stored_at is a clock reading; it is left out of the compared output.
-    return detect.threat_store(logs(spark, sf_dir)).drop("stored_at")
+    return detect.threat_store(logs(spark, sf_dir), stored_at=clock())
 
 
 @register("all_alerts")
@@ -242,7 +264,7 @@ def stored_csv(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
         adapters.with_dirty_timestamp(logs(spark, sf_dir)).write.mode("overwrite").option(
             "header", "true"
-        ).csv(path)
+        ).option("escape", '"').csv(path)
 
     return materialized(spark, sf_dir, "raw_csv", build)
 
@@ -270,7 +292,7 @@ def q_profile_shape(spark, sf_dir):
 
 @register("profile_types")
 def q_profile_types(spark, sf_dir):
-    return profile.profile_types(spark, raw_logs(spark, sf_dir))
+    return profile.profile_types(readers.read_raw_csv(spark, stored_csv(spark, sf_dir)))
 
 
 @register("profile_nulls")
@@ -311,8 +333,7 @@ def q_ip_reputation(spark, sf_dir):
 @register("ip_lookup")
 def q_ip_lookup(spark, sf_dir):
     requested = logs(spark, sf_dir).select(F.col("source_ip").alias("ip")).distinct()
-    current = serve.current_alerts(alerts(spark, sf_dir))
-    return serve.ip_lookup(requested, top_table(spark, sf_dir), current)
+    return serve.ip_lookup(requested, top_table(spark, sf_dir), alerts(spark, sf_dir))
 
 
 @register("threats_top")
@@ -394,45 +415,76 @@ def q_current_alerts(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
+#: Files of the stream, each a micro-batch, and state partitions of its queries.
+STREAM_FILES = 3
+STATE_PARTITIONS = 8
+
+
 def stored_json_stream(spark: SparkSession, sf_dir: str) -> str:
-    """The log view as JSON lines (the stream envelope), in a folder a file
-    stream can replay."""
+    """The log view as JSON lines (the stream envelope) in files that follow
+    each other in event time and are written one after the other, so a file
+    stream replays them in order."""
 
     def build(path: str) -> None:
-        adapters.to_json_lines(logs(spark, sf_dir)).write.mode("overwrite").text(path)
+        lines = logs(spark, sf_dir).select("event_id", F.to_json(F.struct(*LOG_COLUMNS)).alias("value"))
+        last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).first()[0] or 0
+        step = last // STREAM_FILES + 1
+        for i in range(STREAM_FILES):
+            part = lines.filter((F.col("event_id") >= i * step) & (F.col("event_id") < (i + 1) * step))
+            part.select("value").write.mode("append").text(path)
 
     return materialized(spark, sf_dir, "json_stream", build)
 
 
-def _cores(spark: SparkSession) -> int | None:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on this client: keep the session's value
-        return None
-
-
-@register("alert_sink_roundtrip")
-def q_alert_sink_roundtrip(spark, sf_dir):
-    src = runner.text_file_source(spark, stored_json_stream(spark, sf_dir))
+def stored_stream_run(spark: SparkSession, sf_dir: str) -> str:
+    """The alert folder after two runs of the detection queries, each with
+    its own checkpoints, over the same stream in ordered micro-batches."""
+    source_dir = stored_json_stream(spark, sf_dir)
 
     def build(root: str) -> None:
-        # one state partition per core, whatever the session's batch width
-        with runner.state_partitions(spark, _cores(spark)):
-            qs = runner.start_alert_queries(
-                src, f"{root}/alerts", f"{root}/checkpoints", trigger={"availableNow": True}
+        session = runner.stream_session(spark, STATE_PARTITIONS)
+        src = runner.text_file_source(session, source_dir, max_files_per_trigger=1)
+        for run in ("first", "second"):
+            queries = runner.start_alert_queries(
+                src, f"{root}/alerts", f"{root}/checkpoints/{run}", trigger={"availableNow": True}
             )
-        runner.await_all(qs)
+            runner.await_all(queries)
+
+    return f"{materialized(spark, sf_dir, 'stream_run', build)}/alerts"
+
 
-    root = materialized(spark, sf_dir, "stream_run", build)
-    current = serve.current_alerts(readers.read_alerts(spark, f"{root}/alerts"))
-    return current.drop("batch_id")
+@register("alert_sink_roundtrip")
+def q_alert_sink_roundtrip(spark, sf_dir):
+    """V14 over what the sink holds: every window once, whatever its
+    emissions in the micro-batches of both runs."""
+    emitted = readers.read_alerts(spark, stored_stream_run(spark, sf_dir))
+    return serve.current_alerts(emitted).drop("run", "batch_id")
+
+
+@register("alert_sink_runs")
+def q_alert_sink_runs(spark, sf_dir):
+    """Per detector and run, in order, how many windows the sink holds: the
+    second run leaves the first's alerts.  ``emitted_again`` tells whether the
+    sink holds more emissions than windows, as it does where V14 matters."""
+    emitted = readers.read_alerts(spark, stored_stream_run(spark, sf_dir))
+    windows = emitted.groupBy("label", "run", "source_ip", "window_start", "alert_type").agg(
+        F.count(F.lit(1)).alias("emissions")
+    )
+    runs = windows.groupBy("label", "run").agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("emissions").alias("emissions")
+    )
+    number = F.row_number().over(Window.partitionBy("label").orderBy("run"))
+    whole = Window.partitionBy()  # one row per detector and run
+    again = F.sum("emissions").over(whole) > F.sum("windows").over(whole)
+    return runs.select("label", number.alias("run_number"), "windows", again.alias("emitted_again"))
 
 
 @register("threat_store_sink_roundtrip")
 def q_threat_store_sink_roundtrip(spark, sf_dir):
     """K4: the stored-threat projection streamed into its Parquet sink and
     read back (``stored_at`` is a clock reading and is left out)."""
-    src = runner.text_file_source(spark, stored_json_stream(spark, sf_dir))
+    source_dir = stored_json_stream(spark, sf_dir)
+    src = runner.text_file_source(runner.stream_session(spark, STATE_PARTITIONS), source_dir)
 
     def build(root: str) -> None:
         q = runner.start_threat_store(

@@ -10,6 +10,10 @@ from __future__ import annotations
 
 from logsentinel import rules
 from logsentinel.sources import adapters as A
+from logsentinel.sources.sinks import BATCH_RUN
+
+#: The clock reading that the queries pass for stored and detected times.
+CLOCK = "2024-06-01 12:00:00"
 
 
 def q(s: str) -> str:
@@ -21,11 +25,9 @@ def _list(values) -> str:
     return "[" + ", ".join(q(v) if isinstance(v, str) else str(v) for v in values) + "]"
 
 
-def _path_case() -> str:
-    whens = " ".join(
-        f"WHEN {i} THEN {'NULL' if p is None else q(p)}" for i, p in enumerate(A.PATHS)
-    )
-    return f"CASE event_id % {A.PATH_MODULUS} {whens} ELSE {q(A.DEFAULT_PATH)} END"
+def _case(values, default: str, index: str) -> str:
+    whens = " ".join(f"WHEN {i} THEN {'NULL' if p is None else q(p)}" for i, p in enumerate(values))
+    return f"replace(CASE {index} {whens} ELSE {q(default)} END, '%s', CAST(event_id AS VARCHAR))"
 
 
 LOGS = f"""
@@ -33,22 +35,22 @@ logs0 AS (
   SELECT
     event_id,
     TIMESTAMP {q(A.EPOCH)} + to_milliseconds(event_id * {A.STEP_MS}) AS event_ts,
-    {q(A.IP_PREFIX)} || CAST(user_id % {A.IP_MODULUS} AS VARCHAR) AS source_ip,
+    concat_ws('.', 10 + (event_id // {A.BLOCK}) // 65536, ((event_id // {A.BLOCK}) // 256) % 256,
+      (event_id // {A.BLOCK}) % 256, CASE WHEN user_id % 2 = 1 THEN user_id % 10 ELSE user_id % 30 END) AS source_ip,
     {q(A.DEST_PREFIX)} || CAST(event_id % 3 AS VARCHAR) || '.'
       || json_extract_string(props, '$.k') AS dest_ip,
     {_list(A.PORTS)}[(event_id // 5) % 5 + 1] AS dest_port,
     {_list(A.PROTOCOLS)}[event_id % {len(A.PROTOCOLS)} + 1] AS protocol,
     CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'blocked'
       ELSE 'allowed' END AS action,
-    CASE WHEN value > {A.MALICIOUS_ABOVE} THEN 'Malicious'
-      WHEN value > {A.SUSPICIOUS_ABOVE} THEN 'suspicious' ELSE 'benign' END AS threat_label,
+    CASE WHEN value > {A.MALICIOUS_ABOVE} THEN {_list(A.MALICIOUS_SPELLINGS)}[event_id % {len(A.MALICIOUS_SPELLINGS)} + 1]
+      WHEN value > {A.SUSPICIOUS_ABOVE} THEN {_list(A.SUSPICIOUS_SPELLINGS)}[event_id % {len(A.SUSPICIOUS_SPELLINGS)} + 1]
+      ELSE 'benign' END AS threat_label,
     {_list(A.LOG_TYPES)}[event_id % {len(A.LOG_TYPES)} + 1] AS log_type,
     CAST(round(value * {A.BYTES_PER_VALUE}) AS BIGINT) AS bytes_transferred,
     CASE WHEN event_id % {A.AGENT_NULL_EVERY} = 0 THEN NULL
-      WHEN event_id % {A.AGENT_MODULUS} = 0 THEN {q(A.SQLMAP_AGENT)}
-      WHEN event_id % {A.AGENT_MODULUS} = 1 THEN {q(A.NIKTO_AGENT)}
-      ELSE {q(A.BROWSER_AGENT)} END AS user_agent,
-    {_path_case()} AS request_path
+      ELSE {_case(A.AGENTS, A.DEFAULT_AGENT, f"(event_id * 5 + user_id) % {A.AGENT_MODULUS}")} END AS user_agent,
+    {_case(A.PATHS, A.DEFAULT_PATH, f"(event_id * 7 + user_id) % {A.PATH_MODULUS}")} AS request_path
   FROM events
 ),
 logs AS (
@@ -231,7 +233,8 @@ def oracles() -> dict[str, str]:
         "bt0 AS (SELECT * FROM logs WHERE action = 'blocked')", tumbling("bt0", "bt1", 60)
     ) + (
         "SELECT source_ip, ws AS window_start, ws + INTERVAL '1 minute' AS window_end, "
-        "count(*) AS failed_attempts, 'BRUTE_FORCE' AS threat_type FROM bt1 "
+        "count(*) AS failed_attempts, 'BRUTE_FORCE' AS threat_type, "
+        f"TIMESTAMP {q(CLOCK)} AS detected_at FROM bt1 "
         "GROUP BY source_ip, ws HAVING count(*) > 5"
     )
     o["attack_signatures_sliding"] = with_(SIGS) + "SELECT * FROM sigs"
@@ -259,15 +262,23 @@ def oracles() -> dict[str, str]:
         "FROM logs GROUP BY source_ip"
     )
     o["threat_store"] = with_() + (
+        'SELECT source_ip AS ip_source, "timestamp" AS last_seen, threat_label AS attack_type, '
+        f"TIMESTAMP {q(CLOCK)} AS stored_at "
+        "FROM logs WHERE threat_label IN ('malicious', 'suspicious')"
+    )
+    o["threat_store_sink_roundtrip"] = with_() + (
         'SELECT source_ip AS ip_source, "timestamp" AS last_seen, threat_label AS attack_type '
         "FROM logs WHERE threat_label IN ('malicious', 'suspicious')"
     )
-    o["threat_store_sink_roundtrip"] = o["threat_store"]
     o["all_alerts"] = with_(ALERTS) + f"SELECT {ALERT_COLS} FROM alerts"
 
     # ---- sources and sinks --------------------------------------------------
-    o["alerts_scan"] = with_(ALERTS) + f"SELECT {ALERT_COLS}, label, CAST(0 AS BIGINT) AS batch_id FROM alerts"
+    o["alerts_scan"] = with_(ALERTS) + f"SELECT {ALERT_COLS}, label, {q(BATCH_RUN)} AS run, CAST(0 AS BIGINT) AS batch_id FROM alerts"
     o["alert_sink_roundtrip"] = with_(ALERTS) + f"SELECT {ALERT_COLS}, label FROM alerts"
+    o["alert_sink_runs"] = with_(ALERTS) + (
+        'SELECT label, CAST(run_number AS INTEGER) AS run_number, count(*) AS windows, true AS emitted_again '
+        "FROM alerts, (VALUES (1), (2)) r(run_number) GROUP BY label, run_number"
+    )
     o["log_json_decode"] = with_() + (
         f'SELECT {LOG_COLS}, CAST("timestamp" AS TIMESTAMP) AS event_ts FROM logs'
     )
@@ -277,7 +288,8 @@ def oracles() -> dict[str, str]:
         f"raw AS (SELECT CASE WHEN event_id % {A.BAD_TS_EVERY} = {A.BAD_TS_EVERY - 1} "
         f"THEN {q(A.BAD_TS_TEXT)} ELSE \"timestamp\" END AS \"timestamp\", "
         "source_ip, dest_ip, dest_port, protocol, action, threat_label, log_type, "
-        "bytes_transferred, user_agent, request_path FROM logs)"
+        f"bytes_transferred, CASE WHEN event_id % {A.MISSING_EVERY} = 0 THEN NULL ELSE user_agent END AS user_agent, "
+        "request_path FROM logs)"
     )
     raw_cols = [c.strip().strip('"') for c in LOG_COLS.split(",")]
     o["normalize_logs"] = with_(raw) + (
@@ -288,6 +300,15 @@ def oracles() -> dict[str, str]:
     o["profile_shape"] = with_(raw) + (
         f"SELECT count(*) AS row_count, {len(raw_cols)} AS column_count FROM raw"
     )
+    whole, number = q("^[+-]?[0-9]{1,18}$"), q("^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$")
+    o["profile_types"] = with_(raw) + " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, {q(c)} AS column_name, CASE "
+        f"WHEN count(*) > 0 AND count(*) FILTER (WHERE regexp_matches(CAST(\"{c}\" AS VARCHAR), {whole})) = count(*) THEN 'bigint' "
+        f"WHEN count(*) FILTER (WHERE regexp_matches(CAST(\"{c}\" AS VARCHAR), {number})) = count(\"{c}\") THEN 'double' "
+        f"WHEN count(*) FILTER (WHERE CAST(\"{c}\" AS VARCHAR) IN ('True', 'False')) = count(*) THEN 'boolean' "
+        "ELSE 'string' END AS data_type FROM raw"
+        for i, c in enumerate(raw_cols)
+    )
     o["profile_nulls"] = with_(raw) + " UNION ALL ".join(
         f"SELECT {q(c)} AS column_name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count FROM raw"
         for c in raw_cols
@@ -357,7 +378,7 @@ def oracles() -> dict[str, str]:
         f"{label('benign')} AS benign_events, {scalar('SELECT count(*) FROM top')} AS top_ip_count"
     )
     o["result_table_stats"] = with_(TOP, PORTSCAN, SQLIXSS, BYTES, ALERTS) + " UNION ALL ".join(
-        f"SELECT {q(name)} AS table_name, true AS available, count(*) AS row_count FROM {src}"
+        f"SELECT {q(name)} AS table_name, true AS available, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM {src}"
         for name, src in (
             ("top_malicious_ips", "top"),
             ("port_scan_detection", "portscan"),
@@ -409,6 +430,6 @@ def oracles() -> dict[str, str]:
         "source_ip ASC LIMIT 1) AS top_attacker FROM alerts"
     )
     o["current_alerts"] = with_(ALERTS) + (
-        f"SELECT {ALERT_COLS}, label, CAST(0 AS BIGINT) AS batch_id FROM alerts"
+        f"SELECT {ALERT_COLS}, label, {q(BATCH_RUN)} AS run, CAST(0 AS BIGINT) AS batch_id FROM alerts"
     )
     return o

@@ -3,7 +3,7 @@
 The real event timestamps are too sparse for minute windows, so the view
 spaces events 100 ms apart in ``event_id`` order and derives every LOG field
 from the event's columns with cheap, deterministic rules.  It is a narrow
-projection (no shuffle) and prunes ``events`` to the four columns it uses.
+projection (no shuffle) and prunes ``events`` to the columns it uses.
 """
 
 from __future__ import annotations
@@ -18,32 +18,55 @@ from logsentinel.functions.expressions import ts_text
 # ---------------------------------------------------------------------------
 EPOCH = "2024-01-01 00:00:00"
 STEP_MS = 100
-IP_PREFIX = "10.0.0."
-IP_MODULUS = 20
+#: Events per block (five minutes).  Each block has its own addresses, so
+#: their number grows with the table while each address has enough events
+#: within a window to alert.
+BLOCK = 3000
 DEST_PREFIX = "172.16."
 PROTOCOLS = ("HTTP", "TCP", "SSH", "HTTPS", "FTP")
 PORTS = (80, 443, 22, 3306, 8080)
 LOG_TYPES = ("firewall", "ids", "application")
 MALICIOUS_ABOVE = 150.0
 SUSPICIOUS_ABOVE = 80.0
+MALICIOUS_SPELLINGS = ("Malicious", "malicious", "MALICIOUS")
+SUSPICIOUS_SPELLINGS = ("suspicious", "Suspicious")
 BYTES_PER_VALUE = 50000
 AGENT_NULL_EVERY = 97
-AGENT_MODULUS = 11
-SQLMAP_AGENT = "sqlmap/1.7.8#stable"
-NIKTO_AGENT = "nikto/2.1.6"
-BROWSER_AGENT = "Mozilla/5.0"
+# Request paths and agents, %s is the event id: plain ones, both attack
+# families in several spellings, both at once, near misses of the rules, and
+# quotes and commas for the CSV reader.
 PATHS = (
-    "/admin/login.php?user=admin'--",
-    "/search?q=<script>alert(1)</script>",
-    "/api/users?id=1 UNION SELECT * FROM users--",
-    "/wp-admin/?id=1' OR '1'='1",
+    "/item?id=%s' or 'a'='a",
+    "/report?y=%s UNION  SELECT name, pw FROM accounts",
+    "/q?t=<ScRiPt>track(%s)</sCrIpT>",
+    '/img?alt="a, b"&x=<svg onload=go(%s)>',
+    "/doc/%s?title=union of selects",
+    "/x?c=%s'--",
     None,
-    "/x?a=<img src=x onerror=alert(1)>",
+    "/note?m=it's %s or so",
+    "/shop?cat=%s&sort=price,desc",
+    "/a?j=JavaScript:void(%s)",
+    "/both?id=%s or 1=1&z=<script>go()</script>",
+    "/c?d=document.cookies-%s",
+    "/y?k=%s' OR '1'='1",
+    "/t?n=%s;DROP TABLE staff",
 )
-DEFAULT_PATH = "/index.html"
-PATH_MODULUS = 13
+PATH_MODULUS = 41
+DEFAULT_PATH = "/static/page-%s.html"
+AGENTS = (
+    "probe (sqlmap) build %s",
+    "Nikto-like/%s",
+    "scan nikto %s",
+    'Agent "Q", v%s',
+    "two\nlines %s",
+)
+AGENT_MODULUS = 23
+DEFAULT_AGENT = "Mozilla/5.0 (rv:%s)"
 BAD_TS_EVERY = 89
 BAD_TS_TEXT = "not-a-timestamp"
+#: In the raw CSV, every so many agents are one of the texts for missing.
+MISSING_EVERY = 71
+MISSING_TEXTS = ("NA", "N/A", "NaN", "null")
 
 
 def _pick(values, index: Column) -> Column:
@@ -52,36 +75,37 @@ def _pick(values, index: Column) -> Column:
     return F.element_at(arr, (index + F.lit(1)).cast("int"))
 
 
+def _filled(values, default: str, index: Column) -> Column:
+    """The text at a 0-based index, or the default beyond, with the event id
+    put in."""
+    text = F.when(index < len(values), _pick(values, F.least(index, F.lit(len(values) - 1)))).otherwise(F.lit(default))
+    return F.replace(text, F.lit("%s"), F.col("event_id").cast("string"))
+
+
 def log_view(events: DataFrame) -> DataFrame:
     """``events(event_id, user_id, event_type, value, props)`` → LOG view.
 
     Columns: ``event_id, event_ts (timestamp_ntz), timestamp (text)`` and the
-    ten LOG fields.  ``threat_label`` is 'Malicious' with a capital M so that
-    case folding is exercised: folded rules see it, raw-case rules do not.
+    ten LOG fields.  The source address is the block of the event and the
+    user's place in it (odd users share five places, even ones fifteen, so
+    some addresses are busier).  Labels come in several spellings, so folded
+    and raw-case rules differ.
     """
-    eid = F.col("event_id")
-    value = F.col("value")
-    event_ts = F.expr(
-        f"timestampadd(MILLISECOND, event_id * {STEP_MS}, TIMESTAMP_NTZ'{EPOCH}')"
-    )
-    path_idx = eid % PATH_MODULUS
-    path = F.when(path_idx < len(PATHS), _pick(PATHS, path_idx)).otherwise(
-        F.lit(DEFAULT_PATH)
-    )
-    agent = (
-        F.when(eid % AGENT_NULL_EVERY == 0, F.lit(None).cast("string"))
-        .when(eid % AGENT_MODULUS == 0, F.lit(SQLMAP_AGENT))
-        .when(eid % AGENT_MODULUS == 1, F.lit(NIKTO_AGENT))
-        .otherwise(F.lit(BROWSER_AGENT))
+    eid, uid, value = F.col("event_id"), F.col("user_id"), F.col("value")
+    event_ts = F.expr(f"timestampadd(MILLISECOND, event_id * {STEP_MS}, TIMESTAMP_NTZ'{EPOCH}')")
+    block = F.expr(f"event_id div {BLOCK}")
+    host = F.when(uid % 2 == 1, uid % 10).otherwise(uid % 30)
+    agent = F.when(eid % AGENT_NULL_EVERY == 0, F.lit(None).cast("string")).otherwise(
+        _filled(AGENTS, DEFAULT_AGENT, (eid * 5 + uid) % AGENT_MODULUS)
     )
     return (
         events.select("event_id", "user_id", "event_type", "value", "props")
         .select(
             eid.alias("event_id"),
             event_ts.alias("event_ts"),
-            F.concat(F.lit(IP_PREFIX), (F.col("user_id") % IP_MODULUS).cast("string")).alias(
-                "source_ip"
-            ),
+            F.concat_ws(
+                ".", F.expr(f"10 + (event_id div {BLOCK}) div 65536"), F.expr(f"((event_id div {BLOCK}) div 256) % 256"), block % 256, host
+            ).alias("source_ip"),
             F.concat(
                 F.lit(DEST_PREFIX),
                 (eid % 3).cast("string"),
@@ -94,14 +118,14 @@ def log_view(events: DataFrame) -> DataFrame:
             .when(F.col("event_type") == "signup", F.lit("blocked"))
             .otherwise(F.lit("allowed"))
             .alias("action"),
-            F.when(value > MALICIOUS_ABOVE, F.lit("Malicious"))
-            .when(value > SUSPICIOUS_ABOVE, F.lit("suspicious"))
+            F.when(value > MALICIOUS_ABOVE, _pick(MALICIOUS_SPELLINGS, eid % len(MALICIOUS_SPELLINGS)))
+            .when(value > SUSPICIOUS_ABOVE, _pick(SUSPICIOUS_SPELLINGS, eid % len(SUSPICIOUS_SPELLINGS)))
             .otherwise(F.lit("benign"))
             .alias("threat_label"),
             _pick(LOG_TYPES, eid % len(LOG_TYPES)).alias("log_type"),
             F.round(value * BYTES_PER_VALUE).cast("bigint").alias("bytes_transferred"),
             agent.alias("user_agent"),
-            path.alias("request_path"),
+            _filled(PATHS, DEFAULT_PATH, (eid * 7 + uid) % PATH_MODULUS).alias("request_path"),
         )
         .withColumn("timestamp", ts_text("event_ts"))
     )
@@ -112,13 +136,15 @@ def load_log_view(spark, sf_dir: str) -> DataFrame:
 
 
 def with_dirty_timestamp(logs: DataFrame) -> DataFrame:
-    """The raw-CSV shape: LOG columns, every 89th ``timestamp`` unparseable."""
+    """The raw-CSV shape: LOG columns, every 89th ``timestamp`` unparseable,
+    every 71st agent a text that stands for a missing value."""
     from logsentinel.schema import LOG_COLUMNS
 
-    bad = F.col("event_id") % BAD_TS_EVERY == BAD_TS_EVERY - 1
+    eid = F.col("event_id")
+    gone = _pick(MISSING_TEXTS, F.expr(f"(event_id div {MISSING_EVERY}) % {len(MISSING_TEXTS)}"))
     return logs.withColumn(
-        "timestamp", F.when(bad, F.lit(BAD_TS_TEXT)).otherwise(F.col("timestamp"))
-    ).select(*LOG_COLUMNS)
+        "timestamp", F.when(eid % BAD_TS_EVERY == BAD_TS_EVERY - 1, F.lit(BAD_TS_TEXT)).otherwise(F.col("timestamp"))
+    ).withColumn("user_agent", F.when(eid % MISSING_EVERY == 0, gone).otherwise(F.col("user_agent"))).select(*LOG_COLUMNS)
 
 
 def failed_login_message(action: Column) -> Column:

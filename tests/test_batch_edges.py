@@ -55,7 +55,14 @@ def test_profile_nulls_and_shape(spark):
     assert {r.column_name: r.null_count for r in profile.profile_nulls(df).collect()} == {"a": 1, "b": 2}
     r = profile.profile_shape(df).collect()[0]
     assert (r.row_count, r.column_count) == (2, 2)
-    assert [r.data_type for r in profile.profile_types(spark, df).collect()] == ["int", "string"]
+
+
+def test_profile_types_come_from_the_data(spark):
+    rows = [("1", "1", "1.5", "True", "x", None, "7"), ("-2", None, "2e3", "False", "3", None, "x")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string")
+    got = [(r.position, r.column_name, r.data_type) for r in profile.profile_types(df).collect()]
+    kinds = ["bigint", "double", "double", "boolean", "string", "double", "string"]
+    assert got == [(i, c, k) for i, (c, k) in enumerate(zip("abcdefg", kinds))]
 
 
 def test_normalize_bad_and_null_timestamps(spark):
@@ -107,7 +114,7 @@ def test_csv_round_trip_keeps_commas_and_quotes(spark, tmp_path):
             dict(request_path=None, user_agent=None)]
     df = log_rows(spark, rows).select(*LOG_COLUMNS)
     p = str(tmp_path / "raw.csv")
-    df.write.option("header", "true").csv(p)
+    df.write.option("header", "true").option("escape", '"').csv(p)
     back = readers.read_log_csv(spark, p)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     norm = profile.normalize_logs(back).collect()

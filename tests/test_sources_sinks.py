@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+
+from logsentinel.operators import serve
 from logsentinel.schema import ALERT_COLUMNS
 from logsentinel.sources import readers, sinks
 
@@ -29,7 +32,7 @@ def test_alert_scan_missing_or_empty_dir(spark, tmp_path):
     assert readers.read_alerts(spark, str(tmp_path / "nope")).count() == 0
     os.makedirs(tmp_path / "empty")
     assert readers.read_alerts(spark, str(tmp_path / "empty")).count() == 0
-    assert readers.read_alerts(spark, str(tmp_path / "nope")).columns == ALERT_COLUMNS + ["label", "batch_id"]
+    assert readers.read_alerts(spark, str(tmp_path / "nope")).columns == ALERT_COLUMNS + ["label", "run", "batch_id"]
 
 
 def test_alert_sink_is_idempotent_and_skips_empty_batches(spark, tmp_path):
@@ -41,7 +44,44 @@ def test_alert_sink_is_idempotent_and_skips_empty_batches(spark, tmp_path):
     write(df.limit(0), 5)
     scanned = readers.read_alerts(spark, out).collect()
     assert [(r.source_ip, r.batch_id, r.label) for r in scanned] == [("1.1.1.1", 4, "volume")]
-    assert not os.path.exists(os.path.join(out, "label=volume", "batch_id=5"))
+    assert sorted(os.listdir(os.path.join(out, "label=volume", f"run={sinks.BATCH_RUN}"))) == ["batch_id=4"]
+
+
+def test_alert_sink_keeps_earlier_runs(spark, tmp_path):
+    out = str(tmp_path / "sink")
+    for run, ip in (("0000000000001-a", "9.9.9.9"), ("0000000000002-b", "8.8.8.8")):
+        df = spark.createDataFrame([(ip, "w", "VOLUME_ANOMALY", 3), ("7.7.7.7", "w", "VOLUME_ANOMALY", int(ip[0]))],
+                                   "source_ip string, window_start string, alert_type string, count bigint")
+        sinks.alert_batch_writer(out, "volume", run)(df, 0)
+    scanned = readers.read_alerts(spark, out)
+    assert sorted(r.source_ip for r in scanned.collect()) == ["7.7.7.7", "7.7.7.7", "8.8.8.8", "9.9.9.9"]
+    current = {r.source_ip: r["count"] for r in serve.current_alerts(scanned).collect()}
+    assert current == {"7.7.7.7": 8, "8.8.8.8": 3, "9.9.9.9": 3}  # the later run's emission
+
+
+def test_alert_scan_reads_all_layouts_side_by_side(spark, tmp_path):
+    out = str(tmp_path / "mixed")
+    _write(f"{out}/brute_force_batch_10.json", '{"source_ip": "1.1.1.1", "count": 8}\n')
+    _write(f"{out}/label=volume/batch_id=3/part-0.json", '{"source_ip": "2.2.2.2", "count": 1}\n')
+    sinks.alert_batch_writer(out, "sqli_xss", "0000000000005-x")(
+        spark.createDataFrame([("3.3.3.3", 2)], "source_ip string, count bigint"), 4)
+    got = sorted((r.source_ip, r.label, r.run, r.batch_id) for r in readers.read_alerts(spark, out).collect())
+    assert got == [("1.1.1.1", "brute_force", None, 10), ("2.2.2.2", "volume", None, 3),
+                   ("3.3.3.3", "sqli_xss", "0000000000005-x", 4)]
+
+
+def test_compacted_alerts_hold_the_same_rows_in_fewer_folders(spark, tmp_path):
+    import glob
+
+    out, small = str(tmp_path / "sink"), str(tmp_path / "compact")
+    for b in range(6):
+        df = spark.createDataFrame([(f"1.1.1.{b}", f"2024-01-0{1 + b // 3} 00:00:00", b)],
+                                   "source_ip string, window_start string, count bigint")
+        sinks.alert_batch_writer(out, "volume", "0000000000005-x")(df, b)
+    scanned = readers.read_alerts(spark, out)
+    back = sinks.compact_alerts(scanned, small)
+    assert sorted(map(tuple, back.select(*scanned.columns).collect())) == sorted(map(tuple, scanned.collect()))
+    assert len(glob.glob(f"{small}/label=*/day=*")) == 2
 
 
 def test_result_table_missing_is_an_error_value(spark, tmp_path):
@@ -73,6 +113,69 @@ def test_csv_scan_uses_declared_schema(spark, tmp_path):
     assert dict(df.dtypes)["bytes_transferred"] == "bigint"
 
 
+HEAD = "timestamp,source_ip,dest_ip,protocol,action,threat_label,log_type,bytes_transferred,user_agent,request_path"
+
+
+def test_csv_dialect(spark, tmp_path):
+    p = str(tmp_path / "logs.csv")
+    _write(p, HEAD + "\n"
+              't1,1.1.1.1,2.2.2.2,SSH,failed,benign,ids,100,"a ""b"", c","/s?q=<img src=""x"", onerror=alert(1)>"\n'
+              't2,1.1.1.1,"NA",HTTP,allowed,malicious,ids,7,"two\nlines",N/A\n'
+              't3,1.1.1.1,,HTTP,allowed,NaN,ids,x,null,/\n')
+    rows = readers.read_log_csv(spark, p).collect()
+    assert [(r.user_agent, r.request_path) for r in rows] == [
+        ('a "b", c', '/s?q=<img src="x", onerror=alert(1)>'), ("two\nlines", None), (None, "/")]
+    assert [(r.protocol, r.action, r.dest_port, r.dest_ip, r.threat_label, r.bytes_transferred) for r in rows] == [
+        ("SSH", "failed", None, "2.2.2.2", "benign", 100), ("HTTP", "allowed", None, None, "malicious", 7),
+        ("HTTP", "allowed", None, None, None, None)]
+
+
+@pytest.mark.parametrize("head", (HEAD + ",extra", HEAD.replace("protocol,", "")))
+def test_csv_with_unknown_or_missing_columns_fails(spark, tmp_path, head):
+    p = str(tmp_path / "logs.csv")
+    _write(p, head + "\n" + ",".join("x" * len(head.split(","))) + "\n")
+    with pytest.raises(ValueError, match="extra|protocol"):
+        readers.read_log_csv(spark, p)
+
+
+def test_shared_folder_is_required_off_local_masters(monkeypatch):
+    from logsentinel import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(Session())
+
+
+def test_staged_queries_follow_their_input(spark, tmp_path):
+    from logsentinel.plans.catalog import REGISTRY
+
+    sf = str(tmp_path / "sf")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.filter("event_id < 400").write.parquet(f"{sf}/events.parquet")
+    assert REGISTRY["profile_shape"](spark, sf).first().row_count == 400
+    events.filter("event_id >= 400").write.mode("append").parquet(f"{sf}/events.parquet")
+    assert REGISTRY["profile_shape"](spark, sf).first().row_count == events.count()
+
+
+def test_rule_patterns_are_pinned():
+    from logsentinel import rules
+
+    assert rules.BATCH_SQLI_PATTERN == r"('.*or.*=)|(or 1=1)|(union select)|(drop table)|(--)"
+    assert rules.BATCH_XSS_PATTERN == r"(<script)|(</script>)|(onerror=)|(alert\()|(img src)|(javascript:)|(onload=)"
+    assert rules.STREAM_SQLI_PATTERN == r"(?i)(union\s+select|or\s+1=1|'\s*--|\bsqlmap\b|select\s+\*\s+from|drop\s+table)"
+    assert rules.STREAM_XSS_PATTERN == r"(?i)(<script|javascript:|onerror=|onload=|alert\s*\(|document\.cookie)"
+    assert (rules.SIGNATURE_PATH_LITERALS, rules.SIGNATURE_AGENT_LITERALS) == (("' OR '1'='1", "<script>"), ("sqlmap", "nikto"))
+
+
 def test_result_sink_overwrites(spark, tmp_path):
     p = str(tmp_path / "res")
     sinks.write_result(spark.range(5), p)
@@ -147,7 +250,7 @@ def test_micro_batch_sink_sizes_its_files(spark, tmp_path):
 
     out = str(tmp_path / "sink")
     df = spark.range(0, 1000, numPartitions=50).selectExpr("cast(id as string) as source_ip", "id as count")
-    sinks.alert_batch_writer(out, "volume", rows_per_file=300)(df, 7)
-    files = glob.glob(f"{out}/label=volume/batch_id=7/*.json")
-    assert len(files) == 4  # ceil(1000 / 300), not one per input partition
+    sinks.alert_batch_writer(out, "volume", files=4)(df, 7)
+    files = glob.glob(f"{out}/label=volume/run=*/batch_id=7/*.json")
+    assert len(files) == 4  # not one per input partition
     assert readers.read_alerts(spark, out).count() == 1000

@@ -242,16 +242,22 @@ def test_await_any_returns_when_one_detector_ends(spark, tmp_path):
         long_running.stop()
 
 
-def test_state_partitions_fixed_in_checkpoint_and_session_restored(spark, tmp_path):
+def test_state_partitions_are_those_of_the_stream_session(spark, tmp_path):
     src_dir = str(tmp_path / "in")
     _write_ordered_files(src_dir, [[_event(i, "10.0.0.8") for i in range(6)]])
     before = spark.conf.get("spark.sql.shuffle.partitions")
     ckpt = str(tmp_path / "ckpt")
-    with runner.state_partitions(spark, 3):
-        qs = runner.start_alert_queries(
-            runner.text_file_source(spark, src_dir), str(tmp_path / "alerts"), ckpt,
-            trigger={"availableNow": True}, detectors={"brute_force": detect.brute_force_sliding})
+    own = runner.stream_session(spark, 3)
+    qs = runner.start_alert_queries(
+        runner.text_file_source(own, src_dir), str(tmp_path / "alerts"), ckpt,
+        trigger={"availableNow": True}, detectors={"brute_force": detect.brute_force_sliding})
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     runner.await_all(qs)
     offsets = open(os.path.join(ckpt, "brute_force", "offsets", "0"), encoding="utf-8").read()
     assert '"spark.sql.shuffle.partitions":"3"' in offsets
+
+
+def test_run_id_belongs_to_the_checkpoint(spark, tmp_path):
+    first = runner.run_id(spark, str(tmp_path / "a"))
+    assert runner.run_id(spark, str(tmp_path / "a")) == first
+    assert runner.run_id(spark, str(tmp_path / "b")) > first
