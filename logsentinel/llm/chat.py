@@ -20,6 +20,8 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 NARRATORS = ("system",)
 #: Turns in a slice of a conversation.
 SLICE = 1024
+#: Stands for a missing turn number in keys; sorts before any other.
+_NO_TURN = -(1 << 62)
 
 
 def _clean(text: Column) -> Column:
@@ -38,8 +40,8 @@ def perspectives(conversations: DataFrame, narrators=NARRATORS, slice_turns: int
 
     Participants are the different speakers but the narrators; a conversation
     without one gives no rows.  A null or blank speaker is ``unknown``, a null
-    text is empty, turns go by number (null first), then by speaker and text;
-    rows that repeat are rendered each.  Rows of a null ``conv_id`` are one
+    text is empty, turns go by number (null first), then by speaker and the
+    text's MD5; rows that repeat are rendered each.  Rows of a null ``conv_id`` are one
     conversation.  An empty table gives no rows; other columns are ignored.
     """
     speaker = F.regexp_replace(F.trim(F.coalesce("role", F.lit(""))), r"[\s<>|=]+", "_")
@@ -47,35 +49,37 @@ def perspectives(conversations: DataFrame, narrators=NARRATORS, slice_turns: int
         "conv_id", F.col("turn").cast("long").alias("turn"),
         F.when(speaker == "", F.lit("unknown")).otherwise(speaker).alias("speaker"), _clean(F.col("text")).alias("body"),
     )
-    people = turns.filter(~F.col("speaker").isin(*narrators)).groupBy("conv_id", "speaker").agg(F.lit(1).alias("_")).select(
-        F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")
-    )
-    rows = turns.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+    # Keys without nulls; the digest stands for the text wherever rows are
+    # ordered and joined, so the text itself is shuffled once.
+    turns = turns.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))).withColumn(
+        "at", F.coalesce("turn", F.lit(_NO_TURN))
+    ).withColumn("digest", F.md5("body"))
+    people = turns.filter(~F.col("speaker").isin(*narrators)).select("conv", F.col("speaker").alias("perspective")).distinct()
+    slim = turns.select("conv", "at", "speaker", "digest", F.char_length("body").cast("long").alias("chars"))
+    rows = slim.join(people, "conv")
     role = F.when(F.col("speaker") == F.col("perspective"), "assistant").when(F.col("speaker").isin(*narrators), "system").otherwise("user")
-    rows = rows.withColumn("role", role).withColumn("name", F.when(F.col("role") == "user", F.col("speaker")))
-    head = F.concat(F.lit(OPEN), "role", F.when(F.col("name").isNotNull(), F.concat(F.lit(" name="), "name")).otherwise(F.lit("")), F.lit("\n"))
-    rows = rows.withColumn("segment", F.concat(head, "body", F.lit(CLOSE + "\n"))).withColumn("head", F.char_length(head))
-    rows = rows.withColumn("size", F.char_length("segment").cast("long"))
+    head = F.concat(F.lit(OPEN), "role", F.when(F.col("role") == "user", F.concat(F.lit(" name="), "speaker")).otherwise(F.lit("")), F.lit("\n"))
+    tail = CLOSE + "\n"
+    rows = rows.withColumn("role", role).withColumn("lead", head)
+    rows = rows.withColumn("size", F.char_length("lead") + F.col("chars") + len(tail))
     # Places: a sum per slice of turns, a running sum over the slices, and a
     # running sum inside each slice.
-    rows = rows.withColumn("slice", F.floor(F.coalesce(F.col("turn"), F.lit(-(1 << 62))) / slice_turns))
-    key = ["conv_id", "perspective"]
+    rows = rows.withColumn("slice", F.floor(F.col("at") / slice_turns))
+    key = ["conv", "perspective"]
     past = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy(*key, "slice").agg(F.sum("size").alias("all")).select(
-        F.col("conv_id").alias("_conv"), F.col("perspective").alias("_who"), F.col("slice").alias("_slice"),
-        F.coalesce(F.sum("all").over(past), F.lit(0)).alias("from_slice"),
+        *key, "slice", F.coalesce(F.sum("all").over(past), F.lit(0)).alias("from_slice")
     )
-    order = Window.partitionBy(*key, "slice").orderBy("turn", "speaker", "body")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    same_turn = Window.partitionBy(*key, "slice", "turn").orderBy("speaker", "body")
+    before = Window.partitionBy(*key, "slice").orderBy("at", "speaker", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    same_turn = Window.partitionBy(*key, "slice", "at").orderBy("speaker", "digest")
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(before), F.lit(0))).withColumn("part", F.row_number().over(same_turn))
-    rows = rows.join(
-        starts, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("perspective") == F.col("_who")) & (F.col("slice") == F.col("_slice"))
-    )
-    start = F.col("from_slice") + F.col("inside")
-    learned = F.col("role") == "assistant"
-    return rows.select(
-        "conv_id", "perspective", "turn", "part", "role", "name", "segment", start.alias("start_at"), (start + F.col("size")).alias("end_at"),
-        F.when(learned, start + F.col("head")).alias("mask_from"),
-        F.when(learned, start + F.col("size") - len(CLOSE) - 1).alias("mask_to"),
+    rows = rows.join(starts, [*key, "slice"])
+    one = ["conv", "at", "speaker", "digest"]
+    texts = turns.groupBy(*one).agg(F.first("conv_id").alias("conv_id"), F.first("turn").alias("turn"), F.first("body").alias("body"))
+    start, learned = F.col("from_slice") + F.col("inside"), F.col("role") == "assistant"
+    return rows.join(texts, one).select(
+        "conv_id", "perspective", "turn", "part", "role", F.when(F.col("role") == "user", F.col("speaker")).alias("name"),
+        F.concat("lead", "body", F.lit(tail)).alias("segment"), start.alias("start_at"), (start + F.col("size")).alias("end_at"),
+        F.when(learned, start + F.char_length("lead")).alias("mask_from"),
+        F.when(learned, start + F.col("size") - len(tail)).alias("mask_to"),
     )

@@ -22,9 +22,9 @@ WITH turns AS (
   SELECT *, head || body || '<|im_end|>' || chr(10) AS segment,
          length(head || body || '<|im_end|>' || chr(10)) AS size,
          coalesce(sum(length(head || body || '<|im_end|>' || chr(10))) OVER (
-           PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, body
+           PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, md5(body)
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_at,
-         row_number() OVER (PARTITION BY conv_id, perspective, turn ORDER BY speaker, body) AS part
+         row_number() OVER (PARTITION BY conv_id, perspective, turn ORDER BY speaker, md5(body)) AS part
   FROM segments
 )
 SELECT conv_id, perspective, turn, CAST(part AS INTEGER) AS part, role, name, segment,
