@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logsentinel.functions import fmt_num
 from logsentinel.operators import batch, detect, profile, serve
 from logsentinel.schema import LOG_COLUMNS, RESULT_TABLES
 from logsentinel.session import app_id, shared_path
@@ -405,6 +406,14 @@ def q_dashboard_bytes_series(spark, sf_dir):
     return serve.dashboard_bytes_series(bytes_table(spark, sf_dir))
 
 
+@register("dashboard_numbers")
+def q_dashboard_numbers(spark, sf_dir):
+    """The bytes panel with its numbers as text."""
+    return bytes_table(spark, sf_dir).select(
+        "threat_label", fmt_num("event_count").alias("events_text"), fmt_num("total_bytes").alias("bytes_text")
+    )
+
+
 @register("current_alerts")
 def q_current_alerts(spark, sf_dir):
     return serve.current_alerts(alerts(spark, sf_dir))

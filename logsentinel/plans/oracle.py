@@ -404,6 +404,14 @@ def oracles() -> dict[str, str]:
         f"WHERE threat_label IN ({', '.join(q(l) for l in rules.LABEL_SERIES_ORDER)})"
     )
 
+    def number_text(n: str) -> str:
+        steps = " ".join(f"WHEN {n} >= {v} THEN printf('%.1f{t}', {n} / {v}.0)" for v, t in ((10**9, "B"), (10**6, "M"), (10**3, "K")))
+        return f"CASE {steps} ELSE CAST({n} AS VARCHAR) END"
+
+    o["dashboard_numbers"] = with_(BYTES) + (
+        f"SELECT threat_label, {number_text('event_count')} AS events_text, {number_text('total_bytes')} AS bytes_text FROM bytes"
+    )
+
     # ---- serving over the alert table ------------------------------------------
     o["alert_feed"] = with_(ALERTS) + (
         'SELECT source_ip, window_start, window_end, "count", target_ip, protocol, alert_type, '
