@@ -47,11 +47,13 @@ def _print(df: DataFrame, title: str | None = None, limit: int | None = None) ->
     print(f"# count: {n}")
 
 
-def run_batch(spark: SparkSession, logs_path: str, out: str, n: int = 10) -> dict[str, str]:
+def run_batch(
+    spark: SparkSession, logs_path: str, out: str, n: int = 10, start: str | None = None, end: str | None = None
+) -> dict[str, str]:
     """The batch layer: two scans of the log table.  B1, B3 and B4 come
     from one grouping-sets aggregate, written once to the shared folder
     (which also cuts its lineage) and then split; B2 is its own pass."""
-    logs = readers.read_logs(spark, logs_path)
+    logs = batch.in_period(readers.read_logs(spark, logs_path), start, end)
     summary_path = sinks.write_result(
         batch.batch_summary(logs), shared_path(spark, "batch_summary", unique=True)
     )
@@ -177,6 +179,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--logs", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--n", type=int, default=10)
+    b.add_argument("--start", help="first timestamp of the period")
+    b.add_argument("--end", help="timestamp at which the period ends")
     nz = sub.add_parser("normalize")
     nz.add_argument("--csv", required=True)
     nz.add_argument("--out", required=True)
@@ -221,7 +225,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = SparkSession.builder.getOrCreate()
     if args.cmd == "batch":
-        for name, path in run_batch(spark, args.logs, args.out, args.n).items():
+        for name, path in run_batch(spark, args.logs, args.out, args.n, args.start, args.end).items():
             print(f"{name}: {path}")
     elif args.cmd == "normalize":
         profile.normalize_csv_to_parquet(spark, args.csv, args.out)

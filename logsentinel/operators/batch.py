@@ -14,6 +14,22 @@ from logsentinel import rules
 from logsentinel.functions.expressions import fold
 
 
+def in_period(
+    logs: DataFrame, start: str | None = None, end: str | None = None, time_col: str = "timestamp", date_col: str = "log_date"
+) -> DataFrame:
+    """The rows with ``start <= time < end`` (either may be left out), for any
+    of the batch detectors.  Where the table is laid out by date, the bounds
+    also go to the date column, so other days are not read."""
+    for bound, below in ((start, False), (end, True)):
+        if bound is not None:
+            at = F.lit(bound).cast(dict(logs.dtypes)[time_col])
+            logs = logs.filter(F.col(time_col) < at if below else F.col(time_col) >= at)
+            if date_col in logs.columns:
+                day = F.lit(bound[:10]).cast("date")
+                logs = logs.filter(F.col(date_col) <= day if below else F.col(date_col) >= day)
+    return logs
+
+
 def top_malicious_ips(logs: DataFrame, n: int = 10, fold_case: bool = True) -> DataFrame:
     """B1: the ``n`` source IPs with most malicious/suspicious events.
 

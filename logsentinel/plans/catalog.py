@@ -283,7 +283,7 @@ def q_normalize_logs(spark, sf_dir):
         "normalized",
         lambda p: profile.normalize_csv_to_parquet(spark, csv_path, p),
     )
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("log_date")
 
 
 @register("profile_shape")

@@ -119,3 +119,21 @@ def test_csv_round_trip_keeps_commas_and_quotes(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     norm = profile.normalize_logs(back).collect()
     assert all(r.timestamp is not None for r in norm)
+
+
+def test_a_period_reads_its_days_only(spark, tmp_path):
+    from logsentinel.schema import LOG_COLUMNS
+    from logsentinel.sources import readers
+
+    rows = [dict(sec=s, threat_label="malicious") for s in (0, 3600, 86_400, 90_000, 3 * 86_400)]
+    src, out = str(tmp_path / "raw"), str(tmp_path / "logs")
+    log_rows(spark, rows).select(*LOG_COLUMNS).write.option("header", "true").csv(src)
+    assert profile.normalize_csv_to_parquet(spark, src, out).columns == LOG_COLUMNS
+    logs = readers.read_logs(spark, out)
+    got = batch.in_period(logs, "2024-01-01 00:30:00", "2024-01-02 01:00:00")
+    assert sorted(str(r.timestamp) for r in got.collect()) == ["2024-01-01 01:00:00", "2024-01-02 00:00:00"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "log_date" in filters and ">=" in filters and "<=" in filters
+    assert batch.top_malicious_ips(got).first().threat_count == 2
+    assert batch.in_period(logs).count() == 5

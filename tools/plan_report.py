@@ -75,7 +75,7 @@ def summarize(df) -> dict:
 
 def main(argv: list[str]) -> int:
     sys.path.insert(0, ".")
-    import __spark_entry__ as E
+    from logsentinel.plans.catalog import REGISTRY
     from logsentinel.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
@@ -85,7 +85,7 @@ def main(argv: list[str]) -> int:
     print("reused stages and subqueries are counted once.\n")
     print("| query | shuffles (hash / range / single) | file scans | columns read | aggregates | joins | top-k | expand | python |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in REGISTRY.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         s = summarize(df)
