@@ -67,6 +67,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that `stored` or its caller wrote and nothing reads any
+    more, through the file system that holds it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def row_hash(df: DataFrame) -> Column:
     """Hash of all columns of a row (maps and variants, which have no hash,
     through their JSON text)."""

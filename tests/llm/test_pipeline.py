@@ -64,3 +64,16 @@ def test_query_matches_oracle(spark, name):  # noqa: F811
 def test_registered():
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "personal_data", "mixing", "encoding"]
+
+
+def test_only_the_last_stage_table_stays(spark):  # noqa: F811
+    import os
+
+    from logsentinel.session import shared_path
+
+    folder = shared_path(spark, "llm").removeprefix("file:")
+    stages = lambda: {n: set(os.listdir(f"{folder}/{n}")) for n in os.listdir(folder) if n.startswith("stage_")}
+    before = stages() if os.path.isdir(folder) else {}
+    assert QUERIES["pipeline"](spark, SF_SMALL).count() > 0
+    new = {n: len(kept - before.get(n, set())) for n, kept in stages().items()}
+    assert new == {"stage_quality": 0, "stage_near_duplicates": 0, "stage_personal_data": 0, "stage_mixing": 1}
