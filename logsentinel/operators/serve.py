@@ -142,15 +142,19 @@ def threats_sqli_xss(totals: DataFrame) -> DataFrame:
 def current_alerts(
     alerts: DataFrame, key: tuple[str, ...] = ("source_ip", "window_start", "alert_type")
 ) -> DataFrame:
-    """The latest emission per alert key.
+    """The latest emission per alert key: of the latest run (where the
+    alerts have one; a null run is the oldest), of its latest batch, and of
+    equals one fixed by the row's hash.
 
     Update mode re-emits a growing window (count 3, later 6); summing all
-    emissions over-counts.  ``max_by(row, batch_id)`` is a partial
-    aggregate, so a key emitted in many batches is combined map-side.
+    emissions over-counts.  A run starts its batches at 0 again, so the run
+    comes before the batch.  ``max_by`` is a partial aggregate, so a key
+    emitted in many batches is combined map-side.
     """
-    rest = [c for c in alerts.columns if c not in key]
+    order = [c for c in ("run", "batch_id") if c in alerts.columns]
+    rest = [c for c in alerts.columns if c not in key and c not in order]
     latest = alerts.groupBy(*key).agg(
-        F.max_by(F.struct(*rest), F.col("batch_id")).alias("latest")
+        F.max_by(F.struct(*order, *rest), F.struct(*order, F.xxhash64(*rest))).alias("latest")
     )
     return latest.select(*key, "latest.*").select(*alerts.columns)
 

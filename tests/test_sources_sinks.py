@@ -59,6 +59,20 @@ def test_alert_sink_keeps_earlier_runs(spark, tmp_path):
     assert current == {"7.7.7.7": 8, "8.8.8.8": 3, "9.9.9.9": 3}  # the later run's emission
 
 
+def test_current_alerts_take_the_latest_run_first(spark):
+    rows = [("1.1.1.1", "0000000000001-a", 7, 9), ("1.1.1.1", "0000000000002-b", 0, 3), ("1.1.1.1", None, 9, 5),
+            ("2.2.2.2", None, None, 1), ("2.2.2.2", None, 2, 4), ("3.3.3.3", None, None, 6)]
+    df = spark.createDataFrame(
+        [(ip, "w", "VOLUME_ANOMALY", run, batch, n) for ip, run, batch, n in rows],
+        "source_ip string, window_start string, alert_type string, run string, batch_id bigint, count bigint",
+    )
+    for parts in (1, 6):
+        got = serve.current_alerts(df.repartition(parts)).collect()
+        assert {r.source_ip: r["count"] for r in got} == {"1.1.1.1": 3, "2.2.2.2": 4, "3.3.3.3": 6}
+        got = serve.current_alerts(df.repartition(parts).drop("run")).collect()
+        assert {r.source_ip: r["count"] for r in got} == {"1.1.1.1": 5, "2.2.2.2": 4, "3.3.3.3": 6}
+
+
 def test_alert_scan_reads_all_layouts_side_by_side(spark, tmp_path):
     out = str(tmp_path / "mixed")
     _write(f"{out}/brute_force_batch_10.json", '{"source_ip": "1.1.1.1", "count": 8}\n')
