@@ -7,7 +7,9 @@ and each local maximum of the labels starts a phrase.  A phrase's name is a
 hash of its symbols; the names are the symbols of the next level.  Equal
 substrings thus get equal names inside, wherever they stand.  The fingerprint
 keeps, for each of four levels, the smallest hash of the phrase names in each
-of 32 slots; the likeness of two fingerprints is the mean share of equal slots
+of 32 slots (above the first level each occurrence of a name counts by its
+number, so a text of few phrases that repeat is told by how often they do);
+the likeness of two fingerprints is the mean share of equal slots
 over the levels that a text of that length fills.
 """
 
@@ -34,6 +36,8 @@ BLOCK = 1 << 19
 
 _ONE = np.uint64(1)
 _SEP_LABEL = 16
+#: Sets a name's second, third ... occurrence apart from its first.
+_TIMES = np.uint64(0xC2B2AE3D27D4EB4F)
 _POWERS = np.ones(1 << 12, np.uint64)
 with np.errstate(over="ignore"):
     _POWERS[1:] = np.cumprod(np.full((1 << 12) - 1, 0x9E3779B97F4A7C15, np.uint64))
@@ -98,6 +102,18 @@ def _level(x: np.ndarray) -> np.ndarray:
     return names
 
 
+def _occurrence(names: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """How many equal names of its text stand before each name."""
+    key = names ^ _mix(doc.astype(np.uint64) + _ONE)
+    order = np.argsort(key, kind="stable")
+    ranked, at = key[order], np.arange(len(key))
+    first = np.ones(len(key), bool)
+    first[1:] = ranked[1:] != ranked[:-1]
+    out = np.empty(len(key), np.uint64)
+    out[order] = at - np.maximum.accumulate(np.where(first, at, 0))
+    return out
+
+
 def _sketch(texts: list[bytes]) -> np.ndarray:
     out = np.zeros((len(texts), len(LEVELS), SLOTS), np.uint16)
     x = np.frombuffer(b"\xff" + b"\xff".join(texts) + b"\xff", np.uint8).astype(np.uint64) + _ONE
@@ -107,7 +123,10 @@ def _sketch(texts: list[bytes]) -> np.ndarray:
         if level in LEVELS:
             sep = x == 0
             doc = np.cumsum(sep) - 1
-            names, doc = _mix(x[~sep] + np.uint64(level)), doc[~sep]
+            names, doc = x[~sep], doc[~sep]
+            if level > 1:
+                names = names + _occurrence(names, doc) * _TIMES
+            names = _mix(names + np.uint64(level))
             slot = (doc * SLOTS).astype(np.uint64) + (names & np.uint64(SLOTS - 1))
             value = np.maximum(names >> np.uint64(48), _ONE)
             ranked = np.sort(slot << np.uint64(16) | value)

@@ -281,6 +281,16 @@ def test_equal_substrings_share_phrases(texts):
         assert len(own & names(prefix)) >= 0.95 * len(own)
 
 
+def test_repeated_phrases_count_by_their_number(texts):
+    line, other = "Some line that comes again and again.\n", max(texts.values(), key=len)
+    text = line * 400
+    own, changed, half, far = fingerprints.sketches([text, fingerprints.edited(text, other), line * 200, other])
+    like = lambda a, b: float(fingerprints.likeness(a[None], b[None])[0])
+    assert like(own, changed) > 0.2 and like(own, half) < 1 and like(own, far) < 0.1
+    names = np.array([7, 5, 7, 7, 5, 7], np.uint64)
+    assert fingerprints._occurrence(names, np.array([0, 0, 0, 1, 1, 1])).tolist() == [0, 0, 1, 0, 0, 1]
+
+
 def test_one_document_follows_itself(spark):  # noqa: F811
     df = spark.createDataFrame([(5, "some words of one single document, nothing else")], "doc_id long, text string")
     (r,) = fingerprints.fingerprint_edits(df).collect()
