@@ -424,23 +424,30 @@ def q_current_alerts(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-#: Files of the stream, each a micro-batch, and state partitions of its queries.
-STREAM_FILES = 3
+#: Periods of the stream, each a micro-batch, and state partitions of its queries.
+STREAM_PERIODS = 3
 STATE_PARTITIONS = 8
 
 
+def stream_files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of each period of the stream: as many as the log view's scan has
+    tasks."""
+    return max(1, logs(spark, sf_dir).rdd.getNumPartitions())
+
+
 def stored_json_stream(spark: SparkSession, sf_dir: str) -> str:
-    """The log view as JSON lines (the stream envelope) in files that follow
-    each other in event time and are written one after the other, so a file
-    stream replays them in order."""
+    """The log view as JSON lines (the stream envelope) in periods that follow
+    each other in event time and are written one after the other.  Each has
+    the same number of files, so a file stream that takes as many at a time
+    replays period by period, in order, however the table is cut into files."""
 
     def build(path: str) -> None:
         lines = logs(spark, sf_dir).select("event_id", F.to_json(F.struct(*LOG_COLUMNS)).alias("value"))
         last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).first()[0] or 0
-        step = last // STREAM_FILES + 1
-        for i in range(STREAM_FILES):
+        step = last // STREAM_PERIODS + 1
+        for i in range(STREAM_PERIODS):
             part = lines.filter((F.col("event_id") >= i * step) & (F.col("event_id") < (i + 1) * step))
-            part.select("value").write.mode("append").text(path)
+            part.select("value").repartition(stream_files(spark, sf_dir)).write.mode("append").text(path)
 
     return materialized(spark, sf_dir, "json_stream", build)
 
@@ -452,7 +459,7 @@ def stored_stream_run(spark: SparkSession, sf_dir: str) -> str:
 
     def build(root: str) -> None:
         session = runner.stream_session(spark, STATE_PARTITIONS)
-        src = runner.text_file_source(session, source_dir, max_files_per_trigger=1)
+        src = runner.text_file_source(session, source_dir, max_files_per_trigger=stream_files(spark, sf_dir))
         for run in ("first", "second"):
             queries = runner.start_alert_queries(
                 src, f"{root}/alerts", f"{root}/checkpoints/{run}", trigger={"availableNow": True}
