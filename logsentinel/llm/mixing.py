@@ -126,7 +126,8 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     aims = stored(targets(per_source, weights, share, most), "targets")
     slices = F.greatest(F.lit(1), F.ceil(F.col("docs") / slice_docs))
     rows = sized.join(aims, sized["source"].eqNullSafe(aims["source"])).drop(aims["source"]).withColumn(
-        "slice", F.floor(F.col("place") * slices / F.lit(float(1 << 52))).cast("long")
+        # Divided, not multiplied: place * slices leaves a long above 2,048 slices.
+        "slice", F.floor(F.col("place") / (F.lit(float(1 << 52)) / slices)).cast("long")
     )
     per_slice = rows.groupBy("rank", "slice").agg(F.sum("size").alias("words"))
     past = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

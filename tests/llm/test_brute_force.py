@@ -232,6 +232,17 @@ def test_mix_is_exact_and_reruns_agree(spark, texts):  # noqa: F811
     assert (train.n_chars == train.text.str.len()).all()
 
 
+def test_mix_with_many_slices(spark):  # noqa: F811
+    """More slices than a place of 52 bits can be multiplied by in a long."""
+    n = 5000
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"), F.lit("a").alias("source"))
+    got = {r.doc_id: r.offered for r in mixing.plan_mix(df, slice_docs=1).collect()}
+    want, words = {}, 0
+    for i in sorted(range(n), key=lambda i: (int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16), i)):
+        want[i], words = words, words + i % 7
+    assert got == want
+
+
 def test_schedule_inverse(spark):  # noqa: F811
     for schedule in (*mixing.SCHEDULES, ((0.0, 0.0), (0.25, 1.0), (1.0, 0.0))):
         at = [i / 50 for i in range(51)]
