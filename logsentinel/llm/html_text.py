@@ -5,9 +5,10 @@ tags (with classes and ids).  Text length and punctuation are added up per
 path and divided by the path's blocks; the two ratios of each block are
 smoothed along the page with a Gaussian window and multiplied; a path whose
 mean fused ratio reaches a threshold (a share of the page's standard
-deviation) holds content.  Parts that the page's own markup names as
-navigation, forms, comments and so on are left out before; parts under the
-page's article element stay if any of its paths holds content.
+deviation) holds content.  The fused ratio of a block inside an article or
+main element grows with that element's share of the page's text, so a teaser
+card gains nothing; no element is content by its name.  Parts that the page's
+own markup names as navigation, forms, comments and so on are left out before.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from logsentinel.llm.common import pick
 
 #: Share of the standard deviation that a content path reaches.
 THRESHOLD = 0.5
+#: Growth of the fused ratio inside an article element that holds all text.
+ARTICLE_GAIN = 1.0
 #: Gaussian window over neighbouring blocks (five places, sigma 1).
 _WINDOW = np.exp(-np.arange(-2, 3) ** 2 / 2)
 
@@ -66,17 +69,19 @@ def _attributes(text: str) -> dict[str, str]:
 class _Block:
     __slots__ = ("path", "parts", "linked", "main")
 
-    def __init__(self, path: tuple, main: bool):
+    def __init__(self, path: tuple, main: int):
         self.path, self.parts, self.linked, self.main = path, [], 0, main
 
 
-def blocks(page: str) -> list[tuple[tuple, str, int, bool]]:
+def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
     """Text blocks in page order: path, text, characters inside links, and
-    whether the block is inside an article element.  Parts that the markup
-    names as not of the article are left out."""
+    number of the innermost article element (-1: none); and by number, the
+    article element around it.  Parts that the markup names as not of the
+    article are left out."""
     out: list[_Block] = []
-    # Open elements: name, label, left out, inside main, link.
-    stack: list[tuple[str, str, bool, bool, bool]] = []
+    around: list[int] = []
+    # Open elements: name, label, left out, innermost main, link.
+    stack: list[tuple[str, str, bool, int, bool]] = []
     now: _Block | None = None
     at, n = 0, len(page)
 
@@ -87,7 +92,7 @@ def blocks(page: str) -> list[tuple[tuple, str, int, bool]]:
         if now is None:
             if text.isspace():
                 return
-            now = _Block(tuple(e[1] for e in stack if e[0] not in _INLINE), bool(stack) and stack[-1][3])
+            now = _Block(tuple(e[1] for e in stack if e[0] not in _INLINE), stack[-1][3] if stack else -1)
             out.append(now)
         now.parts.append(text)
         if stack and stack[-1][4]:
@@ -147,7 +152,7 @@ def blocks(page: str) -> list[tuple[tuple, str, int, bool]]:
                     break
                 if stack[i][0] in _SCOPE:
                     break
-        _, _, left_out, main, link = stack[-1] if stack else ("", "", False, False, False)
+        _, _, left_out, main, link = stack[-1] if stack else ("", "", False, -1, False)
         attributes = _attributes(rest) if rest.strip(" /") else {}
         label = name
         if attributes:
@@ -155,37 +160,41 @@ def blocks(page: str) -> list[tuple[tuple, str, int, bool]]:
             words = {w.lower() for w in _WORDS.findall(_CAMEL.sub(" ", named))}
             label += "." + ".".join(sorted(words)) if words else ""
             if name not in ("html", "body"):
-                left_out |= bool(words & _NOT_ARTICLE) and not (words & _LAYOUT) and not (main and inline)
+                left_out |= bool(words & _NOT_ARTICLE) and not (words & _LAYOUT) and not (main >= 0 and inline)
                 left_out |= "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
-        if name in _SKIPPED or name in _OUTER or (name == "header" and not main) or name == "head":
+        if name in _SKIPPED or name in _OUTER or (name == "header" and main < 0) or name == "head":
             left_out = True
         if name == "body":
             left_out = False
         if name in _RAW:
             close = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
             at = n if close is None else close.start()
-        stack.append((name, label, left_out, main or name in _MAIN, link or name == "a"))
+        if name in _MAIN:
+            around.append(main)
+            main = len(around) - 1
+        stack.append((name, label, left_out, main, link or name == "a"))
     done = []
     for b in out:
         text = "".join(b.parts)
         text = " ".join((html.unescape(text) if "&" in text else text).split())
         if text:
             done.append((b.path, text, b.linked, b.main))
-    return done
+    return done, around
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The main text of a whole page: blocks in page order, joined by an
     empty line; null and empty pages, and pages without text, give an empty
     text."""
-    found = blocks(page or "")
+    found, around = blocks(page or "")
     if not found:
         return ""
     # Totals per path: blocks, characters outside links, punctuation.
     of = {p: i for i, p in enumerate(dict.fromkeys(b[0] for b in found))}
     at = np.array([of[b[0]] for b in found])
     count = np.bincount(at)
-    length = np.bincount(at, [max(len(t) - linked, 0) for _, t, linked, _ in found]) / count
+    own = np.array([max(len(t) - linked, 0) for _, t, linked, _ in found])
+    length = np.bincount(at, own) / count
     marks = np.bincount(at, [len(_PUNCTUATION.findall(t)) for _, t, _, _ in found]) / count
 
     def smooth(x: np.ndarray) -> np.ndarray:
@@ -195,13 +204,18 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     fused = smooth(length[at]) * (1 + smooth(marks[at]))
     # A path of links only stays at its own ratio, whatever its neighbours.
     fused = np.where(length[at] > 0, fused, 0.0)
-    per_path = np.bincount(at, fused) / count
-    content = (per_path > 0) & (per_path >= threshold * fused.std())
+    # Text inside each article element, nested ones included; the last place
+    # is that of blocks outside all of them.
     main = np.array([b[3] for b in found])
-    keep = content[at]
-    if (keep & main).any():
-        keep = main
-    return "\n\n".join(b[1] for b, k in zip(found, keep) if k)
+    inside = np.bincount(np.where(main < 0, len(around), main), own, len(around) + 1)
+    for i in range(len(around) - 1, -1, -1):
+        if around[i] >= 0:
+            inside[around[i]] += inside[i]
+    inside[-1] = 0.0
+    gained = fused * (1 + ARTICLE_GAIN * inside[main] / max(own.sum(), 1))
+    per_path = np.bincount(at, gained) / count
+    content = (per_path > 0) & (per_path >= threshold * fused.std())
+    return "\n\n".join(b[1] for b, k in zip(found, content[at]) if k)
 
 
 def _main_texts(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -376,6 +376,25 @@ def test_html_without_article():
     assert len([g for g in got if g.startswith("Sentence")]) == 5 and not any(g.startswith("link") for g in got)
 
 
+def _sentences(n):
+    return [f"Sentence number {i} of the body, which is long enough to count; it has marks, and ends here." for i in range(n)]
+
+
+def test_html_body_beside_teaser_articles():
+    body = "".join(f"<p>{s}</p>" for s in _sentences(6))
+    teasers = "".join(f"<article><h3><a href=/{i}>Teaser {i}</a></h3><p>{words}</p></article>" for i, words in enumerate(["Short words"] * 4 + ["Some more words of a teaser; it has marks, and is cut here."] * 4))
+    got = html_text.main_text(f"<body><div class=text>{body}</div><div class=cards>{teasers}</div></body>").split("\n\n")
+    assert [g for g in got if g.startswith("Sentence")] == _sentences(6)
+
+
+def test_html_boilerplate_inside_main():
+    body = "".join(f"<p>{s}</p>" for s in _sentences(6))
+    links = "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(8))
+    cards = "".join(f"<div><span>Card {i}</span></div>" for i in range(8))
+    page = f"<body><main><ul>{links}</ul><div class=text>{body}</div><ul>{links}</ul><div class=grid>{cards}</div></main></body>"
+    assert html_text.main_text(page).split("\n\n") == _sentences(6)
+
+
 def test_html_pages_of_the_table(spark):  # noqa: F811
     import html
 
