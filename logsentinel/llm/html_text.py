@@ -8,7 +8,8 @@ mean fused ratio reaches a threshold (a share of the page's standard
 deviation) holds content.  The fused ratio of a block inside an article or
 main element grows with that element's share of the page's text, so a teaser
 card gains nothing; no element is content by its name.  Parts that the page's
-own markup names as navigation, forms, comments and so on are left out before.
+own markup names as navigation, forms, comments and so on are left out before,
+from the smallest on, unless they hold most of the text that is left.
 """
 
 from __future__ import annotations
@@ -28,6 +29,14 @@ from logsentinel.llm.common import pick
 THRESHOLD = 0.5
 #: Growth of the fused ratio inside an article element that holds all text.
 ARTICLE_GAIN = 1.0
+#: A named part with this share of the text that is left stays ...
+NAMED_SHARE = 0.5
+#: ... unless it holds no article element and one beside it has this share.
+BESIDE_SHARE = 0.2
+#: Parts that are no article wherever a page has one, or this share of other text.
+_NEVER = frozenset("nav footer aside button menu dialog".split())
+_TALK = frozenset("comment comments discussion disqus replies reply respond".split())
+NEVER_SHARE = 0.05
 #: Gaussian window over neighbouring blocks (five places, sigma 1).
 _WINDOW = np.exp(-np.arange(-2, 3) ** 2 / 2)
 
@@ -56,21 +65,92 @@ _NOT_ARTICLE = frozenset(
 #: A class such as "article-with-sidebar" tells of a layout.
 _LAYOUT = frozenset(("with", "without", "has", "no"))
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|$)""", re.I)
+#: Quotes open a value only after the equals sign.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_TAG = re.compile(rf"<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+{_VALUE}?+)*+)>")
+_ATTRIBUTE = re.compile(rf"([^\s=/]++)(?:\s*=\s*({_VALUE}))?")
 _WORDS = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
+    """Attributes by name, the first of equals."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        value = m[2] or ""
+        out.setdefault(m[1].lower(), value[1:-1] if value[:1] in ("'", '"') else value)
+    return out
 
 
 class _Block:
-    __slots__ = ("path", "parts", "linked", "main")
+    __slots__ = ("path", "parts", "main")
 
     def __init__(self, path: tuple, main: int):
-        self.path, self.parts, self.linked, self.main = path, [], 0, main
+        # Parts: text, innermost named part, inside a link.
+        self.path, self.parts, self.main = path, [], main
+
+
+def _left_out(found: list[_Block], around: list[int], main_in: list[int], named_up: list[int], never: list[bool]) -> list[bool]:
+    """By number, whether a named part is left out: it and those around it
+    are taken from the smallest on while they hold less than ``NAMED_SHARE``
+    of the text outside links that is left.  Of the others, those without an
+    article element go if one beside them has ``BESIDE_SHARE`` of that text;
+    those of ``_NEVER`` and ``_TALK`` go if there is any beside them, or ``NEVER_SHARE`` of
+    other text, unless one article element inside has most of the text."""
+    size, total = [0] * len(named_up), 0
+    pieces = [(sum(len(t.strip()) for t, n, link in b.parts if n == named and not link), named, b.main) for b in found for named in {n for _, n, _ in b.parts}]
+    for k, named, _ in pieces:
+        total += k
+        if named >= 0:
+            size[named] += k
+    # A part comes after those around it.
+    for i in range(len(named_up) - 1, -1, -1):
+        if named_up[i] >= 0:
+            size[named_up[i]] += size[i]
+    out, gone = [False] * len(named_up), [0] * len(named_up)
+    kept = []
+    for i in sorted(range(len(named_up)), key=lambda i: (size[i], -i)):
+        left = size[i] - gone[i]
+        if left == 0 or left < NAMED_SHARE * total:
+            out[i] = True
+            total -= left
+            gone[i] = size[i]
+        else:
+            kept.append(i)
+        if named_up[i] >= 0:
+            gone[named_up[i]] += gone[i]
+    for i in range(len(named_up)):
+        out[i] |= named_up[i] >= 0 and out[named_up[i]]
+
+    for i in kept:
+        if out[i]:
+            continue
+        within = [i == n for n in range(len(named_up))]
+        for n in range(len(named_up)):
+            within[n] |= named_up[n] >= 0 and within[named_up[n]]
+        # Text of each article element inside the part and beside it.
+        inside, beside, other = [0] * len(around), [0] * len(around), 0
+        for k, n, main in pieces:
+            if n < 0 or not out[n]:
+                here = n >= 0 and within[n]
+                other += 0 if here else k
+                if main >= 0:
+                    (inside if here else beside)[main] += k
+        for m in range(len(around) - 1, -1, -1):
+            own = main_in[m] >= 0 and within[main_in[m]]
+            inside[m] *= own
+            if around[m] >= 0:
+                inside[around[m]] += inside[m]
+                beside[around[m]] += beside[m]
+        most, near = max(inside, default=0), max(beside, default=0)
+        if never[i]:
+            leave = most < NAMED_SHARE * total and (near > 0 or other >= max(NEVER_SHARE * total, 1))
+        else:
+            leave = most == 0 and near >= max(BESIDE_SHARE * total, 1)
+        if leave:
+            out = [o or w for o, w in zip(out, within)]
+            total = other
+    return out
 
 
 def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
@@ -79,9 +159,15 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
     article element around it.  Parts that the markup names as not of the
     article are left out."""
     out: list[_Block] = []
+    # By number: the article element around one, the named part around it,
+    # and the named part around a named part.
     around: list[int] = []
-    # Open elements: name, label, left out, innermost main, link.
-    stack: list[tuple[str, str, bool, int, bool]] = []
+    main_in: list[int] = []
+    named_up: list[int] = []
+    never: list[bool] = []
+    # Open elements: name, label, left out, innermost main, link, innermost
+    # named part.
+    stack: list[tuple[str, str, bool, int, bool, int]] = []
     now: _Block | None = None
     at, n = 0, len(page)
 
@@ -94,9 +180,7 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
                 return
             now = _Block(tuple(e[1] for e in stack if e[0] not in _INLINE), stack[-1][3] if stack else -1)
             out.append(now)
-        now.parts.append(text)
-        if stack and stack[-1][4]:
-            now.linked += len(text.strip())
+        now.parts.append((text, stack[-1][5] if stack else -1, bool(stack) and stack[-1][4]))
 
     while at < n:
         lt = page.find("<", at)
@@ -152,33 +236,43 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
                     break
                 if stack[i][0] in _SCOPE:
                     break
-        _, _, left_out, main, link = stack[-1] if stack else ("", "", False, -1, False)
+        _, _, left_out, main, link, named = stack[-1] if stack else ("", "", False, -1, False, -1)
+        words: set[str] = set()
+        not_article = name in _OUTER or (name == "header" and main < 0)
         attributes = _attributes(rest) if rest.strip(" /") else {}
         label = name
         if attributes:
-            named = f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}"
-            words = {w.lower() for w in _WORDS.findall(_CAMEL.sub(" ", named))}
+            names = f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}"
+            words = {w.lower() for w in _WORDS.findall(_CAMEL.sub(" ", names))}
             label += "." + ".".join(sorted(words)) if words else ""
             if name not in ("html", "body"):
-                left_out |= bool(words & _NOT_ARTICLE) and not (words & _LAYOUT) and not (main >= 0 and inline)
+                not_article |= bool(words & _NOT_ARTICLE) and not (words & _LAYOUT) and not (main >= 0 and inline)
                 left_out |= "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
-        if name in _SKIPPED or name in _OUTER or (name == "header" and main < 0) or name == "head":
+        if name in _SKIPPED or name == "head":
             left_out = True
         if name == "body":
-            left_out = False
+            left_out, named = False, -1
         if name in _RAW:
             close = re.compile(f"</{name}(?=[\\s/>])", re.I).search(page, at)
             at = n if close is None else close.start()
+        if not_article and not left_out:
+            named_up.append(named)
+            never.append(name in _NEVER or bool(words & _TALK))
+            named = len(named_up) - 1
         if name in _MAIN:
             around.append(main)
+            main_in.append(named)
             main = len(around) - 1
-        stack.append((name, label, left_out, main, link or name == "a"))
+        stack.append((name, label, left_out, main, link or name == "a", named))
     done = []
+    gone = _left_out(out, around, main_in, named_up, never)
     for b in out:
-        text = "".join(b.parts)
+        parts = [(t, link) for t, n, link in b.parts if n < 0 or not gone[n]]
+        linked = sum(len(t.strip()) for t, link in parts if link)
+        text = "".join(t for t, _ in parts)
         text = " ".join((html.unescape(text) if "&" in text else text).split())
         if text:
-            done.append((b.path, text, b.linked, b.main))
+            done.append((b.path, text, linked, b.main))
     return done, around
 
 

@@ -395,6 +395,30 @@ def test_html_boilerplate_inside_main():
     assert html_text.main_text(page).split("\n\n") == _sentences(6)
 
 
+@pytest.mark.parametrize("wrapper", ("<form id=aspnetForm><div>{}</div></form>", "<div class='site header-fixed'><article>{}</article></div>", "<div id=share><div>{}</div></div>"))
+def test_html_body_in_a_named_wrapper(wrapper):
+    body = "".join(f"<p>{s}</p>" for s in _sentences(6))
+    page = f"<body><nav><a href=x>Home</a> and more</nav>{wrapper.format(body)}<footer>Some words, all rights reserved.</footer></body>"
+    assert html_text.main_text(page).split("\n\n") == _sentences(6)
+
+
+def test_html_comments_longer_than_the_article():
+    body, talk = "".join(f"<p>{s}</p>" for s in _sentences(4)), "<p>A comment, long enough; it has marks, and goes on for a while here.</p>" * 12
+    said = "<article>A comment, long enough; it has marks, and goes on for a while here.</article>" * 60
+    assert html_text.main_text(f"<body><article>{body}</article><section id=comments>{said}</section></body>").split("\n\n") == _sentences(4)
+    note = "<footer>Words of a footer, longer than the article; all rights reserved.</footer>"
+    assert html_text.main_text(f"<body><article><p>A short text.</p></article>{note}</body>") == "A short text."
+    for page in ("<body><article>{}</article><div id=comments>{}</div></body>", "<body><div>{}</div><div id=comments>{}</div></body>", "<body><main>{}<div id=comments>{}</div></main></body>"):
+        assert html_text.main_text(page.format(body, talk)).split("\n\n") == _sentences(4)
+
+
+def test_html_unbalanced_quotes():
+    body = "".join(f"<p>{s}</p>" for s in _sentences(3))
+    page = f"""<body><p class=foo">First "para" of it, long enough to count.</p><img alt=Bob's photo>{body}<p>It's the end, with words enough to count.</p><p title="a hidden > part">Last words, which are long enough to count.</p></body>"""
+    want = ['First "para" of it, long enough to count.', *_sentences(3), "It's the end, with words enough to count.", "Last words, which are long enough to count."]
+    assert html_text.main_text(page).split("\n\n") == want
+
+
 def test_html_pages_of_the_table(spark):  # noqa: F811
     import html
 
