@@ -8,7 +8,9 @@ templates with which it shares a band (one MinHash value); the number of
 bands of a class is set from the smallest Jaccard similarity that a passage
 at the containment limit can have to its window, such that the chance to miss
 it stays below ``MISS``.  Retrieved templates are verified by the exact share
-of their shingles in the window.
+of their shingles in the window.  Where templates of different licenses match
+the same words, these belong to the best match, and the others have to reach
+the limit without them.
 
 The templates are a small dictionary that goes to every task.
 """
@@ -16,7 +18,9 @@ The templates are a small dictionary that goes to every task.
 from __future__ import annotations
 
 import math
+import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -51,6 +55,86 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
 )
+#: Further licenses, versions and body passages.
+_FURTHER = (
+    ("Apache-1.1", "The Apache Software License, Version 1.1"),
+    ("Apache-2.0-text", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."),
+    ("MIT-text", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("MIT-short", "Licensed under the MIT License"),
+    ("MIT-0-permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND"),
+    ("GPL-2.0-text", "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users."),
+    ("GPL-3.0-text", "The licenses for most software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions of a program--to make sure it remains free software for all its users."),
+    ("AGPL-3.0-text", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."),
+    ("LGPL-2.1-text", "This license, the Lesser General Public License, applies to some specially designated software packages--typically libraries--of the Free Software Foundation and other authors who decide to use it."),
+    ("LGPL-3.0-text", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."),
+    ("MPL-1.1-notice", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/"),
+    ("MPL-2.0-short", "Mozilla Public License, version 2.0"),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EPL-1.0-notice", "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+    ("EPL-2.0-notice", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
+    ("CC0-1.0-notice", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    ("BSL-1.0-permission", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE"),
+)
+
+
+def _gnu() -> Iterator[tuple[str, str]]:
+    """Wordings of the GNU licenses and versions."""
+    for short, long in (("GPL", "General"), ("LGPL", "Lesser General"), ("AGPL", "Affero General")):
+        for version in {"GPL": ("2", "3"), "LGPL": ("2.1", "3"), "AGPL": ("3",)}[short]:
+            name = f"{short}-{version}" if "." in version else f"{short}-{version}.0"
+            title = f"GNU {long} Public License"
+            # GPL-3.0 has the first wording already.
+            yield (f"{name}-title" if name == "GPL-3.0" else name), f"{title}, version {version}"
+            yield f"{name}-title-v", f"{title} v{version}"
+            yield f"{name}-title-of", f"version {version} of the {title}"
+            for thing in ("program", "library", "software"):
+                if (name, thing) != ("GPL-3.0", "program"):
+                    yield f"{name}-notice-{thing}", f"This {thing} is free software; you can redistribute it and/or modify it under the terms of the {title} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+                yield f"{name}-notice-only-{thing}", f"This {thing} is free software; you can redistribute it and/or modify it under the terms of the {title} as published by the Free Software Foundation; version {version} of the License."
+                yield f"{name}-notice-version-{thing}", f"This {thing} is free software; you can redistribute it and/or modify it under the terms of the {title} version {version} as published by the Free Software Foundation."
+    yield "LGPL-2.0-notice-library", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+
+
+def _creative_commons() -> Iterator[tuple[str, str]]:
+    parts = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+    for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND"):
+        long = "-".join(parts[k] for k in kind.split("-"))
+        for version, area in (("4.0", "International"), ("3.0", "Unported")):
+            name = f"CC-{kind}-{version}"
+            old = long.replace("NoDerivatives", "NoDerivs") if version == "3.0" else long
+            if name != "CC-BY-NC-4.0":
+                yield f"{name}-short", f"Licensed under CC {kind} {version}"
+            if name not in ("CC-BY-4.0", "CC-BY-SA-4.0"):
+                yield f"{name}-long", f"Creative Commons {old} {version} {area} License"
+
+
+def _bsd() -> Iterator[tuple[str, str]]:
+    start = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    clauses = (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    )
+    end = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    for n in (2, 3):
+        yield f"BSD-{n}-Clause-text", " ".join((start, *clauses[:n], end))
+        yield f"BSD-{n}-Clause-text-numbered", " ".join((start, *(f"{i + 1}. {c}" for i, c in enumerate(clauses[:n])), end))
+
+
+#: All that the query looks for.
+WORDINGS = (*TEMPLATES, *_FURTHER, *_gnu(), *_creative_commons(), *_bsd())
+_WORDING = re.compile(r"-(?:notice|permission|text|short|long|title)\b.*")
+
+
+def license_of(name: str) -> str:
+    """The license of a template's name: without the kind of its wording."""
+    return _WORDING.sub("", name)
 
 
 def _normal_table() -> bytes:
@@ -96,6 +180,23 @@ class _Class:
     values: np.ndarray
 
 
+def _passage(held: list[tuple[int, bytes]], n: int) -> list[int]:
+    """Places of the n neighbouring ones with the most distinct shingles, the
+    first of equals."""
+    count: Counter[bytes] = Counter()
+    first, best, span = 0, 0, (0, 0)
+    for last, (place, part) in enumerate(held):
+        count[part] += 1
+        while place - held[first][0] >= n:
+            count[held[first][1]] -= 1
+            if not count[held[first][1]]:
+                del count[held[first][1]]
+            first += 1
+        if len(count) > best:
+            best, span = len(count), (first, last + 1)
+    return [place for place, _ in held[span[0] : span[1]]]
+
+
 class Scanner:
     """The templates, their classes and the permutations."""
 
@@ -106,8 +207,11 @@ class Scanner:
         known = [(name, words_of(text.encode())) for name, text in templates]
         known = [(name, w) for name, w in known if w]
         self.names = [name for name, _ in known]
+        licenses = [license_of(name) for name in self.names]
+        self.license = [licenses.index(x) for x in licenses]
         self.shingles = [np.unique(shingle_hashes(w, words)) for _, w in known]
         self.exact = [self._exact(w) for _, w in known]
+        self.places = [max(len(w) - words + 1, 1) for _, w in known]
         self.short = [(i, w) for i, (_, w) in enumerate(known) if len(w) < words]
         sized: dict[int, list[int]] = {}
         for i, (s, (_, w)) in enumerate(zip(self.shingles, known)):
@@ -137,7 +241,9 @@ class Scanner:
 
     def scan(self, texts: list[bytes | None]) -> list[tuple[int, int, float, int, int]]:
         """``(text, template, containment, first word, end word)`` of each
-        template that a text holds: its best window, the first of equals."""
+        template that a text holds: its best window, the first of equals.
+        Words of a better match of another license do not count; of equal
+        matches the longer template is better, then the earlier one."""
         all_words = [words_of(t) for t in texts]
         hashes = [shingle_hashes(w, self.words) if len(w) >= self.words else np.zeros(0, np.uint64) for w in all_words]
         # Texts side by side, each filled up to whole units by its last
@@ -174,13 +280,30 @@ class Scanner:
                                 hi = int(end[w] - first[d]) * UNIT
                                 found.add((d, c.members[order[j]], lo, hi))
                                 j += 1
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        hits: dict[int, list[tuple[float, int, int, list[int], list[bytes]]]] = {}
         for d, t, lo, hi in sorted(found):
             words = all_words[d][lo : min(hi, len(hashes[d])) + self.words - 1]
-            places = [i for i in range(len(words) - self.words + 1) if b" ".join(words[i : i + self.words]) in self.exact[t]]
-            share = len({b" ".join(words[i : i + self.words]) for i in places}) / len(self.exact[t])
-            if share >= self.containment and share > best.get((d, t), (0.0, 0, 0))[0]:
-                best[d, t] = (share, lo + places[0], lo + places[-1] + self.words)
+            held = [(i, x) for i in range(len(words) - self.words + 1) if (x := b" ".join(words[i : i + self.words])) in self.exact[t]]
+            share = len({x for _, x in held}) / len(self.exact[t])
+            if share >= self.containment:
+                at = set(_passage(held, self.places[t]))
+                tight = len({x for i, x in held if i in at}) / len(self.exact[t])
+                hits.setdefault(d, []).append((tight, t, lo, [lo + i for i, _ in held], [x for _, x in held]))
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for d, some in hits.items():
+            owner = np.full(len(all_words[d]), -1)
+            for _, t, _, places, parts in sorted(some, key=lambda h: (-h[0], -len(self.exact[h[1]]), h[1], h[2])):
+                # Shingles without a word of another license's match.
+                taken = np.append(0, np.cumsum((owner >= 0) & (owner != self.license[t])))
+                at = np.array(places)
+                free = np.flatnonzero(taken[at + self.words] == taken[at])
+                share = len({parts[i] for i in free}) / len(self.exact[t])
+                if share >= self.containment:
+                    # Of the window, only the passage itself takes its words.
+                    for i in _passage([(int(at[i]), parts[i]) for i in free], self.places[t]):
+                        owner[i : i + self.words] = self.license[t]
+                    if share > best.get((d, t), (0.0, 0, 0))[0]:
+                        best[d, t] = (share, int(at[free[0]]), int(at[free[-1]]) + self.words)
         # A template shorter than a shingle is found as a whole.
         for t, w in self.short:
             for d, words in enumerate(all_words):
@@ -191,12 +314,13 @@ class Scanner:
 
 
 def scan_licenses(
-    docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, words: int = WORDS, containment: float = CONTAINMENT, miss: float = MISS
+    docs: DataFrame, templates: Sequence[tuple[str, str]] = WORDINGS, words: int = WORDS, containment: float = CONTAINMENT, miss: float = MISS
 ) -> DataFrame:
     """``documents`` → ``(doc_id, license, containment, first_word,
     end_word)``: one row per input row and template of which the text holds
     at least ``containment`` of the shingles in one window (words numbered
-    from 0, end exclusive; the best window, the first of equals).
+    from 0, end exclusive; the best window, the first of equals).  Words of a
+    better match of another license do not count (see `Scanner.scan`).
 
     Null and empty texts hold nothing; null ids stay; repeated rows give
     equal rows; templates without a word are left out, no templates or an

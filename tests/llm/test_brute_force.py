@@ -376,6 +376,43 @@ def test_html_without_article():
     assert len([g for g in got if g.startswith("Sentence")]) == 5 and not any(g.startswith("link") for g in got)
 
 
+@pytest.mark.parametrize(
+    "text, license",
+    (
+        ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0"),
+        ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "GPL-2.0"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "GPL-3.0"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "AGPL-3.0"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "LGPL-3.0"),
+        ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "LGPL-2.1"),
+        ("Licensed under CC BY 4.0", "CC-BY-4.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "CC-BY-NC-SA-4.0"),
+        (dict(license_scan.WORDINGS)["BSD-2-Clause-text"], "BSD-2-Clause"),
+        (dict(license_scan.WORDINGS)["BSD-3-Clause-text-numbered"], "BSD-3-Clause"),
+    ),
+)
+def test_sibling_licenses_are_told_apart(text, license):
+    scanner = license_scan.Scanner(license_scan.WORDINGS)
+    found = {license_scan.license_of(scanner.names[t]) for _, t, *_ in scanner.scan([f"a b c {text} d e f".encode()])}
+    assert found == {license}
+
+
+def test_every_wording_gives_its_license():
+    scanner = license_scan.Scanner(license_scan.WORDINGS)
+    found = {i: set() for i in range(len(license_scan.WORDINGS))}
+    for d, t, *_ in scanner.scan([f"a b c {text} d e f".encode() for _, text in license_scan.WORDINGS]):
+        found[d].add(license_scan.license_of(scanner.names[t]))
+    assert {license_scan.WORDINGS[i][0]: v for i, v in found.items() if v != {license_scan.license_of(license_scan.WORDINGS[i][0])}} == {}
+
+
+def test_licenses_side_by_side():
+    by = dict(license_scan.WORDINGS)
+    text = f"{by['LGPL-3.0-notice-program']} {by['GPL-3.0-notice']} {by['GPL-2.0-notice-program']}"
+    scanner = license_scan.Scanner(license_scan.WORDINGS)
+    found = {license_scan.license_of(scanner.names[t]) for _, t, *_ in scanner.scan([text.encode()])}
+    assert found == {"LGPL-3.0", "GPL-3.0", "GPL-2.0"}
+
+
 def _sentences(n):
     return [f"Sentence number {i} of the body, which is long enough to count; it has marks, and ends here." for i in range(n)]
 
