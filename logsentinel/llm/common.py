@@ -58,13 +58,18 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return moved.select(*[F.col(f"_c{find(cols, n)}").alias(n) for n in names])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write the frame once to the shared folder and read it back: cuts the
     lineage, survives lost executors, and is computed once however often it
-    is read."""
+    is read.  The path is for `remove`, once nothing reads the table."""
     path = shared_path(df.sparkSession, "llm", name, unique=True)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`stored_at` without the path."""
+    return stored_at(df, name)[0]
 
 
 def remove(spark: SparkSession, path: str) -> None:

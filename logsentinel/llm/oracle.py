@@ -98,4 +98,102 @@ SELECT doc_id, source, size, source_size, target, CAST(first_take + second_take
 FROM takes
 """
 
-ORACLE: dict[str, str] = {"op1_chat_perspectives": OP1, "op8_topk_norm_sorted": OP8, "op9_mix_curriculum": OP9}
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+), lines AS (
+  SELECT row_id, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place
+  FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), repeated AS (
+  SELECT key, min(doc_id) AS first FROM keyed
+  WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) >= 2
+), marked AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id IS DISTINCT FROM r.first AS dropped
+  FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT any_value(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count_if(dropped) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY row_id
+"""
+
+OP12 = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS b)
+  )
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (
+  SELECT id, run, count(*) AS times, hex(encode(id || ':' || run)) AS digits FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), bytes AS (
+  SELECT id, run, times, list_transform(range(len(digits) // 2), lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT)) AS b
+  FROM counted
+), hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b),
+         lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h
+  FROM bytes, crc_table
+), written AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+              ELSE run END AS word, times
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM written WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), cuts AS (
+  SELECT word, n, i, substr(word, 1, i) AS head, substr(word, i + 2) AS tail
+  FROM (SELECT word, n, CAST(unnest(range(length(word))) AS INTEGER) AS i FROM words)
+), pairs AS (
+  SELECT a.word AS a, b.word AS b, b.n AS nb FROM cuts a JOIN cuts b ON a.head = b.head AND a.tail = b.tail WHERE a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.head || c.tail = w.word
+  UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.head || c.tail = w.word
+), ranked AS (
+  SELECT a, b, nb, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY nb DESC, b) AS place FROM pairs
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN nb >= 5 * n THEN b END AS form, CASE WHEN nb >= 5 * n THEN nb END AS form_n
+  FROM words LEFT JOIN ranked ON a = word AND place = 1
+), chain AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT f.word, f.form, e.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n FROM formed f JOIN ends e ON e.word = f.word
+"""
+
+OP13 = r"""
+WITH clean AS (
+  SELECT row_number() OVER () AS row_id, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.row_id AS anchor, a.vec_id AS anchor_id, c.row_id AS other, c.vec_id AS other_id, a.label = c.label AS same,
+         CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM clean a JOIN clean c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) AS place FROM scored WHERE same
+), negatives AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor = n.anchor
+  WHERE p.place <= 5 AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT CAST(anchor_id AS BIGINT) AS anchor_id, CAST(positive_id AS BIGINT) AS positive_id, CAST(rank AS INTEGER) AS rank,
+       CAST(negative_id AS BIGINT) AS negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 3
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_chat_perspectives": OP1, "op8_topk_norm_sorted": OP8, "op9_mix_curriculum": OP9,
+    "op11_line_blooms": OP11, "op12_spelling_variants": OP12, "op13_hard_negatives": OP13,
+}

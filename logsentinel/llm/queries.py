@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsentinel.llm import bpe, chat, fingerprints, html_text, license_scan, mixing, pii, quality, simhash, topk
+from logsentinel.llm import (
+    bpe, chat, fingerprints, hard_negatives, html_text, license_scan, line_dedup, mixing, pii, quality, simhash, spelling, topk,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -69,6 +71,19 @@ def op10_consistent_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op11_line_blooms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_perspectives, op2_html_tag_paths, op3_license_scan, op4_simhash_groups, op5_quality_nbsvm, op6_bpe_lexicon,
-        op7_pii_weak_labels, op8_topk_norm_sorted, op9_mix_curriculum, op10_consistent_fingerprints, pipeline,
+        op7_pii_weak_labels, op8_topk_norm_sorted, op9_mix_curriculum, op10_consistent_fingerprints, op11_line_blooms,
+        op12_spelling_variants, op13_hard_negatives, pipeline,
     )
 }
