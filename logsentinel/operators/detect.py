@@ -20,6 +20,7 @@ from logsentinel.functions.expressions import (
     rlike_any,
     window_bounds,
 )
+from logsentinel.operators import panes
 
 
 def _time(time_col: str | Column | None) -> Column:
@@ -216,13 +217,19 @@ def volume_sliding(
     slide: str = "5 seconds",
     more_than_bytes: int = rules.VOLUME_BYTES_THRESHOLD,
 ) -> DataFrame:
-    """Bytes per IP in sliding windows above 10 MiB; HIGH, score 70."""
+    """Bytes per IP in sliding windows above 10 MiB; HIGH, score 70.
+
+    On a table, events are first summed in tumbling panes of the slide, of
+    which the window must be a multiple, so the sliding window copies panes
+    instead of events.  On a stream, whose update mode allows one aggregate,
+    it copies events."""
+    t, total, count = _time(time_col), F.sum("bytes_transferred"), F.count(F.lit(1))
+    if not logs.isStreaming:
+        logs = logs.groupBy(F.window(t, slide).alias("pane"), "source_ip").agg(total.alias("bytes_transferred"), count.alias("events"))
+        t, count = F.window_time("pane"), F.sum("events")
     return (
-        logs.groupBy(F.window(_time(time_col), window, slide).alias("window"), "source_ip")
-        .agg(
-            F.sum("bytes_transferred").alias("total_bytes"),
-            F.count(F.lit(1)).alias("count"),
-        )
+        logs.groupBy(F.window(t, window, slide).alias("window"), "source_ip")
+        .agg(total.alias("total_bytes"), count.alias("count"))
         .filter(F.col("total_bytes") > more_than_bytes)
         .select(
             *_alert(
@@ -290,11 +297,7 @@ ALERT_DETECTORS = {
 
 
 def all_alerts(logs: DataFrame, time_col: str = "event_ts", with_label: bool = False) -> DataFrame:
-    """D10 (batch form): the three alert detectors as one ALERT frame."""
-    out = None
-    for label, detector in ALERT_DETECTORS.items():
-        part = detector(logs, time_col=time_col)
-        if with_label:
-            part = part.withColumn("label", F.lit(label))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """D10 (batch form): the three alert detectors as one ALERT frame, from
+    one scan (see `panes`)."""
+    found = panes.alerts(panes.merge_panes(panes.pane_sums(logs, time_col)))
+    return found if with_label else found.drop("label")

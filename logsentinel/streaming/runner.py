@@ -3,8 +3,7 @@
 The same detector functions as the batch forms run on a decoded stream.
 By default each alert detector is its own query with its own checkpoint and
 failure domain (a stalled detector does not hold back the others); ``union``
-runs the three as one query, which reads and decodes the source once for each
-of them.  The alert sink writes each micro-batch from the executors to a
+runs the three as one query that reads and decodes the source once.  The alert sink writes each micro-batch from the executors to a
 folder of its run and ``batch_id``, so a replayed batch overwrites instead of
 duplicating, and a query with a new checkpoint adds to what is there.
 """
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logsentinel import rules
-from logsentinel.operators import detect
+from logsentinel.operators import detect, panes
 from logsentinel.sources import readers, sinks
 
 SourceFactory = Callable[[], DataFrame]
@@ -130,14 +129,20 @@ def start_alert_queries(
     detectors: dict[str, Callable[..., DataFrame]] | None = None,
     decode: Callable[[DataFrame], DataFrame] | None = None,
     name_prefix: str | None = None,
+    final: bool = False,
 ) -> list[StreamingQuery]:
     """Start the alert detectors (brute force, SQLi/XSS, volume) in
     update mode with the micro-batch alert sink.  ``trigger`` defaults to 5 s
     processing time; ``decode`` defaults to the JSON envelope decoder with
     the watermark.  With ``name_prefix`` each query is named
     ``{prefix}_{label}`` (visible in progress events and metrics); names
-    must be unique among the session's active queries."""
-    detectors = detectors or detect.ALERT_DETECTORS
+    must be unique among the session's active queries.
+
+    With ``union`` one query runs all detectors: each line is read and decoded
+    once and feeds one state store (`panes`); given ``detectors`` of one's own
+    are united instead, and read the source once each.  ``final`` (with
+    ``union``) emits a window's alerts once, when the watermark has passed it,
+    in append mode."""
     trigger = trigger or {"processingTime": "5 seconds"}
     if decode is None:
         def decode(raw: DataFrame) -> DataFrame:
@@ -145,16 +150,20 @@ def start_alert_queries(
     if union:
         raw = source()
         parsed = decode(raw)
-        combined = None
-        for label, fn in detectors.items():
-            part = fn(parsed).withColumn("label", F.lit(label))
-            combined = part if combined is None else combined.unionByName(part)
+        if detectors is None:
+            combined = panes.stream_alerts(parsed, final)
+        else:
+            combined = None
+            for label, fn in detectors.items():
+                part = fn(parsed).withColumn("label", F.lit(label))
+                combined = part if combined is None else combined.unionByName(part)
         name = f"{name_prefix}_all" if name_prefix else None
         return [
-            _writer(combined, f"{checkpoint_root}/all", "update", trigger, name)
+            _writer(combined, f"{checkpoint_root}/all", "append" if final else "update", trigger, name)
             .foreachBatch(sinks.labelled_alert_writer(out_dir, run_id(raw.sparkSession, f"{checkpoint_root}/all")))
             .start()
         ]
+    detectors = detectors or detect.ALERT_DETECTORS
     queries = []
     for label, fn in detectors.items():
         raw = source()
