@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from logsentinel import rules
 from logsentinel.schema import ALERT_COLUMNS, ALERT_WITH_CORRUPT, CORRUPT_RECORD, LOG
+from logsentinel.sources import manifest
 
 
 #: Texts that stand for a missing value in CSV.
@@ -80,7 +81,9 @@ def read_result_table(
 
 #: Layouts of the alert folder: the sink's, the sink's of older versions, and
 #: flat ``{label}_batch_{id}.json`` files.
-_ALERT_LAYOUTS = ("label=*/run=*/batch_id=*", "label=*/batch_id=*", "*.json")
+_SINK_LAYOUT = "label=*/run=*/batch_id=*"
+_OTHER_LAYOUTS = ("label=*/batch_id=*", "*.json")
+_BATCH = ["label", "run", "batch_id"]
 
 
 def read_alerts(spark: SparkSession, directory: str, missing_ok: bool = True) -> DataFrame:
@@ -88,32 +91,82 @@ def read_alerts(spark: SparkSession, directory: str, missing_ok: bool = True) ->
     batch_id``.
 
     The sink's partitioned folders (partition discovery, so filters on
-    ``label``, ``run`` and ``batch_id`` prune folders) and flat
-    ``{label}_batch_{id}.json`` files, whose label and batch id come from the
-    file name, are read side by side; alerts without a run have a null run,
-    which counts as the oldest.  Blank lines are skipped; a line that is not
-    JSON is dropped; a wrong-typed field is null and the rest of its record
-    kept.  A missing or empty folder gives an empty frame with the same
-    columns (or raises when ``missing_ok`` is false).  The schema is
-    declared, so resolving the folder lists files but reads none.
+    ``label``, ``run`` and ``batch_id`` prune folders), the tables that
+    compactions have made of them, and flat ``{label}_batch_{id}.json`` files,
+    whose label and batch id come from the file name, are read side by side;
+    alerts without a run have a null run, which counts as the oldest.  Of the
+    sink's folders only committed batches count, and of these the ones that a
+    compaction holds are read from its table only, so no alert is counted
+    twice or in part.  Blank lines are skipped; a line that is not JSON is
+    dropped; a wrong-typed field is null and the rest of its record kept.  A
+    missing or empty folder gives an empty frame with the same columns (or
+    raises when ``missing_ok`` is false).  The schema is declared, so
+    resolving the folder lists files but reads none.
     """
-    found, error = None, None
-    for layout in _ALERT_LAYOUTS:
+    parts, error = [], None
+    for read in (lambda: uncompacted(spark, directory)[0], lambda: _compacted(spark, directory), *[
+        lambda layout=layout: _alert_layout(spark, directory, layout) for layout in _OTHER_LAYOUTS
+    ]):
         try:
-            part = _alert_layout(spark, directory, layout)
+            part = read()
         except AnalysisException as exc:  # no such files
             error = exc
             continue
-        found = part if found is None else found.unionByName(part)
-    if found is not None:
+        if part is not None:
+            parts.append(part)
+    if parts:
+        found = parts[0]
+        for part in parts[1:]:
+            found = found.unionByName(part)
         return found
     if not missing_ok:
         raise error
+    return _no_alerts(spark)
+
+
+def _no_alerts(spark: SparkSession) -> DataFrame:
     empty = spark.createDataFrame([], ALERT_WITH_CORRUPT)
     none = F.lit(None).cast("string")
     return empty.select(*ALERT_COLUMNS, none.alias("label"), none.alias("run"), F.lit(None).cast("bigint").alias("batch_id"))
 
 
+def of_batches(alerts: DataFrame, batches: DataFrame) -> DataFrame:
+    """The alerts of the given ``(label, run, batch_id)`` batches."""
+    return alerts.join(batches, _BATCH, "left_semi").select(*alerts.columns)
+
+
+def uncompacted(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    """The alerts in the sink's folders that count there, and their batches as
+    ``(label, run, batch_id)``.  A folder without commits (of an older
+    version) counts whole."""
+    raw = _alert_layout(spark, directory, _SINK_LAYOUT)
+    if not manifest.exists(spark, f"{directory}/_commits"):
+        return raw, raw.select(*_BATCH).distinct()
+    commits = spark.read.schema("run string, batch_id bigint, labels array<string>").json(f"{directory}/_commits")
+    live = commits.select(F.explode("labels").alias("label"), "run", "batch_id").distinct()
+    taken = _taken(spark, directory)
+    if taken is not None:
+        live = live.join(taken, _BATCH, "left_anti")
+    return of_batches(raw, live), live
+
+
+def _taken(spark: SparkSession, directory: str) -> DataFrame | None:
+    """The batches that compactions hold."""
+    if not manifest.matching(spark, f"{directory}/_compactions/*.json"):
+        return None
+    return spark.read.schema("name string, label string, run string, batch_id bigint").json(f"{directory}/_compactions").drop("name")
+
+
+def _compacted(spark: SparkSession, directory: str) -> DataFrame | None:
+    """The alerts of the compactions whose manifest is there."""
+    names = [p.rsplit("/", 1)[1].removesuffix(".json") for p in manifest.matching(spark, f"{directory}/_compactions/*.json")]
+    found = None
+    for name in names:
+        part = spark.read.parquet(f"{directory}/_compacted/{name}").select(*ALERT_COLUMNS, F.col("label").cast("string").alias("label"), "run", "batch_id")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def _alert_layout(spark: SparkSession, directory: str, layout: str) -> DataFrame:
     raw = (
         spark.read.schema(ALERT_WITH_CORRUPT)

@@ -4,12 +4,19 @@ executor or a restarted query never duplicates rows."""
 
 from __future__ import annotations
 
+import json
+import threading
+import time
+import uuid
 from collections.abc import Callable, Mapping
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from logsentinel.sources import manifest, readers
+
 
 def write_result(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """K1: result table as Parquet (overwrite by default)."""
@@ -44,34 +51,37 @@ def start_console(stream_df: DataFrame, output_mode: str, trigger: dict | None =
     return w.start()
 
 
-#: Files that a micro-batch of alerts is written to.
-FILES_PER_BATCH = 2
+#: Bytes of an alert line, about, and of a file of alerts at most.
+ALERT_BYTES = 256
+FILE_BYTES = 64 << 20
 #: Run of alerts that no streaming query wrote; sorts before any query's run.
 BATCH_RUN = "0000000000000-batch"
 
+_ADOPTING = threading.Lock()
+
 
 def alert_batch_writer(
-    out_dir: str, label: str, run: str = BATCH_RUN, files: int = FILES_PER_BATCH
+    out_dir: str, label: str, run: str = BATCH_RUN, files: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """K3: ``foreachBatch`` function writing each non-empty micro-batch to
     ``{out_dir}/label={label}/run={run}/batch_id={id}`` as JSON lines.
 
-    The batch is written straight from the executors (no ``collect``), in one
-    job, so the stateful plan behind it runs once.  A replayed batch id of the
-    same run overwrites its own folder instead of appending again; another
-    run (a query with a new checkpoint) has its own folders and never touches
-    earlier alerts.  ``files`` is the number of files per batch; alerts are
-    few next to events, so it need not follow the state partitions.
+    The batch is written straight from the executors (no ``collect``).  A
+    replayed batch id of the same run overwrites its own folder instead of
+    appending again; another run (a query with a new checkpoint) has its own
+    folders and never touches earlier alerts.  A batch counts for readers once
+    its commit is there (`write_labelled_alerts`).  The number of files
+    follows the number of alerts, unless ``files`` says it.
     """
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        write_labelled_alerts(batch_df.withColumn("label", F.lit(label)), out_dir, batch_id, run, files)
+        write_labelled_alerts(batch_df.withColumn("label", F.lit(label)), out_dir, batch_id, run, files, label)
 
     return write_batch
 
 
 def labelled_alert_writer(
-    out_dir: str, run: str = BATCH_RUN, files: int = FILES_PER_BATCH
+    out_dir: str, run: str = BATCH_RUN, files: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """K3 for a frame holding several detectors' alerts (a ``label``
     column): the layout and guarantees of ``alert_batch_writer``."""
@@ -83,22 +93,58 @@ def labelled_alert_writer(
 
 
 def write_labelled_alerts(
-    alerts: DataFrame, out_dir: str, batch_id: int, run: str = BATCH_RUN, files: int | None = None
+    alerts: DataFrame, out_dir: str, batch_id: int, run: str = BATCH_RUN, files: int | None = None, writer: str = "all"
 ) -> None:
-    """Write ``alerts`` as batch ``batch_id`` of ``run``: dynamic partition
-    overwrite, so rerunning replaces only that batch's folders; an empty
-    frame writes no folder.  Without ``files`` adaptive execution sizes the
-    output partitions."""
-    if files:
-        alerts = alerts.repartition(files)
-    (
-        alerts.withColumn("run", F.lit(run))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("label", "run", "batch_id")
-        .json(out_dir)
-    )
+    """Write ``alerts`` as batch ``batch_id`` of ``run``, and commit it.
+
+    The batch is computed once and kept until it is written: its size gives
+    the number of files (about `FILE_BYTES` each; neighbouring partitions are
+    put together without a shuffle), and an empty one writes nothing.  Then
+    the folders are written, replacing those of an earlier attempt, and a
+    manifest ``_commits/{writer}-{run}-{batch_id}.json`` makes them count, all
+    labels at once: `readers.read_alerts` leaves out what is not committed.
+    """
+    spark = alerts.sparkSession
+    _adopt(spark, out_dir)
+    commit = f"{out_dir}/_commits/{writer}-{run}-{batch_id}.json"
+    label = "*" if writer == "all" else writer
+    manifest.remove(spark, commit)
+    for folder in manifest.matching(spark, f"{out_dir}/label={label}/run={run}/batch_id={batch_id}"):
+        manifest.remove(spark, folder)
+    held = alerts.persist()
+    try:
+        rows = held.count()
+        if not rows:
+            return
+        parts = files or -(-rows * ALERT_BYTES // FILE_BYTES)
+        sized = held.repartition(parts) if files else held.coalesce(parts)
+        (
+            sized.withColumn("run", F.lit(run))
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("append")
+            .partitionBy("label", "run", "batch_id")
+            .json(out_dir)
+        )
+    finally:
+        held.unpersist()
+    labels = [_folder(p)[0] for p in manifest.matching(spark, f"{out_dir}/label={label}/run={run}/batch_id={batch_id}")]
+    manifest.put(spark, commit, json.dumps({"run": run, "batch_id": batch_id, "labels": labels}) + "\n")
+
+
+def _folder(path: str) -> tuple[str, str, int]:
+    """Label, run and batch of a sink folder."""
+    label, run, batch = (unquote(part.split("=", 1)[1]) for part in path.rsplit("/", 3)[1:])
+    return label, run, int(batch)
+
+
+def _adopt(spark: SparkSession, out_dir: str) -> None:
+    """Start the commits of a folder; batches that an older version wrote
+    without them count as committed."""
+    with _ADOPTING:
+        if not manifest.exists(spark, f"{out_dir}/_commits"):
+            found = [_folder(p) for p in manifest.matching(spark, f"{out_dir}/label=*/run=*/batch_id=*")]
+            lines = [json.dumps({"run": run, "batch_id": batch, "labels": [label]}) + "\n" for label, run, batch in found]
+            manifest.put(spark, f"{out_dir}/_commits/0-adopted.json", "".join(lines))
 
 
 def batch_folder_writer(path: str, run: str) -> Callable[[DataFrame, int], None]:
@@ -112,18 +158,48 @@ def batch_folder_writer(path: str, run: str) -> Callable[[DataFrame, int], None]
     return write_batch
 
 
-def compact_alerts(alerts: DataFrame, path: str) -> DataFrame:
-    """Store scanned alerts (S4) as a Parquet table partitioned by label and
-    by the date of ``window_start``, rewriting the dates it holds: a query
-    lists one folder per label and day instead of three per micro-batch.  Run
-    it over closed days; returns the table read back."""
+def compact_alerts(spark: SparkSession, out_dir: str) -> int:
+    """Rewrite the committed batches that no earlier compaction holds as one
+    Parquet table by label and day of ``window_start``, beside them; returns
+    how many batches it took.
+
+    A batch never changes once it is committed, so any set of whole batches
+    can be compacted while queries go on writing.  The batches that a
+    compaction holds are listed in its own manifest, which is put in place
+    when its table is whole: `readers.read_alerts` then reads them from the
+    table and no longer from their folders, so an alert counts once before,
+    during and after.  `drop_compacted` deletes the folders later."""
+    name = f"{time.time_ns() // 1_000_000:013d}-{uuid.uuid4().hex[:8]}"
+    alerts, batches = readers.uncompacted(spark, out_dir)
+    taken = [r.asDict() for r in batches.collect()]  # one small row per batch, as many as there are commit files
+    if not taken:
+        return 0
+    # What is committed meanwhile is not in this list and stays for the next.
+    chosen = spark.createDataFrame([(r["label"], r["run"], r["batch_id"]) for r in taken], "label string, run string, batch_id bigint")
     day = F.coalesce(F.substring("window_start", 1, 10), F.lit("unknown"))
     (
-        alerts.withColumn("day", day).hint("rebalance", "label", "day")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("label", "day").parquet(path)
+        readers.of_batches(alerts, chosen).withColumn("day", day).hint("rebalance", "label", "day")
+        .write.mode("overwrite").partitionBy("label", "day").parquet(f"{out_dir}/_compacted/{name}")
     )
-    return alerts.sparkSession.read.parquet(path).select(*alerts.columns, "day")
+    lines = [json.dumps({"name": name, **r}) + "\n" for r in taken]
+    manifest.put(spark, f"{out_dir}/_compactions/{name}.json", "".join(lines))
+    return len(taken)
+
+
+def drop_compacted(spark: SparkSession, out_dir: str) -> int:
+    """Delete the folders of compacted batches; returns how many.  Queries
+    planned before the compaction may still read them, so run it some time
+    after.  A manifest lists its batches until their folders are gone, so an
+    interrupted deletion goes on at the next call."""
+    dropped = 0
+    for path in manifest.matching(spark, f"{out_dir}/_compactions/*.json"):
+        for line in manifest.get(spark, path).splitlines():
+            r = json.loads(line)
+            folder = f"{out_dir}/label={r['label']}/run={r['run']}/batch_id={r['batch_id']}"
+            if manifest.exists(spark, folder):
+                manifest.remove(spark, folder)
+                dropped += 1
+    return dropped
 
 
 def start_threat_store(

@@ -84,18 +84,100 @@ def test_alert_scan_reads_all_layouts_side_by_side(spark, tmp_path):
                    ("3.3.3.3", "sqli_xss", "0000000000005-x", 4)]
 
 
-def test_compacted_alerts_hold_the_same_rows_in_fewer_folders(spark, tmp_path):
+def _all(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_alerts_are_the_same_before_and_after_compaction(spark, tmp_path):
     import glob
 
-    out, small = str(tmp_path / "sink"), str(tmp_path / "compact")
-    for b in range(6):
+    out = str(tmp_path / "sink")
+
+    def batch(b, label="volume"):
         df = spark.createDataFrame([(f"1.1.1.{b}", f"2024-01-0{1 + b // 3} 00:00:00", b)],
                                    "source_ip string, window_start string, count bigint")
-        sinks.alert_batch_writer(out, "volume", "0000000000005-x")(df, b)
-    scanned = readers.read_alerts(spark, out)
-    back = sinks.compact_alerts(scanned, small)
-    assert sorted(map(tuple, back.select(*scanned.columns).collect())) == sorted(map(tuple, scanned.collect()))
-    assert len(glob.glob(f"{small}/label=*/day=*")) == 2
+        sinks.alert_batch_writer(out, label, "0000000000005-x")(df, b)
+
+    for b in range(6):
+        batch(b)
+    batch(2, "brute_force")
+    before = _all(readers.read_alerts(spark, out))
+    assert len(before) == 7 and sinks.compact_alerts(spark, out) == 7
+    assert _all(readers.read_alerts(spark, out)) == before
+    assert len(glob.glob(f"{out}/_compacted/*/label=*/day=*")) == 3
+    assert sinks.drop_compacted(spark, out) == 7 and not glob.glob(f"{out}/label=*/run=*/batch_id=*")
+    assert _all(readers.read_alerts(spark, out)) == before
+    # Later batches are read beside the table, and go into the next one.
+    batch(6)
+    assert len(_all(readers.read_alerts(spark, out))) == 8
+    assert sinks.compact_alerts(spark, out) == 1 and sinks.compact_alerts(spark, out) == 0
+    assert len(_all(readers.read_alerts(spark, out))) == 8
+    assert [r.batch_id for r in readers.read_alerts(spark, out).filter("source_ip = '1.1.1.6'").collect()] == [6]
+
+
+def test_an_unfinished_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "sink")
+    df = spark.createDataFrame([("1.1.1.1", 3)], "source_ip string, count bigint")
+    sinks.alert_batch_writer(out, "volume")(df, 0)
+    put = sinks.manifest.put
+
+    def stopped(spark, path, text):
+        if "_compactions" in path:
+            raise KeyboardInterrupt
+        put(spark, path, text)
+
+    monkeypatch.setattr(sinks.manifest, "put", stopped)
+    with pytest.raises(KeyboardInterrupt):
+        sinks.compact_alerts(spark, out)
+    monkeypatch.undo()
+    assert readers.read_alerts(spark, out).count() == 1 and sinks.drop_compacted(spark, out) == 0
+    assert sinks.compact_alerts(spark, out) == 1 and readers.read_alerts(spark, out).count() == 1
+
+
+def test_a_batch_is_read_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """A writer that stops after its folders, or half way through a replay,
+    leaves nothing that readers count; its replay puts the batch right."""
+    import glob
+
+    out = str(tmp_path / "sink")
+    rows = spark.createDataFrame([("a", 1, "brute_force"), ("b", 2, "volume")], "source_ip string, count bigint, label string")
+    write = sinks.labelled_alert_writer(out, "0000000000007-r")
+    write(rows, 0)
+    put = sinks.manifest.put
+    monkeypatch.setattr(sinks.manifest, "put", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):
+        write(rows, 1)
+    assert glob.glob(f"{out}/label=*/run=*/batch_id=1/*.json")  # written, but not committed
+    assert {r.batch_id for r in readers.read_alerts(spark, out).collect()} == {0}
+    monkeypatch.setattr(sinks.manifest, "put", put)
+    write(rows.filter("label = 'volume'"), 1)  # the replay holds less: the old folders go
+    got = sorted((r.label, r.batch_id) for r in readers.read_alerts(spark, out).collect())
+    assert got == [("brute_force", 0), ("volume", 0), ("volume", 1)]
+    write(rows.limit(0), 1)
+    assert {r.batch_id for r in readers.read_alerts(spark, out).collect()} == {0}
+
+
+def test_batches_of_older_versions_count(spark, tmp_path):
+    out = str(tmp_path / "sink")
+    old = os.path.join(out, "label=volume", "run=0000000000001-old", "batch_id=3")
+    os.makedirs(old)
+    _write(os.path.join(old, "part-0.json"), '{"source_ip":"9.9.9.9"}\n')
+    assert readers.read_alerts(spark, out).count() == 1
+    df = spark.createDataFrame([("1.1.1.1", 3)], "source_ip string, count bigint")
+    sinks.alert_batch_writer(out, "volume", "0000000000002-new")(df, 0)
+    assert sorted(r.source_ip for r in readers.read_alerts(spark, out).collect()) == ["1.1.1.1", "9.9.9.9"]
+
+
+def test_files_follow_the_size_of_the_batch(spark, tmp_path, monkeypatch):
+    import glob
+
+    out = str(tmp_path / "sink")
+    monkeypatch.setattr(sinks, "FILE_BYTES", 100 * sinks.ALERT_BYTES)
+    for n, want in ((40, 1), (950, 10)):
+        df = spark.range(0, n, numPartitions=50).selectExpr("cast(id as string) as source_ip", "id as count")
+        sinks.alert_batch_writer(out, "volume")(df, n)
+        assert len(glob.glob(f"{out}/label=volume/run=*/batch_id={n}/*.json")) == want
+    assert readers.read_alerts(spark, out).count() == 990
 
 
 def test_result_table_missing_is_an_error_value(spark, tmp_path):
