@@ -2,10 +2,13 @@
 serving routes as ``spark-submit``-able entry points.
 
     python -m logsentinel.jobs batch --logs LOGS.parquet --out RESULTS_DIR
-    python -m logsentinel.jobs normalize --csv RAW.csv --out CLEAN.parquet
-    python -m logsentinel.jobs profile --csv RAW.csv
+    python -m logsentinel.jobs normalize --csv RAW.csv --out CLEAN.parquet [--profile] [--single-line]
+    python -m logsentinel.jobs profile --csv RAW.csv [--single-line]
+    python -m logsentinel.jobs rollup --logs CLEAN.parquet --rollup ROLLUP_DIR --until TIME
+    python -m logsentinel.jobs span --rollup ROLLUP_DIR --start TIME --end TIME [--logs CLEAN.parquet]
+    python -m logsentinel.jobs compact --alerts ALERT_DIR [--drop]
     python -m logsentinel.jobs stream --json-dir DIR | --kafka HOST:PORT --topic T \\
-        --alerts ALERT_DIR --checkpoint CKPT [--union] [--available-now]
+        --alerts ALERT_DIR --checkpoint CKPT [--union | --final] [--available-now]
     python -m logsentinel.jobs serve --results RESULTS_DIR --alerts ALERT_DIR \\
         --route top|ip|port-scans|bytes|sqli-xss|stats|kpis|streaming|streaming-stats [--ip A,B]
     python -m logsentinel.jobs rule --rule NAME --json-dir DIR | --kafka HOST:PORT --topic T \\
@@ -24,7 +27,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsentinel.operators import batch, detect, profile, serve
+from logsentinel.operators import batch, detect, profile, rollup, serve
 from logsentinel.schema import RESULT_TABLES
 from logsentinel.session import shared_path
 from logsentinel.sources import readers, sinks
@@ -69,20 +72,30 @@ def run_batch(
     )
 
 
-def run_profile(spark: SparkSession, csv_path: str) -> None:
-    raw = readers.read_log_csv(spark, csv_path)
+def run_profile(spark: SparkSession, csv_path: str, multi_line: bool = True) -> None:
+    raw = readers.read_log_csv(spark, csv_path, multi_line=multi_line)
     _print(profile.profile_shape(raw), "shape")
-    _print(profile.profile_types(readers.read_raw_csv(spark, csv_path)), "types")
+    _print(profile.profile_types(readers.read_raw_csv(spark, csv_path, multi_line)), "types")
     _print(profile.profile_nulls(raw), "missing values")
     _print(profile.profile_duplicates(raw), "duplicates")
     _print(profile.profile_sample(raw, [raw.columns[0]], 5), "sample")
 
 
+def run_span(spark: SparkSession, path: str, logs_path: str | None, start: str, end: str, seconds: int, n: int = 10) -> None:
+    """B1, B3 and B4 of a span of time from a stored rollup."""
+    logs = readers.read_logs(spark, logs_path) if logs_path else None
+    summary = rollup.span_summary(spark.read.parquet(path), logs, start, end, seconds)
+    _print(batch.top_malicious_ips_from_summary(summary, n), "top malicious addresses")
+    _print(batch.sqli_xss_totals_from_summary(summary), "attacks")
+    _print(batch.bytes_by_threat_label_from_summary(summary), "bytes by label")
+
+
 def run_stream(args) -> None:
     spark = SparkSession.builder.getOrCreate()
     src = _stream_source(spark, args)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": f"{args.trigger_seconds} seconds"}
-    qs = runner.start_alert_queries(src, args.alerts, args.checkpoint, trigger=trigger, union=args.union)
+    qs = runner.start_alert_queries(
+        src, args.alerts, args.checkpoint, trigger=trigger, union=args.union or args.final, final=args.final)
     if args.available_now:
         runner.await_all(qs)
     else:
@@ -98,6 +111,7 @@ STREAM_RULES = {
     "threat_score": (detect.threat_score_by_ip, "complete", "10 seconds", None),
     "threat_store": (detect.threat_store, "append", "5 seconds", None),
     "brute_force_text": (detect.brute_force_text, "complete", None, readers.decode_raw_text),
+    "port_scan": (batch.port_scan_final, "append", "10 seconds", None),
 }
 
 
@@ -152,7 +166,7 @@ def run_serve(spark: SparkSession, results: str, alerts_dir: str | None, route:
         req = spark.createDataFrame([(ip,) for ip in ips], "ip string")
         _print(serve.ip_lookup(req, top, alerts))
     elif route == "port-scans":
-        _print(serve.threats_port_scans(table("port_scan_detection")))
+        _print(serve.threats_port_scans(table("port_scan_detection")), limit=limit)
     elif route == "bytes":
         _print(serve.threats_bytes(table("bytes_volume_by_threat_label")))
     elif route == "sqli-xss":
@@ -184,8 +198,26 @@ def main(argv: list[str] | None = None) -> int:
     nz = sub.add_parser("normalize")
     nz.add_argument("--csv", required=True)
     nz.add_argument("--out", required=True)
+    nz.add_argument("--profile", action="store_true", help="count types and missing values on the way")
     pr = sub.add_parser("profile")
     pr.add_argument("--csv", required=True)
+    for p in (nz, pr):
+        p.add_argument("--single-line", action="store_true", help="no line breaks inside fields: large files are split")
+    ru = sub.add_parser("rollup")
+    ru.add_argument("--logs", required=True)
+    ru.add_argument("--rollup", required=True)
+    ru.add_argument("--until", required=True, help="timestamp before which periods are closed")
+    ru.add_argument("--seconds", type=int, default=rollup.DAY)
+    sp = sub.add_parser("span")
+    sp.add_argument("--rollup", required=True)
+    sp.add_argument("--logs", help="needed where the span begins or ends within a period")
+    sp.add_argument("--start", required=True)
+    sp.add_argument("--end", required=True)
+    sp.add_argument("--seconds", type=int, default=rollup.DAY)
+    sp.add_argument("--n", type=int, default=10)
+    ca = sub.add_parser("compact")
+    ca.add_argument("--alerts", required=True)
+    ca.add_argument("--drop", action="store_true", help="delete the folders that earlier compactions hold")
     st = sub.add_parser("stream")
     st.add_argument("--kafka")
     st.add_argument("--topic")
@@ -196,7 +228,8 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--alerts", required=True)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--trigger-seconds", type=int, default=5)
-    st.add_argument("--union", action="store_true")
+    st.add_argument("--union", action="store_true", help="one query for all detectors")
+    st.add_argument("--final", action="store_true", help="one query that emits each window once, when it is closed")
     st.add_argument("--available-now", action="store_true")
     rl = sub.add_parser("rule")
     rl.add_argument("--rule", required=True, choices=sorted(STREAM_RULES))
@@ -228,10 +261,21 @@ def main(argv: list[str] | None = None) -> int:
         for name, path in run_batch(spark, args.logs, args.out, args.n, args.start, args.end).items():
             print(f"{name}: {path}")
     elif args.cmd == "normalize":
-        profile.normalize_csv_to_parquet(spark, args.csv, args.out)
+        if args.profile:
+            _print(profile.normalize_and_profile(spark, args.csv, args.out, multi_line=not args.single_line), "columns")
+        else:
+            profile.normalize_csv_to_parquet(spark, args.csv, args.out, multi_line=not args.single_line)
         print(args.out)
     elif args.cmd == "profile":
-        run_profile(spark, args.csv)
+        run_profile(spark, args.csv, not args.single_line)
+    elif args.cmd == "rollup":
+        rollup.extend(spark, readers.read_logs(spark, args.logs), args.rollup, args.until, args.seconds)
+    elif args.cmd == "span":
+        run_span(spark, args.rollup, args.logs, args.start, args.end, args.seconds, args.n)
+    elif args.cmd == "compact":
+        if args.drop:
+            print(f"dropped: {sinks.drop_compacted(spark, args.alerts)}")
+        print(f"compacted: {sinks.compact_alerts(spark, args.alerts)}")
     elif args.cmd == "serve":
         run_serve(spark, args.results, args.alerts, args.route, [i for i in args.ip.split(",") if i], args.limit)
     return 0

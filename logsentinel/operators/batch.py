@@ -86,7 +86,36 @@ def port_scan(
             "connection_count",
         )
     )
-    return out.orderBy(F.desc("distinct_targets")) if order else out
+    return out.orderBy(F.desc("distinct_targets"), "source_ip", "window_start") if order else out
+
+
+def port_scan_final(
+    logs: DataFrame, window: str = "5 minutes", min_targets: int = 20, protocol: str = "TCP", time_col: str = "event_ts"
+) -> DataFrame:
+    """B2 for a stream, where a distinct count is refused: exact, by two
+    chained aggregates.  The first keeps one row per address, window and
+    target (with its connections), which also takes the repeats out; the
+    second counts them when the watermark has closed the window.  In append
+    mode every scan comes once, and both states are evicted.  On a table it
+    gives the rows of `port_scan`.
+
+    The first state is keyed by target as well, so a scanner of many targets
+    is spread over the state partitions, and the second holds one short row
+    per address and window."""
+    targets = (
+        logs.filter(F.col("protocol") == protocol)
+        .groupBy(F.window(time_col, window).alias("w"), "source_ip", "dest_ip")
+        .agg(F.count(F.lit(1)).alias("connections"))
+    )
+    return (
+        targets.groupBy("source_ip", F.window(F.window_time("w"), window).alias("window"))
+        .agg(F.count("dest_ip").alias("distinct_targets"), F.sum("connections").alias("connection_count"))
+        .filter(F.col("distinct_targets") > min_targets)
+        .select(
+            "source_ip", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+            "distinct_targets", "connection_count",
+        )
+    )
 
 
 def sqli_xss_totals(
@@ -106,7 +135,7 @@ def sqli_xss_totals(
     )
     return totals.select(
         F.expr(f"stack(2, '{rules.SQLI}', sqli, '{rules.XSS}', xss) AS (attack_type, count)")
-    ).orderBy(F.desc("count"))
+    ).orderBy(F.desc("count"), "attack_type")
 
 
 def sqli_events(logs: DataFrame, pattern: str = rules.BATCH_SQLI_PATTERN) -> DataFrame:
@@ -136,7 +165,7 @@ def bytes_by_threat_label(logs: DataFrame, fold_case: bool = True) -> DataFrame:
             F.min("bytes_transferred").alias("min_bytes"),
             F.max("bytes_transferred").alias("max_bytes"),
         )
-        .orderBy(F.desc("total_bytes"))
+        .orderBy(F.desc("total_bytes"), "threat_label")
     )
 
 
@@ -213,7 +242,7 @@ def sqli_xss_totals_from_summary(summary: DataFrame) -> DataFrame:
     )
     return total.select(
         F.expr(f"stack(2, '{rules.SQLI}', sqli, '{rules.XSS}', xss) AS (attack_type, count)")
-    ).orderBy(F.desc("count"))
+    ).orderBy(F.desc("count"), "attack_type")
 
 
 def bytes_by_threat_label_from_summary(summary: DataFrame) -> DataFrame:
@@ -221,5 +250,5 @@ def bytes_by_threat_label_from_summary(summary: DataFrame) -> DataFrame:
     return (
         summary.filter(F.col("grouping") == BY_LABEL)
         .select("threat_label", "event_count", "total_bytes", "avg_bytes", "min_bytes", "max_bytes")
-        .orderBy(F.desc("total_bytes"))
+        .orderBy(F.desc("total_bytes"), "threat_label")
     )

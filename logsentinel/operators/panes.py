@@ -68,13 +68,19 @@ def pane_sums(logs: DataFrame, time_col: str = "event_ts", **rule) -> DataFrame:
 
 def _first(t: str) -> Column:
     """Target and protocol of the earliest failed login, ties by their values."""
-    return F.min_by(F.struct("dest_ip", "protocol"), F.when(F.col("failed"), F.struct(t, "dest_ip", "protocol")))
+    return F.min(F.when(F.col("failed"), F.struct(F.col(t).alias("t"), "dest_ip", "protocol")))
+
+
+def _place(time: Column) -> Column:
+    """Which pane of its minute-long window a time lies in.  A column of its
+    own, so that it is worked out once per row."""
+    return F.floor(F.pmod(F.second(time) - F.second(F.col("window.start")), F.lit(PANE * LENGTH)) / PANE)
 
 
 def merge_panes(panes: DataFrame) -> DataFrame:
     """Neighbouring panes → sliding minutes, with events and bytes by pane."""
-    minutes = panes.withColumn("window", F.window(F.window_time("pane"), _MINUTE, _STEP))
-    at = [F.col("pane.start") == F.col("window.start") + _seconds(PANE * i) for i in range(LENGTH)]
+    minutes = panes.withColumn("window", F.window(F.window_time("pane"), _MINUTE, _STEP)).withColumn("place", _place(F.col("pane.start")))
+    at = [F.col("place") == i for i in range(LENGTH)]
     return minutes.groupBy("window", "source_ip").agg(
         F.sum(F.when(F.col("failed"), F.col("events"))).alias("failed"), _first("first_t").alias("first"),
         F.sum("sqli").alias("sqli"), F.sum("xss").alias("xss"),
@@ -88,8 +94,8 @@ def sliding_sums(logs: DataFrame, time_col: str = "event_ts", **rule) -> DataFra
     and when each part was last changed (the time of its micro-batch)."""
     minutes = _flagged(logs, time_col, **rule).withColumn("window", F.window("t", _MINUTE, _STEP))
     minutes = minutes.withColumn("now", F.current_timestamp())
-    start = F.col("window.start")
-    at = [(F.col("t") >= start + _seconds(PANE * i)) & (F.col("t") < start + _seconds(PANE * (i + 1))) for i in range(LENGTH)]
+    minutes = minutes.withColumn("place", _place(F.col("t")))
+    at = [F.col("place") == i for i in range(LENGTH)]
 
     def changed(condition: Column) -> Column:
         return F.max(F.when(condition, F.col("now")))

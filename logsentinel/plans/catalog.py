@@ -10,6 +10,7 @@ which also cuts the lineage of the serving queries.
 from __future__ import annotations
 
 import hashlib
+import json
 import threading
 from collections.abc import Callable
 
@@ -17,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsentinel.functions import fmt_num
-from logsentinel.operators import batch, detect, profile, serve
+from logsentinel.operators import batch, detect, profile, rollup, serve
 from logsentinel.schema import LOG_COLUMNS, RESULT_TABLES
 from logsentinel.session import app_id, shared_path
-from logsentinel.sources import adapters, readers, sinks
-from logsentinel.streaming import runner
+from logsentinel.sources import adapters, manifest, readers, sinks
+from logsentinel.streaming import current, runner
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -126,8 +127,8 @@ def q_brute_force_sliding(spark, sf_dir):
 
 @register("brute_force_text")
 def q_brute_force_text(spark, sf_dir):
-    raw = adapters.with_raw_text(logs(spark, sf_dir)).select("event_ts", "raw_log")
-    return detect.brute_force_text(raw, time_col="event_ts")
+    lines = adapters.with_raw_text(logs(spark, sf_dir)).select("event_ts", F.col("raw_log").alias("value"))
+    return detect.brute_force_text(readers.decode_raw_text(lines), time_col="event_ts")
 
 
 @register("brute_force_tumbling")
@@ -429,40 +430,50 @@ STREAM_PERIODS = 3
 STATE_PARTITIONS = 8
 
 
+#: Bytes of the events table for each file of a period.
+STREAM_FILE_BYTES = 16 << 20
+
+
 def stream_files(spark: SparkSession, sf_dir: str) -> int:
-    """Files of each period of the stream: as many as the log view's scan has
-    tasks."""
-    return max(1, logs(spark, sf_dir).rdd.getNumPartitions())
+    """Files of each period of the stream, by the size of the table."""
+    return max(1, manifest.size(spark, f"{sf_dir}/events.parquet") // STREAM_FILE_BYTES // STREAM_PERIODS)
 
 
 def stored_json_stream(spark: SparkSession, sf_dir: str) -> str:
     """The log view as JSON lines (the stream envelope) in periods that follow
     each other in event time and are written one after the other.  Each has
     the same number of files, so a file stream that takes as many at a time
-    replays period by period, in order, however the table is cut into files."""
+    replays period by period, in order, however the table is cut into files.
+    Events without an id, or with a negative one, are in the first period.
+    The folder ``data`` holds the periods; ``closing``, written last, the line
+    that lets the watermark pass all windows."""
 
     def build(path: str) -> None:
         lines = logs(spark, sf_dir).select("event_id", F.to_json(F.struct(*LOG_COLUMNS)).alias("value"))
         last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).first()[0] or 0
-        step = last // STREAM_PERIODS + 1
+        step = max(last, 0) // STREAM_PERIODS + 1
+        period = F.coalesce(F.greatest(F.col("event_id"), F.lit(0)), F.lit(0)) / step
         for i in range(STREAM_PERIODS):
-            part = lines.filter((F.col("event_id") >= i * step) & (F.col("event_id") < (i + 1) * step))
-            part.select("value").repartition(stream_files(spark, sf_dir)).write.mode("append").text(path)
+            part = lines.filter(F.floor(period) == i)
+            part.select("value").repartition(stream_files(spark, sf_dir)).write.mode("append").text(f"{path}/data")
+        closing = spark.createDataFrame([(adapters.CLOSING_LINE,)], "value string").repartition(1)
+        closing.write.text(f"{path}/closing")
 
     return materialized(spark, sf_dir, "json_stream", build)
 
 
 def stored_stream_run(spark: SparkSession, sf_dir: str) -> str:
-    """The alert folder after two runs of the detection queries, each with
-    its own checkpoints, over the same stream in ordered micro-batches."""
-    source_dir = stored_json_stream(spark, sf_dir)
+    """The alert folder after two runs of the detection query, each with its
+    own checkpoint, over the same stream in ordered micro-batches; a line is
+    decoded once for all detectors."""
+    source_dir = f"{stored_json_stream(spark, sf_dir)}/data"
 
     def build(root: str) -> None:
         session = runner.stream_session(spark, STATE_PARTITIONS)
         src = runner.text_file_source(session, source_dir, max_files_per_trigger=stream_files(spark, sf_dir))
         for run in ("first", "second"):
             queries = runner.start_alert_queries(
-                src, f"{root}/alerts", f"{root}/checkpoints/{run}", trigger={"availableNow": True}
+                src, f"{root}/alerts", f"{root}/checkpoints/{run}", trigger={"availableNow": True}, union=True
             )
             runner.await_all(queries)
 
@@ -499,7 +510,7 @@ def q_alert_sink_runs(spark, sf_dir):
 def q_threat_store_sink_roundtrip(spark, sf_dir):
     """K4: the stored-threat projection streamed into its Parquet sink and
     read back (``stored_at`` is a clock reading and is left out)."""
-    source_dir = stored_json_stream(spark, sf_dir)
+    source_dir = f"{stored_json_stream(spark, sf_dir)}/data"
     src = runner.text_file_source(runner.stream_session(spark, STATE_PARTITIONS), source_dir)
 
     def build(root: str) -> None:
@@ -510,3 +521,159 @@ def q_threat_store_sink_roundtrip(spark, sf_dir):
 
     root = materialized(spark, sf_dir, "threat_store_run", build)
     return spark.read.parquet(f"{root}/store").drop("stored_at")
+
+
+@register("port_scan_stream")
+def q_port_scan_stream(spark, sf_dir):
+    """B2 as a stream: the port scans of all windows, closed by the last line."""
+    source_dir = stored_json_stream(spark, sf_dir)
+
+    def build(root: str) -> None:
+        session = runner.stream_session(spark, STATE_PARTITIONS)
+        src = runner.text_file_source(session, f"{source_dir}/*", max_files_per_trigger=stream_files(spark, sf_dir))
+        runner.await_all([runner.start_port_scan(src, f"{root}/scans", f"{root}/checkpoint", {"availableNow": True})])
+
+    found = spark.read.parquet(f"{materialized(spark, sf_dir, 'port_scan_run', build)}/scans")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def stored_checked_decode(spark: SparkSession, sf_dir: str) -> str:
+    """The log's lines, some of them spoilt, through the checked decoder as a
+    stream: records and dead letters, and the counts of its progress events."""
+
+    def build(root: str) -> None:
+        lines = logs(spark, sf_dir).select("event_id", F.to_json(F.struct(*LOG_COLUMNS)).alias("value"))
+        adapters.with_bad_lines(lines).select("value").write.text(f"{root}/lines")
+        src = runner.text_file_source(spark, f"{root}/lines")
+        query = runner.start_checked_decode(src, f"{root}/decoded", f"{root}/checkpoint", {"availableNow": True})
+        runner.await_all([query])
+        seen = [p["observedMetrics"]["decode"] for p in query.recentProgress if "decode" in p["observedMetrics"]]
+        total = {k: sum(m[k] for m in seen) for k in ("lines", "records", "rejects", "records_without_time")}
+        manifest.put(spark, f"{root}/observed.json", json.dumps(total) + "\n")
+
+    return materialized(spark, sf_dir, "checked_decode", build)
+
+
+@register("log_rejects")
+def q_log_rejects(spark, sf_dir):
+    """The dead letters, with the reason."""
+    rejects = runner.read_rejects(spark, f"{stored_checked_decode(spark, sf_dir)}/decoded")
+    return rejects.select("rejected_line", "reject_reason")
+
+
+@register("log_decode_counts")
+def q_log_decode_counts(spark, sf_dir):
+    """Lines in, and what the sink holds and the progress events counted
+    of records and rejects."""
+    root = stored_checked_decode(spark, sf_dir)
+    count = F.count(F.lit(1))
+    lines = spark.read.text(f"{root}/lines").agg(count).scalar()
+    records = runner.read_records(spark, f"{root}/decoded").agg(count).scalar()
+    rejects = runner.read_rejects(spark, f"{root}/decoded").agg(count).scalar()
+    seen = spark.read.schema("lines bigint, records bigint, rejects bigint, records_without_time bigint").json(f"{root}/observed.json")
+    return seen.select(
+        lines.alias("lines_in"), records.alias("records"), rejects.alias("rejects"), F.col("lines").alias("lines_observed"),
+        F.col("records").alias("records_observed"), F.col("rejects").alias("rejects_observed"), "records_without_time",
+    )
+
+
+@register("current_alerts_table")
+def q_current_alerts_table(spark, sf_dir):
+    """V14 maintained: the emissions of the stream's runs merged batch by
+    batch into the bucketed table, which then holds every window once."""
+    emitted_dir = stored_stream_run(spark, sf_dir)
+
+    def build(root: str) -> None:
+        emitted = readers.read_alerts(spark, emitted_dir)
+        for run, batch_id in sorted(map(tuple, emitted.select("run", "batch_id").distinct().collect())):
+            part = emitted.filter((F.col("run") == run) & (F.col("batch_id") == batch_id))
+            current.merge_batch(part, root, buckets=16)
+
+    return current.read_current(spark, materialized(spark, sf_dir, "current_table", build)).drop("run", "batch_id")
+
+
+@register("alerts_scan_compacted")
+def q_alerts_scan_compacted(spark, sf_dir):
+    """S4 over a compacted batch, whose folders are gone, and a later raw one."""
+
+    def build(out_dir: str) -> None:
+        found = alerts(spark, sf_dir).drop("run", "batch_id")
+        sinks.write_labelled_alerts(found.filter("label <> 'volume'"), out_dir, 0)
+        sinks.compact_alerts(spark, out_dir)
+        sinks.drop_compacted(spark, out_dir)
+        sinks.write_labelled_alerts(found.filter("label = 'volume'"), out_dir, 1)
+
+    return readers.read_alerts(spark, materialized(spark, sf_dir, "compacted_alerts", build))
+
+
+# ---------------------------------------------------------------------------
+# Stored rollups, lookup layout, profile on the way
+# ---------------------------------------------------------------------------
+
+#: A rollup period in seconds (the view's events are 100 ms apart, so a day
+#: would hold them all), and a span that begins and ends within a period.
+ROLLUP_SECONDS = 300
+SPAN = ("2024-01-01 00:00:20", "2024-01-01 00:15:50")
+
+
+def span_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of `SPAN`, from the stored rollup and the span's edges."""
+    lv = logs(spark, sf_dir)
+    path = materialized(
+        spark, sf_dir, "rollup", lambda p: rollup.extend(spark, lv, p, "2100-01-01 00:00:00", ROLLUP_SECONDS, "event_ts")
+    )
+    return rollup.span_summary(spark.read.parquet(path), lv, *SPAN, ROLLUP_SECONDS, "event_ts")
+
+
+@register("span_top_malicious_ips")
+def q_span_top_malicious_ips(spark, sf_dir):
+    return batch.top_malicious_ips_from_summary(span_summary(spark, sf_dir))
+
+
+@register("span_sqli_xss_totals")
+def q_span_sqli_xss_totals(spark, sf_dir):
+    return batch.sqli_xss_totals_from_summary(span_summary(spark, sf_dir))
+
+
+@register("span_bytes_by_threat_label")
+def q_span_bytes_by_threat_label(spark, sf_dir):
+    return batch.bytes_by_threat_label_from_summary(span_summary(spark, sf_dir))
+
+
+@register("ip_lookup_clustered")
+def q_ip_lookup_clustered(spark, sf_dir):
+    """V3 over tables laid out for lookups by address."""
+
+    def build(root: str) -> None:
+        sinks.write_lookup(top_table(spark, sf_dir), f"{root}/top")
+        sinks.write_lookup(alerts(spark, sf_dir), f"{root}/alerts")
+
+    root = materialized(spark, sf_dir, "lookup", build)
+    requested = logs(spark, sf_dir).select(F.col("source_ip").alias("ip")).distinct()
+    return serve.ip_lookup(requested, spark.read.parquet(f"{root}/top"), spark.read.parquet(f"{root}/alerts"))
+
+
+@register("normalize_profile")
+def q_normalize_profile(spark, sf_dir):
+    """N1 with N2-N4 on the way, from one scan of the CSV."""
+    csv_path = stored_csv(spark, sf_dir)
+
+    def build(root: str) -> None:
+        profile.normalize_and_profile(spark, csv_path, f"{root}/logs").write.parquet(f"{root}/profile")
+
+    return spark.read.parquet(f"{materialized(spark, sf_dir, 'profiled', build)}/profile")
+
+
+@register("normalize_mixed_layouts")
+def q_normalize_mixed_layouts(spark, sf_dir):
+    """N1 over a folder of exports of both layouts: every second event is in
+    files without ``dest_port`` and with the columns in another order."""
+
+    def build(root: str) -> None:
+        lv = logs(spark, sf_dir)
+        for k, columns in ((0, LOG_COLUMNS), (1, [c for c in reversed(LOG_COLUMNS) if c != "dest_port"])):
+            part = lv.filter(F.coalesce(F.pmod(F.col("event_id"), F.lit(2)), F.lit(0)) == k).select(*columns)
+            part.write.mode("append").option("header", "true").option("escape", '"').csv(f"{root}/csv")
+        profile.normalize_csv_to_parquet(spark, f"{root}/csv", f"{root}/logs")
+
+    return spark.read.parquet(f"{materialized(spark, sf_dir, 'mixed_layouts', build)}/logs").drop("log_date")

@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from logsentinel import rules
 from logsentinel.sources import adapters as A
+from logsentinel.sources import readers as R
 from logsentinel.sources.sinks import BATCH_RUN
 
+#: The span that the rollup queries ask for.
+SPAN = ("2024-01-01 00:00:20", "2024-01-01 00:15:50")
 #: The clock reading that the queries pass for stored and detected times.
 CLOCK = "2024-06-01 12:00:00"
 
@@ -412,6 +415,51 @@ def oracles() -> dict[str, str]:
         f"SELECT threat_label, {number_text('event_count')} AS events_text, {number_text('total_bytes')} AS bytes_text FROM bytes"
     )
 
+    # ---- checked decode, maintained and compacted tables, rollups -----------
+    cases = " ".join(
+        f"WHEN event_id % {every} = {every - 1} THEN {q(kind)}" for every, kind in A.BAD_LINES
+    )
+    spoilt = f"""kinds AS (SELECT *, CASE {cases} ELSE 'record' END AS kind FROM logs)"""
+    fields = ", ".join(
+        f"CASE WHEN {c.strip()} IS NULL THEN NULL ELSE '\"{c.strip().strip(chr(34))}\":' || "
+        + (c.strip() if c.strip() in ("dest_port", "bytes_transferred") else f"CAST(to_json({c.strip()}) AS VARCHAR)") + " END"
+        for c in LOG_COLS.split(",")
+    )
+    text = "'{' || concat_ws(',', " + fields + ") || '}'"
+    o["log_rejects"] = with_(spoilt, f"lines AS (SELECT kind, {text} AS value FROM kinds WHERE kind <> 'record')") + (
+        f"SELECT CASE kind WHEN 'cut' THEN substr(value, 1, length(value) // 2) WHEN 'blank' THEN '  ' WHEN 'list' THEN {q(A.LIST_LINE)} "
+        f"ELSE {q(A.UNKNOWN_LINE)} END AS rejected_line, CASE kind WHEN 'blank' THEN {q(R.BLANK)} WHEN 'unknown' THEN {q(R.NO_KNOWN_FIELD)} "
+        f"ELSE {q(R.NOT_A_RECORD)} END AS reject_reason FROM lines"
+    )
+    good, bad = "count(*) FILTER (WHERE kind = 'record')", "count(*) FILTER (WHERE kind <> 'record')"
+    o["log_decode_counts"] = with_(spoilt) + (
+        f"SELECT count(*) AS lines_in, {good} AS records, {bad} AS rejects, count(*) AS lines_observed, {good} AS records_observed, "
+        f"{bad} AS rejects_observed, CAST(0 AS BIGINT) AS records_without_time FROM kinds"
+    )
+    o["port_scan_stream"] = o["port_scan"]
+    o["current_alerts_table"] = o["alert_sink_roundtrip"]
+    o["alerts_scan_compacted"] = with_(ALERTS) + (
+        f"SELECT {ALERT_COLS}, label, {q(BATCH_RUN)} AS run, CAST(CASE label WHEN 'volume' THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM alerts"
+    )
+    span = f"event_ts >= TIMESTAMP {q(SPAN[0])} AND event_ts < TIMESTAMP {q(SPAN[1])}"
+    cut = LOGS.replace("FROM logs0\n)", f"FROM logs0 WHERE {span}\n)")
+    assert cut != LOGS
+    o["span_top_malicious_ips"] = f"WITH {cut},\n{TOP}\nSELECT * FROM top"
+    o["span_sqli_xss_totals"] = f"WITH {cut},\n{SQLIXSS}\nSELECT * FROM sqlixss"
+    o["span_bytes_by_threat_label"] = f"WITH {cut},\n{BYTES}\nSELECT * FROM bytes"
+    o["ip_lookup_clustered"] = o["ip_lookup"]
+    nulls = " UNION ALL ".join(
+        f"SELECT {q(c)} AS name, count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count, count(*) AS row_count FROM raw" for c in raw_cols
+    )
+    types = o["profile_types"][len(with_(raw)):]
+    o["normalize_profile"] = with_(raw, f"t AS ({types})", f"n AS ({nulls})") + (
+        "SELECT position, column_name, data_type, null_count, row_count FROM t JOIN n ON name = column_name"
+    )
+    o["normalize_mixed_layouts"] = with_() + (
+        f"SELECT CAST(\"timestamp\" AS TIMESTAMP) AS \"timestamp\", {', '.join(c for c in raw_cols[1:] if c != 'dest_port')}, "
+        "CASE WHEN event_id % 2 = 0 THEN dest_port END AS dest_port FROM logs"
+    )
+
     # ---- serving over the alert table ------------------------------------------
     o["alert_feed"] = with_(ALERTS) + (
         'SELECT source_ip, window_start, window_end, "count", target_ip, protocol, alert_type, '

@@ -22,9 +22,9 @@ STEP_MS = 100
 #: their number grows with the table while each address has enough events
 #: within a window to alert.
 BLOCK = 3000
-DEST_PREFIX = "172.16."
+DEST_PREFIX = "198.18."
 PROTOCOLS = ("HTTP", "TCP", "SSH", "HTTPS", "FTP")
-PORTS = (80, 443, 22, 3306, 8080)
+PORTS = (8443, 2222, 5432, 9092, 1883)
 LOG_TYPES = ("firewall", "ids", "application")
 MALICIOUS_ABOVE = 150.0
 SUSPICIOUS_ABOVE = 80.0
@@ -177,3 +177,25 @@ def to_json_lines(logs: DataFrame) -> DataFrame:
     from logsentinel.schema import LOG_COLUMNS
 
     return logs.select(F.to_json(F.struct(*LOG_COLUMNS)).alias("value"))
+
+
+#: Lines that are no log records, by event id: cut in the middle, blank, JSON
+#: but not an object, an object without a known field.  The first that applies.
+BAD_LINES = ((53, "cut"), (101, "blank"), (211, "list"), (307, "unknown"))
+LIST_LINE = '["no", "record"]'
+UNKNOWN_LINE = '{"level":"info"}'
+
+
+def with_bad_lines(lines: DataFrame) -> DataFrame:
+    """``(event_id, value)`` with every so many lines spoilt, by `BAD_LINES`."""
+    spoilt = {"cut": F.expr("substring(value, 1, length(value) div 2)"), "blank": F.lit("  "), "list": F.lit(LIST_LINE), "unknown": F.lit(UNKNOWN_LINE)}
+    value = None
+    for every, kind in BAD_LINES:
+        hit = F.pmod(F.col("event_id"), F.lit(every)) == every - 1
+        value = F.when(hit, spoilt[kind]) if value is None else value.when(hit, spoilt[kind])
+    return lines.withColumn("value", value.otherwise(F.col("value")))
+
+
+#: A last event, of no one and long after all others, that lets the watermark
+#: of a bounded stream pass every window.
+CLOSING_LINE = '{"timestamp":"2999-01-01T00:00:00","protocol":"TCP","action":"allowed","threat_label":"benign","bytes_transferred":0}'

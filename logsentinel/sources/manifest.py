@@ -10,6 +10,7 @@ the folder (local, HDFS or an object store), not through a Spark job.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +57,39 @@ def get(spark: SparkSession, path: str) -> str:
         return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder."""
+    fs, where = _open(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
+def first_lines(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Every file that a path, folder or pattern names, with its first line
+    (also of compressed files): one short read per file, many at a time."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs, where = _open(spark, path)
+    files, folders = [], [s for s in fs.globStatus(where) or ()]
+    while folders:
+        status = folders.pop()
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if status.isDirectory():
+            folders.extend(fs.listStatus(status.getPath()))
+        else:
+            files.append(status.getPath())
+
+    def first_line(file) -> tuple[str, str]:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+        stream = fs.open(file)
+        text = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return str(file), text.readLine() or ""
+        finally:
+            text.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return sorted(pool.map(first_line, files))

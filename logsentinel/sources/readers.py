@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from logsentinel import rules
 from logsentinel.schema import ALERT_COLUMNS, ALERT_WITH_CORRUPT, CORRUPT_RECORD, LOG
@@ -21,19 +23,49 @@ MISSING_MARKERS = (
 OPTIONAL_COLUMNS = ("dest_port",)
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, schema: StructType | None = None, optional: tuple[str, ...] = OPTIONAL_COLUMNS
+) -> DataFrame:
     """CSV with a header as text columns named by it.
 
     Quotes inside a quoted field are doubled; missing-value markers, quoted
     or not, become null.  With ``multi_line`` a quoted field may hold line
     breaks, but a file is then read by one task; without it large files are
     split (for exports of many small files it makes no difference).
+
+    Files of a folder may have different headers, and their columns in
+    different order: files of one header are read together and the parts
+    matched by name, a column that some files lack being null there.
     """
-    raw = (
+    found = None
+    for part in _csv_by_header(spark, path, multi_line):
+        if schema is not None:
+            names = [f.name for f in schema.fields]
+            unknown = [c for c in part.columns if c not in names]
+            missing = [n for n in names if n not in part.columns and n not in optional]
+            if unknown or missing:
+                raise ValueError(f"CSV header at {path}: unknown columns {unknown}, missing columns {missing}")
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    return found
+
+
+def _csv_by_header(spark: SparkSession, path: str, multi_line: bool) -> list[DataFrame]:
+    """One frame per header among the files."""
+    reader = lambda: (
         spark.read.option("header", "true").option("quote", '"').option("escape", '"')
-        .option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE").csv(path)
+        .option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")
     )
-    return raw.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING_MARKERS), F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in manifest.first_lines(spark, path):
+        names = tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
+        if names:  # an empty file has no rows
+            groups.setdefault(names, []).append(file)
+    frames = []
+    for names, files in groups.items():
+        schema = StructType([StructField(n, StringType()) for n in names])
+        raw = reader().schema(schema).option("enforceSchema", "false").csv(files)
+        frames.append(raw.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING_MARKERS), F.col(f"`{c}`")).alias(c) for c in names]))
+    return frames or [reader().csv(path)]
 
 
 def read_log_csv(
@@ -42,16 +74,17 @@ def read_log_csv(
 ) -> DataFrame:
     """CSV log with the columns of ``schema``, matched by header name.
 
-    An unknown or missing column is an error, except that ``optional`` ones
-    may be missing and are null then.  A value that does not parse as its
+    Every file of a folder is matched by its own header, so exports of
+    different layouts can lie side by side.  An unknown or missing column is
+    an error, except that ``optional`` ones may be missing and are null then.  A value that does not parse as its
     column's type is null.  See `read_raw_csv` for quoting and markers.
     """
-    raw = read_raw_csv(spark, path, multi_line)
-    names = [f.name for f in schema.fields]
-    unknown = [c for c in raw.columns if c not in names]
-    missing = [n for n in names if n not in raw.columns and n not in optional]
-    if unknown or missing:
-        raise ValueError(f"CSV header at {path}: unknown columns {unknown}, missing columns {missing}")
+    return typed_log(read_raw_csv(spark, path, multi_line, schema, optional), schema)
+
+
+def typed_log(raw: DataFrame, schema: StructType = LOG) -> DataFrame:
+    """The text columns of a raw log as the types of ``schema``; a value that
+    does not parse, like a column that is not there, is null."""
     return raw.select(*[
         (F.col(f.name).try_cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
@@ -103,25 +136,15 @@ def read_alerts(spark: SparkSession, directory: str, missing_ok: bool = True) ->
     raises when ``missing_ok`` is false).  The schema is declared, so
     resolving the folder lists files but reads none.
     """
-    parts, error = [], None
-    for read in (lambda: uncompacted(spark, directory)[0], lambda: _compacted(spark, directory), *[
-        lambda layout=layout: _alert_layout(spark, directory, layout) for layout in _OTHER_LAYOUTS
-    ]):
-        try:
-            part = read()
-        except AnalysisException as exc:  # no such files
-            error = exc
-            continue
-        if part is not None:
-            parts.append(part)
-    if parts:
-        found = parts[0]
-        for part in parts[1:]:
-            found = found.unionByName(part)
-        return found
-    if not missing_ok:
-        raise error
-    return _no_alerts(spark)
+    there = [layout for layout in (_SINK_LAYOUT, *_OTHER_LAYOUTS) if manifest.matching(spark, f"{directory}/{layout}")]
+    parts = [uncompacted(spark, directory)[0] if layout == _SINK_LAYOUT else _alert_layout(spark, directory, layout) for layout in there]
+    parts += _compacted(spark, directory)
+    if not parts:
+        return _no_alerts(spark) if missing_ok else _alert_layout(spark, directory, _SINK_LAYOUT)
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
 
 
 def _no_alerts(spark: SparkSession) -> DataFrame:
@@ -157,14 +180,11 @@ def _taken(spark: SparkSession, directory: str) -> DataFrame | None:
     return spark.read.schema("name string, label string, run string, batch_id bigint").json(f"{directory}/_compactions").drop("name")
 
 
-def _compacted(spark: SparkSession, directory: str) -> DataFrame | None:
-    """The alerts of the compactions whose manifest is there."""
+def _compacted(spark: SparkSession, directory: str) -> list[DataFrame]:
+    """The alerts of each compaction whose manifest is there."""
     names = [p.rsplit("/", 1)[1].removesuffix(".json") for p in manifest.matching(spark, f"{directory}/_compactions/*.json")]
-    found = None
-    for name in names:
-        part = spark.read.parquet(f"{directory}/_compacted/{name}").select(*ALERT_COLUMNS, F.col("label").cast("string").alias("label"), "run", "batch_id")
-        found = part if found is None else found.unionByName(part)
-    return found
+    label = F.col("label").cast("string").alias("label")
+    return [spark.read.parquet(f"{directory}/_compacted/{name}").select(*ALERT_COLUMNS, label, "run", "batch_id") for name in names]
 
 
 def _alert_layout(spark: SparkSession, directory: str, layout: str) -> DataFrame:
@@ -244,6 +264,58 @@ def decode_log_json(
     return out
 
 
+#: Why a line is no log record.
+BLANK, NOT_A_RECORD, NO_KNOWN_FIELD = "blank", "not_a_record", "no_known_field"
+
+
+def decode_log_json_checked(
+    raw: DataFrame,
+    value_col: str = "value",
+    broker_time_col: str | None = "timestamp",
+    watermark: str | None = rules.DEFAULT_WATERMARK,
+    schema: StructType = LOG,
+) -> DataFrame:
+    """S6 with an account of every line: the columns of `decode_log_json`, and
+    ``reject_reason`` and ``rejected_line``, null for a record.
+
+    A line is rejected if it is null or blank, if it is not a JSON object, or
+    if it holds none of the fields.  A record with some field of a wrong type
+    is kept, the field null.  Each line gives exactly one row, so lines in are
+    records plus rejects; `observed_decode` counts both while they pass.
+    """
+    names = [f.name for f in schema.fields]
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT_RECORD, StringType(), True)])
+    broker = F.col(broker_time_col) if broker_time_col and broker_time_col in raw.columns else F.lit(None).cast("timestamp")
+    parsed = F.from_json("line", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_RECORD})
+    known = F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()
+    reason = (
+        F.when(F.coalesce("line", F.lit("")).rlike(r"^\s*$"), BLANK)
+        .when(known, None)
+        .when(F.col(CORRUPT_RECORD).isNotNull(), NOT_A_RECORD)
+        .otherwise(NO_KNOWN_FIELD)
+    )
+    out = (
+        raw.select(F.col(value_col).cast("string").alias("line"), broker.alias("kafka_ts"))
+        .select("line", "kafka_ts", F.inline_outer(F.array(parsed)))
+        .withColumn("reject_reason", reason)
+        .withColumn("rejected_line", F.when(F.col("reject_reason").isNotNull(), F.coalesce("line", F.lit(""))))
+        .withColumn("event_ts", F.try_to_timestamp(F.col("timestamp")))
+        .select(*names, "kafka_ts", "event_ts", "reject_reason", "rejected_line")
+    )
+    return out.withWatermark("event_ts", watermark) if watermark else out
+
+
+def observed_decode(checked: DataFrame, name: str = "decode") -> DataFrame:
+    """Count lines, records and rejects while they pass: on a stream the
+    counts are in every progress event (``observedMetrics``), on a table they
+    reach the session's listeners, at the cost of no further scan."""
+    rejected = F.col("reject_reason").isNotNull()
+    return checked.observe(
+        name, F.count(F.lit(1)).alias("lines"), F.count_if(~rejected).alias("records"), F.count_if(rejected).alias("rejects"),
+        F.count_if(~rejected & F.col("event_ts").isNull()).alias("records_without_time"),
+    )
+
+
 def with_event_time(
     logs: DataFrame,
     time_col: str = "timestamp",

@@ -29,6 +29,21 @@ def write_results(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
     return {name: write_result(df, f"{root}/{name}") for name, df in tables.items()}
 
 
+def write_lookup(df: DataFrame, path: str, key: str = "source_ip", group_bytes: int = 32 << 20, keys: int | None = None) -> str:
+    """K1 for point lookups: sorted by ``key`` over all files, with a Parquet
+    Bloom filter of it per row group.  An equality on the key then skips the
+    row groups whose range (statistics) or filter rules it out; ``keys`` is
+    how many distinct keys a row group may hold, for the filter's size."""
+    writer = (
+        df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite")
+        .option("parquet.block.size", str(group_bytes)).option(f"parquet.bloom.filter.enabled#{key}", "true")
+    )
+    if keys:
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key}", str(keys))
+    writer.parquet(path)
+    return path
+
+
 def save_result_table(df: DataFrame, table_name: str, mode: str = "overwrite") -> None:
     """K5 (catalog form): a managed table by result name."""
     df.write.mode(mode).saveAsTable(table_name)
@@ -170,6 +185,8 @@ def compact_alerts(spark: SparkSession, out_dir: str) -> int:
     table and no longer from their folders, so an alert counts once before,
     during and after.  `drop_compacted` deletes the folders later."""
     name = f"{time.time_ns() // 1_000_000:013d}-{uuid.uuid4().hex[:8]}"
+    if not manifest.matching(spark, f"{out_dir}/label=*/run=*/batch_id=*"):
+        return 0
     alerts, batches = readers.uncompacted(spark, out_dir)
     taken = [r.asDict() for r in batches.collect()]  # one small row per batch, as many as there are commit files
     if not taken:

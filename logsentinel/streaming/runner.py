@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logsentinel import rules
-from logsentinel.operators import detect, panes
+from logsentinel.operators import batch, detect, panes
 from logsentinel.sources import readers, sinks
 
 SourceFactory = Callable[[], DataFrame]
@@ -211,6 +211,43 @@ def start_threat_store(
     return sinks.start_threat_store(detect.threat_store(parsed), path, checkpoint, trigger)
 
 
+def start_port_scan(
+    source: SourceFactory, path: str, checkpoint: str, trigger: dict | None = None, watermark: str = rules.DEFAULT_WATERMARK
+) -> StreamingQuery:
+    """B2 on a stream: append the port scans of closed windows to Parquet."""
+    parsed = readers.decode_log_json(source(), watermark=watermark)
+    return sinks.start_threat_store(batch.port_scan_final(parsed), path, checkpoint, trigger)
+
+
+def start_checked_decode(
+    source: SourceFactory, out_dir: str, checkpoint: str, trigger: dict | None = None, name: str = "decode"
+) -> StreamingQuery:
+    """S6 as a query of its own: records and rejected lines, each micro-batch
+    written in one job to ``{out_dir}/run={run}/batch_id={id}/kind=records``
+    and ``kind=rejects`` (the dead letters).  Every progress event carries the
+    counts of lines, records and rejects."""
+    raw = source()
+    checked = readers.observed_decode(readers.decode_log_json_checked(raw, watermark=None), name)
+    run = run_id(raw.sparkSession, checkpoint)
+    kind = F.when(F.col("reject_reason").isNull(), "records").otherwise("rejects")
+
+    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind").parquet(f"{out_dir}/run={run}/batch_id={batch_id}")
+
+    return _writer(checked, checkpoint, "append", trigger, None).foreachBatch(write_batch).start()
+
+
+def read_records(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The records that `start_checked_decode` wrote."""
+    return spark.read.parquet(out_dir).filter("kind = 'records'").drop("reject_reason", "rejected_line", "kind")
+
+
+def read_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The dead letters that `start_checked_decode` wrote: ``(rejected_line,
+    reject_reason, kafka_ts, run, batch_id)``."""
+    return spark.read.parquet(out_dir).filter("kind = 'rejects'").select("rejected_line", "reject_reason", "kafka_ts", "run", "batch_id")
+
+
 def await_all(queries: list[StreamingQuery]) -> None:
     """Wait for bounded (``availableNow``) queries; on a failure stop the
     others and re-raise."""
