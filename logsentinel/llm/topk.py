@@ -11,6 +11,7 @@ residual lengths bound each score from above; survivors are scored exactly.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from itertools import count
 
@@ -20,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsentinel.llm.common import pick, stored
+from logsentinel.llm.common import stored
+from logsentinel.llm.vectors import Best, integer_rows, products
 
 SCALE = 1024
 K = 10
@@ -34,24 +36,15 @@ SAMPLE = 1 << 20
 HEAD = 1 << 18
 #: Leading rotated coordinates, as a share of all.
 LEADING = 0.25
-_LONG = (-(1 << 63), (1 << 63) - 1)
+#: Blocks of queries whose best a task holds at once.
+OPEN = 8
 
 
 def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``(vec_id, v array<long>, length)`` of the vectors that take part: not
-    null, no null or non-finite component, ``vec_id`` not null.  Components
-    beyond a long stop at its limits.  Rows that repeat a ``vec_id`` count
-    once, with the smallest vector."""
-    v = F.col("v")
-    bad: Column = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = pick(vectors, "vec_id", "embedding").select(
-        F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v")
-    ).filter(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad)
-    limit = float(1 << 62)
-    whole = F.transform(v, lambda x: F.floor(F.least(F.greatest(x * float(scale), F.lit(-limit)), F.lit(limit))))
-    rows = rows.select("vec_id", whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    """``(vec_id, v array<long>, length)`` of the vectors that take part (see
+    `vectors.integer_rows`); rows that repeat a ``vec_id`` all do."""
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return rows.withColumn("length", F.sqrt(square))
+    return integer_rows(vectors, scale).withColumn("length", F.sqrt(square))
 
 
 def _matrix(rows: list, dim: int) -> np.ndarray:
@@ -62,27 +55,6 @@ def _matrix(rows: list, dim: int) -> np.ndarray:
     return out
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of all rows (as doubles where these are exact,
-    else as integers that stop at the limits of a long)."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
-    if most < 2.0**53:
-        return a.astype(np.float64) @ b.T.astype(np.float64)
-    if most < 2.0**63:
-        return a @ b.T
-    exact = a.astype(object) @ b.T.astype(object)
-    return np.clip(exact, *_LONG).astype(np.int64)
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """The k best (score, id), ties to the smaller id."""
-    if len(scores) > k:
-        at = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-        scores, ids = scores[at], ids[at]
-    order = np.lexsort((ids, -scores))[:k]
-    return [(int(scores[i]), int(ids[i])) for i in order]
-
-
 def _kth(scores: np.ndarray, k: int) -> float:
     return float(np.partition(scores, -k)[-k]) if len(scores) >= k else -np.inf
 
@@ -120,7 +92,10 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     whose ``vec_id`` is divisible by ``every``, the k largest integer inner
     products with the other rows, ties to the smaller ``vec_id``.
 
-    See `integer_vectors` for the rows that take part.  Vectors of different
+    See `integer_vectors` for the rows that take part.  Every row counts,
+    also where a ``vec_id`` is repeated: as a candidate of every query of
+    another id, and as a query, the queries of one id giving one list (in
+    which a row found by two of them stands twice).  Vectors of different
     length are compared as if the shorter one went on with zeros; vectors
     without components score 0.  Scores beyond a long stop at its limits.
     Fewer rows than k give all; an empty table gives no rows.
@@ -145,8 +120,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     order = [F.desc("length"), F.col("vec_id")]
     sorted_rows = clean.repartitionByRange(*order).sortWithinPartitions(*order)
     packed = stored(sorted_rows.mapInArrow(_pack(ROWS, dim), _BLOCK), "blocks")
-    # One length per range of vectors, longest first.
-    reach = [(r.part, r.longest) for r in packed.groupBy("part").agg(F.max("longest").alias("longest")).orderBy("part").collect()]
+    # The longest vector of every range.
+    ranges = packed.groupBy("part").agg(F.max("longest").alias("top"))
+    last = ranges.agg(F.max("part")).first()[0]
 
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The k-th best score of each query among the longest vectors, and
@@ -156,7 +132,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
             for block, n, ids, rows in zip(*(b.column(i).to_pylist() for i in (1, 2, 4, 5))):
                 own, q = np.frombuffer(ids, np.int64), np.frombuffer(rows, np.int64).reshape(n, dim)
                 low = np.empty(n)
-                for i, s in enumerate(_products(q, head_rows)):
+                for i, s in enumerate(products(q, head_rows)):
                     low[i] = _kth(s[head_ids != own[i]], k)
                 length = np.sqrt((q.astype(np.float64) ** 2).sum(1))
                 need = np.where(length > 0, low / np.maximum(length, 1e-300), np.where(low <= 0, -np.inf, np.inf))
@@ -169,33 +145,42 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     queries = stored(asked.mapInArrow(_pack(QUERIES, dim), _BLOCK).mapInArrow(floors, _QUERY), "queries")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k best of each query among the blocks that this task meets;
+        what it has found raises the thresholds for the blocks to come."""
+        held: OrderedDict[int, tuple[np.ndarray, np.ndarray, Best]] = OrderedDict()
+
+        def emit(own: np.ndarray, low: np.ndarray, best: Best) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (own[best.group], best.id, best.score)], ["query_id", "vec_id", "score"])
+
         for b in batches:
-            query_id, vec_id, score = [], [], []
-            for qn, qi, qr, ql, cn, ci, cr in zip(*(c.to_pylist() for c in b.columns)):
-                own, others = np.frombuffer(qi, np.int64), np.frombuffer(ci, np.int64)
+            for block, qn, qi, qr, ql, cn, ci, cr in zip(*(c.to_pylist() for c in b.columns)):
+                if block not in held:
+                    if len(held) == OPEN:
+                        yield emit(*held.popitem(last=False)[1])
+                    held[block] = (np.frombuffer(qi, np.int64), np.frombuffer(ql, np.float64), Best(qn, k))
+                own, first, best = held[block]
+                others = np.frombuffer(ci, np.int64)
                 q, c = np.frombuffer(qr, np.int64).reshape(qn, dim), np.frombuffer(cr, np.int64).reshape(cn, dim)
-                low = np.frombuffer(ql, np.float64)
+                low = np.maximum(first, best.floor)
                 alive = _alive(q, c, low, rotation, lead)
-                rows = np.flatnonzero(alive.any(1))
+                rows, cols = np.flatnonzero(alive.any(1)), np.flatnonzero(alive.any(0))
                 if not len(rows):
                     continue
-                cols = np.flatnonzero(alive.any(0))
-                scores = _products(q[rows], c[cols])
-                ids = others[cols]
-                for i, s in zip(rows, scores):
-                    fine = (s >= low[i]) & (ids != own[i])
-                    for value, other in _best(s[fine], ids[fine], k):
-                        query_id.append(int(own[i]))
-                        vec_id.append(other)
-                        score.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (query_id, vec_id, score)], ["query_id", "vec_id", "score"])
-
-    ranges = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(l).alias("longest")) for p, l in reach])
-    wanted = queries.withColumn("range", F.explode(F.filter(ranges, lambda r: r["longest"] * (1 + 1e-9) >= F.col("reach")))).select(
-        F.col("range.part").cast("long").alias("part"), F.col("n").alias("qn"), F.col("ids").alias("qids"), F.col("rows").alias("qrows"), "floors", "reach"
+                scores = products(q[rows], c[cols])
+                at, other = np.nonzero((scores >= first[rows][:, None]) & (own[rows][:, None] != others[cols]))
+                best.add(rows[at], scores[at, other].astype(np.int64), others[cols[other]])
+        for kept in held.values():
+            yield emit(*kept)
+
+    # A block of queries meets the ranges whose longest vector it can reach,
+    # and in them the blocks.
+    slim = queries.select("qblock", "reach", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("part"))
+    reached = slim.join(ranges, "part").filter(F.col("top") * (1 + 1e-9) >= F.col("reach")).select("qblock", "part")
+    wanted = reached.join(queries, "qblock").select(
+        "qblock", "part", F.col("n").alias("qn"), F.col("ids").alias("qids"), F.col("rows").alias("qrows"), "floors", "reach"
     )
     met = wanted.join(packed, "part").filter(F.col("longest") * (1 + 1e-9) >= F.col("reach"))
-    found = met.select("qn", "qids", "qrows", "floors", "n", "ids", "rows").mapInArrow(pairs, "query_id long, vec_id long, score long")
+    found = met.select("qblock", "qn", "qids", "qrows", "floors", "n", "ids", "rows").mapInArrow(pairs, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
