@@ -252,21 +252,24 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """The documents with one of each near-duplicate component kept: the one
-    with the smallest ``doc_id``.  Rows without a ``doc_id`` stay; of rows
-    that repeat a ``doc_id`` the one with the smallest content hash stays.
-    Columns, their order and their names are unchanged."""
-    keep = near_duplicates(docs, **params).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    """The documents with one of each near-duplicate component kept: the row
+    with the smallest ``doc_id``, and of several rows of that id the one with
+    the smallest content hash.  Rows without a ``doc_id`` stay.  Rows are told
+    apart by their content, so unlike texts that carry one id are not taken
+    for copies; of equal rows one stays.  Columns, their order and their names
+    are unchanged."""
     moved, names = positional(docs)
-    key = f"_c{find(names, 'doc_id')}"
-    order = Window.partitionBy(key).orderBy("_hash")
-    # The row-number limit is also applied before the shuffle, so repeated
-    # ids are cut in each task; the join reuses the partitioning by id.
-    once = (
-        moved.filter(F.col(key).isNotNull())
-        .withColumn("_hash", row_hash(moved))
-        .withColumn("_n", F.row_number().over(order))
-        .filter("_n = 1")
+    key, text = f"_c{find(names, 'doc_id')}", f"_c{find(names, 'text')}"
+    rows = moved.filter(F.col(key).isNotNull()).withColumn("_hash", row_hash(moved))
+    # The content hash goes through the operator in place of the id.
+    near = near_duplicates(rows.select(F.col("_hash").alias("doc_id"), F.col(text).alias("text")), **params)
+    ids = rows.select("_hash", F.col(key).cast("long").alias("_id")).distinct()
+    keep = (
+        near.select(F.col("doc_id").alias("_hash"), "component_id").distinct().join(ids, "_hash")
+        .groupBy("component_id").agg(F.min_by("_hash", F.struct("_id", "_hash")).alias("_keep"))
     )
-    kept = once.join(keep, F.col(key).cast("long") == F.col("_keep"), "left_semi")
+    once = rows.join(keep.select(F.col("_keep").alias("_hash")), "_hash", "left_semi")
+    # Equal rows: one stays; the limit is also applied before the shuffle.
+    only = Window.partitionBy("_hash").orderBy(key)
+    kept = once.withColumn("_n", F.row_number().over(only)).filter("_n = 1")
     return kept.select(*moved.columns).unionByName(moved.filter(F.col(key).isNull())).toDF(*names)
