@@ -18,12 +18,19 @@ from logsentinel.llm.common import pick
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: Speakers that give instructions and take no part.
 NARRATORS = ("system",)
-#: Turns in a slice of a conversation.
+#: Turns in a slice of a conversation; digits of a text's digest that cut the
+#: rows of one turn into cells.
 SLICE = 1024
+DIGITS = 2
 #: Stands for a missing turn number in keys; sorts before any other.
 _NO_TURN = -(1 << 62)
 
 
+def _key(value: Column) -> Column:
+    """A key without nulls, in which no text stands for null."""
+    return F.when(value.isNull(), "n").otherwise(F.concat(F.lit("s"), value.cast("string")))
+
+
 def _clean(text: Column) -> Column:
     """Markers inside a text are broken up, so a text cannot end its own
     message."""
@@ -38,47 +45,68 @@ def perspectives(conversations: DataFrame, narrators=NARRATORS, slice_turns: int
     masked (learned) characters ``mask_from .. mask_to``, empty for others'
     words.
 
-    Participants are the different speakers but the narrators; a conversation
-    without one gives no rows.  A null or blank speaker is ``unknown``, a null
-    text is empty, turns go by number (null first), then by speaker and the
-    text's MD5; rows that repeat are rendered each.  Rows of a null ``conv_id`` are one
-    conversation.  An empty table gives no rows; other columns are ignored.
+    Participants are the different speakers but the narrators, told apart by
+    their names as they stand: "ann lee" and "ann_lee" are two, and so are a
+    null and a blank speaker.  Only the rendering escapes a name (white space
+    and marker characters become one underscore, nothing becomes ``unknown``);
+    names of a conversation that then look alike are numbered, ``ann_lee`` and
+    ``ann_lee#2``, in the order of the names as they stand (null first).  A
+    conversation without a participant gives no rows.  A null text is empty;
+    turns go by number (null first), then by speaker and the text's MD5; rows
+    that repeat are rendered each.  Rows of a null ``conv_id`` are one
+    conversation, another than that of the text "null".  An empty table gives
+    no rows; other columns are ignored.
     """
-    speaker = F.regexp_replace(F.trim(F.coalesce("role", F.lit(""))), r"[\s<>|=]+", "_")
-    turns = pick(conversations, "conv_id", "turn", "role", "text").select(
-        "conv_id", F.col("turn").cast("long").alias("turn"),
-        F.when(speaker == "", F.lit("unknown")).otherwise(speaker).alias("speaker"), _clean(F.col("text")).alias("body"),
-    )
+    shown = F.regexp_replace(F.trim(F.coalesce("role", F.lit(""))), r"[\s<>|=#]+", "_")
     # Keys without nulls; the digest stands for the text wherever rows are
     # ordered and joined, so the text itself is shuffled once.
-    turns = turns.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))).withColumn(
-        "at", F.coalesce("turn", F.lit(_NO_TURN))
-    ).withColumn("digest", F.md5("body"))
-    people = turns.filter(~F.col("speaker").isin(*narrators)).select("conv", F.col("speaker").alias("perspective")).distinct()
-    slim = turns.select("conv", "at", "speaker", "digest", F.char_length("body").cast("long").alias("chars"))
+    turns = pick(conversations, "conv_id", "turn", "role", "text").select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), _key(F.col("conv_id")).alias("conv"), _key(F.col("role")).alias("who"),
+        F.when(shown == "", F.lit("unknown")).otherwise(shown).alias("shown"), _clean(F.col("text")).alias("body"),
+    ).withColumn("at", F.coalesce("turn", F.lit(_NO_TURN))).withColumn("digest", F.md5("body"))
+    alike = Window.partitionBy("conv", "shown").orderBy("who")
+    names = turns.select("conv", "who", "shown").distinct().withColumn("n", F.row_number().over(alike)).select(
+        "conv", "who", F.when(F.col("n") == 1, F.col("shown")).otherwise(F.concat_ws("#", "shown", F.col("n").cast("string"))).alias("speaker")
+    )
+    telling = [f"s{n}" for n in narrators]
+    people = names.filter(~F.col("who").isin(*telling)).select("conv", F.col("who").alias("me"), F.col("speaker").alias("perspective"))
+    slim = turns.select("conv", "at", "who", "digest", F.char_length("body").cast("long").alias("chars")).join(names, ["conv", "who"])
     rows = slim.join(people, "conv")
-    role = F.when(F.col("speaker") == F.col("perspective"), "assistant").when(F.col("speaker").isin(*narrators), "system").otherwise("user")
+    role = F.when(F.col("who") == F.col("me"), "assistant").when(F.col("who").isin(*telling), "system").otherwise("user")
     head = F.concat(F.lit(OPEN), "role", F.when(F.col("role") == "user", F.concat(F.lit(" name="), "speaker")).otherwise(F.lit("")), F.lit("\n"))
     tail = CLOSE + "\n"
     rows = rows.withColumn("role", role).withColumn("lead", head)
     rows = rows.withColumn("size", F.char_length("lead") + F.col("chars") + len(tail))
-    # Places: a sum per slice of turns, a running sum over the slices, and a
-    # running sum inside each slice.
-    rows = rows.withColumn("slice", F.floor(F.col("at") / slice_turns))
-    key = ["conv", "perspective"]
-    past = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy(*key, "slice").agg(F.sum("size").alias("all")).select(
-        *key, "slice", F.coalesce(F.sum("all").over(past), F.lit(0)).alias("from_slice")
-    )
-    before = Window.partitionBy(*key, "slice").orderBy("at", "speaker", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    same_turn = Window.partitionBy(*key, "slice", "at").orderBy("speaker", "digest")
-    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(before), F.lit(0))).withColumn("part", F.row_number().over(same_turn))
-    rows = rows.join(starts, [*key, "slice"])
-    one = ["conv", "at", "speaker", "digest"]
+    # Places: a running sum over slices of turns, inside a slice over cells
+    # (the rows of a turn and speaker whose digests begin alike), and inside a
+    # cell over its rows; the same for the number in the turn.  However many
+    # rows have one turn number, or none, no cell is more than a part of them.
+    rows = rows.withColumn("slice", F.floor(F.col("at") / slice_turns)).withColumn("cell", F.substring("digest", 1, DIGITS))
+    key = ["conv", "me"]
+    cells = rows.groupBy(*key, "slice", "at", "who", "cell").agg(F.sum("size").alias("all"), F.count(F.lit(1)).alias("n"))
+
+    def past(*part: str):
+        return Window.partitionBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+    slices = cells.groupBy(*key, "slice").agg(F.sum("all").alias("all"))
+    slices = slices.select(*key, "slice", before("all", past(*key).orderBy("slice")).alias("from_slice"))
+    starts = cells.select(
+        *key, "slice", "at", "who", "cell", before("all", past(*key, "slice").orderBy("at", "who", "cell")).alias("from_cell"),
+        before("n", past(*key, "slice", "at").orderBy("who", "cell")).alias("earlier"),
+    ).join(slices, [*key, "slice"])
+    cell = [*key, "at", "who", "cell"]
+    own = Window.partitionBy(*cell).orderBy("digest")
+    rows = rows.withColumn("inside", before("size", past(*cell).orderBy("digest"))).withColumn("number", F.row_number().over(own))
+    rows = rows.drop("slice").join(starts, cell)
+    one = ["conv", "at", "who", "digest"]
     texts = turns.groupBy(*one).agg(F.first("conv_id").alias("conv_id"), F.first("turn").alias("turn"), F.first("body").alias("body"))
-    start, learned = F.col("from_slice") + F.col("inside"), F.col("role") == "assistant"
+    start, learned = F.col("from_slice") + F.col("from_cell") + F.col("inside"), F.col("role") == "assistant"
     return rows.join(texts, one).select(
-        "conv_id", "perspective", "turn", "part", "role", F.when(F.col("role") == "user", F.col("speaker")).alias("name"),
+        "conv_id", "perspective", "turn", (F.col("earlier") + F.col("number")).cast("int").alias("part"), "role",
+        F.when(F.col("role") == "user", F.col("speaker")).alias("name"),
         F.concat("lead", "body", F.lit(tail)).alias("segment"), start.alias("start_at"), (start + F.col("size")).alias("end_at"),
         F.when(learned, start + F.char_length("lead")).alias("mask_from"),
         F.when(learned, start + F.col("size") - len(tail)).alias("mask_to"),

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 OP1 = r"""
 WITH turns AS (
-  SELECT conv_id, CAST(turn AS BIGINT) AS turn,
-         coalesce(nullif(regexp_replace(trim(coalesce(role, '')), '[\s<>|=]+', '_', 'g'), ''), 'unknown') AS speaker,
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, role AS who,
+         coalesce(nullif(regexp_replace(trim(coalesce(role, '')), '[\s<>|=#]+', '_', 'g'), ''), 'unknown') AS shown,
          replace(coalesce(text, ''), '<|', '< |') AS body
   FROM conversations
+), names AS (
+  SELECT conv_id, who, CASE WHEN n = 1 THEN shown ELSE shown || '#' || n END AS speaker
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, shown ORDER BY who NULLS FIRST) AS n
+        FROM (SELECT DISTINCT conv_id, who, shown FROM turns))
 ), people AS (
-  SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'
+  SELECT conv_id, who AS me, speaker AS perspective FROM names WHERE who IS DISTINCT FROM 'system'
 ), seen AS (
-  SELECT t.conv_id, p.perspective, t.turn, t.speaker, t.body,
-         CASE WHEN t.speaker = p.perspective THEN 'assistant' WHEN t.speaker = 'system' THEN 'system' ELSE 'user' END AS role
-  FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+  SELECT t.conv_id, p.me, p.perspective, t.turn, t.who, n.speaker, t.body,
+         CASE WHEN t.who IS NOT DISTINCT FROM p.me THEN 'assistant' WHEN t.who = 'system' THEN 'system' ELSE 'user' END AS role
+  FROM turns t
+  JOIN names n ON t.conv_id IS NOT DISTINCT FROM n.conv_id AND t.who IS NOT DISTINCT FROM n.who
+  JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
 ), segments AS (
   SELECT *, CASE WHEN role = 'user' THEN speaker END AS name,
          '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) AS head
@@ -22,9 +28,9 @@ WITH turns AS (
   SELECT *, head || body || '<|im_end|>' || chr(10) AS segment,
          length(head || body || '<|im_end|>' || chr(10)) AS size,
          coalesce(sum(length(head || body || '<|im_end|>' || chr(10))) OVER (
-           PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, md5(body)
+           PARTITION BY conv_id, me ORDER BY turn NULLS FIRST, who NULLS FIRST, md5(body)
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_at,
-         row_number() OVER (PARTITION BY conv_id, perspective, turn ORDER BY speaker, md5(body)) AS part
+         row_number() OVER (PARTITION BY conv_id, me, turn ORDER BY who NULLS FIRST, md5(body)) AS part
   FROM segments
 )
 SELECT conv_id, perspective, turn, CAST(part AS INTEGER) AS part, role, name, segment,

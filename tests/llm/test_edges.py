@@ -63,6 +63,14 @@ def test_repeated_documents_agree(spark):  # noqa: F811
     assert sorted(kept, key=str) == sorted([1, 3, 6, None, 7, 8, 9], key=str)
 
 
+def test_unlike_texts_under_one_id_stay(spark):  # noqa: F811
+    one, other = "one two three four five six seven eight", "eins zwei drei vier sechs sieben acht neun zehn"
+    table = [(1, one, "en", "a", 0), (1, other, "de", "a", 0), (2, one, "en", "b", 0), (3, other, "de", "a", 0), (3, other, "de", "a", 0),
+             (1, one, "en", "z", 0), (None, one, "en", "a", 0), (4, None, "en", "a", 0), (4, "", "en", "a", 0)]
+    kept = simhash.keep_one(docs(spark, table)).collect()
+    assert sorted(((r.doc_id, r.text or "") for r in kept), key=repr) == sorted([(1, one), (1, other), (None, one), (4, "")], key=repr)
+
+
 def test_pages(spark):  # noqa: F811
     pages = [(1, "u", None), (2, None, ""), (None, "u", "<p>a"), (3, "u", "plain &amp; text"), (3, "u", "plain &amp; text"), (4, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     df = spark.createDataFrame(pages, PAGES)
@@ -106,14 +114,73 @@ def test_vectors(spark):  # noqa: F811
     ]
     df = spark.createDataFrame(vectors, VECTORS)
     got = rows(topk.top_k(df))
+    # A component beyond a long stops at 2^62, a score at 2^63 - 1.  Row 0 is
+    # there twice: two queries of one id, two candidates.
     own = [(r[2], r[3]) for r in sorted(got) if r[0] == 0]
-    # A component beyond a long stops at 2^62, a score at 2^63 - 1.
-    assert own == [(7, (1 << 63) - 1), (1, 1024 * 1024), (2, 0), (8, 0), (100, 0)]
-    assert [r[2] for r in sorted(got) if r[0] == 100] == [0, 1, 2, 7, 8]
+    assert own == [(i, s) for i, s in ((7, (1 << 63) - 1), (1, 1024 * 1024), (2, 0), (8, 0), (100, 0)) for _ in (0, 1)]
+    assert [r[2] for r in sorted(got) if r[0] == 100] == [0, 0, 1, 2, 7, 8]
     assert rows(topk.top_k(crowded(df))) == got
     assert topk.top_k(spark.createDataFrame([], VECTORS)).collect() == []
 
 
+def test_speakers_that_look_alike_stay_apart(spark, tmp_path):  # noqa: F811
+    """Several participants whose rendered names clash: nobody's words are
+    another's, and the rows are those of the SQL."""
+    import duckdb
+
+    from logsentinel.llm.oracle import OP1
+
+    said = [("ann lee", "a1"), ("ann_lee", "b1"), ("ann  lee ", "c1"), (None, "d1"), ("unknown", "e1"), (" ", "f1"), ("system", "rule"), ("ann lee", "a2"), ("ann_lee#2", "g1")]
+    turns = [(1, k, who, text) for k, (who, text) in enumerate(said)] + [(2, 0, "ann_lee", "x"), (2, 0, "bob", "y"), (2, 0, "bob", "y"), (None, 0, "bob", "z")]
+    df = spark.createDataFrame(turns, TURNS)
+    got = chat.perspectives(df)
+    table = [r for r in got.collect() if r.conv_id == 1]
+    assert len({r.perspective for r in table}) == 7
+    own = {}
+    for r in table:
+        if r.role == "assistant":
+            own.setdefault(r.perspective, set()).add(r.segment.split("\n")[1].removesuffix(chat.CLOSE))
+    assert sorted(map(sorted, own.values())) == [["a1", "a2"], ["b1"], ["c1"], ["d1"], ["e1"], ["f1"], ["g1"]]
+    for who in own:  # everyone else has one name of their own
+        assert len({r.name for r in table if r.perspective == who and r.role == "user"} | {who}) == 7
+    df.write.parquet(str(tmp_path / "c"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/c/*.parquet'")
+    assert rows(got) == sorted(con.sql(f"SELECT {', '.join(got.columns)} FROM ({OP1})").fetchall(), key=repr)
+    text_null = spark.createDataFrame([("null", 0, "ann", "x"), (None, 0, "bob", "y")], "conv_id string, turn int, role string, text string")
+    assert sorted((r.conv_id or "", r.perspective) for r in chat.perspectives(text_null).collect()) == [("", "bob"), ("null", "ann")]
+
+
+def test_one_long_turn_is_cut_into_cells(spark, tmp_path):  # noqa: F811
+    import duckdb
+
+    from logsentinel.llm.oracle import OP1
+
+    df = spark.createDataFrame([(1, None if i % 3 else 7, ("ann", "bob")[i % 2], f"text {i % 400}") for i in range(900)], TURNS)
+    df.write.parquet(str(tmp_path / "c"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/c/*.parquet'")
+    got = chat.perspectives(df)
+    assert rows(got) == sorted(con.sql(f"SELECT {', '.join(got.columns)} FROM ({OP1})").fetchall(), key=repr)
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark, tmp_path):  # noqa: F811
+    """As the SQL has it, on a table that repeats ids with unlike vectors."""
+    import duckdb
+
+    from logsentinel.llm.oracle import OP8
+
+    table = [(0, [1.0]), (5, [1.0]), (5, [9.0]), (6, [2.0])]
+    got = rows(topk.top_k(spark.createDataFrame([(*r, 0) for r in table], VECTORS)))
+    assert got[0] == (0, 1, 5, 9 * 1024 * 1024)
+    mixed = [(i % 260, [((i * 7 + j * 13) % 29 - 14) / 8 for j in range(3)], 0) for i in range(700)] + [(i, r, 0) for i, r in ((100, [1.0] * 3),) * 3]
+    df = spark.createDataFrame(mixed, VECTORS)
+    df.write.parquet(str(tmp_path / "e"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet'")
+    assert rows(topk.top_k(df)) == sorted(con.sql(f"SELECT query_id, rank, vec_id, score FROM ({OP8})").fetchall(), key=repr)
+
+
 def test_quality_without_labels(spark):  # noqa: F811
     model = quality.fit(docs(spark), labels(spark, []))
     got = quality.score(docs(spark), model).collect()
