@@ -5,7 +5,8 @@ tags (with classes and ids).  Text length and punctuation are added up per
 path and divided by the path's blocks; the two ratios of each block are
 smoothed along the page with a Gaussian window and multiplied; a path whose
 mean fused ratio reaches a threshold (a share of the page's standard
-deviation) holds content.  The fused ratio of a block inside an article or
+deviation) holds content, and so does what one element holds between two such
+blocks.  The fused ratio of a block inside an article or
 main element grows with that element's share of the page's text, so a teaser
 card gains nothing; no element is content by its name.  Parts that the page's
 own markup names as navigation, forms, comments and so on are left out before,
@@ -55,15 +56,35 @@ _ENDS = {
 }
 #: Elements beyond which a start tag ends nothing.
 _SCOPE = frozenset("html body table td th ul ol dl div article section aside main nav header footer form blockquote".split())
-#: Words in classes and ids of parts that are not the article.
+#: Words of class and id tokens of parts that are not the article.  A token
+#: tells of such a part if one of its words is among these and the others
+#: only say where or what kind of box it is: "sidebar", "main-nav" and
+#: "related-posts" do, "side-effects", "related-work" and "notice-period" are
+#: names of the article's own.
 _NOT_ARTICLE = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner nav navigation navbar menu menubar breadcrumb breadcrumbs"
     " sidebar side rail widget footer header masthead topbar cookie cookies consent gdpr notice notification alert popup modal overlay"
     " comment comments discussion disqus replies reply respond form login signup subscribe newsletter search share sharing social related"
     " recommended pagination pager toolbar copyright skip".split()
 )
-#: A class such as "article-with-sidebar" tells of a layout.
+_BOX = frozenset(
+    "top bottom left right middle center upper lower first last main primary secondary global site page blog web mobile desktop sticky fixed floating"
+    " inner outer wrap wrapper container content area section block box panel pane column col row grid group list item items link links button"
+    " buttons icon icons bar strip unit slot zone region inline large small big mini new old js the of and in to for on us my your our"
+    " post posts article articles story stories news media thread title heading label text body image img video user".split()
+)
+#: A token such as "article-with-sidebar" tells of a layout.
 _LAYOUT = frozenset(("with", "without", "has", "no"))
+#: A short block that stands directly in a box and begins like this asks the
+#: reader for something.
+_CALL = re.compile(
+    r"(?:please |join |click (?:here )?(?:to )?|tap (?:here )?(?:to )?)?(?:subscribe|sign up|sign in|log in|register (?:now|today)|follow us|share (?:this|on)|"
+    r"advertisement|sponsored|we use cookies|this (?:web)?site uses cookies|accept (?:all )?cookies|abonnieren|abonnez-vous|suscr[ií]bete)\b", re.I
+)
+CALL_LENGTH = 160
+_BOXES = frozenset("div section span body main article".split())
+#: Elements whose own text blocks make up one run of text.
+_HOLDS = frozenset("article main section div body td blockquote details".split())
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 #: Quotes open a value only after the equals sign.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
@@ -82,12 +103,20 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
+def _names_other(words: list[str]) -> bool:
+    """Whether the words of one class or id token name a part beside the
+    article (a word may carry a number)."""
+    plain = [w for w in words if len(w) > 1]
+    return any(w in _NOT_ARTICLE for w in plain) and all(w in _NOT_ARTICLE or w in _BOX for w in plain)
+
+
 class _Block:
-    __slots__ = ("path", "parts", "main")
+    __slots__ = ("path", "parts", "main", "holder", "leaf")
 
-    def __init__(self, path: tuple, main: int):
-        # Parts: text, innermost named part, inside a link.
-        self.path, self.parts, self.main = path, [], main
+    def __init__(self, path: int, main: int, holder: int, leaf: str):
+        # Path: its number.  Parts: text, innermost named part, inside a link.
+        # Holder: number of the element of `_HOLDS` that the block is in.
+        self.path, self.parts, self.main, self.holder, self.leaf = path, [], main, holder, leaf
 
 
 def _left_out(found: list[_Block], around: list[int], main_in: list[int], named_up: list[int], never: list[bool]) -> list[bool]:
@@ -121,23 +150,25 @@ def _left_out(found: list[_Block], around: list[int], main_in: list[int], named_
             gone[named_up[i]] += gone[i]
     for i in range(len(named_up)):
         out[i] |= named_up[i] >= 0 and out[named_up[i]]
+    # Parts are numbered as they open, so those inside one follow it.
+    last = list(range(len(named_up)))
+    for i in range(len(named_up) - 1, -1, -1):
+        if named_up[i] >= 0:
+            last[named_up[i]] = max(last[named_up[i]], last[i])
 
     for i in kept:
         if out[i]:
             continue
-        within = [i == n for n in range(len(named_up))]
-        for n in range(len(named_up)):
-            within[n] |= named_up[n] >= 0 and within[named_up[n]]
         # Text of each article element inside the part and beside it.
         inside, beside, other = [0] * len(around), [0] * len(around), 0
         for k, n, main in pieces:
             if n < 0 or not out[n]:
-                here = n >= 0 and within[n]
+                here = i <= n <= last[i]
                 other += 0 if here else k
                 if main >= 0:
                     (inside if here else beside)[main] += k
         for m in range(len(around) - 1, -1, -1):
-            own = main_in[m] >= 0 and within[main_in[m]]
+            own = i <= main_in[m] <= last[i]
             inside[m] *= own
             if around[m] >= 0:
                 inside[around[m]] += inside[m]
@@ -148,15 +179,16 @@ def _left_out(found: list[_Block], around: list[int], main_in: list[int], named_
         else:
             leave = most == 0 and near >= max(BESIDE_SHARE * total, 1)
         if leave:
-            out = [o or w for o, w in zip(out, within)]
+            out[i : last[i] + 1] = [True] * (last[i] + 1 - i)
             total = other
     return out
 
 
-def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
-    """Text blocks in page order: path, text, characters inside links, and
-    number of the innermost article element (-1: none); and by number, the
-    article element around it.  Parts that the markup names as not of the
+def blocks(page: str) -> tuple[list[tuple[int, str, int, int, int, str]], list[int]]:
+    """Text blocks in page order: number of the path, text, characters inside
+    links, number of the innermost article element (-1: none), number of the
+    element that holds the block among others, and name of the innermost
+    element; and by number, the article element around it.  Parts that the markup names as not of the
     article are left out."""
     out: list[_Block] = []
     # By number: the article element around one, the named part around it,
@@ -165,9 +197,13 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
     main_in: list[int] = []
     named_up: list[int] = []
     never: list[bool] = []
-    # Open elements: name, label, left out, innermost main, link, innermost
-    # named part.
-    stack: list[tuple[str, str, bool, int, bool, int]] = []
+    # Open elements: name, number of the path, left out, innermost main, link,
+    # innermost named part, holder.
+    stack: list[tuple[str, int, bool, int, bool, int, int]] = []
+    # Paths are numbered as they are met: a step from one by an element.
+    paths: dict[tuple[int, str], int] = {}
+    open_now: dict[str, int] = {}
+    holders = 0
     now: _Block | None = None
     at, n = 0, len(page)
 
@@ -178,10 +214,16 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
         if now is None:
             if text.isspace():
                 return
-            now = _Block(tuple(e[1] for e in stack if e[0] not in _INLINE), stack[-1][3] if stack else -1)
+            leaf = next((e[0] for e in reversed(stack) if e[0] not in _INLINE), "")
+            now = _Block(stack[-1][1] if stack else 0, stack[-1][3] if stack else -1, stack[-1][6] if stack else 0, leaf)
             out.append(now)
         now.parts.append((text, stack[-1][5] if stack else -1, bool(stack) and stack[-1][4]))
 
+    def close_from(i: int) -> None:
+        for e in stack[i:]:
+            open_now[e[0]] -= 1
+        del stack[i:]
+
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -216,9 +258,9 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
         if not inline:
             now = None
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if open_now.get(name) else ():
                 if stack[i][0] == name:
-                    del stack[i:]
+                    close_from(i)
                     break
                 if inline and stack[i][0] not in _INLINE:
                     break
@@ -232,21 +274,23 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
         if ends:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in ends:
-                    del stack[i:]
+                    close_from(i)
                     break
                 if stack[i][0] in _SCOPE:
                     break
-        _, _, left_out, main, link, named = stack[-1] if stack else ("", "", False, -1, False, -1)
+        _, path, left_out, main, link, named, holder = stack[-1] if stack else ("", 0, False, -1, False, -1, 0)
         words: set[str] = set()
+        tokens: list[list[str]] = []
         not_article = name in _OUTER or (name == "header" and main < 0)
         attributes = _attributes(rest) if rest.strip(" /") else {}
         label = name
         if attributes:
             names = f"{attributes.get('class', '')} {attributes.get('id', '')} {attributes.get('role', '')}"
-            words = {w.lower() for w in _WORDS.findall(_CAMEL.sub(" ", names))}
+            tokens = [[w.lower() for w in _WORDS.findall(_CAMEL.sub(" ", token))] for token in names.split()]
+            words = {w for token in tokens for w in token}
             label += "." + ".".join(sorted(words)) if words else ""
             if name not in ("html", "body"):
-                not_article |= bool(words & _NOT_ARTICLE) and not (words & _LAYOUT) and not (main >= 0 and inline)
+                not_article |= any(map(_names_other, tokens)) and not (words & _LAYOUT) and not (main >= 0 and inline)
                 left_out |= "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
         if name in _SKIPPED or name == "head":
             left_out = True
@@ -257,13 +301,19 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
             at = n if close is None else close.start()
         if not_article and not left_out:
             named_up.append(named)
-            never.append(name in _NEVER or bool(words & _TALK))
+            never.append(name in _NEVER or any(_names_other(t) and set(t) & _TALK for t in tokens))
             named = len(named_up) - 1
         if name in _MAIN:
             around.append(main)
             main_in.append(named)
             main = len(around) - 1
-        stack.append((name, label, left_out, main, link or name == "a", named))
+        if not inline:
+            path = paths.setdefault((path, label), len(paths) + 1)
+        if name in _HOLDS:
+            holders += 1
+            holder = holders
+        open_now[name] = open_now.get(name, 0) + 1
+        stack.append((name, path, left_out, main, link or name == "a", named, holder))
     done = []
     gone = _left_out(out, around, main_in, named_up, never)
     for b in out:
@@ -272,7 +322,7 @@ def blocks(page: str) -> tuple[list[tuple[tuple, str, int, int]], list[int]]:
         text = "".join(t for t, _ in parts)
         text = " ".join((html.unescape(text) if "&" in text else text).split())
         if text:
-            done.append((b.path, text, linked, b.main))
+            done.append((b.path, text, linked, b.main, b.holder, b.leaf))
     return done, around
 
 
@@ -287,9 +337,9 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     of = {p: i for i, p in enumerate(dict.fromkeys(b[0] for b in found))}
     at = np.array([of[b[0]] for b in found])
     count = np.bincount(at)
-    own = np.array([max(len(t) - linked, 0) for _, t, linked, _ in found])
+    own = np.array([max(len(b[1]) - b[2], 0) for b in found])
     length = np.bincount(at, own) / count
-    marks = np.bincount(at, [len(_PUNCTUATION.findall(t)) for _, t, _, _ in found]) / count
+    marks = np.bincount(at, [len(_PUNCTUATION.findall(b[1])) for b in found]) / count
 
     def smooth(x: np.ndarray) -> np.ndarray:
         weight = np.convolve(np.ones(len(x)), _WINDOW, "full")[2:-2]
@@ -309,7 +359,18 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     gained = fused * (1 + ARTICLE_GAIN * inside[main] / max(own.sum(), 1))
     per_path = np.bincount(at, gained) / count
     content = (per_path > 0) & (per_path >= threshold * fused.std())
-    return "\n\n".join(b[1] for b, k in zip(found, content[at]) if k)
+    keep = content[at]
+    # A block between two content blocks that one element holds is inside that
+    # element, among its text: list items, a linked line, a short heading.
+    before = np.maximum.accumulate(np.where(keep, np.arange(len(found)), -1))
+    after = np.minimum.accumulate(np.where(keep, np.arange(len(found)), len(found))[::-1])[::-1]
+    for i in np.flatnonzero(~keep & (before >= 0) & (after < len(found))):
+        keep[i] = found[before[i]][4] == found[after[i]][4]
+    return "\n\n".join(b[1] for b, k in zip(found, keep) if k and not _asks(b))
+
+
+def _asks(block: tuple) -> bool:
+    return block[5] in _BOXES and len(block[1]) <= CALL_LENGTH and bool(_CALL.match(block[1]))
 
 
 def _main_texts(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
