@@ -279,10 +279,15 @@ def drop_repeated(docs: DataFrame, letters: int = MIN_LETTERS) -> DataFrame:
         rows.mapInArrow(_occurrences(filters, letters), "row binary, doc_id long, key binary, lines array<int>"), "suspected_lines"
     )
     # A hot key is one row per task before the shuffle.  Null ids come last.
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"))
-    repeated = found.groupBy("key").agg(F.min(order).alias("first"), F.max(order).alias("final")).filter("first <> final")
+    # The repeated keys are stored: a join of two plain shuffles is one whose
+    # hot keys adaptive execution can split.
+    repeated, _ = stored_at(
+        found.groupBy("key").agg(
+            F.min("doc_id").alias("keep"), F.max("doc_id").alias("last"), F.max(F.col("doc_id").isNull()).alias("nameless")
+        ).filter("keep <> last OR (nameless AND keep IS NOT NULL)").select("key", "keep"), "repeated_lines"
+    )
     drops = (
-        found.join(repeated.select("key", F.col("first.id").alias("keep")), "key")
+        found.join(repeated, "key")
         .filter(~F.col("doc_id").eqNullSafe(F.col("keep")))
         .groupBy("row").agg(F.collect_list("lines").alias("drops"))
     )
