@@ -3,10 +3,14 @@
 Each text is searched for base spans (exact patterns) and for wider
 candidates.  Regex, structure, gazetteer and context labelers vote on every
 candidate: 1 personal, -1 not, 0 no opinion.  Expectation-maximisation over
-the counts of all vote patterns of the corpus estimates each labeler's
-reliability and each pattern's probability; these probabilities are the
-targets of a logistic span classifier on votes and span features, which
-decides which candidates are added to the base spans.
+the counts of all vote patterns of the corpus estimates how often each labeler
+says yes among the personal spans and among the others, where it has an
+opinion at all, and so each pattern's probability.  The base patterns are
+personal as given; what the other labelers say of them is what the candidates
+are measured by.  The probabilities are the targets of a logistic span
+classifier on the votes (but the regex labeler's, which only tells base spans
+from the rest) and span features.  A candidate is added if the classifier is
+sure and at least two labelers speak for it.
 
 The corpus reaches the driver only as counts of (kind, votes, features)
 patterns, whose number is fixed by the number of labelers and feature values.
@@ -38,39 +42,60 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile(r"[0-9]")
 
-#: Wider patterns of candidates: spelled-out addresses, grouped numbers
-#: without a country code, dotted cards, version-6 addresses.  A cheap pattern
-#: first tells whether a text can hold any.
+#: Wider patterns of candidates: addresses with "at" and "dot" spelled out,
+#: numbers without a plus sign, cards with dots or slashes, other forms of IP
+#: addresses.  A cheap pattern first tells whether a text can hold any.
+_MARK = r" ?[(\[{<] ?(?:at|@) ?[)\]}>] ?"
+_DOT = r"(?: ?[(\[{<] ?(?:dot|punkt|point|punto|\.) ?[)\]}>] ?| dot |\.)"
+_V6 = re.compile(r":[0-9A-Fa-f]{1,4}:")
 _WIDE = {
     "email": (
-        re.compile(r"[(\[]at[)\]]", re.I),
-        re.compile(r"(?<![\w.%+-])[A-Za-z0-9_%+-]{1,64} ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}(?: ?[(\[]dot[)\]] ?[A-Za-z0-9-]{1,63}){1,4}(?!\w)", re.I),
+        re.compile(r"[(\[{<] ?(?:at|@) ?[)\]}>]| at [A-Za-z0-9-]{1,63} dot ", re.I).search,
+        re.compile(
+            rf"(?<![\w.%+-])[A-Za-z0-9_%+-]{{1,64}}(?:{_DOT}[A-Za-z0-9_%+-]{{1,64}}){{0,3}}"
+            rf"(?:{_MARK}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}}| at [A-Za-z0-9-]{{1,63}}(?: dot [A-Za-z0-9-]{{1,63}}){{1,4}})(?!\w)", re.I
+        ),
     ),
     "ip": (
-        re.compile(r":[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:"),
-        re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])"),
+        lambda text: "::" in text or "[.]" in text or "(.)" in text or _V6.search(text),
+        re.compile(
+            r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![\w:])"
+            r"|(?<![\w.])[0-9]{1,3}(?:[(\[]\.[)\]][0-9]{1,3}){3}(?![\w.])"
+        ),
     ),
     "card": (
-        re.compile(r"[0-9]{4}\.[0-9]{4}\."),
-        re.compile(r"(?<![\w.])[0-9]{4}\.[0-9]{4}\.[0-9]{4}\.[0-9]{4}(?![\w.])"),
+        re.compile(r"[0-9]{4}[./_][0-9]{4}[./_]").search,
+        re.compile(r"(?<![\w.])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![\w.])"),
     ),
     "phone": (
-        re.compile(r"[0-9][ .-][0-9]{3,4}[ .-][0-9]|\) ?[0-9]{3,4}[ .-][0-9]"),
-        re.compile(r"(?<![\w.+-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![\w-]|\.[0-9])"),
+        re.compile(r"[0-9][ ./-][0-9]{2,4}[ ./-]?[0-9]|\) ?[0-9]{3,4}[ .-][0-9]").search,
+        re.compile(
+            r"(?<![\w.+-])(?:00[1-9][0-9]{0,2}[ ./-])?(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ ./-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?:[ .-][0-9]{2,4})?(?![\w-]|[./][0-9])"
+        ),
     ),
 }
 
 # Gazetteers and cue words of the labelers.
-TOP_DOMAINS = frozenset("com org net edu gov info io de fr es uk eu it nl ch at".split())
-COUNTRY_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "39", "41", "43", "44", "45", "46", "47", "48", "49", "52", "55", "61", "81", "82", "86", "90", "91")
+TOP_DOMAINS = frozenset(
+    "com org net edu gov mil int info biz name pro io app dev tech online site shop blog cloud email company agency solutions systems"
+    " museum academy institute university group network software team world news media consulting design".split()
+)
+#: Calling codes of one and two digits; all others have three and begin with
+#: one of the pairs.
+SHORT_CODES = frozenset(
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+LONG_CODES = frozenset("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
 CUES = {
-    "email": re.compile(r"mail|contact|write|kontakt|correo", re.I),
-    "ip": re.compile(r"\bip\b|host|server|address|client|login", re.I),
-    "card": re.compile(r"card|visa|credit|payment|karte|tarjeta|carte", re.I),
-    "phone": re.compile(r"phone|\btel|call|mobile|fax|cell|telefon|llam|appel", re.I),
+    "email": re.compile(r"mail|contact|write|reach|kontakt|schreib|correo|escrib|courriel|[ée]cri", re.I),
+    "ip": re.compile(r"\bip\b|ipv|host|server|address|client|login|logged|adresse|direcci", re.I),
+    "card": re.compile(r"card|visa|credit|payment|paid|charge|karte|tarjeta|carte|mastercard|amex", re.I),
+    "phone": re.compile(r"phone|\btel\b|\btel[.:]|call|mobile|fax|\bcell|ring|telefon|handy|tel[ée]f|llam|appel|num[ée]ro|whatsapp", re.I),
 }
 COUNTER_CUES = re.compile(r"order|invoice|version|build|part|serial|isbn|page|figure|sum|total|\bno\.?\s*$|#\s*$|=\s*$", re.I)
 LABELERS = ("regex", "structure", "gazetteer", "cue", "counter_cue", "digits")
+#: Labelers that must speak for a candidate that is added.
+SUPPORT = 2
 #: Characters before a span that the context labelers read.
 CONTEXT = 40
 
@@ -126,20 +151,25 @@ def _votes(kind: int, text: str, start: int, end: int, regex_vote: int) -> tuple
     digits = re.sub(r"[^0-9]", "", span)
     name = KINDS[kind]
     if name == "email":
-        parts = re.split(r"\.|[(\[]dot[)\]]", span, flags=re.I)
-        last = parts[-1].strip().lower()
-        structure = 1 if last.isalpha() and len(last) >= 2 else -1
-        gazetteer = 1 if last in TOP_DOMAINS else 0
+        last = re.split(r"[^A-Za-z0-9-]+", span)[-1].lower()
+        # Two letters are a country's domain; but "at" and "dot" are words, and
+        # without brackets any prose may have them.
+        prose = re.search(r" at .* dot ", span, re.I) is not None
+        structure = -1 if not last.isalpha() or len(last) < 2 else 0 if prose else 1
+        gazetteer = 1 if last in TOP_DOMAINS or (len(last) == 2 and last.isalpha() and not prose) else 0
     elif name == "ip":
-        parts = span.split(".")
-        structure = 1 if ":" in span or all(p == "0" or p[0] != "0" for p in parts) else -1
+        parts = re.findall(r"[0-9]+", span)
+        structure = 1 if ":" in span or all(p == "0" or (p[0] != "0" and len(p) <= 3 and int(p) <= 255) for p in parts) else -1
         gazetteer = 0 if ":" in span else -1 if parts[0] in ("0", "127", "255") else 1
     elif name == "card":
         structure = 1 if luhn(digits) else -1
         gazetteer = 1 if digits[0] in "3456" else -1
     else:
-        structure = 1 if 10 <= len(digits) <= 15 else -1
-        gazetteer = 1 if span[0] == "+" and digits.startswith(COUNTRY_CODES) else 0
+        # A year first, or two or four digits throughout, is a date or a range.
+        dated = re.match(r"(?:19|20)[0-9]{2}[ ./-]", span) is not None
+        structure = 1 if 9 <= len(digits) <= 15 and not dated else -1
+        code = digits if span[0] == "+" else digits[2:] if digits.startswith("00") else ""
+        gazetteer = 1 if code and (code[:1] in SHORT_CODES or code[:2] in SHORT_CODES or code[:2] in LONG_CODES) else 0
     cue = 1 if CUES[name].search(before) else 0
     counter = -1 if COUNTER_CUES.search(before) else 0
     same = -1 if digits and name != "ip" and (len(set(digits)) <= 2 or digits in "01234567890123456789") else 0
@@ -186,7 +216,7 @@ def candidates(text: str | None) -> tuple[list[tuple], list[tuple]]:
     wide = []
     for kind, name in enumerate(KINDS):
         possible, pattern = _WIDE[name]
-        if possible.search(text):
+        if possible(text):
             wide += [(kind, *m.span()) for m in pattern.finditer(text)]
     others, i = [], 0
     for kind, s, e in sorted(dropped + wide, key=lambda x: (x[1], x[0])):
@@ -203,8 +233,9 @@ def candidates(text: str | None) -> tuple[list[tuple], list[tuple]]:
 
 @dataclass
 class Model:
-    """Reliabilities P(vote | personal or not) per kind and labeler, and the
-    weights of the span classifier.  Without any candidate nothing is added."""
+    """P(yes | personal or not) per kind and labeler where it has an opinion,
+    the weights of the span classifier, and the share of personal ones among
+    the candidates of each kind.  Without any candidate nothing is added."""
 
     reliability: np.ndarray
     weights: np.ndarray
@@ -214,16 +245,19 @@ class Model:
         z = float(_design(kind, votes, features) @ self.weights)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
+    def adds(self, kind: int, votes: int, features: int, at: float) -> bool:
+        return sum(v > 0 for v in _decode(votes)) >= SUPPORT and self.probability(kind, votes, features) >= at
+
 
 _SIZES = (8, 4, 4, 4)
-_WIDTH = 1 + len(KINDS) + 3 * len(LABELERS) + sum(_SIZES)
+_WIDTH = 1 + len(KINDS) + 3 * (len(LABELERS) - 1) + sum(_SIZES)
 
 
 def _design(kind: int, votes: int, features: int) -> np.ndarray:
     x = np.zeros(_WIDTH)
     x[0] = x[1 + kind] = 1
     at = 1 + len(KINDS)
-    for v in _decode(votes):
+    for v in _decode(votes)[1:]:
         x[at + v + 1] = 1
         at += 3
     parts = []
@@ -236,10 +270,25 @@ def _design(kind: int, votes: int, features: int) -> np.ndarray:
     return x
 
 
+def _posterior(kind: np.ndarray, votes: np.ndarray, reliability: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """P(personal) of vote patterns; a labeler without an opinion says nothing,
+    and the regex labeler's yes is the base pattern itself."""
+    yes, no = np.log(reliability), np.log(1 - reliability)
+    odds = np.log(prior[kind] / (1 - prior[kind]))
+    for j in range(votes.shape[1]):
+        up, down = yes[kind, 1, j] - yes[kind, 0, j], no[kind, 1, j] - no[kind, 0, j]
+        odds = odds + np.where(votes[:, j] > 0, up, np.where(votes[:, j] < 0, down, 0.0))
+    return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+
+#: Votes that a labeler's assumed reliability counts as.
+PRIOR_VOTES = 4.0
+
+
 def fit_patterns(patterns: list[tuple[int, int, int, int]], rounds: int = 50) -> Model:
     """EM and the classifier from (kind, votes, features, count) rows."""
     labelers = len(LABELERS)
-    reliability = np.full((len(KINDS), 2, labelers, 3), 1 / 3)
+    reliability = np.full((len(KINDS), 2, labelers), 0.5)
     prior = np.full(len(KINDS), 0.5)
     weights = np.zeros(_WIDTH)
     weights[0] = -30.0
@@ -247,29 +296,27 @@ def fit_patterns(patterns: list[tuple[int, int, int, int]], rounds: int = 50) ->
         return Model(reliability, weights, prior)
     kind, code, feature, count = (np.array(c, float if i == 3 else int) for i, c in enumerate(zip(*patterns)))
     votes = np.array([_decode(c) for c in code])
+    base = votes[:, 0] > 0
     # Start from the majority of the votes.
-    p = 1 / (1 + np.exp(-votes.sum(1).astype(float)))
+    p = np.where(base, 1.0, 1 / (1 + np.exp(-votes.sum(1).astype(float))))
     for _ in range(rounds):
         for k in range(len(KINDS)):
             at = kind == k
             for side, q in ((0, 1 - p), (1, p)):
-                mass = (q * count)[at]
                 for j in range(labelers):
-                    seen = np.bincount(votes[at, j] + 1, weights=mass, minlength=3) + 0.5
-                    reliability[k, side, j] = seen / seen.sum()
-            prior[k] = ((p * count)[at].sum() + 1) / (count[at].sum() + 2)
-        log = np.log(reliability)
-        j = np.arange(labelers)
-        odds = np.log(prior[kind] / (1 - prior[kind])) + (
-            log[kind[:, None], 1, j, votes + 1] - log[kind[:, None], 0, j, votes + 1]
-        ).sum(1)
-        new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+                    yes, no = ((q * count)[at & (votes[:, j] == v)].sum() for v in (1, -1))
+                    # Before any evidence a labeler is right three times of four.
+                    reliability[k, side, j] = (yes + PRIOR_VOTES * (0.75 if side else 0.25)) / (yes + no + PRIOR_VOTES)
+            open_ = at & ~base
+            prior[k] = ((p * count)[open_].sum() + 1) / (count[open_].sum() + 2)
+        new = np.where(base, 1.0, _posterior(kind, votes, reliability, prior))
         if np.abs(new - p).max() < 1e-9:
             break
         p = new
     # Logistic span classifier on the soft labels: Newton steps, ridge term.
     x = np.stack([_design(*row) for row in zip(kind, code, feature)])
-    share = count / count.sum()
+    # The few candidates weigh as much as the many base spans.
+    share = count / np.where(base, max(count[base].sum(), 1.0), max(count[~base].sum(), 1.0)) / 2
     weights = np.zeros(_WIDTH)
     for _ in range(30):
         q = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
@@ -323,7 +370,7 @@ def _final(base: list[tuple], more: list[tuple], model: Model, at: float) -> lis
     spans = [tuple(s[:3]) for s in base]
     end = -1
     for kind, s, e, votes, features in more:
-        if s >= end and model.probability(kind, votes, features) >= at:
+        if s >= end and model.adds(kind, votes, features, at):
             spans.append((kind, s, e))
             end = e
     return sorted(spans, key=lambda x: (x[1], x[0], x[2]))

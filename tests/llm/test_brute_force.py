@@ -191,16 +191,100 @@ def test_pii_long_runs_are_linear():
         pii.candidates(text)
 
 
+def _planted(seed, counter=True, n=300):
+    """Texts with plain and disguised personal data and with numbers that
+    only look like it; and the disguised spans by document."""
+    rng = np.random.default_rng(seed)
+    pick = lambda *a: a[rng.integers(len(a))]
+    num = lambda k: "".join(map(str, rng.integers(1, 9, k)))
+
+    def card(sep):
+        d = "4" + num(14)
+        total = next(c for c in "0123456789" if pii.luhn(d + c))
+        d += total
+        return sep.join(d[i : i + 4] for i in range(0, 16, 4))
+
+    texts, planted = [], {}
+    for i in range(n):
+        user, host = f"u{i}.x", pick("example", "post", "firm")
+        plain = pick(f"Mail me: {user}@{host}.org", f"call our phone +49 30 {num(7)}", f"paid by card {card(' ')} today", f"login from host 10.{i % 250}.3.4")
+        cue, span = pick(
+            ("Please write to ", f"{user} at {host} dot com"), ("contact ", f"{user}[at]{host}[dot]net"), ("my e-mail: ", f"{user} (at) {host}.de"),
+            ("credit card ", card(".")), ("visa ", card("/")), ("call our phone ", f"0049 {num(3)} {num(4)} {num(3)}"), ("tel ", f"{num(3)}-555-{num(4)}"),
+            ("server address ", f"10[.]{i % 250}[.]7[.]9"), ("ip ", f"fe80::{num(3)}:{num(2)}"),
+        )
+        false = pick(f"invoice no. {num(4)}-{num(3)}-{num(4)}", f"order total {num(3)} {num(3)} {num(4)}", f"serial {num(4)}.{num(4)}.{num(4)}.{num(4)}", f"version {num(2)}.{num(3)}.{num(3)} build {num(3)} {num(4)} {num(3)}",
+                     "meet at noon dot he said", f"from 2019 {num(4)} {num(4)} on")
+        text = f"{plain}. Some words here. {cue}{span} thanks." + (f" See {false} there." if counter else "")
+        at = text.index(span, text.index(cue))
+        texts.append((i, text, "", "", 0))
+        planted[i] = (at, at + len(span))
+    return texts, planted
+
+
+@pytest.mark.parametrize("counter", (True, False))
+def test_pii_adds_disguised_spans(spark, counter):  # noqa: F811
+    texts, planted = _planted(5, counter)
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    found, extra = 0, 0
+    for r in pii.find_spans(df).collect():
+        base = _base_spans(texts[r.doc_id][1])
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",")]
+        added = set(spans) - {s[1:] for s in base}
+        assert r.n_added == len(added) and {s[1:] for s in base} <= set(spans)
+        hit = planted[r.doc_id] in added or any(s[1:] == planted[r.doc_id] for s in base)
+        found, extra = found + hit, extra + len(added - {planted[r.doc_id]})
+    assert found >= 0.9 * len(texts), (found, extra)
+    assert extra <= 0.05 * len(texts), (found, extra)
+
+
+def test_pii_em_against_loops():
+    """The expectation-maximisation over patterns, one candidate at a time."""
+    rng = np.random.default_rng(8)
+    rows_ = []
+    for _ in range(400):
+        kind, real, base = int(rng.integers(4)), rng.random() < 0.6, rng.random() < 0.5
+        votes = [1 if base else int(rng.choice([0, -1]))] + [int(rng.choice([1, 0, -1], p=[0.7, 0.2, 0.1] if real or base else [0.1, 0.3, 0.6])) for _ in range(5)]
+        rows_.append((kind, tuple(votes)))
+    patterns = [(k, pii._code(v), 0, n) for (k, v), n in __import__("collections").Counter(rows_).items()]
+    p = [1.0 if v[0] > 0 else 1 / (1 + np.exp(-sum(v))) for _, v in rows_]
+    for _ in range(50):
+        says, prior = {}, {}
+        for k in range(4):
+            for side in (0, 1):
+                for j in range(6):
+                    yes = sum((q if side else 1 - q) for q, (kind, v) in zip(p, rows_) if kind == k and v[j] == 1)
+                    no = sum((q if side else 1 - q) for q, (kind, v) in zip(p, rows_) if kind == k and v[j] == -1)
+                    says[k, side, j] = (yes + 4 * (0.75 if side else 0.25)) / (yes + no + 4)
+            free = [q for q, (kind, v) in zip(p, rows_) if kind == k and v[0] <= 0]
+            prior[k] = (sum(free) + 1) / (len(free) + 2)
+        p = []
+        for k, v in rows_:
+            up, down = prior[k], 1 - prior[k]
+            for j, vote in enumerate(v):
+                if vote:
+                    up *= says[k, 1, j] if vote > 0 else 1 - says[k, 1, j]
+                    down *= says[k, 0, j] if vote > 0 else 1 - says[k, 0, j]
+            p.append(1.0 if v[0] > 0 else up / (up + down))
+    model = pii.fit_patterns(patterns)
+    assert all(abs(model.reliability[k, side, j] - r) < 1e-6 for (k, side, j), r in says.items())
+    assert all(abs(model.prior[k] - q) < 1e-6 for k, q in prior.items())
+
+
 def test_pii_adds_well_supported_spans(spark):  # noqa: F811
     good = [(i, f"please call our phone line {200 + i}-555-01{i % 90 + 10} today", "", "", 0) for i in range(60)]
     bad = [(100 + i, f"invoice order total no. {111}-111-1111 of version {i}", "", "", 0) for i in range(60)]
     sure = [(300 + i, f"mobile phone +49 30 {1000000 + i} or mail a{i}@example.org", "", "", 0) for i in range(60)]
-    df = spark.createDataFrame(good + bad + sure, "doc_id long, text string, lang string, source string, n_chars long")
-    got = {r.doc_id: r for r in pii.find_spans(df).collect()}
-    assert all(got[100 + i].n_added == 0 for i in range(60))
-    assert all(got[300 + i].n_phone == got[300 + i].n_email == 1 for i in range(60))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    df = spark.createDataFrame(good + bad + sure, schema)
+    for some in (df, df.filter("doc_id < 100 or doc_id >= 300")):  # with and without counter-examples
+        got = {r.doc_id: r for r in pii.find_spans(some).collect()}
+        assert all(got[i].n_added == 1 for i in range(60))
+        assert all(got[100 + i].n_added == 0 for i in range(60) if 100 + i in got)
+        assert all(got[300 + i].n_phone == got[300 + i].n_email == 1 and got[300 + i].n_added == 0 for i in range(60))
     masked = {r.doc_id: r for r in pii.masked(df, pii.fit(df)).collect()}
     assert masked[300].text == "mobile phone <PHONE> or mail <EMAIL>" and masked[300].n_chars == len(masked[300].text)
+    assert masked[0].text == "please call our phone line <PHONE> today"
 
 
 def test_mix_is_exact_and_reruns_agree(spark, texts):  # noqa: F811
@@ -464,3 +548,38 @@ def test_html_pages_of_the_table(spark):  # noqa: F811
         article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         parts = [" ".join(html.unescape(p).split()) for p in re.split(r"</?(?:p|h1)>", re.sub(r"<br>|</?b>", " ", article))]
         assert r.text.split() == " ".join(p for p in parts if p).split() and r.n_chars == len(r.text)
+
+
+def _learned(good, bad, n=120):
+    """Held-out accuracy where each text has some of its label's words."""
+    rng = np.random.default_rng(4)
+    made = []
+    for i in range(2 * n):
+        own, y = (good, 1) if i % 2 else (bad, 0)
+        words = [str(rng.choice(own)) for _ in range(6)] + [str(rng.choice(good + bad)) for _ in range(4)]
+        made.append(("".join(rng.permutation(words)) if len(good[0]) == 1 else " ".join(rng.permutation(words)) + ".", y))
+    rows_, y = [quality.features(t.encode()) for t, _ in made], np.array([y for _, y in made])
+    model = quality.fit_rows(rows_[:n], y[:n])
+    return np.mean([(model.score(r) >= 0.5) == c for r, c in zip(rows_[n:], y[n:])])
+
+
+def test_quality_learns_words():
+    """Labels that only the words tell: the shapes of all texts are alike."""
+    assert _learned("scholar careful prose theorem archive library essay museum".split(), "casino winners bargain jackpot miracle lottery discount clickbt".split()) > 0.9
+
+
+def test_quality_learns_scripts_without_spaces():
+    assert _learned(list("学者慎重散文定理档案図書館"), list("賭場勝者特価奇跡彩票割引爆買")) > 0.9
+
+
+def test_quality_features_of_pieces():
+    """Blocks change nothing, and no text is without defined bins."""
+    text = ("Mixed Text, naïve 日本語 words! " * 400).encode()
+    whole, before = quality.features(text), quality.BLOCK
+    try:
+        quality.BLOCK = 101
+        assert set(quality.features(text)) >= set(whole[whole >= quality._WORDS_AT])
+    finally:
+        quality.BLOCK = before
+    assert len(quality.features(None)) == len(quality.features(b"")) == 0
+    assert (quality._unpacked(quality._packed(whole)) == whole).all()
