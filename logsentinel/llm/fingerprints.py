@@ -226,32 +226,49 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SAMPLED = 25
 
 
+def _borders(seen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First id and text hash of the ranges after the first, from a sorted
+    sample of ids.  An id that several borders fall on holds more rows than a
+    range should: it starts one, and its rows are cut into as many by their
+    text hash, which is spread evenly."""
+    values, times = np.unique(seen[np.arange(1, n) * len(seen) // n], return_counts=True) if len(seen) and n > 1 else (np.zeros(0, np.int64),) * 2
+    ids = np.repeat(values, times)
+    hashes = [-(1 << 63) + (k << 64) // m for m in times.tolist() for k in range(m)]
+    return ids.astype(np.int64), np.array(hashes, np.int64)
+
+
 def _ranges(docs: DataFrame, n: int) -> Callable[[DataFrame], DataFrame]:
-    """Adds to rows the number of their range of ids, of n about equal ones;
-    rows without an id are in the first.  The borders come from a sample of
-    ids (``SAMPLED`` per range); every row falls in one range whatever they
-    are."""
-    ids = docs.select("doc_id").filter("doc_id is not null")
+    """Adds to rows the number of their range in the order of ids and text
+    hashes, of n about equal ones; rows without an id come first.  The borders
+    come from a sample of ids (``SAMPLED`` per range); every row falls in one
+    range whatever they are."""
+    low = -(1 << 63)
+    ids = docs.select(F.coalesce("doc_id", F.lit(low)).alias("doc_id"))
     share = min(1.0, SAMPLED * n / max(ids.count(), 1))
-    seen = np.sort([r.doc_id for r in ids.sample(share, seed=1).collect()])
-    edges = np.unique(seen[np.arange(1, n) * len(seen) // n]).astype(np.int64) if len(seen) and n > 1 else np.zeros(0, np.int64)
-
-    def number(ids: pa.Array) -> pa.Array:
-        values = ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-        return pa.array(np.searchsorted(edges, values, "right").astype(np.int32))
+    border_ids, border_hashes = _borders(np.sort(np.array([r.doc_id for r in ids.sample(share, seed=1).collect()], np.int64)), n)
+
+    def number(ids: pa.Array, orders: pa.Array) -> pa.Array:
+        values, hashes = ids.fill_null(low).to_numpy(zero_copy_only=False), orders.to_numpy(zero_copy_only=False)
+        first, end = np.searchsorted(border_ids, values, "left"), np.searchsorted(border_ids, values, "right")
+        out = end.copy()
+        for v in np.unique(values[first < end]):
+            at = np.flatnonzero(values == v)
+            i, j = first[at[0]], end[at[0]]
+            out[at] = i + np.searchsorted(border_hashes[i:j], hashes[at], "right")
+        return pa.array(out.astype(np.int32))
 
     def add(rows: DataFrame) -> DataFrame:
-        if not len(edges):
+        if not len(border_ids):
             return rows.withColumn("range", F.lit(0))
-        return rows.withColumn("range", F.arrow_udf(_one_batch(number), "int")("doc_id"))
+        return rows.withColumn("range", F.arrow_udf(_one_batch(number), "int")("doc_id", "order"))
 
     return add
 
 
-def _one_batch(function: Callable[[pa.Array], pa.Array]):
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _one_batch(function: Callable[[pa.Array, pa.Array], pa.Array]):
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for b in batches:
-            yield function(b)
+            yield function(*b)
 
     return run
 
@@ -266,8 +283,8 @@ def fingerprint_edits(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     an empty text has the fingerprint of empty slots; equal texts have equal
     fingerprints; an empty table gives no rows; other columns are ignored.
 
-    Ids are cut into ranges (four times the shuffle partitions, where none
-    are given).  Each range gets a copy of the first row of the next range with
+    Ids, and where one holds many rows their text hashes, are cut into ranges
+    (four times the shuffle partitions, where none are given).  Each range gets a copy of the first row of the next range with
     rows, so the texts are shuffled once and each range is done on its own.
     """
     docs = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").withColumn("order", F.xxhash64("text"))
