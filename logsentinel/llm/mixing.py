@@ -112,8 +112,8 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     Null and empty texts have size 0 and take nothing; null sources are one
     source, the last; rows that repeat a ``doc_id`` are ordered by content and
     count each; an empty table gives no rows.  Running sums go over slices of
-    a source's order: a sum per slice, a running sum over the slices, and a
-    running sum inside each slice, so no source is ever in one task.
+    a source's order, over the cells of a slice and over the rows of a cell,
+    so neither a source nor an id that many rows carry is ever in one task.
     """
     moved, names = positional(docs)
     key, source, text = (F.col(f"_c{find(names, n)}") for n in ("doc_id", "source", "text"))
@@ -129,14 +129,28 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
         # Divided, not multiplied: place * slices leaves a long above 2,048 slices.
         "slice", F.floor(F.col("place") / (F.lit(float(1 << 52)) / slices)).cast("long")
     )
-    per_slice = rows.groupBy("rank", "slice").agg(F.sum("size").alias("words"))
-    past = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_slice.select("rank", "slice", F.coalesce(F.sum("words").over(past), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("rank", "slice").orderBy("place", "doc_id", "row_hash").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(starts, ["rank", "slice"])
-        .select("doc_id", "source", "size", "source_size", "rank", "target", (F.col("start") + F.col("inside")).alias("offered"), "row_hash")
+    # Rows of one place (an id that many rows carry, or none) are cut further,
+    # by the leading bits of their content hash.
+    cell = ["rank", "slice", "place", "doc_id", "part"]
+    rows = rows.withColumn("part", F.shiftright("row_hash", 56))
+    cells = rows.groupBy(*cell).agg(F.sum("size").alias("words"))
+
+    def before(words: str, window) -> Column:
+        return F.coalesce(F.sum(words).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    slices_of = cells.groupBy("rank", "slice").agg(F.sum("words").alias("words"))
+    slices_of = slices_of.select("rank", "slice", before("words", Window.partitionBy("rank").orderBy("slice")).alias("start"))
+    # Most places are one row; only cells of several need its place inside.
+    inside = Window.partitionBy(*cell).orderBy("row_hash")
+    from_cell = before("words", Window.partitionBy("rank", "slice").orderBy("place", "doc_id", "part"))
+    starts = cells.select(*cell, from_cell.alias("from_cell")).join(slices_of, ["rank", "slice"])
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) if c == "doc_id" else F.col(f"r.{c}") == F.col(f"s.{c}") for c in cell]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    placed = rows.withColumn("inside", before("size", inside)).alias("r").join(starts.alias("s"), on)
+    return placed.select(
+        "r.doc_id", "source", "size", "source_size", "r.rank", "target", (F.col("start") + F.col("from_cell") + F.col("inside")).alias("offered"), "row_hash"
     )
 
 

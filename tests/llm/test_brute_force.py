@@ -583,3 +583,27 @@ def test_quality_features_of_pieces():
         quality.BLOCK = before
     assert len(quality.features(None)) == len(quality.features(b"")) == 0
     assert (quality._unpacked(quality._packed(whole)) == whole).all()
+
+
+def test_a_hot_id_is_cut_into_ranges(spark):  # noqa: F811
+    """A third of the rows without an id, a third with one id: ranges stay
+    about equal, and the result is that of one range."""
+    made = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i} of many with some words {i * i}", "", "", 0) for i in range(900)]
+    df = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long")
+    keyed = df.select("doc_id", "text").withColumn("order", F.xxhash64("text"))
+    sizes = [r["count"] for r in fingerprints._ranges(keyed, 30)(keyed).groupBy("range").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 4 * np.median(sizes)
+    assert rows(fingerprints.fingerprint_edits(df, ranges=30)) == rows(fingerprints.fingerprint_edits(df, ranges=1))
+
+
+def test_a_hot_id_is_cut_into_cells(spark):  # noqa: F811
+    made = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "w " * (i % 11), "", "a", i) for i in range(900)]
+    df = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.plan_mix(df, slice_docs=50).toPandas()
+    want, words = [], 0
+    place = lambda i: int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:13], 16)
+    ids = [None if i != i else int(i) for i in got.doc_id]
+    for i in sorted(range(len(got)), key=lambda i: (place(ids[i]), ids[i] is not None, ids[i] or 0, got.row_hash[i])):
+        want.append((i, words))
+        words += int(got["size"][i])
+    assert [int(got.offered[i]) for i, _ in want] == [w for _, w in want]
