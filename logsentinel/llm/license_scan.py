@@ -17,6 +17,7 @@ The templates are a small dictionary that goes to every task.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
@@ -129,7 +130,7 @@ def _bsd() -> Iterator[tuple[str, str]]:
 
 #: All that the query looks for.
 WORDINGS = (*TEMPLATES, *_FURTHER, *_gnu(), *_creative_commons(), *_bsd())
-_WORDING = re.compile(r"-(?:notice|permission|text|short|long|title)\b.*")
+_WORDING = re.compile(r"-(?:notice|permission|text|short|long|title|tag)\b.*")
 
 
 def license_of(name: str) -> str:
@@ -137,6 +138,23 @@ def license_of(name: str) -> str:
     return _WORDING.sub("", name)
 
 
+def license_id(name: str) -> str:
+    """The license that a template's wording grants; of the GNU licenses, a
+    notice tells whether later versions may be chosen."""
+    license = license_of(name)
+    if license.split("-")[0] in ("GPL", "LGPL", "AGPL") and "-notice" in name:
+        return f"{license}-only" if "-notice-only" in name or "-notice-version" in name else f"{license}-or-later"
+    return license
+
+
+def _tags() -> Iterator[tuple[str, str]]:
+    """The identifier lines of all licenses."""
+    known = {license_id(name) for name, _ in WORDINGS}
+    gnu = {x.removesuffix("-only").removesuffix("-or-later") for x in known if x.endswith(("-only", "-or-later"))}
+    for license in sorted(known | {f"{x}{end}" for x in gnu for end in ("", "-only", "-or-later", "+")}):
+        yield f"{license.replace('+', '-or-later')}-tag", f"SPDX-License-Identifier: {license.replace('+', ' or later') if license.endswith('+') else license}"
+
+
 def _normal_table() -> bytes:
     """ASCII letters in lower case and digits stay, other ASCII becomes a
     space, bytes of other characters stay."""
@@ -244,6 +262,33 @@ class Scanner:
         template that a text holds: its best window, the first of equals.
         Words of a better match of another license do not count; of equal
         matches the longer template is better, then the earlier one."""
+        all_words, hits = self._hits(texts)
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        for d, some in hits.items():
+            owner = np.full(len(all_words[d]), -1)
+            for _, t, _, places, parts in sorted(some, key=lambda h: (-h[0], -len(self.exact[h[1]]), h[1], h[2])):
+                # Shingles without a word of another license's match.
+                taken = np.append(0, np.cumsum((owner >= 0) & (owner != self.license[t])))
+                at = np.array(places)
+                free = np.flatnonzero(taken[at + self.words] == taken[at])
+                share = len({parts[i] for i in free}) / len(self.exact[t])
+                if share >= self.containment:
+                    # Of the window, only the passage itself takes its words.
+                    for i in _passage([(int(at[i]), parts[i]) for i in free], self.places[t]):
+                        owner[i : i + self.words] = self.license[t]
+                    if share > best.get((d, t), (0.0, 0, 0))[0]:
+                        best[d, t] = (share, int(at[free[0]]), int(at[free[-1]]) + self.words)
+        # A template shorter than a shingle is found as a whole.
+        for t, w in self.short:
+            for d, words in enumerate(all_words):
+                at = next((i for i in range(len(words) - len(w) + 1) if words[i : i + len(w)] == w), None)
+                if at is not None:
+                    best[d, t] = (1.0, at, at + len(w))
+        return [(d, t, *v) for (d, t), v in sorted(best.items())]
+
+    def _hits(self, texts: list[bytes | None]) -> tuple[list[list[bytes]], dict[int, list[tuple[float, int, int, list[int], list[bytes]]]]]:
+        """The words of each text, and by text the verified windows: share of
+        the passage, template, first word, places and shingles held."""
         all_words = [words_of(t) for t in texts]
         hashes = [shingle_hashes(w, self.words) if len(w) >= self.words else np.zeros(0, np.uint64) for w in all_words]
         # Texts side by side, each filled up to whole units by its last
@@ -289,28 +334,73 @@ class Scanner:
                 at = set(_passage(held, self.places[t]))
                 tight = len({x for i, x in held if i in at}) / len(self.exact[t])
                 hits.setdefault(d, []).append((tight, t, lo, [lo + i for i, _ in held], [x for _, x in held]))
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for d, some in hits.items():
-            owner = np.full(len(all_words[d]), -1)
-            for _, t, _, places, parts in sorted(some, key=lambda h: (-h[0], -len(self.exact[h[1]]), h[1], h[2])):
-                # Shingles without a word of another license's match.
-                taken = np.append(0, np.cumsum((owner >= 0) & (owner != self.license[t])))
-                at = np.array(places)
-                free = np.flatnonzero(taken[at + self.words] == taken[at])
-                share = len({parts[i] for i in free}) / len(self.exact[t])
-                if share >= self.containment:
-                    # Of the window, only the passage itself takes its words.
-                    for i in _passage([(int(at[i]), parts[i]) for i in free], self.places[t]):
-                        owner[i : i + self.words] = self.license[t]
-                    if share > best.get((d, t), (0.0, 0, 0))[0]:
-                        best[d, t] = (share, int(at[free[0]]), int(at[free[-1]]) + self.words)
-        # A template shorter than a shingle is found as a whole.
+        return all_words, hits
+
+    def passages(self, texts: list[bytes | None]) -> list[tuple[int, int, float, int, int]]:
+        """``(text, template, containment, first word, end word)`` of every
+        passage: the matches that explain most shingles come first (of equals
+        the fuller, then the earlier template and place), and a word belongs
+        to one match only; what is left of others has to reach the limit
+        without it."""
+        all_words, hits = self._hits(texts)
         for t, w in self.short:
             for d, words in enumerate(all_words):
-                at = next((i for i in range(len(words) - len(w) + 1) if words[i : i + len(w)] == w), None)
-                if at is not None:
-                    best[d, t] = (1.0, at, at + len(w))
-        return [(d, t, *v) for (d, t), v in sorted(best.items())]
+                for at in range(len(words) - len(w) + 1):
+                    if words[at : at + len(w)] == w:
+                        hits.setdefault(d, []).append((1.0, t, at, [at], [b" ".join(w)]))
+        out = []
+        for d, some in sorted(hits.items()):
+            owned = np.zeros(len(all_words[d]) + 1, np.int64)
+
+            def left(t: int, places: list[int], parts: list[bytes]) -> tuple[float, list[tuple[int, bytes]], float]:
+                """Share of the template that is left, where, and how much it explains."""
+                width = min(self.words, len(parts[0].split(b" ")))
+                taken = np.append(0, np.cumsum(owned[:-1]))
+                held = [(i, x) for i, x in zip(places, parts) if taken[i + width] == taken[i]]
+                n = len({x for _, x in held})
+                return n / len(self.exact[t]), held, n * width / self.words
+
+            # Lazily greedy: what a match explains only shrinks as others take
+            # their words, so one that still explains the most is chosen.
+            heap = []
+            for _, t, lo, places, parts in some:
+                share, _, explained = left(t, places, parts)
+                heap.append((-explained, -share, t, lo, places, parts))
+            heapq.heapify(heap)
+            while heap:
+                key, full, t, lo, places, parts = heapq.heappop(heap)
+                share, held, explained = left(t, places, parts)
+                if share < self.containment:
+                    continue
+                if -explained > key:
+                    heapq.heappush(heap, (-explained, -share, t, lo, places, parts))
+                    continue
+                at = _passage(held, self.places[t])
+                width = min(self.words, len(parts[0].split(b" ")))
+                for i in at:
+                    owned[i : i + width] = 1
+                out.append((d, t, share, at[0], at[-1] + width))
+                # The window may hold the wording once more.
+                heapq.heappush(heap, (key, full, t, lo, places, parts))
+        return out
+
+
+#: The wordings and identifier lines that `notices` looks for.
+NOTICES = (*WORDINGS, *dict(_tags()).items())
+
+
+def notices(
+    docs: DataFrame, templates: Sequence[tuple[str, str]] = NOTICES, words: int = WORDS, containment: float = CONTAINMENT, miss: float = MISS
+) -> DataFrame:
+    """``documents`` → ``(doc_id, license, wording, containment, first_word,
+    end_word)``: one row per notice in a text, with its license (see
+    `license_id`) and the best wording; a text that repeats a notice has a row
+    for each.  Nulls, empty texts, repeated rows and empty tables are as in
+    `scan_licenses`."""
+    found = _scanned(docs, Scanner(templates, words, containment, miss), Scanner.passages)
+    names = {name: license_id(name) for name, _ in templates}
+    lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return found.select("doc_id", lookup[F.col("license")].alias("license"), F.col("license").alias("wording"), "containment", "first_word", "end_word")
 
 
 def scan_licenses(
@@ -326,8 +416,10 @@ def scan_licenses(
     equal rows; templates without a word are left out, no templates or an
     empty table give no rows; other columns are ignored.
     """
-    scanner = Scanner(templates, words, containment, miss)
+    return _scanned(docs, Scanner(templates, words, containment, miss), Scanner.scan)
+
 
+def _scanned(docs: DataFrame, scanner: Scanner, method) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()
@@ -337,7 +429,7 @@ def scan_licenses(
                 while end < len(ids) and size < BLOCK:
                     size += len(texts[end] or b"")
                     end += 1
-                hits = scanner.scan(texts[at:end])
+                hits = method(scanner, texts[at:end])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([ids[at + h[0]] for h in hits], pa.int64()), pa.array([scanner.names[h[1]] for h in hits], pa.string()),

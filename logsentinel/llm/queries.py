@@ -34,7 +34,7 @@ def op2_html_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    return license_scan.notices(_table(spark, sf_dir, "documents"))
 
 
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

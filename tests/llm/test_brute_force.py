@@ -413,7 +413,7 @@ def test_top_k_against_all_products(spark):  # noqa: F811
 
 
 def test_licenses_against_plain_windows(spark, texts):  # noqa: F811
-    got = {(r.doc_id, r.license) for r in QUERIES["op3_license_scan"](spark, SF_SMALL).collect()}
+    got = {(r.doc_id, r.license) for r in license_scan.scan_licenses(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()}
     scanner = license_scan.Scanner(license_scan.TEMPLATES)
     for i, text in texts.items():
         words = license_scan.words_of(text.encode())
@@ -607,3 +607,77 @@ def test_a_hot_id_is_cut_into_cells(spark):  # noqa: F811
         want.append((i, words))
         words += int(got["size"][i])
     assert [int(got.offered[i]) for i, _ in want] == [w for _, w in want]
+
+
+def _plain_hits(words, exact, n):
+    """Windows of a template's length that hold at least 0.8 of its shingles."""
+    out = []
+    for a in range(max(1, len(words) - n - 3)):
+        part = {b" ".join(words[j : j + 5]) for j in range(a, min(a + n, len(words) - 4))}
+        if len(part & exact) >= 0.8 * len(exact):
+            out.append((a, a + n + 4))
+    return out
+
+
+def test_notices_query_both_ways(spark, texts):  # noqa: F811
+    """Over all wordings: each plain hit meets a reported notice, each notice
+    is a plain hit, and no word belongs to two."""
+    names = {n: i for i, (n, _) in enumerate(license_scan.NOTICES)}
+    scanner = license_scan.Scanner(license_scan.NOTICES)
+    found = {}
+    for r in QUERIES["op3_license_scan"](spark, SF_SMALL).collect():
+        assert r.license == license_scan.license_id(r.wording)
+        found.setdefault(r.doc_id, []).append((r.first_word, r.end_word, r.wording, r.containment))
+    assert found
+    for i, text in texts.items():
+        words = license_scan.words_of(text.encode())
+        mine = sorted(found.get(i, []))
+        assert all(a[1] <= b[0] for a, b in zip(mine, mine[1:]))
+        grams = {b" ".join(words[j : j + 5]) for j in range(len(words) - 4)}
+        for first, end, wording, share in mine:
+            exact = scanner.exact[names[wording]]
+            part = {b" ".join(words[j : j + 5]) for j in range(first, max(end - 4, first + 1))}
+            assert share >= 0.8 and len(part & exact) > 0
+        for exact, n in zip(scanner.exact, scanner.places):
+            if len(exact & grams) >= 0.8 * len(exact):
+                for a, b in _plain_hits(words, exact, n):
+                    assert any(a < end and first < b for first, end, *_ in mine), (i, exact)
+
+
+def test_one_row_per_notice():
+    scanner = license_scan.Scanner(license_scan.NOTICES)
+    known = {license_scan.license_id(n) for n, _ in license_scan.NOTICES}
+    assert {"GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0", "MIT", "Apache-2.0"} <= known
+    for name, text in license_scan.NOTICES:
+        (row,) = scanner.passages([f"a b c {text} d e f".encode()])
+        assert license_scan.license_id(scanner.names[row[1]]) == license_scan.license_id(name), name
+        assert row[2] == 1.0 and (row[3], row[4]) == (3, 3 + len(license_scan.words_of(text.encode()))), name
+    by = dict(license_scan.NOTICES)
+    twice = f"{by['GPL-2.0-notice-program']} zz yy {by['GPL-2.0-notice-program']} x\n# SPDX-License-Identifier: MIT\n{by['Apache-2.0-notice']}"
+    got = [license_scan.license_id(scanner.names[t]) for _, t, *_ in sorted(scanner.passages([twice.encode()]), key=lambda r: r[3])]
+    assert got == ["GPL-2.0-or-later", "GPL-2.0-or-later", "MIT", "Apache-2.0"]
+    assert scanner.passages([None, b"", b"a b", b"no license at all in these words"]) == []
+
+
+def test_edited_notices_near_the_limit_are_found():
+    """Recall where only 0.8 to 0.9 of the shingles are left."""
+    rng = np.random.default_rng(6)
+    scanner = license_scan.Scanner(license_scan.NOTICES)
+    texts_, wanted = [], []
+    long = [(n, license_scan.words_of(t.encode())) for n, t in license_scan.NOTICES]
+    long = [(n, w) for n, w in long if len(w) >= 30]
+    while len(texts_) < 300:
+        name, words = long[int(rng.integers(len(long)))]
+        edited = list(words)
+        for _ in range(int(rng.integers(1, 4))):
+            edited[int(rng.integers(len(edited)))] = b"changed%d" % rng.integers(10**6)
+        exact = scanner.exact[scanner.names.index(name)]
+        share = len({b" ".join(edited[i : i + 5]) for i in range(len(edited) - 4)} & exact) / len(exact)
+        if 0.8 <= share < 0.9:
+            noise = [b"w%d" % x for x in rng.integers(0, 10**9, int(rng.integers(0, 200)))]
+            texts_.append(b" ".join([*noise, *edited, *noise]))
+            wanted.append((len(noise), len(noise) + len(edited)))
+    found = {}
+    for d, _, share, a, b in scanner.passages(texts_):
+        found.setdefault(d, []).append((a, b))
+    assert sum(any(a < e and f < b for a, b in found.get(d, [])) for d, (f, e) in enumerate(wanted)) >= 0.99 * len(wanted)

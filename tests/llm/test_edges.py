@@ -14,6 +14,7 @@ VECTORS = "vec_id long, embedding array<float>, label int"
 
 ON_DOCS = {
     "license": license_scan.scan_licenses,
+    "notices": license_scan.notices,
     "simhash": simhash.near_duplicates,
     "keep_one": simhash.keep_one,
     "bpe": lambda d: bpe.encode(d, tokenizer_path(), 50),
