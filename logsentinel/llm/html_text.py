@@ -3,7 +3,8 @@
 A page is read once into blocks of text, each under its root-to-leaf path of
 tags (with classes and ids).  Text length and punctuation are added up per
 path and divided by the path's blocks; the two ratios of each block are
-smoothed along the page with a Gaussian window and multiplied; a path whose
+smoothed with a Gaussian window along the page, not across the bounds of an
+article element, and multiplied; a path whose
 mean fused ratio reaches a threshold (a share of the page's standard
 deviation) holds content, and so does what one element holds between two such
 blocks.  The fused ratio of a block inside an article or
@@ -341,16 +342,24 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     length = np.bincount(at, own) / count
     marks = np.bincount(at, [len(_PUNCTUATION.findall(b[1])) for b in found]) / count
 
+    main = np.array([b[3] for b in found])
+
     def smooth(x: np.ndarray) -> np.ndarray:
-        weight = np.convolve(np.ones(len(x)), _WINDOW, "full")[2:-2]
-        return np.convolve(x, _WINDOW, "full")[2:-2] / weight
+        """Over neighbours inside the same article element, or outside all."""
+        value, weight = _WINDOW[2] * x, np.full(len(x), _WINDOW[2])
+        for k in (1, 2):
+            near = (main[k:] == main[:-k]) * _WINDOW[2 + k]
+            value[k:] += near * x[:-k]
+            value[:-k] += near * x[k:]
+            weight[k:] += near
+            weight[:-k] += near
+        return value / weight
 
     fused = smooth(length[at]) * (1 + smooth(marks[at]))
     # A path of links only stays at its own ratio, whatever its neighbours.
     fused = np.where(length[at] > 0, fused, 0.0)
     # Text inside each article element, nested ones included; the last place
     # is that of blocks outside all of them.
-    main = np.array([b[3] for b in found])
     inside = np.bincount(np.where(main < 0, len(around), main), own, len(around) + 1)
     for i in range(len(around) - 1, -1, -1):
         if around[i] >= 0:
