@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logsentinel.llm import bpe, mixing, pii, quality, simhash
-from logsentinel.llm.common import remove
+from logsentinel.llm.common import remove, scratch
 from logsentinel.llm.queries import tokenizer_path
 from logsentinel.session import shared_path
 
@@ -59,11 +59,13 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each written to the shared folder and
     read again by the next.  A stage's table goes as soon as the next one's
-    is whole; the last stage's input stays, as its result reads it."""
+    is whole, and with a stage the tables that its operator stored; the last
+    stage's stay, as its result reads them."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, "llm", f"stage_{name}", unique=True)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         if before:
             remove(spark, before)
         docs, before = spark.read.parquet(path), path

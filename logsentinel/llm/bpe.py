@@ -12,11 +12,13 @@ lexicon are merged exactly.
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import heapq
 import json
 import os
 import re
+import shutil
 import tempfile
 import unicodedata
 import uuid
@@ -394,7 +396,8 @@ def build_lexicon(docs: DataFrame, vocabulary: str, words: int = WORDS) -> str:
     vocab = _vocabulary(vocabulary)
     pieces = {p for w in frequent_words(docs, words) for p in vocab.split(w)}
     arrays = compile_lexicon(pieces, vocab)
-    folder = tempfile.mkdtemp(prefix="lexicon-")  # Spark copies the file to every executor
+    folder = tempfile.mkdtemp(prefix="lexicon-")  # the driver serves it to every executor
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     path = os.path.join(folder, f"lexicon-{uuid.uuid4().hex}.bin")
     save_lexicon(arrays, path)
     docs.sparkSession.sparkContext.addFile(path)
@@ -406,8 +409,10 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        #: Ids of parts that follow a space, the space included.
+        #: Ids of parts that follow a space, the space included: those of late
+        #: and, with half the room each, those of before.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _pieces(self, part: str) -> list[str]:
         """Pieces of a part after a space.  A word of letters and the marks
@@ -451,9 +456,11 @@ class Encoder:
                     own.append(self.vocabulary.special[token].to_bytes(4, "little"))
                 at = end
             runs.append(own)
-        if len(self.known) + len(parts) > KEEP:
-            self.known.clear()
-        new = list(parts.difference(self.known))
+        if len(self.known) + len(parts) > KEEP // 2:
+            self.older, self.known = self.known, {}
+        fresh = parts.difference(self.known)
+        self.known.update({p: self.older[p] for p in fresh if p in self.older})
+        new = list(fresh.difference(self.known))
         split = [self._pieces(p) for p in new]
         ids = self._ids(split + [self.vocabulary.split(h) for h in heads])
         self.known.update(zip(new, ids))

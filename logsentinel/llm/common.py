@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,9 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
         package = os.path.dirname(logsentinel.__file__)
-        archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "logsentinel")
+        folder = tempfile.mkdtemp(prefix="package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = os.path.join(folder, "logsentinel")
         context.addPyFile(
             shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package))
         )
@@ -58,12 +63,29 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return moved.select(*[F.col(f"_c{find(cols, n)}").alias(n) for n in names])
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving, the tables that operators have stored inside: for
+    callers whose own result has been written by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write the frame once to the shared folder and read it back: cuts the
     lineage, survives lost executors, and is computed once however often it
     is read.  The path is for `remove`, once nothing reads the table."""
     path = shared_path(df.sparkSession, "llm", name, unique=True)
     df.write.parquet(path)
+    if _scratch:
+        _scratch[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsentinel.llm.common import stored
+from logsentinel.llm.common import remove, stored_at
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -45,10 +45,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     is logarithmic in the size of the largest component.
     """
     down = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = stored(down, "edges")
+    now, path = stored_at(down, "edges")
     before, sign = None, _sign(now)
     while sign != before and sign[0]:
-        now = stored(_small_star(_large_star(now)), "edges")
+        now, new_path = stored_at(_small_star(_large_star(now)), "edges")
+        remove(edges.sparkSession, path)
+        path = new_path
         before, sign = sign, _sign(now)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

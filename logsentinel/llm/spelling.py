@@ -160,9 +160,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, ["a", "na", "b", "nb"])
 
 
-def near_words(words: DataFrame, rows: int = ROWS) -> DataFrame:
+def near_words(words: DataFrame, rows: int = ROWS) -> tuple[DataFrame, str]:
     """``(word, n)``, words distinct, of letters a-z and U+00C0-U+00FF →
-    ``(a, na, b, nb)``: the pairs exactly one edit apart, each once."""
+    ``(a, na, b, nb)``: the pairs exactly one edit apart, each once; and where
+    they are stored."""
     key = ["l", "c0", "c1", "c2"]
     keyed = words.select(F.char_length("word").alias("l"), *[_class_count(c).alias(f"c{i}") for i, c in enumerate(CLASSES)], "word", "n")
     # Ranges reach into a key, so a key that holds many words is dealt over tasks.
@@ -186,7 +187,7 @@ def near_words(words: DataFrame, rows: int = ROWS) -> DataFrame:
         met.select("block", "words", "counts", "other_block", "others", "other_counts").mapInArrow(_meet, _LINKS), "word_links"
     )
     remove(words.sparkSession, path)
-    return links
+    return links, links_path
 
 
 def variants(docs: DataFrame, times: int = TIMES, **limits: int) -> DataFrame:
@@ -200,14 +201,14 @@ def variants(docs: DataFrame, times: int = TIMES, **limits: int) -> DataFrame:
     no words.  The number of rounds that follow the chains is logarithmic in
     their length, which is at most log_times of the largest count.
     """
-    words, _ = stored_at(word_counts(docs, **limits), "words")
-    links = near_words(words)
+    words, words_path = stored_at(word_counts(docs, **limits), "words")
+    links, links_path = near_words(words)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb")))
     near = both.groupBy(F.col("a").alias("word")).agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("nb")).alias("order"), F.col("b").alias("form"))).alias("best")
     ).select("word", "n_near", "best.form", (-F.col("best.order")).alias("form_n"))
     frequent = F.col("form_n") >= F.col("n") * times
-    formed, _ = stored_at(words.join(near, "word", "left").select(
+    formed, formed_path = stored_at(words.join(near, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(frequent, F.col("form")).alias("form"), F.when(frequent, F.col("form_n")).alias("form_n"),
     ), "word_forms")
@@ -223,4 +224,9 @@ def variants(docs: DataFrame, times: int = TIMES, **limits: int) -> DataFrame:
         chain, path = moved.select("word", "root"), new_path
         if not going:
             break
-    return formed.join(chain, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    result, _ = stored_at(
+        formed.join(chain, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"), "variants"
+    )
+    for old in (words_path, links_path, formed_path, path):
+        remove(spark, old)
+    return result

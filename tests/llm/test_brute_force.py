@@ -681,3 +681,30 @@ def test_edited_notices_near_the_limit_are_found():
     for d, _, share, a, b in scanner.passages(texts_):
         found.setdefault(d, []).append((a, b))
     assert sum(any(a < e and f < b for a, b in found.get(d, [])) for d, (f, e) in enumerate(wanted)) >= 0.99 * len(wanted)
+
+
+_LONG = "The quick brown fox, as we know, jumps over the lazy dog; it does so again. " * 4
+
+
+def test_html_names_of_the_article_stay():
+    """Tokens that hold a telling word beside words of the article's own."""
+    page = f"""<body><nav class=main-nav><a href=x>Home</a></nav><article><h1>Title of it</h1><p>{_LONG}</p>
+    <section id='side-effects'><h2>Side effects</h2><p>{_LONG}B</p></section><section id='related-work'><p>{_LONG}C</p></section>
+    <p class='notice-period'>{_LONG}D</p><div class='related-posts'><p>{_LONG}E</p></div><div class=sidebarLeft><p>{_LONG}F</p></div></article></body>"""
+    got = html_text.main_text(page).split("\n\n")
+    assert got == ["Title of it", _LONG.strip(), "Side effects", f"{_LONG}B", f"{_LONG}C", f"{_LONG}D"]
+
+
+def test_html_short_blocks_between_paragraphs_stay():
+    page = f"""<body><ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul><article><p>{_LONG}</p><ul><li>flour</li><li>two eggs</li></ul>
+    <p>{_LONG}</p><div><a href=x>A linked paragraph inside</a></div><div>Subscribe to our letter</div><p>{_LONG}</p></article><div>end</div></body>"""
+    assert html_text.main_text(page).split("\n\n") == [_LONG.strip(), "flour", "two eggs", _LONG.strip(), "A linked paragraph inside", _LONG.strip()]
+
+
+def test_html_deep_pages_take_linear_time():
+    import time
+
+    for piece in ("<div>x<p>", "<div class=nav>text ", "<div>x</span>", "<div><article>y "):
+        start = time.process_time()
+        assert html_text.main_text(piece * 20_000)
+        assert time.process_time() - start < 15, piece

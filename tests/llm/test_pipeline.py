@@ -77,3 +77,19 @@ def test_only_the_last_stage_table_stays(spark):  # noqa: F811
     assert QUERIES["pipeline"](spark, SF_SMALL).count() > 0
     new = {n: len(kept - before.get(n, set())) for n, kept in stages().items()}
     assert new == {"stage_quality": 0, "stage_near_duplicates": 0, "stage_personal_data": 0, "stage_mixing": 1}
+
+
+def test_stages_leave_no_tables_of_their_operators(spark):  # noqa: F811
+    import os
+
+    from logsentinel.llm.common import scratch
+    from logsentinel.session import shared_path
+
+    folder = shared_path(spark, "llm").removeprefix("file:")
+    tables = lambda: {f"{n}/{t}" for n in os.listdir(folder) for t in os.listdir(f"{folder}/{n}")} if os.path.isdir(folder) else set()
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    before = tables()
+    with scratch(spark):
+        assert simhash.keep_one(docs).count() and mixing.training_rows(docs).count()
+        assert len(tables() - before) > 3
+    assert tables() == before
