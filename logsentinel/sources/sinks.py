@@ -136,7 +136,9 @@ def write_labelled_alerts(
         (
             sized.withColumn("run", F.lit(run))
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("append")
+            # Dynamic overwrite stages every job in a folder of its own, so
+            # queries can write side by side; appending jobs share one.
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("label", "run", "batch_id")
             .json(out_dir)
         )

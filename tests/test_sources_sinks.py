@@ -157,6 +157,21 @@ def test_a_batch_is_read_whole_or_not_at_all(spark, tmp_path, monkeypatch):
     assert {r.batch_id for r in readers.read_alerts(spark, out).collect()} == {0}
 
 
+def test_queries_write_side_by_side(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    out = str(tmp_path / "sink")
+    df = spark.range(0, 300, numPartitions=6).selectExpr("cast(id as string) as source_ip", "id as count")
+
+    def write(label):
+        for b in range(4):
+            sinks.alert_batch_writer(out, label)(df, b)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, ("brute_force", "sqli_xss", "volume")))
+    assert readers.read_alerts(spark, out).count() == 3 * 4 * 300
+
+
 def test_batches_of_older_versions_count(spark, tmp_path):
     out = str(tmp_path / "sink")
     old = os.path.join(out, "label=volume", "run=0000000000001-old", "batch_id=3")
