@@ -138,6 +138,8 @@ _OF_WORDS = np.arange(BINS) >= _WORDS_AT
 def _svm(rows: list[np.ndarray], y: np.ndarray, cost: float, epochs: int, word_weight: float) -> tuple[np.ndarray, float]:
     """Weights by bin and bias: log-count ratios, then dual coordinate
     descent on the hinge loss."""
+    if not word_weight:
+        rows = [bins[: np.searchsorted(bins, _WORDS_AT)] for bins in rows]
     count = {c: np.ones(BINS) for c in (1, -1)}
     for bins, c in zip(rows, y):
         count[c][bins] += 1
@@ -237,7 +239,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, label: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            # As bits: a row is BINS / 8 bytes, whatever the length of its text.
             bins = [_packed(features(t)) for t in b.column(2).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bins, pa.binary())], ["doc_id", "y", "bins"])
 
@@ -252,13 +253,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, label: str
 
 
 def _packed(bins: np.ndarray) -> bytes:
+    """The bins as numbers, or as bits where these are shorter: BINS / 8
+    bytes at most, whatever the length of the text."""
+    if bins.nbytes < BINS // 8:
+        return b"n" + bins.tobytes()
     flags = np.zeros(BINS, bool)
     flags[bins] = True
-    return np.packbits(flags).tobytes()
+    return b"b" + np.packbits(flags).tobytes()
 
 
-def _unpacked(bits: bytes) -> np.ndarray:
-    return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))[:BINS]).astype(np.int32)
+def _unpacked(data: bytes) -> np.ndarray:
+    if data[:1] == b"n":
+        return np.frombuffer(data, np.int32, offset=1)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=1))[:BINS]).astype(np.int32)
 
 
 def scorer(model: Model):

@@ -582,7 +582,9 @@ def test_quality_features_of_pieces():
     finally:
         quality.BLOCK = before
     assert len(quality.features(None)) == len(quality.features(b"")) == 0
-    assert (quality._unpacked(quality._packed(whole)) == whole).all()
+    many = np.arange(0, quality.BINS, 3, dtype=np.int32)
+    for bins in (whole, many, quality.features(None)):
+        assert (quality._unpacked(quality._packed(bins)) == bins).all() and len(quality._packed(bins)) <= quality.BINS // 8 + 1
 
 
 def test_a_hot_id_is_cut_into_ranges(spark):  # noqa: F811
