@@ -166,7 +166,7 @@ def uncompacted(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFra
     if not manifest.exists(spark, f"{directory}/_commits"):
         return raw, raw.select(*_BATCH).distinct()
     commits = spark.read.schema("run string, batch_id bigint, labels array<string>").json(f"{directory}/_commits")
-    live = commits.select(F.explode("labels").alias("label"), "run", "batch_id").distinct()
+    live = commits.select(F.explode("labels").alias("label"), "run", "batch_id")
     taken = _taken(spark, directory)
     if taken is not None:
         live = live.join(taken, _BATCH, "left_anti")

@@ -190,7 +190,8 @@ def compact_alerts(spark: SparkSession, out_dir: str) -> int:
     if not manifest.matching(spark, f"{out_dir}/label=*/run=*/batch_id=*"):
         return 0
     alerts, batches = readers.uncompacted(spark, out_dir)
-    taken = [r.asDict() for r in batches.collect()]  # one small row per batch, as many as there are commit files
+    # One small row per batch, as many as there are commit files.
+    taken = [dict(zip(("label", "run", "batch_id"), r)) for r in sorted({tuple(r.asDict()[c] for c in ("label", "run", "batch_id")) for r in batches.collect()})]
     if not taken:
         return 0
     # What is committed meanwhile is not in this list and stays for the next.
