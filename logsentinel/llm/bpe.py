@@ -44,6 +44,8 @@ LONG = 64
 #: Different chunks whose ids a task keeps at hand, different words it counts
 #: before it hands them on.
 KEEP = 600_000
+#: Parts in each of the two generations of an encoder's cache.
+GENERATION = 100_000
 
 #: Fixed value: the splitting pattern of the byte-level tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -456,7 +458,7 @@ class Encoder:
                     own.append(self.vocabulary.special[token].to_bytes(4, "little"))
                 at = end
             runs.append(own)
-        if len(self.known) + len(parts) > KEEP // 2:
+        if len(self.known) + len(parts) > GENERATION:
             self.older, self.known = self.known, {}
         fresh = parts.difference(self.known)
         self.known.update({p: self.older[p] for p in fresh if p in self.older})
