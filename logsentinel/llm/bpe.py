@@ -41,8 +41,7 @@ WORDS = 1 << 17
 WORD_BYTES = 48
 #: Bytes of a word above which its merges are kept in a heap.
 LONG = 64
-#: Different chunks whose ids a task keeps at hand, different words it counts
-#: before it hands them on.
+#: Different words that a task counts before it hands them on.
 KEEP = 600_000
 #: Parts in each of the two generations of an encoder's cache.
 GENERATION = 100_000

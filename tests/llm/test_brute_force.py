@@ -112,9 +112,12 @@ def test_bpe_query(spark, texts):  # noqa: F811
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
-def test_bpe_on_odd_texts(tmp_path):
+@pytest.mark.parametrize("generation", (bpe.GENERATION, 12))
+def test_bpe_on_odd_texts(tmp_path, monkeypatch, generation):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(bpe, "GENERATION", generation)  # a small one turns over within a batch or two
+
     library = Tokenizer.from_file(tokenizer_path())
     vocabulary = bpe.Vocabulary(open(tokenizer_path()).read())
     odd = [
@@ -126,7 +129,7 @@ def test_bpe_on_odd_texts(tmp_path):
     path = str(tmp_path / "lexicon")
     bpe.save_lexicon(bpe.compile_lexicon(words, vocabulary), path)
     coder = bpe.Encoder(vocabulary, bpe.Lexicon(path))
-    for batch in (odd, odd, [t + " the end" for t in odd]):
+    for batch in (odd, odd[:7], odd[5:9], odd, [t + " the end" for t in odd]):
         for text, ids in zip(batch, coder.encode(batch)):
             want = library.encode(text, add_special_tokens=False).ids
             assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
