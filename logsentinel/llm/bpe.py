@@ -42,7 +42,7 @@ WORD_BYTES = 48
 #: Bytes of a word above which its merges are kept in a heap.
 LONG = 64
 #: Different words that a task counts before it hands them on.
-KEEP = 600_000
+KEEP = 200_000
 #: Parts in each of the two generations of an encoder's cache.
 GENERATION = 100_000
 
