@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logsentinel.operators import batch, serve
+from logsentinel.plans import catalog
 from logsentinel.sources import adapters, manifest, readers
 from logsentinel.streaming import current, runner
 from tests.conftest import SF_MID, SF_SMALL, log_rows
@@ -173,3 +174,49 @@ def test_manifests_are_written_whole(spark, tmp_path):
     manifest.put(spark, path, json.dumps({"é": 2}))
     assert json.loads(manifest.get(spark, path)) == {"é": 2}
     assert [n for n in os.listdir(tmp_path / "m") if not n.startswith(".")] == ["1.json"]
+
+
+# ---- the stream's files ----------------------------------------------------
+
+
+def _events(spark, ids, path):
+    rows = [(i, 7 * k, "error" if k % 3 else "view", float(k % 200), '{"k": %d}' % (k % 90)) for k, i in enumerate(ids)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double, props string").repartition(3).write.parquet(path)
+
+
+def _lines_by_file(spark, sf_dir):
+    """The times of each file's lines, in the order in which a stream takes the files."""
+    root = catalog.stored_json_stream(spark, sf_dir)
+    files = sorted((p for p in os.scandir(f"{root}/data") if p.name.endswith(".txt")), key=lambda p: p.stat().st_mtime_ns)
+    return [[json.loads(line).get("timestamp") for line in open(p.path)] for p in files]
+
+
+def test_files_of_a_period_hold_ranges_of_it(spark, tmp_path, monkeypatch):
+    """Events of a window lie together, so partial sums shrink them before the
+    shuffle; files and state partitions grow with the table."""
+    _events(spark, [*range(3000), None, None], f"{tmp_path}/events.parquet")
+    one = manifest.size(spark, f"{tmp_path}/events.parquet") // catalog.STREAM_PERIODS // 4
+    assert catalog.state_partitions(spark, str(tmp_path)) == catalog.STATE_PARTITIONS
+    monkeypatch.setattr(catalog, "STREAM_FILE_BYTES", one)
+    files = _lines_by_file(spark, str(tmp_path))
+    assert len(files) == 4 * catalog.STREAM_PERIODS and all(files)
+    want = [r.timestamp for r in adapters.load_log_view(spark, str(tmp_path)).select("timestamp").collect()]
+    assert sorted(map(str, want)) == sorted(str(t) for f in files for t in f)
+    ranges = [(min(t), max(t)) for t in ([t for t in f if t] for f in files) if t]
+    for k in range(0, len(files), 4):
+        period = sorted(ranges[k : k + 4])
+        assert all(a[1] <= b[0] for a, b in zip(period, period[1:]))
+    assert max(r[1] for r in ranges[:4]) < min(r[0] for r in ranges[4:8]) and max(r[1] for r in ranges[4:8]) < min(r[0] for r in ranges[8:])
+    monkeypatch.setattr(catalog, "STREAM_FILE_BYTES", one // 16)
+    assert catalog.state_partitions(spark, str(tmp_path)) > catalog.STATE_PARTITIONS
+
+
+def test_an_id_of_many_rows_is_spread_and_small_periods_keep_the_count(spark, tmp_path, monkeypatch):
+    """A stream that takes a period's number of files at a time stays in step
+    though a period has fewer events than files; no file holds all repeats."""
+    _events(spark, [5] * 2000 + [None] * 1000 + [10**9], f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog, "STREAM_FILE_BYTES", manifest.size(spark, f"{tmp_path}/events.parquet") // catalog.STREAM_PERIODS // 3)
+    files = _lines_by_file(spark, str(tmp_path))
+    assert len(files) == 3 * catalog.STREAM_PERIODS
+    sizes = [len(f) for f in files]
+    assert sum(sizes[:3]) == 3000 and max(sizes) < 2000 and sum(sizes[3:6]) == 0 and sum(sizes[6:]) == 1
