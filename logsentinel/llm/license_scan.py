@@ -40,6 +40,10 @@ UNIT = 4
 #: Bytes of text, and templates, at most at once.
 BLOCK = 1 << 21
 MOST_TEMPLATES = 10_000
+#: Values of the low bits by which most windows' values are told from all
+#: templates', and places of a block that the permutations take at once.
+LOW = 1 << 12
+PLACES = 1 << 13
 
 # Wordings of public license notices.
 TEMPLATES = (
@@ -190,12 +194,25 @@ def bands_for(jaccard: float, miss: float = MISS) -> int:
 @dataclass
 class _Class:
     """Templates of one size class: window length and step in units, bands,
-    and by band the templates' values."""
+    and by band the templates' values in order, whose they are, and which low
+    bits a value has."""
 
     units: int
     bands: int
     members: list[int]
     values: np.ndarray
+    owners: np.ndarray
+    low: np.ndarray
+
+    def retrieve(self, k: int, value: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Windows that share band k with a template, and the template."""
+        some = np.flatnonzero(self.low[k][value & np.uint32(LOW - 1)])
+        if not len(some):
+            return
+        first, end = (np.searchsorted(self.values[k], value[some], side) for side in ("left", "right"))
+        for w in np.flatnonzero(first < end).tolist():
+            for j in range(first[w], end[w]):
+                yield int(some[w]), self.members[self.owners[k, j]]
 
 
 def _passage(held: list[tuple[int, bytes]], n: int) -> list[int]:
@@ -230,7 +247,10 @@ class Scanner:
         self.shingles = [np.unique(shingle_hashes(w, words)) for _, w in known]
         self.exact = [self._exact(w) for _, w in known]
         self.places = [max(len(w) - words + 1, 1) for _, w in known]
-        self.short = [(i, w) for i, (_, w) in enumerate(known) if len(w) < words]
+        self.short = {i: w for i, (_, w) in enumerate(known) if len(w) < words}
+        self.starts: dict[bytes, list[int]] = {}
+        for t, w in self.short.items():
+            self.starts.setdefault(w[0], []).append(t)
         sized: dict[int, list[int]] = {}
         for i, (s, (_, w)) in enumerate(zip(self.shingles, known)):
             if len(w) >= words:
@@ -242,12 +262,16 @@ class Scanner:
             # window that is otherwise foreign.
             window = 2 * units * UNIT
             least = min(len(self.shingles[i]) * containment / (window + len(self.shingles[i]) * (1 - containment)) for i in members)
-            self.classes.append(_Class(units, bands_for(least, miss), members, np.zeros(0)))
+            self.classes.append(_Class(units, bands_for(least, miss), members, np.zeros(0), np.zeros(0), np.zeros(0)))
             most = max(most, self.classes[-1].bands)
         rng = np.random.default_rng(1)
         self.multiply = rng.integers(0, 1 << 63, most, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
         for c in self.classes:
-            c.values = np.array([[self._permuted(self.shingles[i], k).min() for i in c.members] for k in range(c.bands)])
+            values = np.array([[self._permuted(self.shingles[i], k).min() for i in c.members] for k in range(c.bands)], np.uint32)
+            c.owners = np.argsort(values, axis=1, kind="stable")
+            c.values = np.take_along_axis(values, c.owners, 1)
+            c.low = np.zeros((c.bands, LOW), bool)
+            c.low[np.arange(c.bands)[:, None], values & np.uint32(LOW - 1)] = True
 
     def _exact(self, words: list[bytes]) -> set[bytes]:
         n = min(self.words, len(words))
@@ -257,6 +281,22 @@ class Scanner:
         x = hashes * self.multiply[k]
         return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
 
+    def _minima(self, flat: np.ndarray, k: int) -> np.ndarray:
+        """Least permuted value of each column, as much at once as stays near
+        the processor."""
+        out = np.empty(flat.shape[1], np.uint32)
+        x, y = np.empty((2, len(flat), PLACES), np.uint64)
+        for at in range(0, flat.shape[1], PLACES):
+            n = min(PLACES, flat.shape[1] - at)
+            a, b = x[:, :n], y[:, :n]
+            np.multiply(flat[:, at : at + n], self.multiply[k], out=a)
+            np.right_shift(a, np.uint64(32), out=b)
+            np.bitwise_xor(a, b, out=a)
+            np.multiply(a, np.uint64(0xD6E8FEB86659FD93), out=a)
+            np.minimum.reduce(a, axis=0, out=b[0])
+            np.right_shift(b[0], np.uint64(32), out=out[at : at + n], casting="unsafe")
+        return out
+
     def scan(self, texts: list[bytes | None]) -> list[tuple[int, int, float, int, int]]:
         """``(text, template, containment, first word, end word)`` of each
         template that a text holds: its best window, the first of equals.
@@ -279,13 +319,23 @@ class Scanner:
                     if share > best.get((d, t), (0.0, 0, 0))[0]:
                         best[d, t] = (share, int(at[free[0]]), int(at[free[-1]]) + self.words)
         # A template shorter than a shingle is found as a whole.
-        for t, w in self.short:
-            for d, words in enumerate(all_words):
-                at = next((i for i in range(len(words) - len(w) + 1) if words[i : i + len(w)] == w), None)
-                if at is not None:
-                    best[d, t] = (1.0, at, at + len(w))
+        for d, words in enumerate(all_words):
+            for t, at in self._short_places(words):
+                if best.get((d, t), (0.0, 0, 0))[0] < 1:
+                    best[d, t] = (1.0, at, at + len(self.short[t]))
         return [(d, t, *v) for (d, t), v in sorted(best.items())]
 
+    def _short_places(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """Templates shorter than a shingle that the words hold, and where, in
+        order of both: looked up where a template's first word stands."""
+        held = []
+        for first in self.starts.keys() & set(words):
+            at = -1
+            for _ in range(words.count(first)):
+                at = words.index(first, at + 1)
+                held += [(t, at) for t in self.starts[first] if words[at : at + len(self.short[t])] == self.short[t]]
+        return sorted(held)
+
     def _hits(self, texts: list[bytes | None]) -> tuple[list[list[bytes]], dict[int, list[tuple[float, int, int, list[int], list[bytes]]]]]:
         """The words of each text, and by text the verified windows: share of
         the passage, template, first word, places and shingles held."""
@@ -299,32 +349,29 @@ class Scanner:
         found: set[tuple[int, int, int, int]] = set()
         if total and self.classes:
             flat = np.concatenate([np.concatenate([h, np.full(u * UNIT - len(h), h[-1])]) if len(h) else h for h, u in zip(hashes, units.tolist())])
+            flat = np.ascontiguousarray(flat.reshape(total, UNIT).T)
             doc = np.repeat(np.arange(len(texts)), units)
             place = np.arange(total) - first[doc]
-            spans = []
+            # A window is two blocks of its class, of one text; each block is
+            # some blocks of the class before.
+            spans, before = [], np.arange(total)
             for c in self.classes:
                 start = np.flatnonzero(place % c.units == 0)
                 end = np.minimum(start + 2 * c.units, (first + units)[doc[start]])
-                # A window that only repeats the end of the one before goes.
-                spans.append((start, end, np.stack([start, end], 1).ravel()))
+                spans.append((start, end, np.searchsorted(before, start), np.flatnonzero(doc[start[1:]] == doc[start[:-1]])))
+                before = start
             for k in range(len(self.multiply)):
-                low = self._permuted(flat, k).reshape(total, UNIT).min(1)
-                low = np.append(low, np.iinfo(np.uint64).max)
-                for c, (start, end, edges) in zip(self.classes, spans):
+                block = self._minima(flat, k)
+                used = max(i for i, c in enumerate(self.classes) if k < c.bands) + 1
+                for c, (start, end, joined, pairs) in zip(self.classes[:used], spans):
+                    if len(joined) < len(block):
+                        block = np.minimum.reduceat(block, joined)
                     if k < c.bands:
-                        value = np.minimum.reduceat(low, edges)[::2]
-                        order = np.argsort(c.values[k])
-                        ranked = c.values[k][order]
-                        at = np.searchsorted(ranked, value)
-                        at[at == len(ranked)] = 0
-                        for w in np.flatnonzero(ranked[at] == value):
-                            j = at[w]
-                            while j < len(ranked) and ranked[j] == value[w]:
-                                d = int(doc[start[w]])
-                                lo = int(start[w] - first[d]) * UNIT
-                                hi = int(end[w] - first[d]) * UNIT
-                                found.add((d, c.members[order[j]], lo, hi))
-                                j += 1
+                        value = block.copy()
+                        value[pairs] = np.minimum(block[pairs], block[pairs + 1])
+                        for w, t in c.retrieve(k, value):
+                            d = int(doc[start[w]])
+                            found.add((d, t, int(start[w] - first[d]) * UNIT, int(end[w] - first[d]) * UNIT))
         hits: dict[int, list[tuple[float, int, int, list[int], list[bytes]]]] = {}
         for d, t, lo, hi in sorted(found):
             words = all_words[d][lo : min(hi, len(hashes[d])) + self.words - 1]
@@ -343,11 +390,9 @@ class Scanner:
         to one match only; what is left of others has to reach the limit
         without it."""
         all_words, hits = self._hits(texts)
-        for t, w in self.short:
-            for d, words in enumerate(all_words):
-                for at in range(len(words) - len(w) + 1):
-                    if words[at : at + len(w)] == w:
-                        hits.setdefault(d, []).append((1.0, t, at, [at], [b" ".join(w)]))
+        for d, words in enumerate(all_words):
+            for t, at in self._short_places(words):
+                hits.setdefault(d, []).append((1.0, t, at, [at], [b" ".join(self.short[t])]))
         out = []
         for d, some in sorted(hits.items()):
             owned = np.zeros(len(all_words[d]) + 1, np.int64)

@@ -664,6 +664,43 @@ def test_one_row_per_notice():
     assert scanner.passages([None, b"", b"a b", b"no license at all in these words"]) == []
 
 
+def test_license_short_wordings_are_only_sought_at_their_first_word(monkeypatch):
+    class Words(list):
+        slices = 0
+
+        def __getitem__(self, at):
+            Words.slices += isinstance(at, slice)
+            return super().__getitem__(at)
+
+    split = license_scan.words_of
+    monkeypatch.setattr(license_scan, "words_of", lambda text: Words(split(text)))
+    scanner = license_scan.Scanner(license_scan.NOTICES)
+    assert len(scanner.short) == 5
+    text = b" ".join(b"w%d" % i for i in range(3000))
+    Words.slices = 0
+    assert scanner.passages([text]) == [] and Words.slices < 100  # five for each word before
+    tag = b"SPDX-License-Identifier: MIT"
+    rows = scanner.passages([text + b" " + tag + b" end spdx " + tag, tag])
+    assert [(d, scanner.names[t], *r) for d, t, *r in rows] == [
+        (0, "MIT-tag", 1.0, 3000, 3004), (0, "MIT-tag", 1.0, 3006, 3010), (1, "MIT-tag", 1.0, 0, 4),
+    ]
+
+
+def test_license_windows_have_the_least_value_of_their_shingles(monkeypatch):
+    monkeypatch.setattr(license_scan, "PLACES", 7)
+    scanner = license_scan.Scanner(license_scan.WORDINGS)
+    seen = {}
+    monkeypatch.setattr(license_scan._Class, "retrieve", lambda c, k, value: seen.update({(c.units, k): value.tolist()}) or iter(()))
+    texts_ = [b" ".join(b"w%d" % (i * j) for i in range(n)) for j, n in ((3, 700), (5, 3), (7, 9), (11, 260), (13, 0), (17, 5))]
+    scanner.passages(texts_)
+    hashes = [license_scan.shingle_hashes(w) for w in map(license_scan.words_of, texts_) if len(w) >= scanner.words]
+    for c in scanner.classes:
+        step = c.units * license_scan.UNIT
+        for k in range(0, c.bands, 9):
+            want = [int(scanner._permuted(h[a : a + 2 * step], k).min()) for h in hashes for a in range(0, len(h), step)]
+            assert seen[c.units, k] == want
+
+
 def test_edited_notices_near_the_limit_are_found():
     """Recall where only 0.8 to 0.9 of the shingles are left."""
     rng = np.random.default_rng(6)
