@@ -26,9 +26,11 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -41,8 +43,12 @@ WORDS = 1 << 17
 WORD_BYTES = 48
 #: Bytes of a word above which its merges are kept in a heap.
 LONG = 64
-#: Different words that a task counts before it hands them on.
+#: Different words that a task counts before it hands them on, and characters
+#: that it reads for them at most.
 KEEP = 200_000
+SEEN = 1 << 26
+#: Rows whose texts a task takes out of a batch at once.
+ROWS = 256
 #: Parts in each of the two generations of an encoder's cache.
 GENERATION = 100_000
 
@@ -345,6 +351,12 @@ class Lexicon:
         return [bytes(raw[4 * a : 4 * b]) for a, b in zip(self.start[index].tolist(), self.start[index + 1].tolist())]
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, of which few are Python strings at once."""
+    for at in range(0, len(column), ROWS):
+        yield from column.slice(at, ROWS).to_pylist()
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, n)``: how often each space-separated word, with its space and
     without closing marks, occurs in the whole texts (words of up to
@@ -353,21 +365,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
+        seen = 0
 
         def flush() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for part, n in count.items():
-                words[" " + part.rstrip(_MARKS)] += n
+            words, n = pa.array(list(count), pa.large_string()), pa.array(list(count.values()), pa.int64())
             count.clear()
-            short = [(w, n) for w, n in words.items() if len(w) <= WORD_BYTES and len(w.encode()) <= WORD_BYTES]
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in short], pa.string()), pa.array([n for _, n in short], pa.int64())], ["word", "n"])
+            words = pc.utf8_rtrim(words, characters=_MARKS)
+            short = pc.less(pc.binary_length(words), WORD_BYTES)  # with its space, at most as long
+            words = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words.filter(short), pa.scalar(" ", pa.large_string()))
+            return pa.RecordBatch.from_arrays([words.cast(pa.string()), n.filter(short)], ["word", "n"])
 
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for text in _texts(b.column(0)):
                 if text:
                     count.update(text.split(" "))
-                if len(count) > KEEP:
+                    seen += len(text)
+                if len(count) > KEEP or seen > SEEN:
                     yield flush()
+                    seen = 0
         yield flush()
 
     return pick(docs, "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -410,28 +425,56 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        #: Ids of parts that follow a space, the space included: those of late
-        #: and, with half the room each, those of before.
+        #: Ids of parts that follow a space, the space included, whose pieces
+        #: are in the lexicon: those of late and, with half the room each,
+        #: those of before.  Rare parts are known while their texts are encoded.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _pieces(self, part: str) -> list[str]:
-        """Pieces of a part after a space.  A word of letters and the marks
-        that close it are a piece each."""
-        word = part.rstrip(_MARKS)
-        if word.isalpha() and (word.isascii() or not _unsettled().search(word)):
-            return [" " + word, part[len(word) :]] if len(word) < len(part) else [" " + word]
-        return self.vocabulary.split(" " + part)
-
-    def _ids(self, split: list[list[str]]) -> list[bytes]:
-        """Ids of lists of pieces: from the lexicon, or else merged."""
-        pieces = list({p for s in split for p in s})
+    def _ids(self, pieces: list[str]) -> tuple[dict[str, bytes], set[str]]:
+        """Ids of different pieces, from the lexicon or else merged, and which
+        were merged."""
         raw = [p.encode() for p in pieces]
         index = self.lexicon.find(raw)
         hit, miss = np.flatnonzero(index >= 0), np.flatnonzero(index < 0).tolist()
+        merged = [pieces[i] for i in miss]
         ids = dict(zip([pieces[i] for i in hit.tolist()], self.lexicon.tokens(index[hit])))
-        ids.update(zip([pieces[i] for i in miss], self.vocabulary.merged_many([raw[i] for i in miss])))
-        return [ids[s[0]] if len(s) == 1 else ids[s[0]] + ids[s[1]] if len(s) == 2 else b"".join([ids[p] for p in s]) for s in split]
+        ids.update(zip(merged, self.vocabulary.merged_many([raw[i] for i in miss])))
+        return ids, set(merged)
+
+    def _learn(self, parts: list[str], heads: list[str]) -> tuple[list[bytes], set[str]]:
+        """Make the parts known, and give the ids of the heads and the parts
+        that are not whole in the lexicon, which are rare.  A word of letters
+        and the marks that close it are a piece each; other parts are split,
+        and heads as what no space comes before."""
+        known, split = self.known, self.vocabulary.split
+        odd = "".join([p for p in parts if not p.isascii()])
+        settled = not odd or not _unsettled().search(odd)
+        words: dict[str, None] = {}
+        closed: list[str] = []
+        stems: list[str] = []
+        rest: list[str] = []
+        for part in parts:
+            word = part.rstrip(_MARKS)
+            if word.isalpha() and (settled or word.isascii() or not _unsettled().search(word)):
+                if word != part:
+                    closed.append(part)
+                    stems.append(word)
+                if word not in known:
+                    words[word] = None
+            else:
+                rest.append(part)
+        cut = [split(" " + p) for p in rest] + [split(h) for h in heads]
+        own, marks = [" " + w for w in words], [p[len(w) :] for p, w in zip(closed, stems)]
+        ids, merged = self._ids(list(dict.fromkeys(chain(own, marks, *cut))))
+        known.update(zip(words, map(ids.__getitem__, own)))
+        known.update(zip(closed, [known[w] + ids[m] for w, m in zip(stems, marks)]))
+        joined = [b"".join([ids[p] for p in c]) for c in cut]
+        known.update(zip(rest, joined))
+        rare = {w for w, p in zip(words, own) if p in merged}
+        rare.update([p for p, w, m in zip(closed, stems, marks) if w in rare or m in merged])
+        rare.update([p for p, c in zip(rest, cut) if not merged.isdisjoint(c)])
+        return joined[len(rest) :], rare
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Token ids of each text as little-endian 32-bit numbers.
@@ -457,18 +500,18 @@ class Encoder:
                     own.append(self.vocabulary.special[token].to_bytes(4, "little"))
                 at = end
             runs.append(own)
-        if len(self.known) + len(parts) > GENERATION:
+        if len(self.known) > GENERATION:
             self.older, self.known = self.known, {}
         fresh = parts.difference(self.known)
         self.known.update({p: self.older[p] for p in fresh if p in self.older})
-        new = list(fresh.difference(self.known))
-        split = [self._pieces(p) for p in new]
-        ids = self._ids(split + [self.vocabulary.split(h) for h in heads])
-        self.known.update(zip(new, ids))
-        first, get = ids[len(new) :], self.known.__getitem__
-        return [
+        first, rare = self._learn(list(fresh.difference(self.known)), heads)
+        get = self.known.__getitem__
+        out = [
             b"".join([first[x] if type(x) is int else x if type(x) is bytes else b"".join(map(get, x)) for x in own]) for own in runs
         ]
+        for part in rare:
+            del self.known[part]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text; bytes that are no text are replaced."""
@@ -477,7 +520,7 @@ class Encoder:
 
 
 #: Characters encoded at once.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 
 
 def encoder_udf(vocabulary: str, lexicon: str):
@@ -489,19 +532,22 @@ def encoder_udf(vocabulary: str, lexicon: str):
     @F.arrow_udf(kind)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = Encoder(_vocabulary(vocabulary), Lexicon(SparkFiles.get(lexicon)))
+        names, kinds = ["ids", "n_tokens", "ids_sha256", "decoded_sha256"], [pa.binary(), pa.int64(), pa.string(), pa.string()]
+
+        def coded(texts: list[str | None]) -> pa.Array:
+            out = [(ids, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(coder.decode(ids)).hexdigest()) for ids in coder.encode(texts)]
+            cols = list(zip(*out)) or [()] * 4
+            return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
         for batch in batches:
-            out, some, size = [], [], 0
-            for text in [*batch.to_pylist(), False]:
-                if text is False or size > BLOCK:
-                    for ids in coder.encode(some):
-                        out.append((ids, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(coder.decode(ids)).hexdigest()))
+            some, size = [], 0
+            for text in _texts(batch):
+                some.append(text)
+                size += len(text or "")
+                if size > BLOCK:
+                    yield coded(some)
                     some, size = [], 0
-                if text is not False:
-                    some.append(text)
-                    size += len(text or "")
-            cols = list(zip(*out)) or [()] * 4
-            kinds = [pa.binary(), pa.int64(), pa.string(), pa.string()]
-            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield coded(some)
 
     return encode
 

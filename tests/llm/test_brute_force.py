@@ -136,6 +136,52 @@ def test_bpe_on_odd_texts(tmp_path, monkeypatch, generation):
             assert coder.decode(ids) == library.decode(want, skip_special_tokens=False).encode()
 
 
+def _coder(folder, words):
+    vocabulary = bpe.Vocabulary(open(tokenizer_path()).read())
+    path = str(folder / "lexicon")
+    bpe.save_lexicon(bpe.compile_lexicon({p for w in words for p in vocabulary.split(w)}, vocabulary), path)
+    return bpe.Encoder(vocabulary, bpe.Lexicon(path)), path
+
+
+def test_bpe_rare_parts_do_not_push_out_frequent_ones(tmp_path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "GENERATION", 10)
+    library, (coder, _) = Tokenizer.from_file(tokenizer_path()), _coder(tmp_path, [" the", " end", " I'm", ".,"])
+    met = []
+    merged = coder.vocabulary.merged_many
+    monkeypatch.setattr(coder.lexicon, "find", lambda words, find=coder.lexicon.find: met.extend(words) or find(words))
+    monkeypatch.setattr(coder.vocabulary, "merged_many", lambda words: merged(words))
+    for k in range(20):
+        texts = [f"q the end.,{''.join(f' rare{chr(97 + k)}{chr(97 + i)}x x{k * 50 + i}.' for i in range(20))} I'm the. xö{chr(97 + k)}.,"]
+        for text, ids in zip(texts, coder.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert set(coder.known) <= {"the", "end", "end.,", "I'm", "the."}
+    assert met.count(b" the") == met.count(b" end") == 1
+
+
+def test_bpe_a_batch_is_encoded_in_parts(spark, tmp_path, monkeypatch):  # noqa: F811
+    import pyarrow as pa
+
+    coder, path = _coder(tmp_path, [" the", " end"])
+    monkeypatch.setattr(bpe.SparkFiles, "get", lambda name: path)
+    texts = ["the end of " * 100 + str(i) for i in range(2500)] + [None]
+    encode = bpe.encoder_udf(open(tokenizer_path()).read(), "lexicon").func
+    got = list(encode(iter([pa.array(texts), pa.array([], pa.string())])))
+    assert max(len(a) for a in got) < 1500  # not all 2.7 million characters at once
+    rows = [r for a in got for r in a.to_pylist()]
+    assert [r["ids"] for r in rows] == coder.encode(texts)
+
+
+def test_word_counts(spark):  # noqa: F811
+    from collections import Counter
+
+    texts = ["a b. b.; c!d é, " + "w" * 47 + " " + "w" * 48 + " " + "é" * 23 + " " + "é" * 24, None, "", "b \n x. . a" * 3]
+    want = Counter(" " + part.rstrip(bpe._MARKS) for t in texts if t for part in t.split(" "))
+    got = bpe.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert {r.word: r.n for r in got} == {w: n for w, n in want.items() if len(w.encode()) <= bpe.WORD_BYTES} and len(got) > 5
+
+
 def test_automaton_is_minimal_and_numbers_words():
     words = sorted(w.encode() for w in ("tap", "taps", "top", "tops", "stop", "stops", "", "a"))
     arrays = bpe.minimal_automaton(words)
