@@ -31,8 +31,9 @@ from logsentinel.llm.common import pick
 LEVELS = (1, 2, 3, 4)
 SLOTS = 32
 ENOUGH = 4
-#: Bytes parsed at once.
-BLOCK = 1 << 19
+#: Bytes parsed at once, and rows that a task takes out of a batch at once.
+BLOCK = 1 << 18
+ROWS = 256
 
 _ONE = np.uint64(1)
 _SEP_LABEL = 16
@@ -199,7 +200,7 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     successor.  A range ends with a copy of the next range's first row
     (``last``), which has no row of its own."""
     held: tuple | None = None  # the last row so far: id, text, fingerprint, last
-    for b in batches:
+    for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
         last, ids, texts = (c.to_pylist() for c in b.columns)
         at = 0
         while at < len(ids):

@@ -747,6 +747,21 @@ def test_license_windows_have_the_least_value_of_their_shingles(monkeypatch):
             assert seen[c.units, k] == want
 
 
+def test_fingerprints_take_few_rows_out_of_a_batch_at_once(monkeypatch):
+    import pyarrow as pa
+
+    most = []
+    plain = fingerprints.sketches
+    monkeypatch.setattr(fingerprints, "sketches", lambda some: most.append(len(some)) or plain(some))
+    n = 1000
+    batch = pa.RecordBatch.from_arrays([pa.array([False] * n), pa.array(range(n)), pa.array([f"text {i % 7} of it" for i in range(n)])], ["last", "doc_id", "text"])
+    got = [r for b in fingerprints._in_order(iter([batch])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in got] == list(range(n - 1)) and max(most) <= 300
+    # Whatever the rows come in, the results are the same.
+    again = [r for b in fingerprints._in_order(batch.slice(i, 90) for i in range(0, n, 90)) for r in b.to_pylist()]
+    assert got == again
+
+
 def test_edited_notices_near_the_limit_are_found():
     """Recall where only 0.8 to 0.9 of the shingles are left."""
     rng = np.random.default_rng(6)
