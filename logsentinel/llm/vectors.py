@@ -41,19 +41,23 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def longest(a: np.ndarray) -> float:
+    """The largest length of an integer matrix's rows."""
+    return float(np.sqrt((a.astype(np.float64) ** 2).sum(1).max(initial=0)))
+
+
+def products(a: np.ndarray, b: np.ndarray, most: float | None = None) -> np.ndarray:
     """Exact inner products of all rows of two integer matrices.  By
-    Cauchy-Schwarz no partial sum exceeds the product of the largest lengths,
-    which tells the narrowest number type that holds them all; beyond a long
-    they stop at its limits."""
-    fa, fb = a.astype(np.float64), b.astype(np.float64)
-    most = np.sqrt((fa**2).sum(1).max(initial=0)) * np.sqrt((fb**2).sum(1).max(initial=0)) * 1.0001
+    Cauchy-Schwarz no partial sum exceeds the product of the largest lengths
+    (``most``, if known already), which tells the narrowest number type that
+    holds them all; beyond a long they stop at its limits."""
+    most = 1.0001 * (longest(a) * longest(b) if most is None else most)
     if most < 2.0**24:
-        return fa.astype(np.float32) @ fb.astype(np.float32).T
+        return a.astype(np.float32) @ b.astype(np.float32).T
     if most < 2.0**53:
-        return fa @ fb.T
+        return a.astype(np.float64) @ b.astype(np.float64).T
     if most < 2.0**63:
-        return a @ b.T
+        return a.astype(np.int64) @ b.astype(np.int64).T
     exact = a.astype(object) @ b.T.astype(object)
     return np.clip(exact, LEAST, MOST).astype(np.int64)
 

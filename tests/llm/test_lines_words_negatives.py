@@ -187,6 +187,26 @@ def test_negatives_against_loops(spark, blocks):  # noqa: F811
     assert got == sorted(_negatives(_ready(vectors)), key=repr) and len(got) > 50
 
 
+def test_negatives_send_no_copies_of_the_anchors_to_the_driver(spark, monkeypatch):  # noqa: F811
+    """Whatever is broadcast is first gathered by the driver.  The anchors met
+    the rows in a broadcast join: a copy of them all for every cell, which the
+    threshold did not see.  Many small cells give the same rows."""
+    plans = []
+
+    def kept(write):
+        return lambda df, name: plans.append(df._jdf.queryExecution().toString()) or write(df, name)
+
+    for name in ("stored", "stored_at"):
+        monkeypatch.setattr(hard_negatives, name, kept(getattr(hard_negatives, name)))
+    rng = np.random.default_rng(12)
+    vectors = [(i, (rng.integers(-3, 6, 4) / 256).tolist(), int(rng.integers(0, 3))) for i in range(300)]
+    vectors += [(100, [0.01] * 4, 2), (300, [900.0] * 4, 0), (301, [850.0] * 4, 1), (302, [950.0] * 4, 0), (303, [1e6] * 4, 0), (350, [1e6] * 4, 0)]
+    monkeypatch.setattr(hard_negatives, "CELL", 64, raising=False)
+    got = rows(hard_negatives.mine(spark.createDataFrame(vectors, VECTORS), rows=5, anchors=3))
+    assert got == sorted(_negatives(_ready(vectors)), key=repr) and len(got) > 50
+    assert len(plans) >= 5 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_awkward_vectors(spark):  # noqa: F811
     nan, inf = float("nan"), float("inf")
     vectors = [
